@@ -36,10 +36,31 @@ def bank_table(name: str) -> Query:
     return query
 
 
+def bank_report(*steps) -> Query:
+    """Models applied one after the other: the first reads tables, the rest its result."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        first, *rest = steps
+        df = Bank.over(spark, folder).call(first)
+        for step in rest:
+            df = step(df)
+        return portable(df)
+
+    return query
+
+
 def bank_queries() -> dict[str, Query]:
     named = {f"stg_{name}": bank_table(name) for name in staging.MODELS}
     named |= {f"int_{name}": bank_table(name) for name in silver.MODELS}
     named |= {name: bank_table(name) for name in gold.MODELS}
+    for step in (
+        gold.risk_heatmap,
+        gold.retention_insights,
+        gold.digital_transformation_metrics,
+        gold.digital_preference_segments,
+    ):
+        named[step.__name__] = bank_report(gold.customer_health, step)
+    named["channel_product_effectiveness"] = bank_report(gold.product_customers, gold.channel_product_effectiveness)
     return named
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracles import silver, staging
+from oracles import gold, silver, staging
 from oracles.kinds import kinds_of
 from oracles.text import Book
 
@@ -11,9 +11,10 @@ def book() -> Book:
     made = Book()
     staging.build(made)
     silver.build(made)
+    gold.build(made)
     return made
 
 
 def statements() -> dict[str, str]:
     made = book()
-    return {name: made.full(name, kinds_of(made.columns[name])) for name in made.queries if not name.startswith("_")}
+    return {name: made.full(name, kinds_of(name, made.columns[name])) for name in made.queries if not name.startswith("_")}

@@ -101,12 +101,18 @@ WHOLES: set[str] = set(
 )
 
 
-def kinds_of(columns: list[str]) -> dict[str, str]:
+# One name, two meanings: an average in the reports, a step score in the roll-up.
+SPECIAL = {("int_customer_retention_analytics", "avg_churn_risk_score"): WHOLE}
+
+
+def kinds_of(query: str, columns: list[str]) -> dict[str, str]:
     found = {}
     for column in columns:
-        if column.endswith(MOMENT_ENDINGS):
+        if (query, column) in SPECIAL:
+            found[column] = SPECIAL[query, column]
+        elif column.endswith(MOMENT_ENDINGS):
             found[column] = TEXT
-        elif column in REALS:
+        elif column in REALS or column == "avg_churn_risk_score":
             found[column] = REAL
         elif column in WHOLES:
             found[column] = WHOLE
