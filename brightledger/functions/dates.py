@@ -1,57 +1,59 @@
 """Calendar arithmetic with the meaning the analysts' warehouse gives it.
 
 An age counts completed years, and its month part runs 0..11. ``months_between``
-is not used: it treats two month ends as a full month apart.
+is not used: it treats two month ends as a full month apart. All helpers take and
+give expression text; a bare name is a column.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+import datetime as dt
 
 
-def _position(moment: Column, *fields: str) -> Column:
-    return F.struct(*[F.date_part(F.lit(field), moment).alias(field) for field in fields])
+def moment(day: dt.date) -> str:
+    return f"TIMESTAMP '{day.isoformat()} 00:00:00'"
 
 
-def _completed_months(start: Column, end: Column) -> Column:
+def _into_month(at: str) -> str:
+    """Seconds since the start of the month."""
+    return f"(day({at}) * 86400 + hour({at}) * 3600 + minute({at}) * 60 + extract(SECOND FROM {at}))"
+
+
+def _completed(start: str, end: str) -> str:
     """Whole months from ``start`` to a later ``end``."""
-    span = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)
-    short = _position(end, "DAY", "HOUR", "MINUTE", "SECOND") < _position(start, "DAY", "HOUR", "MINUTE", "SECOND")
-    return span - short.cast("int")
+    span = f"(year({end}) - year({start})) * 12 + month({end}) - month({start})"
+    return f"({span} - CAST({_into_month(end)} < {_into_month(start)} AS INT))"
 
 
-def _signed_months(start: Column, end: Column) -> Column:
-    start, end = start.cast("timestamp"), end.cast("timestamp")
-    return F.when(start <= end, _completed_months(start, end)).when(
-        start > end, -_completed_months(end, start)
-    )
+def completed_months(start: str, end: str) -> str:
+    """Whole months between two moments; negative when ``end`` comes first."""
+    return f"(CASE WHEN {start} <= {end} THEN {_completed(start, end)} WHEN {start} > {end} THEN -{_completed(end, start)} END)"
 
 
-def age_years(start: Column, end: Column) -> Column:
-    """Completed years between two moments; negative when ``end`` comes first."""
-    return (_signed_months(start, end) / 12).cast("int")
+def age_years(start: str, end: str) -> str:
+    return f"CAST({completed_months(start, end)} div 12 AS INT)"
 
 
-def age_month_part(start: Column, end: Column) -> Column:
+def age_month_part(start: str, end: str) -> str:
     """Months of the age beyond its completed years, -11..11."""
-    return _signed_months(start, end) % 12
+    return f"({completed_months(start, end)} % 12)"
 
 
-def day_of_week(moment: Column) -> Column:
+def day_of_week(at: str) -> str:
     """0 = Sunday .. 6 = Saturday."""
-    return F.dayofweek(moment) - 1
+    return f"(dayofweek({at}) - 1)"
 
 
-def whole_days(start: Column, end: Column) -> Column:
+def whole_days(start: str, end: str) -> str:
     """Full 24-hour days from ``start`` to ``end``."""
-    return F.timestamp_diff("DAY", start.cast("timestamp"), end.cast("timestamp"))
+    return f"timestampdiff(DAY, {start}, {end})"
 
 
-def clock_hours(start: str, end: str) -> Column:
+def clock_hours(start: str, end: str) -> str:
     """Hour part of the span between two ``HH:mm:ss`` texts."""
 
-    def seconds(name: str) -> Column:
-        pieces = F.split(F.col(name), ":")
-        return pieces[0].cast("int") * 3600 + pieces[1].cast("int") * 60 + pieces[2].cast("int")
+    def seconds(name: str) -> str:
+        hour, minute, second = (f"CAST(split_part({name}, ':', {i}) AS INT)" for i in (1, 2, 3))
+        return f"({hour} * 3600 + {minute} * 60 + {second})"
 
-    return ((seconds(end) - seconds(start)) / 3600).cast("int")
+    return f"CAST(({seconds(end)} - {seconds(start)}) div 3600 AS INT)"

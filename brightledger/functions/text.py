@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+_RUNS = r"[\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+"
 
-_RUNS = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"
 
-
-def title_case(text: Column | str) -> Column:
+def title_case(name: str) -> str:
     """Capitalise each run of letters and digits, so ``mary-ann`` gives ``Mary-Ann``
-    (``F.initcap`` would only break at blanks)."""
-    text = F.col(text) if isinstance(text, str) else text
-    runs = F.regexp_extract_all(text, F.lit(_RUNS), F.lit(0))
-    capital = F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, 1 << 30))))
-    return F.array_join(capital, "")
+    (``initcap`` would only break at blanks)."""
+    runs = f"regexp_extract_all({name}, '{_RUNS}', 0)"
+    return f"array_join(transform({runs}, r -> upper(left(r, 1)) || lower(substring(r, 2))), '')"
 
 
-def joined(*pieces: Column | str) -> Column:
+def joined(*pieces: str) -> str:
     """Concatenation that skips missing pieces."""
-    return F.concat_ws("", *pieces)
+    return f"concat_ws('', {', '.join(pieces)})"

@@ -19,7 +19,7 @@ def align(summaries: Sequence[DataFrame], key: str) -> DataFrame:
     a key are merged into one.
     """
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), summaries)
-    return stacked.groupBy(key).agg(*[F.max(name).alias(name) for name in stacked.columns if name != key])
+    return stacked.groupBy(key).agg(*[F.expr(f"max({name}) AS {name}") for name in stacked.columns if name != key])
 
 
 def left_align(base: DataFrame, others: Sequence[DataFrame], key: str) -> DataFrame:
@@ -74,6 +74,6 @@ def share_of_total(groups: DataFrame, measure: str, share: str, digits: int = 1)
     )
 
 
-def recent_count(moment: str, since: Column, condition: str = "TRUE") -> Column:
+def recent_count(moment: str, since: str, condition: str = "TRUE") -> str:
     """Rows at or after ``since`` that meet the condition."""
-    return F.count_if((F.col(moment) >= since) & F.expr(condition))
+    return f"count_if({moment} >= {since} AND {condition})"

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
+from brightledger.functions.dates import moment
+
 
 @dataclass(frozen=True)
 class RunParams:
@@ -14,6 +16,11 @@ class RunParams:
 
     as_of: dt.date = dt.date(2024, 2, 1)
 
+    @property
+    def now(self) -> str:
+        """Midnight of ``as_of`` as expression text."""
+        return moment(self.as_of)
+
     @property
     def today(self) -> Column:
         return F.lit(self.as_of)
@@ -21,7 +28,7 @@ class RunParams:
     @property
     def stamp(self) -> Column:
         """Load stamp: midnight of ``as_of``, so that a rerun gives the same rows."""
-        return F.lit(self.as_of).cast("timestamp")
+        return F.expr(self.now)
 
-    def days_ago(self, days: int) -> Column:
-        return F.lit(self.as_of - dt.timedelta(days=days)).cast("timestamp")
+    def days_ago(self, days: int) -> str:
+        return moment(self.as_of - dt.timedelta(days=days))

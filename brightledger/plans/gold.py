@@ -7,10 +7,23 @@ rows of a report come out of one pass over the join (grouping sets).
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brightledger.functions.scoring import decide, mean, mean_of_means, n_if, ratio, sum_if, truncated_ratio
-from brightledger.operators.keyed import left_align, share_of_total
+from brightledger.functions.scoring import (
+    choice,
+    literal,
+    mean,
+    mean_of_means,
+    n_if,
+    named,
+    ratio,
+    share_pct,
+    sum_if,
+    truncated_pct,
+)
+from brightledger.operators.keyed import left_align
 from brightledger.operators.sections import one_row, totals_and_groups
 from brightledger.params import RunParams
 from brightledger.rules import gold as R
@@ -19,31 +32,26 @@ CUSTOMER = "customer_id"
 VALUE = "total_relationship_value"
 
 
-def _named(**columns: Column) -> list[Column]:
-    return [column.alias(name) for name, column in columns.items()]
-
+def _is(section: str) -> str:
+    return f"section = {literal(section)}"
 
-def _pct(part: Column | str, whole: Column | str, digits: int = 1) -> Column:
-    part, whole = (F.col(c) if isinstance(c, str) else c for c in (part, whole))
-    return F.round(ratio(part * 100, whole), digits)
 
+def _only(section: str, same: Iterable[str] = (), **texts: str) -> list[Column]:
+    """Columns filled in one section and NULL in the others; ``same`` keep their name."""
+    texts = {name: name for name in same} | texts
+    return named(**{name: f"CASE WHEN {_is(section)} THEN {text} END" for name, text in texts.items()})
 
-def _truncated_pct(part: str, whole: str) -> Column:
-    """A rate the reports compute in whole numbers: 0 below the whole, else 100."""
-    return truncated_ratio(F.col(part), F.col(whole)) * 100
 
+def _both(section: str, **texts: tuple[str, str]) -> list[Column]:
+    """Columns with one meaning in ``section`` and another elsewhere."""
+    return named(
+        **{name: f"CASE WHEN {_is(section)} THEN {here} ELSE {there} END" for name, (here, there) in texts.items()}
+    )
 
-def _only(section: str, **columns: Column) -> list[Column]:
-    """Columns filled in one section and NULL in the others."""
-    return [F.when(F.col("section") == section, column).alias(name) for name, column in columns.items()]
 
-
-def _both(section: str, columns: dict[str, tuple[Column, Column]]) -> list[Column]:
-    """Columns with one meaning in ``section`` and another elsewhere."""
-    return [
-        F.when(F.col("section") == section, here).otherwise(there).alias(name)
-        for name, (here, there) in columns.items()
-    ]
+def _over_report(section: str, measure: str) -> str:
+    """Sum over a section's rows; a report has a handful of rows, so one task sees them all."""
+    return f"sum(CASE WHEN {_is(section)} THEN {measure} END) OVER ()"
 
 
 # --- executive dashboard -----------------------------------------------------
@@ -121,16 +129,16 @@ def executive_customer_dashboard(
         health,
         [[], ["customer_value_segment"]],
         [total, segment],
-        _named(
-            total_customers=F.count(F.lit(1)),
+        named(
+            total_customers="count(*)",
             high_value_customers=n_if("customer_value_segment = 'High Value'"),
             wealth_management_customers=n_if(R.WEALTHY),
             highly_engaged_customers=n_if("engagement_level = 'HIGHLY_ENGAGED'"),
             at_risk_count=n_if("at_risk_customer"),
-            total_customer_assets=F.sum(VALUE),
+            total_customer_assets=f"sum({VALUE})",
             avg_relationship_value=mean(VALUE),
             private_banking_assets=sum_if("wealth_tier = 'PRIVATE_BANKING'", VALUE),
-            avg_penetration=F.avg("product_penetration_score"),
+            avg_penetration="avg(product_penetration_score)",
             high_risk_customers=n_if(R.HIGH_RISK),
             non_compliant_customers=n_if(R.NON_COMPLIANT),
             customers_needing_review=n_if("requires_immediate_review"),
@@ -139,21 +147,19 @@ def executive_customer_dashboard(
             avg_digital_adoption=mean_of_means("digital_adoption_score"),
             omni_channel_customers=n_if("channel_preference = 'OMNI_CHANNEL'"),
             high_churn_risk_customers=n_if("churn_risk_score >= 70"),
-            avg_churn=F.avg("churn_risk_score"),
+            avg_churn="avg(churn_risk_score)",
             critical_retention_cases=n_if("retention_priority = 'CRITICAL'"),
             high_cross_sell_opportunities=n_if("cross_sell_opportunity_score >= 75"),
-            avg_opportunity=F.avg("retention_opportunity_score"),
+            avg_opportunity="avg(retention_opportunity_score)",
             avg_satisfaction=mean_of_means("service_satisfaction_score"),
             highly_satisfied_customers=n_if("service_satisfaction_score >= 4"),
             dissatisfied_customers=n_if("service_satisfaction_score <= 2"),
         ),
     )
     # The segments add up to the customers that have one, which may be fewer than all.
-    in_segments = F.sum(F.when(F.col("section") == segment, F.col("total_customers")))
-    facts = _with_total(facts, in_segments=in_segments)
-    c = F.col
+    facts = facts.select("*", *named(in_segments=_over_report(segment, "total_customers")))
     return facts.select(
-        c("section").alias("dashboard_section"),
+        F.col("section").alias("dashboard_section"),
         p.today.alias("report_date"),
         "total_customers",
         "total_customer_assets",
@@ -161,61 +167,47 @@ def executive_customer_dashboard(
         "high_cross_sell_opportunities",
         *_only(
             total,
-            **{
-                name: c(name)
-                for name in (
-                    "high_value_customers",
-                    "wealth_management_customers",
-                    "highly_engaged_customers",
-                    "private_banking_assets",
-                    "high_risk_customers",
-                    "non_compliant_customers",
-                    "customers_needing_review",
-                    "digital_preferred_customers",
-                    "omni_channel_customers",
-                    "high_churn_risk_customers",
-                    "critical_retention_cases",
-                    "highly_satisfied_customers",
-                    "dissatisfied_customers",
-                )
-            },
-            engagement_rate=_pct("highly_engaged_customers", "total_customers"),
-            private_banking_share=_pct("private_banking_assets", "total_customer_assets"),
-            high_risk_percentage=_pct("high_risk_customers", "total_customers"),
-            avg_risk_score=F.round("avg_risk", 0),
-            digital_adoption_rate=_pct("digital_preferred_customers", "total_customers"),
-            avg_retention_opportunity=F.round("avg_opportunity", 1),
-            avg_service_satisfaction=F.round("avg_satisfaction", 2),
-            satisfaction_rate=_pct("highly_satisfied_customers", "total_customers"),
-            digital_maturity=decide(R.DIGITAL_MATURITY),
-            risk_profile_status=decide(R.RISK_STATUS),
-            immediate_actions_required=c("customers_needing_review"),
+            (
+                "high_value_customers",
+                "wealth_management_customers",
+                "highly_engaged_customers",
+                "private_banking_assets",
+                "high_risk_customers",
+                "non_compliant_customers",
+                "customers_needing_review",
+                "digital_preferred_customers",
+                "omni_channel_customers",
+                "high_churn_risk_customers",
+                "critical_retention_cases",
+                "highly_satisfied_customers",
+                "dissatisfied_customers",
+            ),
+            engagement_rate=share_pct("highly_engaged_customers", "total_customers"),
+            private_banking_share=share_pct("private_banking_assets", "total_customer_assets"),
+            high_risk_percentage=share_pct("high_risk_customers", "total_customers"),
+            avg_risk_score="round(avg_risk, 0)",
+            digital_adoption_rate=share_pct("digital_preferred_customers", "total_customers"),
+            avg_retention_opportunity="round(avg_opportunity, 1)",
+            avg_service_satisfaction="round(avg_satisfaction, 2)",
+            satisfaction_rate=share_pct("highly_satisfied_customers", "total_customers"),
+            digital_maturity=choice(R.DIGITAL_MATURITY),
+            risk_profile_status=choice(R.RISK_STATUS),
+            immediate_actions_required="customers_needing_review",
         ),
         *_both(
             total,
-            {
-                "high_value_percentage": (
-                    _pct("high_value_customers", "total_customers"),
-                    _pct("total_customers", "in_segments"),
-                ),
-                "avg_product_penetration": (F.round("avg_penetration", 1), c("avg_penetration")),
-                "avg_digital_score": (F.round("avg_digital_adoption", 1), c("avg_digital_adoption")),
-                "churn_risk_rate": (_pct("high_churn_risk_customers", "total_customers"), c("avg_churn")),
-                "portfolio_health": (decide(R.PORTFOLIO_HEALTH), decide(R.SEGMENT_HEALTH)),
-                "retention_actions_required": (c("critical_retention_cases"), c("at_risk_count")),
-            },
+            high_value_percentage=(
+                share_pct("high_value_customers", "total_customers"),
+                share_pct("total_customers", "in_segments"),
+            ),
+            avg_product_penetration=("round(avg_penetration, 1)", "avg_penetration"),
+            avg_digital_score=("round(avg_digital_adoption, 1)", "avg_digital_adoption"),
+            churn_risk_rate=(share_pct("high_churn_risk_customers", "total_customers"), "avg_churn"),
+            portfolio_health=(choice(R.PORTFOLIO_HEALTH), choice(R.SEGMENT_HEALTH)),
+            retention_actions_required=("critical_retention_cases", "at_risk_count"),
         ),
-        c("high_cross_sell_opportunities").alias("growth_opportunities_available"),
-        p.stamp.alias("last_updated"),
-    ).orderBy("dashboard_section", c("high_value_percentage").desc_nulls_last())
-
-
-def _with_total(groups: DataFrame, **totals: Column) -> DataFrame:
-    """Adds sums over all rows of a report, which is a handful of group rows."""
-    from pyspark.sql import Window
-
-    everything = Window.partitionBy()
-    return groups.withColumns({name: column.over(everything) for name, column in totals.items()})
+        *named(growth_opportunities_available="high_cross_sell_opportunities", last_updated=p.stamp),
+    ).orderBy("dashboard_section", F.desc_nulls_last("high_value_percentage"))
 
 
 def risk_heatmap(health: DataFrame) -> DataFrame:
@@ -223,10 +215,10 @@ def risk_heatmap(health: DataFrame) -> DataFrame:
         health.where("overall_risk_level IS NOT NULL AND financial_risk_level IS NOT NULL")
         .groupBy("overall_risk_level", "financial_risk_level")
         .agg(
-            *_named(
-                customer_count=F.count("*"),
-                assets_at_risk=F.sum(VALUE),
-                avg_risk_score=F.round(mean_of_means("composite_risk_score"), 4),
+            *named(
+                customer_count="count(*)",
+                assets_at_risk=f"sum({VALUE})",
+                avg_risk_score=f"round({mean_of_means('composite_risk_score')}, 4)",
                 immediate_action_required=n_if("requires_immediate_review"),
             )
         )
@@ -238,11 +230,11 @@ def retention_insights(health: DataFrame) -> DataFrame:
         health.where("retention_lifecycle_stage IS NOT NULL")
         .groupBy("retention_lifecycle_stage")
         .agg(
-            *_named(
-                customer_count=F.count("*"),
-                revenue_at_risk=F.sum(VALUE),
-                avg_churn_risk=F.avg("churn_risk_score"),
-                avg_retention_opportunity=F.avg("retention_opportunity_score"),
+            *named(
+                customer_count="count(*)",
+                revenue_at_risk=f"sum({VALUE})",
+                avg_churn_risk="avg(churn_risk_score)",
+                avg_retention_opportunity="avg(retention_opportunity_score)",
                 priority_actions_needed=n_if(R.PRIORITY_RETENTION),
             )
         )
@@ -256,25 +248,25 @@ def _by_preference(health: DataFrame):
 
 def digital_transformation_metrics(health: DataFrame) -> DataFrame:
     return _by_preference(health).agg(
-        *_named(
-            customer_count=F.count("*"),
-            avg_digital_adoption=F.round(mean_of_means("digital_adoption_score"), 4),
-            avg_channel_diversity=F.avg("channel_diversity_score"),
-            avg_satisfaction=F.round(mean_of_means("service_satisfaction_score"), 4),
-            segment_value=F.sum(VALUE),
+        *named(
+            customer_count="count(*)",
+            avg_digital_adoption=f"round({mean_of_means('digital_adoption_score')}, 4)",
+            avg_channel_diversity="avg(channel_diversity_score)",
+            avg_satisfaction=f"round({mean_of_means('service_satisfaction_score')}, 4)",
+            segment_value=f"sum({VALUE})",
         )
     )
 
 
 def digital_preference_segments(health: DataFrame) -> DataFrame:
     return _by_preference(health).agg(
-        *_named(
-            customer_count=F.count("*"),
-            avg_digital_score=F.round(mean_of_means("digital_adoption_score"), 4),
-            avg_channel_diversity=F.avg("channel_diversity_score"),
-            avg_satisfaction=F.round(mean_of_means("service_satisfaction_score"), 4),
+        *named(
+            customer_count="count(*)",
+            avg_digital_score=f"round({mean_of_means('digital_adoption_score')}, 4)",
+            avg_channel_diversity="avg(channel_diversity_score)",
+            avg_satisfaction=f"round({mean_of_means('service_satisfaction_score')}, 4)",
             avg_customer_value=mean(VALUE),
-            marketing_response_rate=_pct(n_if(R.RESPONSIVE), F.count("*")),
+            marketing_response_rate=share_pct(n_if(R.RESPONSIVE), "count(*)"),
         )
     )
 
@@ -302,104 +294,95 @@ def customer_segmentation_analysis(
         health,
         [["customer_value_segment"], ["lifecycle_stage_name"]],
         [overview, lifecycle],
-        _named(
-            segment_customer_count=F.count(F.lit(1)),
-            segment_total_value=F.sum(VALUE),
+        named(
+            segment_customer_count="count(*)",
+            segment_total_value=f"sum({VALUE})",
             avg_value=mean(VALUE),
-            avg_age=F.avg("age"),
-            avg_tenure=F.avg("relationship_years"),
+            avg_age="avg(age)",
+            avg_tenure="avg(relationship_years)",
             highly_engaged_count=n_if("engagement_level = 'HIGHLY_ENGAGED'"),
             avg_satisfaction=mean_of_means("service_satisfaction_score"),
             avg_digital_adoption=mean_of_means("digital_adoption_score"),
             digital_preferred_customers=n_if(R.DIGITAL_FIRST),
-            avg_penetration=F.avg("product_penetration_score"),
-            avg_cross_sell=F.avg("cross_sell_opportunity_score"),
+            avg_penetration="avg(product_penetration_score)",
+            avg_cross_sell="avg(cross_sell_opportunity_score)",
             high_cross_sell_customers=n_if("cross_sell_opportunity_score >= 75"),
             avg_stickiness=mean_of_means("product_stickiness_score"),
             highly_responsive_customers=n_if("marketing_responsiveness = 'HIGHLY_RESPONSIVE'"),
             moderately_responsive_customers=n_if("marketing_responsiveness = 'MODERATELY_RESPONSIVE'"),
-            avg_churn_risk=F.avg("churn_risk_score"),
-            avg_retention_opportunity=F.avg("retention_opportunity_score"),
+            avg_churn_risk="avg(churn_risk_score)",
+            avg_retention_opportunity="avg(retention_opportunity_score)",
             critical_retention_cases=n_if(R.PRIORITY_RETENTION),
             high_churn_risk_customers=n_if("churn_risk_score >= 70"),
             high_risk_customers=n_if(R.HIGH_RISK),
         ),
     )
 
-    def in_overview(name: str) -> Column:
-        return F.sum(F.when(F.col("section") == overview, F.col(name)))
-
-    c = F.col
-    count, value = c("segment_customer_count"), c("segment_total_value").cast("double")
-    facts = _with_total(
-        facts, all_customers=in_overview("segment_customer_count"), all_value=in_overview("segment_total_value")
-    ).withColumns(
-        {
-            "segment_value_share_pct": _pct("segment_total_value", "all_value"),
-            "marketing_response_rate_pct": _pct(
-                c("highly_responsive_customers") + c("moderately_responsive_customers"), count
+    facts = facts.select(
+        "*",
+        *named(
+            all_customers=_over_report(overview, "segment_customer_count"),
+            all_value=_over_report(overview, "segment_total_value"),
+            marketing_response_rate_pct=share_pct(
+                "highly_responsive_customers + moderately_responsive_customers", "segment_customer_count"
             ),
-            "digital_adoption_rate_pct": _pct("digital_preferred_customers", "segment_customer_count"),
-        }
+            digital_adoption_rate_pct=share_pct("digital_preferred_customers", "segment_customer_count"),
+        ),
     )
+    facts = facts.select("*", *named(segment_value_share_pct=share_pct("segment_total_value", "all_value")))
+    value = "CAST(segment_total_value AS DOUBLE)"
     return facts.select(
-        c("section").alias("analysis_section"),
+        F.col("section").alias("analysis_section"),
         p.today.alias("report_date"),
-        F.coalesce("customer_value_segment", "lifecycle_stage_name").alias("customer_value_segment"),
+        *named(customer_value_segment="coalesce(customer_value_segment, lifecycle_stage_name)"),
         "segment_customer_count",
         "high_cross_sell_customers",
-        *_named(
-            avg_customer_value=F.round("avg_value", 0),
-            engagement_rate_pct=_pct("highly_engaged_count", "segment_customer_count"),
-            avg_digital_adoption_score=F.round("avg_digital_adoption", 1),
-            avg_product_penetration_score=F.round("avg_penetration", 1),
-            avg_churn_risk_score=F.round("avg_churn_risk", 1),
-            segment_strategic_importance=F.when(
-                c("section") == overview, decide(R.SEGMENT_IMPORTANCE)
-            ).otherwise(F.lit("LIFECYCLE_STAGE")),
+        *named(
+            avg_customer_value="round(avg_value, 0)",
+            engagement_rate_pct=share_pct("highly_engaged_count", "segment_customer_count"),
+            avg_digital_adoption_score="round(avg_digital_adoption, 1)",
+            avg_product_penetration_score="round(avg_penetration, 1)",
+            avg_churn_risk_score="round(avg_churn_risk, 1)",
+            segment_strategic_importance=f"CASE WHEN {_is(overview)} THEN {choice(R.SEGMENT_IMPORTANCE)}"
+            " ELSE 'LIFECYCLE_STAGE' END",
         ),
         *_only(
             overview,
-            **{
-                name: c(name)
-                for name in (
-                    "segment_total_value",
-                    "segment_value_share_pct",
-                    "highly_engaged_count",
-                    "digital_preferred_customers",
-                    "digital_adoption_rate_pct",
-                    "highly_responsive_customers",
-                    "moderately_responsive_customers",
-                    "marketing_response_rate_pct",
-                    "high_churn_risk_customers",
-                    "critical_retention_cases",
-                    "high_risk_customers",
-                )
-            },
-            segment_share_percentage=_pct("segment_customer_count", "all_customers"),
-            avg_customer_age=F.round("avg_age", 1),
-            avg_relationship_years=F.round("avg_tenure", 1),
-            avg_satisfaction_score=F.round("avg_satisfaction", 2),
-            avg_cross_sell_score=F.round("avg_cross_sell", 1),
-            avg_product_stickiness_score=F.round("avg_stickiness", 1),
-            avg_retention_opportunity_score=F.round("avg_retention_opportunity", 1),
-            marketing_effectiveness=decide(R.MARKETABILITY),
-            digital_strategy_classification=decide(R.DIGITAL_STRATEGY),
-            retention_strategy_classification=decide(R.RETENTION_CLASS),
-            recommended_marketing_action=decide(R.MARKETING_ACTION),
-            satisfaction_value_index=F.round(c("avg_satisfaction") * value / 1000000, 2),
-            growth_potential_index=F.round(c("avg_cross_sell") * count / 100, 0),
-            retention_value_index=F.round(c("avg_retention_opportunity") * value / 10000000, 2),
-            marketing_responsive_base=F.round(c("marketing_response_rate_pct") / 100 * count, 0),
-            risk_adjusted_segment_value=F.round(
-                (100 - F.coalesce(c("avg_churn_risk"), F.lit(0.0))) / 100 * value, 0
+            (
+                "segment_total_value",
+                "segment_value_share_pct",
+                "highly_engaged_count",
+                "digital_preferred_customers",
+                "digital_adoption_rate_pct",
+                "highly_responsive_customers",
+                "moderately_responsive_customers",
+                "marketing_response_rate_pct",
+                "high_churn_risk_customers",
+                "critical_retention_cases",
+                "high_risk_customers",
             ),
+            segment_share_percentage=share_pct("segment_customer_count", "all_customers"),
+            avg_customer_age="round(avg_age, 1)",
+            avg_relationship_years="round(avg_tenure, 1)",
+            avg_satisfaction_score="round(avg_satisfaction, 2)",
+            avg_cross_sell_score="round(avg_cross_sell, 1)",
+            avg_product_stickiness_score="round(avg_stickiness, 1)",
+            avg_retention_opportunity_score="round(avg_retention_opportunity, 1)",
+            marketing_effectiveness=choice(R.MARKETABILITY),
+            digital_strategy_classification=choice(R.DIGITAL_STRATEGY),
+            retention_strategy_classification=choice(R.RETENTION_CLASS),
+            recommended_marketing_action=choice(R.MARKETING_ACTION),
+            satisfaction_value_index=f"round(avg_satisfaction * {value} / 1000000, 2)",
+            growth_potential_index="round(avg_cross_sell * segment_customer_count / 100, 0)",
+            retention_value_index=f"round(avg_retention_opportunity * {value} / 10000000, 2)",
+            marketing_responsive_base="round(marketing_response_rate_pct / 100 * segment_customer_count, 0)",
+            risk_adjusted_segment_value=f"round((100 - coalesce(avg_churn_risk, 0D)) / 100 * {value}, 0)",
         ),
         p.stamp.alias("last_updated"),
     ).orderBy(
         "analysis_section",
-        c("segment_share_percentage").desc_nulls_last(),
-        c("avg_customer_value").desc_nulls_last(),
+        F.desc_nulls_last("segment_share_percentage"),
+        F.desc_nulls_last("avg_customer_value"),
     )
 
 
@@ -419,9 +402,11 @@ def product_customers(
     is weighted.
     """
     owned = account_performance_dashboard.groupBy(CUSTOMER).agg(
-        F.count("*").alias("accounts"),
-        F.sum("account_profitability_score").alias("profitability_sum"),
-        F.count("account_profitability_score").alias("profitability_count"),
+        *named(
+            accounts="count(*)",
+            profitability_sum="sum(account_profitability_score)",
+            profitability_count="count(account_profitability_score)",
+        )
     )
     return left_align(
         product_penetration_analysis.select(
@@ -441,28 +426,28 @@ def product_customers(
             channel_effectiveness.select(CUSTOMER, "channel_preference", "service_satisfaction_score"),
         ],
         CUSTOMER,
-    ).withColumns(
-        {
-            "weight": F.coalesce("accounts", F.lit(1)),
-            "kinds_held": sum(
-                F.coalesce((F.col(kind) > 0).cast("int"), F.lit(0))
+    ).select(
+        "*",
+        *named(
+            weight="coalesce(accounts, 1)",
+            kinds_held=" + ".join(
+                f"CAST(coalesce({kind}, 0) > 0 AS INT)"
                 for kind in ("total_deposit_accounts", "total_cards", "total_loans", "total_investments")
             ),
-        }
+        ),
     )
 
 
-def _n(condition: str = "TRUE") -> Column:
-    return F.sum(F.when(F.expr(condition), F.col("weight")).otherwise(F.lit(0)))
+def _n(condition: str = "TRUE") -> str:
+    return sum_if(condition, "weight")
 
 
-def _weighted_sum(name: str) -> Column:
-    return F.sum(F.col(name) * F.col("weight"))
+def _weighted_sum(name: str) -> str:
+    return f"sum({name} * weight)"
 
 
-def _weighted_mean(name: str, exact: str) -> Column:
-    column = F.col(name).cast(exact)
-    return F.sum(column * F.col("weight")).cast("double") / F.nullif(_n(f"{name} IS NOT NULL"), F.lit(0))
+def _weighted_mean(name: str, exact: str) -> str:
+    return ratio(f"sum(CAST({name} AS {exact}) * weight)", _n(f"{name} IS NOT NULL"))
 
 
 def product_performance_analytics(
@@ -489,7 +474,7 @@ def product_performance_analytics(
         customers,
         [[], ["customer_value_segment"], ["next_best_product"]],
         [total, by_segment, by_product],
-        _named(
+        named(
             total_customers=_n(),
             deposit_customers=_n("total_deposit_accounts > 0"),
             card_customers=_n("total_cards > 0"),
@@ -500,7 +485,7 @@ def product_performance_analytics(
             avg_penetration=_weighted_mean("penetration", "decimal(12,0)"),
             avg_cross_sell=_weighted_mean("cross_sell_opportunity_score", "decimal(12,0)"),
             avg_stickiness=_weighted_mean("product_stickiness_score", "decimal(18,9)"),
-            avg_profitability=ratio(F.sum("profitability_sum"), F.sum("profitability_count")),
+            avg_profitability=ratio("sum(profitability_sum)", "sum(profitability_count)"),
             digital_native_customers=_n("digital_adoption_level = 'DIGITAL_NATIVE'"),
             digital_adopter_customers=_n("digital_adoption_level = 'DIGITAL_ADOPTER'"),
             digital_preferred_customers=_n(R.DIGITAL_FIRST),
@@ -510,73 +495,69 @@ def product_performance_analytics(
             valued_customers=_n(f"{VALUE} IS NOT NULL"),
             high_value_opportunities=_n("customer_value_segment = 'High Value'"),
         ),
-    ).withColumns(
-        {
-            **{
-                f"{kind}_penetration_rate": _pct(f"{kind}_customers", "total_customers")
-                for kind in ("deposit", "card", "loan", "investment")
-            },
-            "digital_first_rate": _pct("digital_preferred_customers", "total_customers"),
-            "digital_ready_rate": _pct(
-                F.col("digital_native_customers") + F.col("digital_adopter_customers"), "total_customers"
-            ),
-            "avg_value": ratio(F.col("total_product_portfolio_value"), F.col("valued_customers")),
-        }
     )
-    c = F.col
-    is_total, is_segment = c("section") == total, c("section") == by_segment
-    not_product = c("section") != by_product
-    per_head = ratio(c("total_product_portfolio_value"), c("total_customers"))
+    kinds = ("deposit", "card", "loan", "investment")
+    facts = facts.select(
+        "*",
+        *named(
+            **{f"{kind}_penetration_rate": share_pct(f"{kind}_customers", "total_customers") for kind in kinds},
+            digital_first_rate=share_pct("digital_preferred_customers", "total_customers"),
+            digital_ready_rate=share_pct("digital_native_customers + digital_adopter_customers", "total_customers"),
+            avg_value=ratio("total_product_portfolio_value", "valued_customers"),
+        ),
+    )
+
+    def not_product(text: str) -> str:
+        return f"CASE WHEN NOT {_is(by_product)} THEN {text} END"
+
+    per_head = ratio("total_product_portfolio_value", "total_customers")
     return facts.select(
-        c("section").alias("analytics_section"),
+        F.col("section").alias("analytics_section"),
         p.today.alias("report_date"),
         "total_customers",
         "total_product_portfolio_value",
         *_only(
             total,
-            **{
-                name: c(name)
-                for name in (
-                    "card_customers",
-                    "loan_customers",
-                    "investment_customers",
-                    "multi_product_customers",
-                    "premium_product_customers",
-                    "digital_native_customers",
-                    "digital_adopter_customers",
-                    "digital_preferred_customers",
-                    "medium_cross_sell_opportunity",
-                )
-            },
-            premium_product_rate=_pct("premium_product_customers", "total_customers"),
-            digital_product_maturity=decide(R.PRODUCT_DIGITAL_MATURITY),
-            wealth_product_performance=decide(R.WEALTH_PRODUCTS),
-            recommended_product_strategy=decide(R.PRODUCT_STRATEGY),
-            priority_product_focus=decide(R.PRODUCT_FOCUS),
-        ),
-        *[
-            F.when(not_product, c(f"{kind}_penetration_rate")).alias(f"{kind}_penetration_rate")
-            for kind in ("deposit", "card", "loan", "investment")
-        ],
-        *_named(
-            deposit_account_customers=F.when(is_total, c("deposit_customers")).otherwise(c("total_customers")),
-            multi_product_rate=F.when(not_product, _pct("multi_product_customers", "total_customers")),
-            avg_product_penetration_score=F.when(not_product, F.round("avg_penetration", 1)),
-            avg_cross_sell_opportunity_score=F.round("avg_cross_sell", 1),
-            avg_product_stickiness_score=F.when(not_product, F.round("avg_stickiness", 1)),
-            avg_account_profitability_score=F.when(not_product, F.round("avg_profitability", 1)),
-            digital_adoption_rate=F.when(is_total, c("digital_first_rate")).otherwise(c("digital_ready_rate")),
-            high_cross_sell_opportunity=F.when(not_product, c("high_cross_sell_opportunity")).otherwise(
-                c("high_value_opportunities")
+            (
+                "card_customers",
+                "loan_customers",
+                "investment_customers",
+                "multi_product_customers",
+                "premium_product_customers",
+                "digital_native_customers",
+                "digital_adopter_customers",
+                "digital_preferred_customers",
+                "medium_cross_sell_opportunity",
             ),
-            high_cross_sell_rate=F.when(not_product, _pct("high_cross_sell_opportunity", "total_customers")),
-            avg_customer_relationship_value=F.round(F.when(is_segment, per_head).otherwise(c("avg_value")), 0),
-            cross_sell_performance_status=F.when(is_total, decide(R.CROSS_SELL_STATUS))
-            .when(is_segment, decide(R.SEGMENT_CROSS_SELL))
-            .otherwise(F.lit("NEXT_BEST_PRODUCT")),
+            premium_product_rate=share_pct("premium_product_customers", "total_customers"),
+            digital_product_maturity=choice(R.PRODUCT_DIGITAL_MATURITY),
+            wealth_product_performance=choice(R.WEALTH_PRODUCTS),
+            recommended_product_strategy=choice(R.PRODUCT_STRATEGY),
+            priority_product_focus=choice(R.PRODUCT_FOCUS),
+        ),
+        *_both(
+            total,
+            deposit_account_customers=("deposit_customers", "total_customers"),
+            digital_adoption_rate=("digital_first_rate", "digital_ready_rate"),
+        ),
+        *_both(
+            by_product,
+            high_cross_sell_opportunity=("high_value_opportunities", "high_cross_sell_opportunity"),
+        ),
+        *named(
+            **{f"{kind}_penetration_rate": not_product(f"{kind}_penetration_rate") for kind in kinds},
+            multi_product_rate=not_product(share_pct("multi_product_customers", "total_customers")),
+            avg_product_penetration_score=not_product("round(avg_penetration, 1)"),
+            avg_cross_sell_opportunity_score="round(avg_cross_sell, 1)",
+            avg_product_stickiness_score=not_product("round(avg_stickiness, 1)"),
+            avg_account_profitability_score=not_product("round(avg_profitability, 1)"),
+            high_cross_sell_rate=not_product(share_pct("high_cross_sell_opportunity", "total_customers")),
+            avg_customer_relationship_value=f"round(CASE WHEN {_is(by_segment)} THEN {per_head} ELSE avg_value END, 0)",
+            cross_sell_performance_status=f"CASE WHEN {_is(total)} THEN {choice(R.CROSS_SELL_STATUS)}"
+            f" WHEN {_is(by_segment)} THEN {choice(R.SEGMENT_CROSS_SELL)} ELSE 'NEXT_BEST_PRODUCT' END",
             last_updated=p.stamp,
         ),
-    ).orderBy("analytics_section", c("deposit_penetration_rate").desc_nulls_last())
+    ).orderBy("analytics_section", F.desc_nulls_last("deposit_penetration_rate"))
 
 
 def channel_product_effectiveness(customers: DataFrame) -> DataFrame:
@@ -584,11 +565,11 @@ def channel_product_effectiveness(customers: DataFrame) -> DataFrame:
         customers.where("channel_preference IS NOT NULL")
         .groupBy("channel_preference")
         .agg(
-            *_named(
+            *named(
                 customer_count=_n(),
                 avg_penetration_score=_weighted_mean("penetration", "decimal(12,0)"),
                 avg_cross_sell_score=_weighted_mean("cross_sell_opportunity_score", "decimal(12,0)"),
-                avg_satisfaction_score=F.round(_weighted_mean("service_satisfaction_score", "decimal(18,9)"), 4),
+                avg_satisfaction_score=f"round({_weighted_mean('service_satisfaction_score', 'decimal(18,9)')}, 4)",
                 channel_total_value=_weighted_sum(VALUE),
                 high_cross_sell_customers=_n("cross_sell_opportunity_score >= 75"),
             )
@@ -604,10 +585,7 @@ def financial_performance_summary(
     product_penetration_analysis: DataFrame,
     customer_profile: DataFrame,
 ) -> DataFrame:
-    c = F.col
-    fee = c("monthly_fee") * 12
-    interest = c("current_balance") * c("annual_interest_rate")
-    factor = decide(R.RISK_FACTOR).cast("decimal(3,1)")
+    factor = f"CAST({choice(R.RISK_FACTOR)} AS DECIMAL(3,1))"
     accounts = account_performance_dashboard.select(
         "account_id",
         CUSTOMER,
@@ -620,29 +598,29 @@ def financial_performance_summary(
         "total_transaction_volume",
         "total_fees_paid",
         "customer_wealth_tier",
-        *_named(
-            annual_fee=fee,
-            annual_net=fee - interest,
+        *named(
+            annual_fee="monthly_fee * 12",
+            annual_net="monthly_fee * 12 - current_balance * annual_interest_rate",
             risk_factor=factor,
-            risk_adjusted=c("current_balance") * factor,
+            risk_adjusted=f"current_balance * {factor}",
         ),
     )
     portfolio = accounts.agg(
-        *_named(
-            total_accounts=F.count_distinct("account_id"),
-            total_customers=F.count_distinct(CUSTOMER),
-            aum=F.sum("current_balance"),
+        *named(
+            total_accounts="count(DISTINCT account_id)",
+            total_customers=f"count(DISTINCT {CUSTOMER})",
+            aum="sum(current_balance)",
             avg_balance=mean("current_balance"),
             private_aum=sum_if("customer_wealth_tier = 'PRIVATE_BANKING'", "current_balance"),
             investment_assets=sum_if("product_type = 'INVESTMENT'", "current_balance"),
-            fee_revenue=F.sum("annual_fee"),
-            net_revenue=F.sum("annual_net"),
-            fee_income=F.sum("total_fees_paid"),
-            avg_profitability=F.avg("account_profitability_score"),
-            volume=F.sum("total_transaction_volume"),
-            avg_health=F.avg("account_health_score"),
+            fee_revenue="sum(annual_fee)",
+            net_revenue="sum(annual_net)",
+            fee_income="sum(total_fees_paid)",
+            avg_profitability="avg(account_profitability_score)",
+            volume="sum(total_transaction_volume)",
+            avg_health="avg(account_health_score)",
             healthy_value=sum_if("account_health_score >= 80", "current_balance"),
-            risk_adjusted=F.sum("risk_adjusted"),
+            risk_adjusted="sum(risk_adjusted)",
             avg_factor=mean("risk_factor"),
             active_accounts=n_if("total_transactions > 0"),
             dormant_accounts=n_if("total_transactions = 0 AND account_age_years > 1"),
@@ -658,30 +636,34 @@ def financial_performance_summary(
         ],
         CUSTOMER,
     ).agg(
-        *_named(
+        *named(
             high_value_customers=n_if("customer_value_segment = 'High Value'"),
             avg_customer_value=mean(VALUE),
             private_value=sum_if("wealth_tier = 'PRIVATE_BANKING'", VALUE),
             wealth_value=sum_if("wealth_tier = 'WEALTH_MANAGEMENT'", VALUE),
-            avg_product_penetration=F.avg("product_penetration_score"),
-            avg_accounts=F.avg("total_deposit_accounts"),
+            avg_product_penetration="avg(product_penetration_score)",
+            avg_accounts="avg(total_deposit_accounts)",
             high_cross_sell=n_if("cross_sell_opportunity_score >= 75"),
-            avg_cross_sell=F.avg("cross_sell_opportunity_score"),
-            avg_tenure=F.avg("relationship_years"),
+            avg_cross_sell="avg(cross_sell_opportunity_score)",
+            avg_tenure="avg(relationship_years)",
             highly_engaged_customers=n_if("engagement_level = 'HIGHLY_ENGAGED'"),
         )
     )
-    facts = one_row(portfolio, owners).withColumns(
-        {
-            "net_revenue_yield": ratio(c("net_revenue"), c("aum")) * 100,
-            "healthy_assets": ratio(c("healthy_value"), c("aum")) * 100,
-            "activation_rate": _truncated_pct("active_accounts", "total_accounts"),
-            "dormancy_rate": _truncated_pct("dormant_accounts", "total_accounts"),
-        }
+    facts = one_row(portfolio, owners).select(
+        "*",
+        *named(
+            net_revenue_yield=f"{ratio('net_revenue', 'aum')} * 100",
+            healthy_assets=f"{ratio('healthy_value', 'aum')} * 100",
+            activation_rate=truncated_pct("active_accounts", "total_accounts"),
+            dormancy_rate=truncated_pct("dormant_accounts", "total_accounts"),
+        ),
     )
 
-    def whole(name: str) -> Column:
-        return F.round(name, 0)
+    def whole(name: str) -> str:
+        return f"round({name}, 0)"
+
+    def per(part: str, base: str, digits: int, factor: str = "") -> str:
+        return f"round({ratio(part, base)}{factor}, {digits})"
 
     return facts.select(
         F.lit("FINANCIAL_OVERVIEW").alias("dashboard_section"),
@@ -690,7 +672,7 @@ def financial_performance_summary(
         "total_accounts",
         "high_value_customers",
         "highly_engaged_customers",
-        *_named(
+        *named(
             total_aum=whole("aum"),
             avg_account_balance=whole("avg_balance"),
             private_banking_aum=whole("private_aum"),
@@ -698,33 +680,33 @@ def financial_performance_summary(
             annual_net_revenue=whole("net_revenue"),
             annual_fee_revenue=whole("fee_revenue"),
             transaction_fee_income=whole("fee_income"),
-            revenue_per_customer=F.round(ratio(c("net_revenue"), c("total_customers")), 0),
-            fee_revenue_per_account=F.round(ratio(c("fee_revenue"), c("total_accounts")), 0),
-            avg_account_profitability_score=F.round("avg_profitability", 1),
-            avg_account_health_score=F.round("avg_health", 1),
-            healthy_assets_percentage=F.round("healthy_assets", 1),
-            account_activation_rate=c("activation_rate").cast("double"),
-            risk_adjusted_assets_pct=F.round(ratio(c("risk_adjusted"), c("aum")) * 100, 1),
-            avg_risk_adjustment_factor=F.round("avg_factor", 2),
-            account_dormancy_rate=c("dormancy_rate").cast("double"),
-            dormant_accounts_count=c("dormant_accounts"),
+            revenue_per_customer=per("net_revenue", "total_customers", 0),
+            fee_revenue_per_account=per("fee_revenue", "total_accounts", 0),
+            avg_account_profitability_score="round(avg_profitability, 1)",
+            avg_account_health_score="round(avg_health, 1)",
+            healthy_assets_percentage="round(healthy_assets, 1)",
+            account_activation_rate="CAST(activation_rate AS DOUBLE)",
+            risk_adjusted_assets_pct=per("risk_adjusted", "aum", 1, " * 100"),
+            avg_risk_adjustment_factor="round(avg_factor, 2)",
+            account_dormancy_rate="CAST(dormancy_rate AS DOUBLE)",
+            dormant_accounts_count="dormant_accounts",
             avg_customer_relationship_value=whole("avg_customer_value"),
             private_banking_customer_value=whole("private_value"),
             wealth_management_customer_value=whole("wealth_value"),
-            avg_product_penetration_score=F.round("avg_product_penetration", 1),
-            avg_accounts_per_customer=F.round("avg_accounts", 1),
-            high_cross_sell_customers=c("high_cross_sell"),
-            avg_cross_sell_opportunity_score=F.round("avg_cross_sell", 1),
-            net_revenue_yield_pct=F.round("net_revenue_yield", 2),
-            fee_rate_on_transaction_volume=F.round(ratio(c("fee_income"), c("volume")) * 100, 4),
-            private_banking_share_pct=F.round(ratio(c("private_aum"), c("aum")) * 100, 1),
-            avg_relationship_years=F.round("avg_tenure", 1),
-            portfolio_yield_assessment=decide(R.YIELD),
-            portfolio_health_status=decide(R.ASSET_HEALTH),
-            cross_sell_performance=decide(R.CROSS_SELL),
-            dormant_accounts_requiring_attention=c("dormant_accounts"),
-            cross_sell_opportunities_available=c("high_cross_sell"),
-            recommended_action=decide(R.FINANCIAL_ACTION),
+            avg_product_penetration_score="round(avg_product_penetration, 1)",
+            avg_accounts_per_customer="round(avg_accounts, 1)",
+            high_cross_sell_customers="high_cross_sell",
+            avg_cross_sell_opportunity_score="round(avg_cross_sell, 1)",
+            net_revenue_yield_pct="round(net_revenue_yield, 2)",
+            fee_rate_on_transaction_volume=per("fee_income", "volume", 4, " * 100"),
+            private_banking_share_pct=per("private_aum", "aum", 1, " * 100"),
+            avg_relationship_years="round(avg_tenure, 1)",
+            portfolio_yield_assessment=choice(R.YIELD),
+            portfolio_health_status=choice(R.ASSET_HEALTH),
+            cross_sell_performance=choice(R.CROSS_SELL),
+            dormant_accounts_requiring_attention="dormant_accounts",
+            cross_sell_opportunities_available="high_cross_sell",
+            recommended_action=choice(R.FINANCIAL_ACTION),
             last_updated=p.stamp,
         ),
     )
@@ -764,14 +746,13 @@ def risk_management_dashboard(
     def status(name: str) -> str:
         return f"compliance_status = '{name}'"
 
-    c = F.col
     facts = totals_and_groups(
         customers,
         [[], ["wealth_tier"]],
         [total, tier],
-        _named(
-            total_customers=F.count(F.lit(1)),
-            total_portfolio_value=F.sum(VALUE),
+        named(
+            total_customers="count(*)",
+            total_portfolio_value=f"sum({VALUE})",
             critical=n_if(level("CRITICAL")),
             high_risk_customers=n_if(level("HIGH")),
             at_high_risk=n_if(R.HIGH_RISK),
@@ -785,93 +766,90 @@ def risk_management_dashboard(
             compliant_customers=n_if(status("COMPLIANT")),
             immediate_review_required=n_if("requires_immediate_review"),
             enhanced_monitoring_required=n_if("requires_enhanced_monitoring"),
-            total_fraud_alerts=F.sum("total_fraud_alerts"),
+            total_fraud_alerts="sum(total_fraud_alerts)",
             customers_with_fraud_alerts=n_if("total_fraud_alerts > 0"),
             high_fraud_alert_customers=n_if("total_fraud_alerts >= 3"),
             volatile_risk_customers=n_if("risk_trend = 'VOLATILE'"),
             deteriorating_risk_customers=n_if("risk_trend = 'DETERIORATING'"),
             avg_composite=mean_of_means("composite_risk_score"),
-            avg_credit=F.avg("current_credit_risk_score"),
-            avg_fraud=F.avg("current_fraud_risk_score"),
+            avg_credit="avg(current_credit_risk_score)",
+            avg_fraud="avg(current_fraud_risk_score)",
             high_value_customers_at_risk_assets=sum_if(
                 f"customer_value_segment = 'High Value' AND {R.HIGH_RISK}", VALUE
             ),
         ),
-    ).withColumns(
-        {
-            "risk_actions": c("immediate_review_required") + c("enhanced_monitoring_required"),
-            "compliance_actions": c("non_compliant") + c("compliance_review_required"),
-            "concentration": ratio(c("high_risk_portfolio_value"), c("total_portfolio_value")) * 100,
-            "high_value_exposure": ratio(c("high_value_customers_at_risk_assets"), c("total_portfolio_value")) * 100,
-            "critical_rate": _truncated_pct("critical", "total_customers"),
-            "non_compliance_rate": _truncated_pct("non_compliant", "total_customers"),
-            "deteriorating_rate": _truncated_pct("deteriorating_risk_customers", "total_customers"),
-            "volatile_rate": _truncated_pct("volatile_risk_customers", "total_customers"),
-            "fraud_rate": _truncated_pct("customers_with_fraud_alerts", "total_customers"),
-        }
+    )
+    facts = facts.select(
+        "*",
+        *named(
+            risk_actions="immediate_review_required + enhanced_monitoring_required",
+            compliance_actions="non_compliant + compliance_review_required",
+            concentration=f"{ratio('high_risk_portfolio_value', 'total_portfolio_value')} * 100",
+            high_value_exposure=f"{ratio('high_value_customers_at_risk_assets', 'total_portfolio_value')} * 100",
+            critical_rate=truncated_pct("critical", "total_customers"),
+            non_compliance_rate=truncated_pct("non_compliant", "total_customers"),
+            deteriorating_rate=truncated_pct("deteriorating_risk_customers", "total_customers"),
+            volatile_rate=truncated_pct("volatile_risk_customers", "total_customers"),
+            fraud_rate=truncated_pct("customers_with_fraud_alerts", "total_customers"),
+        ),
     )
     return facts.select(
-        c("section").alias("dashboard_section"),
+        F.col("section").alias("dashboard_section"),
         p.today.alias("report_date"),
         "total_customers",
         "total_portfolio_value",
         "immediate_review_required",
         *_both(
             total,
-            {
-                "critical_risk_customers": (c("critical"), c("at_high_risk")),
-                "critical_risk_customer_percentage": (
-                    c("critical_rate").cast("double"),
-                    _pct("at_high_risk", "total_customers"),
-                ),
-                "high_risk_assets": (c("high_assets"), c("high_risk_portfolio_value")),
-                "non_compliant_customers": (c("non_compliant"), c("compliance_issues")),
-                "non_compliance_rate_pct": (
-                    c("non_compliance_rate").cast("double"),
-                    _pct("compliance_issues", "total_customers"),
-                ),
-                "portfolio_risk_status": (decide(R.PORTFOLIO_RISK), decide(R.TIER_RISK)),
-            },
+            critical_risk_customers=("critical", "at_high_risk"),
+            critical_risk_customer_percentage=(
+                "CAST(critical_rate AS DOUBLE)",
+                share_pct("at_high_risk", "total_customers"),
+            ),
+            high_risk_assets=("high_assets", "high_risk_portfolio_value"),
+            non_compliant_customers=("non_compliant", "compliance_issues"),
+            non_compliance_rate_pct=(
+                "CAST(non_compliance_rate AS DOUBLE)",
+                share_pct("compliance_issues", "total_customers"),
+            ),
+            portfolio_risk_status=(choice(R.PORTFOLIO_RISK), choice(R.TIER_RISK)),
         ),
-        *_named(
-            high_risk_asset_concentration_pct=F.round("concentration", 1),
-            avg_composite_risk_score=F.round("avg_composite", 0),
+        *named(
+            high_risk_asset_concentration_pct="round(concentration, 1)",
+            avg_composite_risk_score="round(avg_composite, 0)",
         ),
         *_only(
             total,
-            **{
-                name: c(name)
-                for name in (
-                    "high_risk_customers",
-                    "critical_risk_assets",
-                    "high_risk_portfolio_value",
-                    "high_value_customers_at_risk_assets",
-                    "compliance_review_required",
-                    "pending_verification",
-                    "compliant_customers",
-                    "enhanced_monitoring_required",
-                    "total_fraud_alerts",
-                    "customers_with_fraud_alerts",
-                    "high_fraud_alert_customers",
-                    "deteriorating_risk_customers",
-                    "volatile_risk_customers",
-                )
-            },
-            total_risk_actions_required=c("risk_actions"),
-            total_compliance_actions=c("compliance_actions"),
-            avg_fraud_alerts_per_customer=F.round(ratio(c("total_fraud_alerts"), c("total_customers")), 2),
-            customers_with_fraud_percentage=c("fraud_rate").cast("double"),
-            deteriorating_risk_rate_pct=c("deteriorating_rate").cast("double"),
-            volatile_risk_rate_pct=c("volatile_rate").cast("double"),
-            avg_credit_risk_score=F.round("avg_credit", 0),
-            avg_fraud_risk_score=F.round("avg_fraud", 0),
-            compliance_health_status=decide(R.COMPLIANCE_HEALTH),
-            fraud_risk_environment=decide(R.FRAUD_CLIMATE),
-            recommended_action=decide(R.RISK_ACTION),
-            regulatory_status=decide(R.REGULATORY),
+            (
+                "high_risk_customers",
+                "critical_risk_assets",
+                "high_risk_portfolio_value",
+                "high_value_customers_at_risk_assets",
+                "compliance_review_required",
+                "pending_verification",
+                "compliant_customers",
+                "enhanced_monitoring_required",
+                "total_fraud_alerts",
+                "customers_with_fraud_alerts",
+                "high_fraud_alert_customers",
+                "deteriorating_risk_customers",
+                "volatile_risk_customers",
+            ),
+            total_risk_actions_required="risk_actions",
+            total_compliance_actions="compliance_actions",
+            avg_fraud_alerts_per_customer=f"round({ratio('total_fraud_alerts', 'total_customers')}, 2)",
+            customers_with_fraud_percentage="CAST(fraud_rate AS DOUBLE)",
+            deteriorating_risk_rate_pct="CAST(deteriorating_rate AS DOUBLE)",
+            volatile_risk_rate_pct="CAST(volatile_rate AS DOUBLE)",
+            avg_credit_risk_score="round(avg_credit, 0)",
+            avg_fraud_risk_score="round(avg_fraud, 0)",
+            compliance_health_status=choice(R.COMPLIANCE_HEALTH),
+            fraud_risk_environment=choice(R.FRAUD_CLIMATE),
+            recommended_action=choice(R.RISK_ACTION),
+            regulatory_status=choice(R.REGULATORY),
         ),
         p.stamp.alias("last_updated"),
-    ).orderBy("dashboard_section", c("critical_risk_customer_percentage").desc_nulls_last())
+    ).orderBy("dashboard_section", F.desc_nulls_last("critical_risk_customer_percentage"))
 
 
 MODELS = {

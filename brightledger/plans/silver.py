@@ -7,20 +7,27 @@ model costs one shuffle per source and none for putting them together.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, functions as F
 
 from brightledger.functions.dates import age_years, whole_days
 from brightledger.functions.scoring import (
+    choice,
+    choices,
     clamped,
-    decide,
-    decide_all,
     flag,
     mean,
     mean_of_means,
     n_if,
+    named,
+    or_else,
     or_zero,
+    points,
     rate_pct,
     sum_if,
+    truth,
+    weighted,
 )
 from brightledger.operators.keyed import align, left_align, newest, newest_two, nulls_first, recent_count
 from brightledger.params import RunParams
@@ -28,26 +35,11 @@ from brightledger.rules import silver as R
 
 CUSTOMER = "customer_id"
 ACCOUNT = "account_id"
+UNKNOWN_SCORE = float(R.UNKNOWN_SCORE)
 
 
-def _zeros(*names: str) -> list[Column]:
-    return [or_zero(name) for name in names]
-
-
-def _or(name: str, default) -> Column:
-    return F.coalesce(F.col(name), F.lit(default)).alias(name)
-
-
-def _named(**columns: Column) -> list[Column]:
-    return [column.alias(name) for name, column in columns.items()]
-
-
-def _points(parts) -> list[Column]:
-    return [decide(part) for part in parts]
-
-
-def _weighted(weights: dict[str, int]) -> list[Column]:
-    return [F.coalesce(F.col(name), F.lit(0)) * weight for name, weight in weights.items()]
+def _others(df: DataFrame, names: Iterable[str]) -> list[str]:
+    return [c for c in df.columns if c not in names]
 
 
 # --- customer profile --------------------------------------------------------
@@ -100,12 +92,12 @@ def current_segment(segments: DataFrame) -> DataFrame:
 
 def interaction_summary(interactions: DataFrame) -> DataFrame:
     return interactions.groupBy(CUSTOMER).agg(
-        *_named(
-            total_service_interactions=F.count("*"),
+        *named(
+            total_service_interactions="count(*)",
             resolved_service_interactions=n_if("status = 'RESOLVED'"),
             escalated_interactions=n_if("was_escalated"),
-            avg_satisfaction_score=F.avg("satisfaction_score"),
-            last_interaction_date=F.max(F.to_date("interaction_datetime")),
+            avg_satisfaction_score="avg(satisfaction_score)",
+            last_interaction_date="max(to_date(interaction_datetime))",
             retention_interactions=n_if("resulted_in_retention"),
         )
     )
@@ -113,11 +105,11 @@ def interaction_summary(interactions: DataFrame) -> DataFrame:
 
 def digital_engagement(activity: DataFrame) -> DataFrame:
     return activity.groupBy(CUSTOMER).agg(
-        *_named(
-            total_digital_activities=F.count("*"),
+        *named(
+            total_digital_activities="count(*)",
             mobile_app_activities=n_if("platform = 'MOBILE_APP'"),
             web_portal_activities=n_if("platform = 'WEB_PORTAL'"),
-            last_digital_activity_date=F.max(F.to_date("activity_timestamp")),
+            last_digital_activity_date="max(to_date(activity_timestamp))",
             digital_login_count=n_if("activity_type = 'LOGIN'"),
             digital_financial_transactions=n_if(R.MONEY_ACTIVITIES),
         )
@@ -163,7 +155,7 @@ def customer_profile(
         "avg_satisfaction_score",
         "last_interaction_date",
         "last_digital_activity_date",
-        *_zeros(
+        *or_zero(
             "total_service_interactions",
             "resolved_service_interactions",
             "escalated_interactions",
@@ -174,10 +166,10 @@ def customer_profile(
             "digital_login_count",
             "digital_financial_transactions",
         ),
-        *_named(
-            engagement_level=decide(R.ENGAGEMENT),
-            at_risk_customer=flag(R.AT_RISK),
-            digital_preference=decide(R.DIGITAL_PREFERENCE),
+        *named(
+            engagement_level=choice(R.ENGAGEMENT),
+            at_risk_customer=truth(R.AT_RISK),
+            digital_preference=choice(R.DIGITAL_PREFERENCE),
             last_updated=p.stamp,
         ),
     )
@@ -188,15 +180,15 @@ def account_summary(accounts: DataFrame) -> DataFrame:
     # The catalog's product types never carry these three labels, so the three
     # counts stay at 0; kept because readers expect the columns.
     return accounts.groupBy(CUSTOMER).agg(
-        *_named(
-            total_deposit_accounts=F.count("*"),
+        *named(
+            total_deposit_accounts="count(*)",
             active_deposit_accounts=n_if("account_status = 'ACTIVE'"),
             checking_accounts=n_if("product_type = 'Checking'"),
             savings_accounts=n_if("product_type = 'Savings'"),
             cd_accounts=n_if("product_type = 'CD'"),
-            total_deposit_balances=F.sum("current_balance"),
-            monthly_fee_revenue=F.sum("monthly_fee_revenue"),
-            first_account_opened_date=F.min("opened_date"),
+            total_deposit_balances="sum(current_balance)",
+            monthly_fee_revenue="sum(monthly_fee_revenue)",
+            first_account_opened_date="min(opened_date)",
         )
     )
 
@@ -204,26 +196,26 @@ def account_summary(accounts: DataFrame) -> DataFrame:
 def card_summary(cards: DataFrame) -> DataFrame:
     credit = "card_type = 'CREDIT'"
     return cards.groupBy(CUSTOMER).agg(
-        *_named(
-            total_cards=F.count("*"),
+        *named(
+            total_cards="count(*)",
             active_cards=n_if("card_status = 'ACTIVE'"),
             credit_cards=n_if(credit),
             total_credit_limit=sum_if(credit, "credit_limit"),
             total_credit_balance=sum_if(credit, "current_balance"),
             avg_credit_utilization=mean(
-                F.when(F.expr(f"{credit} AND current_balance > 0"), F.col("utilization_rate").cast("decimal(12,2)"))
+                f"CASE WHEN {credit} AND current_balance > 0 THEN CAST(utilization_rate AS DECIMAL(12,2)) END"
             ),
-            max_credit_utilization=F.max(F.when(F.expr(credit), F.col("utilization_rate")).otherwise(F.lit(0.0))),
+            max_credit_utilization=f"max(CASE WHEN {credit} THEN utilization_rate ELSE 0D END)",
         )
     )
 
 
 def loan_summary(loans: DataFrame) -> DataFrame:
     return loans.groupBy(CUSTOMER).agg(
-        *_named(
-            total_loans=F.count("*"),
+        *named(
+            total_loans="count(*)",
             current_loans=n_if("loan_status = 'CURRENT'"),
-            total_loan_balance=F.sum("current_balance"),
+            total_loan_balance="sum(current_balance)",
             avg_loan_interest_rate=mean("interest_rate"),
             delinquent_loans=n_if(R.TROUBLED_LOANS),
             at_risk_loan_balance=sum_if(R.TROUBLED_LOANS, "current_balance"),
@@ -233,10 +225,10 @@ def loan_summary(loans: DataFrame) -> DataFrame:
 
 def investment_summary(investments: DataFrame) -> DataFrame:
     return investments.groupBy(CUSTOMER).agg(
-        *_named(
-            total_investments=F.count("*"),
-            total_investment_value=F.sum("current_value"),
-            total_unrealized_gain_loss=F.sum("unrealized_gain_loss"),
+        *named(
+            total_investments="count(*)",
+            total_investment_value="sum(current_value)",
+            total_unrealized_gain_loss="sum(unrealized_gain_loss)",
             retirement_account_value=sum_if(R.RETIREMENT_ACCOUNTS, "current_value"),
         )
     )
@@ -244,11 +236,11 @@ def investment_summary(investments: DataFrame) -> DataFrame:
 
 def insurance_summary(policies: DataFrame) -> DataFrame:
     return policies.groupBy(CUSTOMER).agg(
-        *_named(
-            total_insurance_policies=F.count("*"),
+        *named(
+            total_insurance_policies="count(*)",
             active_insurance_policies=n_if("policy_status = 'ACTIVE'"),
-            total_insurance_coverage=F.sum("coverage_amount"),
-            total_annual_premiums=F.sum("annual_premium"),
+            total_insurance_coverage="sum(coverage_amount)",
+            total_annual_premiums="sum(annual_premium)",
         )
     )
 
@@ -272,21 +264,18 @@ def customer_financial_summary(
         CUSTOMER,
     )
 
-    def amount(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0))
-
-    assets = amount("total_deposit_balances") + amount("total_investment_value")
-    measures = [c for c in held.columns if c not in (CUSTOMER, "first_account_opened_date", "max_credit_utilization")]
-    return held.withColumn("wealth", assets).select(
+    hidden = (CUSTOMER, "first_account_opened_date", "max_credit_utilization")
+    assets = "coalesce(total_deposit_balances, 0) + coalesce(total_investment_value, 0)"
+    return held.select("*", *named(wealth=assets)).select(
         CUSTOMER,
         "first_account_opened_date",
-        *_zeros(*measures),
-        *_named(
-            net_worth_with_bank=assets - amount("total_loan_balance") - amount("total_credit_balance"),
-            total_relationship_value=assets + amount("total_credit_limit"),
-            product_penetration_score=sum(_points(R.PENETRATION_PARTS)),
-            financial_risk_level=decide(R.FINANCIAL_RISK),
-            wealth_tier=decide(R.WEALTH_TIER),
+        *or_zero(*_others(held, hidden)),
+        *named(
+            net_worth_with_bank="wealth - coalesce(total_loan_balance, 0) - coalesce(total_credit_balance, 0)",
+            total_relationship_value="wealth + coalesce(total_credit_limit, 0)",
+            product_penetration_score=points(*R.PENETRATION_PARTS),
+            financial_risk_level=choice(R.FINANCIAL_RISK),
+            wealth_tier=choice(R.WEALTH_TIER),
             last_updated=p.stamp,
         ),
     )
@@ -298,19 +287,19 @@ def transaction_summary(transactions: DataFrame) -> DataFrame:
         transactions.where("transaction_status = 'COMPLETED'")
         .groupBy(ACCOUNT)
         .agg(
-            *_named(
-                total_transactions=F.count("*"),
-                total_transaction_volume=F.sum("transaction_amount"),
+            *named(
+                total_transactions="count(*)",
+                total_transaction_volume="sum(transaction_amount)",
                 avg_transaction_amount=mean("transaction_amount"),
-                largest_transaction=F.max("transaction_amount"),
-                first_transaction_date=F.min("transaction_date"),
-                last_transaction_date=F.max("transaction_date"),
+                largest_transaction="max(transaction_amount)",
+                first_transaction_date="min(transaction_date)",
+                last_transaction_date="max(transaction_date)",
                 total_inflows=sum_if("flow_direction = 'INFLOW'", "transaction_amount"),
                 total_outflows=sum_if("flow_direction = 'OUTFLOW'", "transaction_amount"),
                 digital_transactions=n_if("is_digital_transaction"),
                 off_hours_transactions=n_if("time_category = 'OFF_HOURS'"),
                 large_amount_transactions=n_if("amount_category = 'LARGE'"),
-                avg_transaction_risk_score=F.avg("risk_score"),
+                avg_transaction_risk_score="avg(risk_score)",
             )
         )
     )
@@ -321,9 +310,9 @@ def deposit_summary(deposits: DataFrame) -> DataFrame:
         deposits.where("deposit_status = 'CLEARED'")
         .groupBy(ACCOUNT)
         .agg(
-            *_named(
-                total_deposits=F.count("*"),
-                total_deposit_amount=F.sum("deposit_amount"),
+            *named(
+                total_deposits="count(*)",
+                total_deposit_amount="sum(deposit_amount)",
                 payroll_deposits=n_if("deposit_type = 'PAYROLL'"),
                 payroll_deposit_amount=sum_if("deposit_type = 'PAYROLL'", "deposit_amount"),
                 digital_deposits=n_if("channel_type = 'DIGITAL'"),
@@ -337,9 +326,9 @@ def withdrawal_summary(withdrawals: DataFrame) -> DataFrame:
         withdrawals.where("withdrawal_status = 'COMPLETED'")
         .groupBy(ACCOUNT)
         .agg(
-            *_named(
-                total_withdrawals=F.count("*"),
-                total_withdrawal_amount=F.sum("withdrawal_amount"),
+            *named(
+                total_withdrawals="count(*)",
+                total_withdrawal_amount="sum(withdrawal_amount)",
                 atm_withdrawals=n_if("withdrawal_type = 'ATM'"),
             )
         )
@@ -352,8 +341,9 @@ def transfer_summary(transfers: DataFrame, side: str, direction: str) -> DataFra
         transfers.where("transfer_status = 'COMPLETED'")
         .groupBy(F.col(side).alias(ACCOUNT))
         .agg(
-            F.count("*").alias(f"{direction}_transfers"),
-            F.sum("transfer_amount").alias(f"{direction}_transfer_amount"),
+            *named(
+                **{f"{direction}_transfers": "count(*)", f"{direction}_transfer_amount": "sum(transfer_amount)"}
+            )
         )
     )
 
@@ -363,9 +353,9 @@ def payment_summary(payments: DataFrame) -> DataFrame:
         payments.where("payment_status = 'COMPLETED'")
         .groupBy(ACCOUNT)
         .agg(
-            *_named(
-                total_payments=F.count("*"),
-                total_payment_amount=F.sum("payment_amount"),
+            *named(
+                total_payments="count(*)",
+                total_payment_amount="sum(payment_amount)",
                 bill_payments=n_if("payment_type = 'BILL_PAY'"),
                 p2p_payments=n_if("payment_type = 'PERSON_TO_PERSON'"),
             )
@@ -379,9 +369,9 @@ def fee_summary(fees: DataFrame) -> DataFrame:
         fees.where("fee_status = 'CHARGED'")
         .groupBy(ACCOUNT)
         .agg(
-            *_named(
-                total_fees=F.count("*"),
-                total_fee_amount=F.sum("fee_amount"),
+            *named(
+                total_fees="count(*)",
+                total_fee_amount="sum(fee_amount)",
                 penalty_fees=n_if(penalty),
                 penalty_fee_amount=sum_if(penalty, "fee_amount"),
             )
@@ -411,22 +401,18 @@ def transaction_analytics(
         ACCOUNT,
     )
     as_is = [ACCOUNT, "largest_transaction", "first_transaction_date", "last_transaction_date"]
-    outflows = F.coalesce(F.col("total_outflows"), F.lit(0))
-    days = F.datediff("last_transaction_date", "first_transaction_date") + 1
-    frequency = F.col("total_transactions").cast("double") / F.greatest(days, F.lit(1))
+    days = "greatest(datediff(last_transaction_date, first_transaction_date) + 1, 1)"
     return flows.select(
         *as_is,
-        *_zeros(*[c for c in flows.columns if c not in as_is]),
-        *_named(
-            net_cash_flow=F.coalesce(F.col("total_inflows"), F.lit(0)) - outflows,
-            digital_transaction_percentage=rate_pct(F.col("digital_transactions"), F.col("total_transactions"), 2),
-            digital_deposit_percentage=rate_pct(F.col("digital_deposits"), F.col("total_deposits"), 2),
-            avg_daily_transaction_frequency=F.coalesce(frequency, F.lit(0.0)),
-            spending_category=decide(R.SPENDING),
-            activity_level=decide(R.ACTIVITY),
-            fee_to_volume_ratio=rate_pct(
-                F.coalesce(F.col("total_fee_amount"), F.lit(0)), F.col("total_transaction_volume"), 4
-            ),
+        *or_zero(*_others(flows, as_is)),
+        *named(
+            net_cash_flow="coalesce(total_inflows, 0) - coalesce(total_outflows, 0)",
+            digital_transaction_percentage=rate_pct("digital_transactions", "total_transactions", 2),
+            digital_deposit_percentage=rate_pct("digital_deposits", "total_deposits", 2),
+            avg_daily_transaction_frequency=f"coalesce(CAST(total_transactions AS DOUBLE) / {days}, 0D)",
+            spending_category=choice(R.SPENDING),
+            activity_level=choice(R.ACTIVITY),
+            fee_to_volume_ratio=rate_pct("coalesce(total_fee_amount, 0)", "total_transaction_volume", 4),
             last_updated=p.stamp,
         ),
     )
@@ -436,17 +422,17 @@ def transaction_analytics(
 def channel_summary(channel_usage: DataFrame) -> DataFrame:
     """Per channel first, per customer second: the second step has a row per channel."""
     per_channel = channel_usage.groupBy(CUSTOMER, "channel_type").agg(
-        F.sum("usage_count").alias("used"), F.max("usage_date").alias("last_used")
+        *named(used="sum(usage_count)", last_used="max(usage_date)")
     )
     return per_channel.groupBy(CUSTOMER).agg(
-        *_named(
-            total_channels_used=F.count("channel_type"),
+        *named(
+            total_channels_used="count(channel_type)",
             digital_channels_used=n_if(R.DIGITAL_CHANNELS),
             physical_channels_used=n_if(R.PHYSICAL_CHANNELS),
-            total_channel_usage=F.sum("used"),
+            total_channel_usage="sum(used)",
             digital_channel_usage=sum_if(R.DIGITAL_CHANNELS, "used"),
             physical_channel_usage=sum_if(R.PHYSICAL_CHANNELS, "used"),
-            last_channel_usage_date=F.max("last_used"),
+            last_channel_usage_date="max(last_used)",
         )
     )
 
@@ -454,45 +440,49 @@ def channel_summary(channel_usage: DataFrame) -> DataFrame:
 def marketing_summary(campaigns: DataFrame) -> DataFrame:
     converted = "response_type = 'CONVERTED'"
     per_channel = campaigns.groupBy(CUSTOMER, "channel").agg(
-        F.count("*").alias("received"),
-        n_if(converted).alias("converted"),
-        F.sum(F.when(F.expr(converted), decide(R.CAMPAIGN_VALUE)).otherwise(F.lit(0))).alias("value"),
+        *named(
+            received="count(*)",
+            converted=n_if(converted),
+            value=sum_if(converted, choice(R.CAMPAIGN_VALUE)),
+        )
     )
     return per_channel.groupBy(CUSTOMER).agg(
-        *_named(
-            marketing_channels_used=F.count("channel"),
-            total_campaigns_received=F.sum("received"),
-            total_campaigns_converted=F.sum("converted"),
-            total_marketing_value=F.sum("value"),
-            marketing_conversion_rate=mean_of_means(F.col("converted").cast("double") / F.col("received")),
+        *named(
+            marketing_channels_used="count(channel)",
+            total_campaigns_received="sum(received)",
+            total_campaigns_converted="sum(converted)",
+            total_marketing_value="sum(value)",
+            marketing_conversion_rate=mean_of_means("CAST(converted AS DOUBLE) / received"),
         )
     )
 
 
 def service_summary(interactions: DataFrame) -> DataFrame:
     per_type = interactions.groupBy(CUSTOMER, "interaction_type").agg(
-        F.count("*").alias("contacts"),
-        F.avg("satisfaction_score").alias("satisfaction"),
-        n_if("was_escalated").alias("escalated"),
-        n_if("status = 'RESOLVED'").alias("resolved"),
+        *named(
+            contacts="count(*)",
+            satisfaction="avg(satisfaction_score)",
+            escalated=n_if("was_escalated"),
+            resolved=n_if("status = 'RESOLVED'"),
+        )
     )
     return per_type.groupBy(CUSTOMER).agg(
-        *_named(
-            service_channels_used=F.count("interaction_type"),
-            total_service_interactions=F.sum("contacts"),
+        *named(
+            service_channels_used="count(interaction_type)",
+            total_service_interactions="sum(contacts)",
             service_satisfaction_score=mean_of_means("satisfaction"),
-            total_escalated_interactions=F.sum("escalated"),
-            total_resolved_interactions=F.sum("resolved"),
+            total_escalated_interactions="sum(escalated)",
+            total_resolved_interactions="sum(resolved)",
         )
     )
 
 
 def platform_summary(activity: DataFrame) -> DataFrame:
     return activity.groupBy(CUSTOMER).agg(
-        *_named(
-            digital_platforms_used=F.count_distinct("platform"),
-            total_digital_activities=F.count("*"),
-            last_digital_activity_date=F.max(F.to_date("activity_timestamp")),
+        *named(
+            digital_platforms_used="count(DISTINCT platform)",
+            total_digital_activities="count(*)",
+            last_digital_activity_date="max(to_date(activity_timestamp))",
         )
     )
 
@@ -514,22 +504,19 @@ def channel_effectiveness(
         CUSTOMER,
     )
     as_is = [CUSTOMER, "last_channel_usage_date", "last_digital_activity_date"]
-    digital_share = F.when(
-        F.col("total_channel_usage") > 0,
-        F.round(F.col("digital_channel_usage") * R.ADOPTION_SHARE_POINTS / F.col("total_channel_usage")),
-    ).otherwise(F.lit(0.0))
-    value_per_campaign = F.round(F.col("total_marketing_value") / F.col("total_campaigns_received"), 2)
+    points_by_share = (
+        "CASE WHEN total_channel_usage > 0"
+        f" THEN round(digital_channel_usage * {R.ADOPTION_SHARE_POINTS} / total_channel_usage) ELSE 0D END"
+    )
     return used.select(
         *as_is,
-        *_zeros(*[c for c in used.columns if c not in as_is]),
-        *_named(
-            digital_adoption_score=clamped(*_weighted(R.ADOPTION_WEIGHTS), digital_share),
-            channel_diversity_score=clamped(*_weighted(R.DIVERSITY_WEIGHTS), decide(R.DIVERSITY_MIX)),
-            service_resolution_rate=rate_pct(
-                F.col("total_resolved_interactions"), F.col("total_service_interactions"), 2
-            ),
-            marketing_roi_per_campaign=F.coalesce(value_per_campaign, F.lit(0.0)),
-            **decide_all(
+        *or_zero(*_others(used, as_is)),
+        *named(
+            digital_adoption_score=clamped(weighted(R.ADOPTION_WEIGHTS), points_by_share),
+            channel_diversity_score=clamped(weighted(R.DIVERSITY_WEIGHTS), R.DIVERSITY_MIX),
+            service_resolution_rate=rate_pct("total_resolved_interactions", "total_service_interactions", 2),
+            marketing_roi_per_campaign="coalesce(round(total_marketing_value / total_campaigns_received, 2), 0D)",
+            **choices(
                 channel_preference=R.CHANNEL_PREFERENCE,
                 channel_engagement_level=R.CHANNEL_ENGAGEMENT,
                 digital_session_quality=R.SESSION_QUALITY,
@@ -543,18 +530,18 @@ def channel_effectiveness(
 
 # --- product penetration -----------------------------------------------------
 def product_usage_summary(product_usage: DataFrame) -> DataFrame:
-    def used(condition: str) -> Column:
+    def used(condition: str) -> str:
         """NULL, not 0, where a customer never used such a product."""
-        return F.sum(F.when(F.expr(condition), F.col("usage_frequency")))
+        return f"sum(CASE WHEN {condition} THEN usage_frequency END)"
 
     invests, insures = "product_type = 'INVESTMENTS'", "product_type = 'INSURANCE'"
     return product_usage.groupBy(CUSTOMER).agg(
-        *_named(
-            total_products_used=F.count_distinct("product_type"),
-            total_usage_events=F.sum("usage_frequency"),
-            avg_usage_per_product=F.avg("usage_frequency"),
-            first_product_usage_date=F.min("usage_date"),
-            last_product_usage_date=F.max("usage_date"),
+        *named(
+            total_products_used="count(DISTINCT product_type)",
+            total_usage_events="sum(usage_frequency)",
+            avg_usage_per_product="avg(usage_frequency)",
+            first_product_usage_date="min(usage_date)",
+            last_product_usage_date="max(usage_date)",
             digital_banking_products=n_if(R.BANKING_PRODUCTS),
             lending_products=n_if(R.LENDING_PRODUCTS),
             investment_products=n_if(invests),
@@ -570,13 +557,13 @@ def product_usage_summary(product_usage: DataFrame) -> DataFrame:
 def campaign_response(campaigns: DataFrame) -> DataFrame:
     offer, converted = "campaign_type LIKE '%OFFER%'", "response_type = 'CONVERTED'"
     return campaigns.groupBy(CUSTOMER).agg(
-        *_named(
-            total_campaigns_targeted=F.count("*"),
+        *named(
+            total_campaigns_targeted="count(*)",
             campaigns_opened=n_if("response_type = 'OPENED'"),
             campaigns_clicked=n_if("response_type = 'CLICKED'"),
             campaigns_converted=n_if(converted),
             campaigns_opted_out=n_if("response_type = 'NO_RESPONSE'"),
-            last_campaign_response_date=F.max("sent_date"),
+            last_campaign_response_date="max(sent_date)",
             cross_sell_campaigns=n_if(offer),
             cross_sell_conversions=n_if(f"{offer} AND {converted}"),
             retention_campaigns=n_if("campaign_type = 'DIGITAL_BANKING'"),
@@ -587,12 +574,12 @@ def campaign_response(campaigns: DataFrame) -> DataFrame:
 
 
 def channel_events(channel_usage: DataFrame) -> DataFrame:
-    def used(condition: str) -> Column:
-        return F.sum(F.when(F.expr(condition), F.col("usage_count")))
+    def used(condition: str) -> str:
+        return f"sum(CASE WHEN {condition} THEN usage_count END)"
 
     return channel_usage.groupBy(CUSTOMER).agg(
-        *_named(
-            total_channels_used=F.count_distinct("channel_type"),
+        *named(
+            total_channels_used="count(DISTINCT channel_type)",
             digital_channels_used=n_if(R.DIGITAL_CHANNELS),
             physical_channels_used=n_if(R.PHYSICAL_CHANNELS),
             digital_channel_usage=used(R.DIGITAL_CHANNELS),
@@ -625,20 +612,20 @@ def product_penetration_analysis(
         "current_segment_date",
         "last_campaign_response_date",
     ]
-    months_known = whole_days(F.col("first_product_usage_date"), p.stamp) / 30
+    months_known = f"{whole_days('first_product_usage_date', p.now)} / 30"
     stickiness = clamped(
-        F.col("total_products_used") * 10,
-        F.least(F.lit(50), F.col("total_usage_events")),
-        F.when(F.col("first_product_usage_date").isNull(), F.lit(0.0)).otherwise(F.least(F.lit(30.0), months_known)),
+        "total_products_used * 10",
+        "least(50, total_usage_events)",
+        f"CASE WHEN first_product_usage_date IS NULL THEN 0D ELSE least(30D, {months_known}) END",
     )
     return seen.select(
         *as_is,
-        *_zeros(*[c for c in seen.columns if c not in as_is]),
-        *_named(
-            product_penetration_score=clamped(*_weighted(R.PRODUCT_WEIGHTS), decide(R.PRODUCT_BREADTH)),
-            cross_sell_opportunity_score=clamped(*_points(R.CROSS_SELL_PARTS)),
-            product_stickiness_score=F.when(F.col("total_usage_events") > 0, stickiness).otherwise(F.lit(0.0)),
-            **decide_all(
+        *or_zero(*_others(seen, as_is)),
+        *named(
+            product_penetration_score=clamped(weighted(R.PRODUCT_WEIGHTS), R.PRODUCT_BREADTH),
+            cross_sell_opportunity_score=clamped(*R.CROSS_SELL_PARTS),
+            product_stickiness_score=f"CASE WHEN total_usage_events > 0 THEN {stickiness} ELSE 0D END",
+            **choices(
                 digital_adoption_level=R.DIGITAL_ADOPTION,
                 marketing_responsiveness=R.RESPONSIVENESS,
                 channel_preference=R.PRODUCT_CHANNEL,
@@ -660,18 +647,18 @@ def assessment_summary(assessments: DataFrame) -> DataFrame:
         {c: c for c in ("risk_score", "risk_rating", "assessment_date", "requires_review")},
     )
 
-    def of(kind: str, column: str) -> Column:
-        return F.max(F.when(F.col("risk_type") == f"{kind}_RISK", F.col(column)))
+    def of(kind: str, column: str) -> str:
+        return f"max(CASE WHEN risk_type = '{kind}_RISK' THEN {column} END)"
 
     return latest.groupBy(CUSTOMER).agg(
-        *_named(
+        *named(
             current_credit_risk_score=of("CREDIT", "risk_score"),
             current_fraud_risk_score=of("FRAUD", "risk_score"),
             current_operational_risk_score=of("OPERATIONAL", "risk_score"),
             current_market_risk_score=of("MARKET", "risk_score"),
             credit_risk_rating=of("CREDIT", "risk_rating"),
             fraud_risk_rating=of("FRAUD", "risk_rating"),
-            last_risk_assessment_date=F.max("assessment_date"),
+            last_risk_assessment_date="max(assessment_date)",
             assessments_requiring_review=n_if("requires_review"),
         )
     )
@@ -679,13 +666,13 @@ def assessment_summary(assessments: DataFrame) -> DataFrame:
 
 def fraud_summary(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy(CUSTOMER).agg(
-        *_named(
-            total_fraud_alerts=F.count("*"),
+        *named(
+            total_fraud_alerts="count(*)",
             confirmed_fraud_incidents=n_if("alert_status = 'CONFIRMED_FRAUD'"),
             false_positive_alerts=n_if("alert_status = 'FALSE_POSITIVE'"),
             pending_fraud_investigations=n_if("alert_status = 'UNDER_REVIEW'"),
-            highest_fraud_risk_score=F.max("risk_score"),
-            last_fraud_alert_date=F.max(F.to_date("alert_timestamp")),
+            highest_fraud_risk_score="max(risk_score)",
+            last_fraud_alert_date="max(to_date(alert_timestamp))",
         )
     )
 
@@ -693,43 +680,43 @@ def fraud_summary(alerts: DataFrame) -> DataFrame:
 def compliance_summary(records: DataFrame) -> DataFrame:
     flagged = "compliance_status = 'FLAGGED'"
     return records.groupBy(CUSTOMER).agg(
-        *_named(
-            total_compliance_checks=F.count("*"),
+        *named(
+            total_compliance_checks="count(*)",
             total_compliance_flags=n_if(flagged),
             aml_flags=n_if(f"{flagged} AND compliance_type = 'AML_SCREENING'"),
             sanctions_flags=n_if(f"{flagged} AND compliance_type = 'SANCTIONS_CHECK'"),
-            last_compliance_check_date=F.max("check_date"),
+            last_compliance_check_date="max(check_date)",
         )
     )
 
 
 def credit_summary(scores: DataFrame) -> DataFrame:
-    def best(bureau: str) -> Column:
-        return F.max(F.when(F.col("bureau") == bureau, F.col("credit_score")))
+    def best(bureau: str) -> str:
+        return f"max(CASE WHEN bureau = '{bureau}' THEN credit_score END)"
 
     return scores.groupBy(CUSTOMER).agg(
-        *_named(
-            total_credit_reports=F.count("*"),
-            avg_credit_score=F.avg("credit_score"),
-            highest_credit_score=F.max("credit_score"),
-            lowest_credit_score=F.min("credit_score"),
+        *named(
+            total_credit_reports="count(*)",
+            avg_credit_score="avg(credit_score)",
+            highest_credit_score="max(credit_score)",
+            lowest_credit_score="min(credit_score)",
             latest_experian_score=best("EXPERIAN"),
             latest_equifax_score=best("EQUIFAX"),
             latest_transunion_score=best("TRANSUNION"),
-            credit_score_volatility=F.round(F.stddev_samp("credit_score"), 6),
-            last_credit_score_date=F.max("score_date"),
+            credit_score_volatility="round(stddev_samp(credit_score), 6)",
+            last_credit_score_date="max(score_date)",
         )
     )
 
 
 def kyc_summary(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy(CUSTOMER).agg(
-        *_named(
-            total_kyc_checks=F.count("*"),
+        *named(
+            total_kyc_checks="count(*)",
             passed_kyc_checks=n_if("status = 'PASSED'"),
             failed_kyc_checks=n_if("status = 'FAILED'"),
-            last_kyc_check_date=F.max("review_date"),
-            initial_kyc_date=F.max(F.when(F.expr("kyc_type = 'INITIAL'"), F.col("review_date"))),
+            last_kyc_check_date="max(review_date)",
+            initial_kyc_date="max(CASE WHEN kyc_type = 'INITIAL' THEN review_date END)",
         )
     )
 
@@ -738,37 +725,38 @@ def account_alert_summary(accounts: DataFrame, account_alerts: DataFrame) -> Dat
     """Alerts are counted per account before they meet the accounts, so the join is
     one row to one row; customers without any alert keep counts of 0."""
     per_account = account_alerts.groupBy(ACCOUNT).agg(
-        F.count("alert_id").alias("alerts"),
-        n_if("alert_type = 'UNUSUAL_ACTIVITY'").alias("unusual"),
-        n_if("alert_status = 'PENDING'").alias("pending"),
-        F.max(F.to_date("alert_timestamp")).alias("last_alert"),
+        *named(
+            alerts="count(alert_id)",
+            unusual=n_if("alert_type = 'UNUSUAL_ACTIVITY'"),
+            pending=n_if("alert_status = 'PENDING'"),
+            last_alert="max(to_date(alert_timestamp))",
+        )
     )
 
-    def total(name: str) -> Column:
-        return F.sum(F.coalesce(F.col(name), F.lit(0)))
+    def total(name: str) -> str:
+        return f"sum(coalesce({name}, 0))"
 
     return (
         accounts.select(ACCOUNT, CUSTOMER)
         .join(per_account, ACCOUNT, "left")
         .groupBy(CUSTOMER)
         .agg(
-            *_named(
+            *named(
                 total_account_alerts=total("alerts"),
                 unusual_activity_alerts=total("unusual"),
                 pending_account_alerts=total("pending"),
-                last_account_alert_date=F.max("last_alert"),
+                last_account_alert_date="max(last_alert)",
             )
         )
     )
 
 
-def composite_risk_score() -> Column:
-    """Weighted mean of the scores on file; an unknown score counts as the middle one."""
-    known = {name: F.coalesce(F.col(name), F.lit(R.UNKNOWN_SCORE)) for name in list(R.RISK_WEIGHTS)[:3]}
-    known["highest_fraud_risk_score"] = F.lit(R.TOP_CREDIT_SCORE) - F.coalesce(
-        F.col("highest_fraud_risk_score"), F.lit(0)
-    )
-    return sum((known[name].cast("double") * weight for name, weight in R.RISK_WEIGHTS.items()), F.lit(0.0))
+def composite_risk_score() -> str:
+    """Weighted sum of the scores on file; an unknown score counts as the middle one,
+    and fraud alerts take away from the best credit score there is."""
+    known = {name: f"coalesce({name}, {R.UNKNOWN_SCORE})" for name in R.RISK_WEIGHTS}
+    known["highest_fraud_risk_score"] = f"({R.TOP_CREDIT_SCORE} - coalesce(highest_fraud_risk_score, 0))"
+    return " + ".join(f"CAST({known[name]} AS DOUBLE) * {weight}D" for name, weight in R.RISK_WEIGHTS.items())
 
 
 def comprehensive_risk_profile(
@@ -795,8 +783,8 @@ def comprehensive_risk_profile(
     scores = [f"current_{kind}_risk_score" for kind in ("credit", "fraud", "operational", "market")]
     return known.select(
         CUSTOMER,
-        *[_or(name, R.UNKNOWN_SCORE) for name in scores],
-        _or("avg_credit_score", float(R.UNKNOWN_SCORE)),
+        *or_else(R.UNKNOWN_SCORE, *scores),
+        *or_else(UNKNOWN_SCORE, "avg_credit_score"),
         *[
             "credit_risk_rating",
             "fraud_risk_rating",
@@ -813,7 +801,7 @@ def comprehensive_risk_profile(
             "initial_kyc_date",
             "last_account_alert_date",
         ],
-        *_zeros(
+        *or_zero(
             "total_fraud_alerts",
             "confirmed_fraud_incidents",
             "false_positive_alerts",
@@ -831,13 +819,13 @@ def comprehensive_risk_profile(
             "unusual_activity_alerts",
             "pending_account_alerts",
         ),
-        *_named(
+        *named(
             composite_risk_score=composite_risk_score(),
-            overall_risk_level=decide(R.RISK_LEVEL),
-            compliance_status=decide(R.COMPLIANCE),
-            requires_enhanced_monitoring=flag(R.MONITORING),
-            requires_immediate_review=flag(R.IMMEDIATE_REVIEW),
-            risk_trend=decide(R.RISK_TREND),
+            overall_risk_level=choice(R.RISK_LEVEL),
+            compliance_status=choice(R.COMPLIANCE),
+            requires_enhanced_monitoring=truth(R.MONITORING),
+            requires_immediate_review=truth(R.IMMEDIATE_REVIEW),
+            risk_trend=choice(R.RISK_TREND),
             last_updated=p.stamp,
         ),
     )
@@ -850,8 +838,8 @@ def retention_event_summary(events: DataFrame) -> DataFrame:
     return (
         events.groupBy(CUSTOMER)
         .agg(
-            *_named(
-                total_retention_events=F.count("*"),
+            *named(
+                total_retention_events="count(*)",
                 churn_risk_events=n_if(at_risk),
                 # Two pairs of columns share one rule each.
                 retention_campaigns_sent=offered,
@@ -859,25 +847,25 @@ def retention_event_summary(events: DataFrame) -> DataFrame:
                 retention_calls_made=saved,
                 successful_retentions=saved,
                 churn_events=n_if("event_type = 'ACCOUNT_CLOSED'"),
-                last_retention_event_date=F.max("event_date"),
-                last_churn_risk_date=F.max(F.when(F.expr(at_risk), F.col("event_date"))),
+                last_retention_event_date="max(event_date)",
+                last_churn_risk_date=f"max(CASE WHEN {at_risk} THEN event_date END)",
             )
         )
-        .withColumn("avg_churn_risk_score", decide(R.EVENT_CHURN_SCORE))
+        .select("*", *named(avg_churn_risk_score=choice(R.EVENT_CHURN_SCORE)))
     )
 
 
 def interaction_patterns(interactions: DataFrame, p: RunParams) -> DataFrame:
     dated = interactions.withColumn("interaction_day", F.to_date("interaction_datetime"))
     return dated.groupBy(CUSTOMER).agg(
-        *_named(
-            total_interactions=F.count("*"),
+        *named(
+            total_interactions="count(*)",
             complaint_interactions=n_if("reason_code = 'FEES_COMPLAINT'"),
             support_interactions=n_if("reason_code = 'TECHNICAL_SUPPORT'"),
             escalated_interactions=n_if("was_escalated"),
-            avg_satisfaction_score=F.avg("satisfaction_score"),
-            min_satisfaction_score=F.min("satisfaction_score"),
-            last_interaction_date=F.max("interaction_day"),
+            avg_satisfaction_score="avg(satisfaction_score)",
+            min_satisfaction_score="min(satisfaction_score)",
+            last_interaction_date="max(interaction_day)",
             interactions_last_30_days=recent_count("interaction_day", p.days_ago(30)),
             interactions_last_90_days=recent_count("interaction_day", p.days_ago(90)),
         )
@@ -887,11 +875,11 @@ def interaction_patterns(interactions: DataFrame, p: RunParams) -> DataFrame:
 def digital_trends(activity: DataFrame, p: RunParams) -> DataFrame:
     login = "activity_type = 'LOGIN'"
     return activity.groupBy(CUSTOMER).agg(
-        *_named(
-            total_digital_activities=F.count("*"),
+        *named(
+            total_digital_activities="count(*)",
             digital_activities_last_30_days=recent_count("activity_timestamp", p.days_ago(30)),
             digital_activities_last_90_days=recent_count("activity_timestamp", p.days_ago(90)),
-            last_digital_activity_date=F.max(F.to_date("activity_timestamp")),
+            last_digital_activity_date="max(to_date(activity_timestamp))",
             total_logins=n_if(login),
             logins_last_30_days=recent_count("activity_timestamp", p.days_ago(30), login),
         )
@@ -932,7 +920,7 @@ def customer_retention_analytics(
             comprehensive_risk_profile.select(CUSTOMER, *risk_columns),
         ],
         CUSTOMER,
-    ).withColumn("recent_churn_risk", F.col("last_churn_risk_date") >= p.days_ago(30))
+    ).select("*", *named(recent_churn_risk=f"last_churn_risk_date >= {p.days_ago(30)}"))
     as_is = [
         CUSTOMER,
         "last_retention_event_date",
@@ -951,22 +939,20 @@ def customer_retention_analytics(
         "risk_trend": "STABLE",
         "at_risk_customer": False,
         "requires_enhanced_monitoring": False,
-        "composite_risk_score": float(R.UNKNOWN_SCORE),
+        "composite_risk_score": UNKNOWN_SCORE,
     }
     hidden = {"requires_immediate_review", "recent_churn_risk"}
-    counts = [c for c in known.columns if c not in {*as_is, *special, *hidden}]
-    lost = F.coalesce(F.col("churn_events"), F.lit(0)) * R.POINTS_PER_CHURN_EVENT
+    counts = _others(known, {*as_is, *special, *hidden})
+    lost = f"coalesce(churn_events, 0) * {R.POINTS_PER_CHURN_EVENT}"
     return known.select(
         *as_is,
-        *_zeros(*counts),
-        *[_or(name, default) for name, default in special.items()],
-        *_named(
-            retention_campaign_success_rate=rate_pct(
-                F.col("successful_retentions"), F.col("retention_campaigns_sent"), 2
-            ),
-            churn_risk_score=clamped(lost, *_points(R.CHURN_PARTS)),
-            retention_opportunity_score=clamped(*_points(R.OPPORTUNITY_PARTS)),
-            **decide_all(
+        *or_zero(*counts),
+        *[column for name, default in special.items() for column in or_else(default, name)],
+        *named(
+            retention_campaign_success_rate=rate_pct("successful_retentions", "retention_campaigns_sent", 2),
+            churn_risk_score=clamped(lost, *R.CHURN_PARTS),
+            retention_opportunity_score=clamped(*R.OPPORTUNITY_PARTS),
+            **choices(
                 retention_lifecycle_stage=R.RETENTION_STAGE,
                 next_best_retention_action=R.RETENTION_ACTION,
                 retention_strategy=R.RETENTION_STRATEGY,
@@ -990,16 +976,16 @@ def balance_movement(balances: DataFrame) -> DataFrame:
         balances.select(ACCOUNT, "balance_id", "balance_amount", "available_balance", "balance_date"), ACCOUNT, order
     )
 
-    def at(rank: int, column: str) -> Column:
-        return F.max(F.when(F.col("age_rank") == rank, F.col(column)))
+    def at(rank: int, column: str) -> str:
+        return f"max(CASE WHEN age_rank = {rank} THEN {column} END)"
 
     return two.groupBy(ACCOUNT).agg(
-        *_named(
+        *named(
             latest_balance=at(1, "balance_amount"),
             available_balance=at(1, "available_balance"),
             last_balance_date=at(1, "balance_date"),
             previous_balance=at(2, "balance_amount"),
-            balance_change=at(1, "balance_amount") - at(2, "balance_amount"),
+            balance_change=f"{at(1, 'balance_amount')} - {at(2, 'balance_amount')}",
         )
     )
 
@@ -1024,7 +1010,7 @@ def account_performance_dashboard(
         "annual_interest_rate",
         "monthly_fee",
         F.col("current_balance").alias("own_balance"),
-        age_years(F.col("opened_date"), p.today).alias("account_age_years"),
+        *named(account_age_years=age_years("opened_date", p.now)),
     )
     movements = transaction_analytics.select(
         ACCOUNT,
@@ -1090,7 +1076,7 @@ def account_performance_dashboard(
     joined = (
         left_align(base, [balance_movement(account_balances), movements], ACCOUNT)
         .join(owner, CUSTOMER, "left")
-        .withColumn("balance", F.coalesce("latest_balance", "own_balance"))
+        .select("*", *named(balance="coalesce(latest_balance, own_balance)"))
     )
     return joined.select(
         *base.drop("own_balance").columns,
@@ -1110,7 +1096,7 @@ def account_performance_dashboard(
         "digital_preference",
         "avg_satisfaction_score",
         "next_best_product",
-        *_zeros(
+        *or_zero(
             "total_transactions",
             "total_transaction_volume",
             "net_cash_flow",
@@ -1125,30 +1111,28 @@ def account_performance_dashboard(
             "cross_sell_opportunity_score",
             "product_stickiness_score",
         ),
-        *[
-            _or(name, "UNKNOWN")
-            for name in (
-                "digital_adoption_level",
-                "marketing_responsiveness",
-                "channel_preference",
-                "overall_risk_level",
-                "compliance_status",
-            )
-        ],
-        _or("composite_risk_score", float(R.UNKNOWN_SCORE)),
-        _or("requires_enhanced_monitoring", False),
-        _or("requires_immediate_review", False),
-        *_named(
-            customer_age=F.col("age"),
-            current_balance=F.col("balance"),
-            customer_product_penetration=F.coalesce(F.col("product_penetration_score"), F.lit(0)),
-            customer_wealth_tier=F.col("wealth_tier"),
-            account_profitability_score=clamped(*_points(R.PROFITABILITY_PARTS)),
-            account_health_score=clamped(*_points(R.HEALTH_PARTS)),
-            account_risk_flag=decide(R.ACCOUNT_RISK_FLAG),
-            account_opportunity=decide(R.ACCOUNT_OPPORTUNITY),
-            next_best_action=decide(R.ACCOUNT_ACTION),
-            account_service_tier=decide(R.ACCOUNT_SERVICE_TIER),
+        *or_else(
+            "UNKNOWN",
+            "digital_adoption_level",
+            "marketing_responsiveness",
+            "channel_preference",
+            "overall_risk_level",
+            "compliance_status",
+        ),
+        *or_else(UNKNOWN_SCORE, "composite_risk_score"),
+        *or_else(False, "requires_enhanced_monitoring"),
+        *or_else(False, "requires_immediate_review"),
+        *named(
+            customer_age="age",
+            current_balance="balance",
+            customer_product_penetration="coalesce(product_penetration_score, 0)",
+            customer_wealth_tier="wealth_tier",
+            account_profitability_score=clamped(*R.PROFITABILITY_PARTS),
+            account_health_score=clamped(*R.HEALTH_PARTS),
+            account_risk_flag=choice(R.ACCOUNT_RISK_FLAG),
+            account_opportunity=choice(R.ACCOUNT_OPPORTUNITY),
+            next_best_action=choice(R.ACCOUNT_ACTION),
+            account_service_tier=choice(R.ACCOUNT_SERVICE_TIER),
             last_updated=p.stamp,
         ),
     )
@@ -1164,15 +1148,15 @@ def owner_transactions(accounts: DataFrame, transaction_analytics: DataFrame) ->
         .join(per_account, ACCOUNT, "left")
         .groupBy(CUSTOMER)
         .agg(
-            *_named(
-                total_transactions=F.sum("total_transactions"),
-                total_transaction_volume=F.sum("total_transaction_volume"),
-                net_cash_flow=F.sum("net_cash_flow"),
-                total_deposits_amount=F.sum("total_deposit_amount"),
-                total_payments_amount=F.sum("total_payment_amount"),
-                total_fees_paid=F.sum("total_fee_amount"),
-                digital_transaction_percentage=mean(F.col("digital_transaction_percentage").cast("decimal(7,2)")),
-                last_transaction_date=F.max("last_transaction_date"),
+            *named(
+                total_transactions="sum(total_transactions)",
+                total_transaction_volume="sum(total_transaction_volume)",
+                net_cash_flow="sum(net_cash_flow)",
+                total_deposits_amount="sum(total_deposit_amount)",
+                total_payments_amount="sum(total_payment_amount)",
+                total_fees_paid="sum(total_fee_amount)",
+                digital_transaction_percentage=mean("CAST(digital_transaction_percentage AS DECIMAL(7,2))"),
+                last_transaction_date="max(last_transaction_date)",
                 primary_spending_category=F.mode("spending_category", True),
                 primary_activity_level=F.mode("activity_level", True),
             )
@@ -1239,14 +1223,14 @@ def customer_360_master(
         ],
         CUSTOMER,
     )
-    penetration = F.coalesce(F.col("product_penetration_score"), F.lit(0)).cast("double")
+    penetration = "CAST(coalesce(product_penetration_score, 0) AS DOUBLE)"
     return joined.select(
         *MASTER_PROFILE_COLUMNS,
         "wealth_tier",
         "last_transaction_date",
         "primary_spending_category",
         "primary_activity_level",
-        *_zeros(
+        *or_zero(
             *holdings,
             "total_transactions",
             "total_transaction_volume",
@@ -1258,20 +1242,20 @@ def customer_360_master(
             "total_fraud_alerts",
             "confirmed_fraud_incidents",
         ),
-        _or("overall_risk_level", "UNKNOWN"),
-        _or("compliance_status", "PENDING_VERIFICATION"),
-        _or("composite_risk_score", float(R.UNKNOWN_SCORE)),
-        _or("current_credit_risk_score", R.UNKNOWN_SCORE),
-        _or("current_fraud_risk_score", R.UNKNOWN_SCORE),
-        _or("requires_enhanced_monitoring", False),
-        _or("requires_immediate_review", False),
-        *_named(
+        *or_else("UNKNOWN", "overall_risk_level"),
+        *or_else("PENDING_VERIFICATION", "compliance_status"),
+        *or_else(UNKNOWN_SCORE, "composite_risk_score"),
+        *or_else(R.UNKNOWN_SCORE, "current_credit_risk_score"),
+        *or_else(R.UNKNOWN_SCORE, "current_fraud_risk_score"),
+        *or_else(False, "requires_enhanced_monitoring"),
+        *or_else(False, "requires_immediate_review"),
+        *named(
             customer_lifetime_value_score=clamped(
-                penetration * R.PENETRATION_WEIGHT, *_points(R.LIFETIME_PARTS)
+                f"{penetration} * {R.PENETRATION_WEIGHT}D", *R.LIFETIME_PARTS
             ),
-            churn_risk_score=clamped(*_points(R.MASTER_CHURN_PARTS)),
-            next_best_action=decide(R.MASTER_ACTION),
-            executive_customer_tier=decide(R.MASTER_TIER),
+            churn_risk_score=clamped(*R.MASTER_CHURN_PARTS),
+            next_best_action=choice(R.MASTER_ACTION),
+            executive_customer_tier=choice(R.MASTER_TIER),
             last_updated=p.stamp,
         ),
     )

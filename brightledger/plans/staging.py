@@ -26,6 +26,10 @@ def _upper(*names: str) -> dict[str, Column]:
     return {name: F.upper(name) for name in names}
 
 
+def _texts(**texts: str) -> dict[str, Column]:
+    return {name: F.expr(text) for name, text in texts.items()}
+
+
 def load_stamped(raw: DataFrame, p: RunParams) -> DataFrame:
     """Inputs that are taken as they come."""
     return _stamped(raw, p)
@@ -42,18 +46,20 @@ def customers_360(
 ) -> DataFrame:
     clean = raw.where(NOT_INVALID.format("customer_status")).withColumns(
         {
-            "first_name": title_case("first_name"),
-            "last_name": title_case("last_name"),
-            "email_address": F.lower("email_address"),
-            "age": age_years(F.col("date_of_birth"), p.today),
-            "relationship_years": age_years(F.col("customer_since_date"), p.today),
-            "relationship_month_part": age_month_part(F.col("customer_since_date"), p.today),
+            **_texts(
+                first_name=title_case("first_name"),
+                last_name=title_case("last_name"),
+                email_address="lower(email_address)",
+                age=age_years("date_of_birth", p.now),
+                relationship_years=age_years("customer_since_date", p.now),
+                relationship_month_part=age_month_part("customer_since_date", p.now),
+            ),
             **_upper("gender", "customer_status"),
         }
     )
     banded = clean.withColumns(
         {
-            "full_name": joined("first_name", F.lit(" "), "last_name"),
+            **_texts(full_name=joined("first_name", "' '", "last_name")),
             **decide_all(
                 age_cohort_id=R.AGE_COHORT,
                 income_bracket_id=R.INCOME_BRACKET,
@@ -111,14 +117,14 @@ def accounts(raw: DataFrame, p: RunParams, product_catalog: DataFrame) -> DataFr
     clean = raw.where(NOT_INVALID.format("account_status")).withColumns(
         {
             **_upper("account_status"),
-            "annual_interest_rate": (F.col("interest_rate") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(10,4)"),
-            "is_active": F.col("closed_date").isNull(),
-            "account_age_years": F.coalesce(
-                age_years(F.col("opened_date"), F.coalesce("closed_date", p.stamp)), F.lit(0)
+            **_texts(
+                annual_interest_rate="CAST(interest_rate * 0.01 AS DECIMAL(10,4))",
+                is_active="closed_date IS NULL",
+                account_age_years=f"coalesce({age_years('opened_date', f'coalesce(closed_date, {p.now})')}, 0)",
             ),
         }
     )
-    expense = (F.col("average_balance") * F.col("annual_interest_rate")).cast("double") / 12
+    expense = "CAST(average_balance * annual_interest_rate AS DOUBLE) / 12"
     return _stamped(
         clean.drop("interest_rate")
         .join(products, "product_id", "left")
@@ -133,9 +139,11 @@ def accounts(raw: DataFrame, p: RunParams, product_catalog: DataFrame) -> DataFr
                     cross_sell_score=R.ACCOUNT_CROSS_SELL,
                 ),
                 **flags(R.ACCOUNT_FLAGS),
-                "monthly_interest_expense": expense,
-                "monthly_fee_revenue": F.col("monthly_fee"),
-                "monthly_net_revenue": F.col("monthly_fee").cast("double") - expense,
+                **_texts(
+                    monthly_interest_expense=expense,
+                    monthly_fee_revenue="monthly_fee",
+                    monthly_net_revenue=f"CAST(monthly_fee AS DOUBLE) - {expense}",
+                ),
             }
         ),
         p,
@@ -143,15 +151,13 @@ def accounts(raw: DataFrame, p: RunParams, product_catalog: DataFrame) -> DataFr
 
 
 def transactions(raw: DataFrame, p: RunParams) -> DataFrame:
-    moment = F.col("transaction_datetime")
+    at = "transaction_datetime"
     return _stamped(
         raw.where(NOT_INVALID.format("transaction_status"))
         .withColumns(
             {
                 **_upper("transaction_type", "transaction_status", "channel"),
-                "transaction_date": F.to_date(moment),
-                "transaction_hour": F.hour(moment),
-                "day_of_week": day_of_week(moment),
+                **_texts(transaction_date=f"to_date({at})", transaction_hour=f"hour({at})", day_of_week=day_of_week(at)),
                 "amount_category": decide(R.TRANSACTION_SIZE),
             }
         )
@@ -175,8 +181,7 @@ def deposits(raw: DataFrame, p: RunParams) -> DataFrame:
     return _stamped(
         raw.withColumns(
             {
-                "deposit_hour": F.hour("deposit_datetime"),
-                "day_of_week": day_of_week(F.col("deposit_datetime")),
+                **_texts(deposit_hour="hour(deposit_datetime)", day_of_week=day_of_week("deposit_datetime")),
                 **decide_all(amount_category=R.DEPOSIT_SIZE, channel_type=R.DEPOSIT_CHANNEL),
             }
         ),
@@ -202,16 +207,18 @@ def account_balances(raw: DataFrame, p: RunParams) -> DataFrame:
 
 
 def cards(raw: DataFrame, p: RunParams) -> DataFrame:
-    limit, owed = F.col("credit_limit"), F.col("current_balance")
+    used = rate_pct("current_balance", "credit_limit", 2)
     return _stamped(
         raw.where(NOT_INVALID.format("card_status"))
         .withColumns(
             {
                 **_upper("card_type", "card_brand", "card_status"),
-                "utilization_rate": F.when(owed > 0, rate_pct(owed, limit, 2)).otherwise(F.lit(0.0)),
-                "is_expired": F.coalesce(F.col("expiry_date") < p.stamp, F.lit(False)),
-                "card_age_years": age_years(F.col("issue_date"), p.today),
-                "available_credit": F.when(limit > 0, limit - owed),
+                **_texts(
+                    utilization_rate=f"CASE WHEN current_balance > 0 THEN {used} ELSE 0D END",
+                    card_age_years=age_years("issue_date", p.now),
+                    available_credit="CASE WHEN credit_limit > 0 THEN credit_limit - current_balance END",
+                ),
+                **flags({"is_expired": f"expiry_date < {p.now}"}),
             }
         )
         .withColumns(
@@ -231,21 +238,20 @@ def cards(raw: DataFrame, p: RunParams) -> DataFrame:
 
 
 def loans(raw: DataFrame, p: RunParams) -> DataFrame:
-    lent, owed = F.col("original_amount"), F.col("current_balance")
-    age = age_years(F.col("origination_date"), p.today)
+    repaid = "original_amount - current_balance"
+    age = age_years("origination_date", p.now)
     return _stamped(
         raw.where(NOT_INVALID.format("loan_status"))
         .withColumns(
             {
                 **_upper("loan_type", "loan_status"),
-                "principal_paid": lent - owed,
-                "interest_rate": F.round("interest_rate", 2),
-                "loan_age_years": age,
-                "percent_paid": F.when((owed > 0) & (lent > 0), rate_pct(lent - owed, lent, 2)).otherwise(
-                    F.lit(100.0)
-                ),
-                "estimated_months_remaining": F.coalesce(
-                    age_month_part(p.stamp, F.col("maturity_date")), F.col("term_months") - age * 12
+                **_texts(
+                    principal_paid=repaid,
+                    interest_rate="round(interest_rate, 2)",
+                    loan_age_years=age,
+                    percent_paid="CASE WHEN current_balance > 0 AND original_amount > 0"
+                    f" THEN {rate_pct(repaid, 'original_amount', 2)} ELSE 100D END",
+                    estimated_months_remaining=f"coalesce({age_month_part(p.now, 'maturity_date')}, term_months - {age} * 12)",
                 ),
             }
         )
@@ -267,16 +273,17 @@ def loans(raw: DataFrame, p: RunParams) -> DataFrame:
 
 
 def investments(raw: DataFrame, p: RunParams) -> DataFrame:
-    quantity, paid, now = F.col("quantity"), F.col("purchase_price"), F.col("current_price")
     return _stamped(
         raw.withColumns(
             {
                 **_upper("investment_type", "symbol", "account_type", "risk_rating"),
-                "purchase_value": F.round(quantity * paid, 2),
-                "current_value": F.round(quantity * now, 2),
-                "unrealized_gain_loss": F.round(quantity * now - quantity * paid, 2),
-                "return_percent": rate_pct(now - paid, paid, 2),
-                "holding_years": age_years(F.col("purchase_date"), p.today),
+                **_texts(
+                    purchase_value="round(quantity * purchase_price, 2)",
+                    current_value="round(quantity * current_price, 2)",
+                    unrealized_gain_loss="round(quantity * current_price - quantity * purchase_price, 2)",
+                    return_percent=rate_pct("current_price - purchase_price", "purchase_price", 2),
+                    holding_years=age_years("purchase_date", p.now),
+                ),
             }
         ).withColumns(
             {
@@ -297,14 +304,16 @@ def investments(raw: DataFrame, p: RunParams) -> DataFrame:
 
 
 def insurance_policies(raw: DataFrame, p: RunParams) -> DataFrame:
-    premium, cover = F.col("annual_premium"), F.col("coverage_amount")
+    rate = rate_pct("annual_premium", "coverage_amount", 4)
     return _stamped(
         raw.withColumns(
             {
-                "policy_end_date": F.col("policy_start_date") + F.expr("INTERVAL 1 YEAR"),
-                "policy_age_years": age_years(F.col("policy_start_date"), p.today),
+                **_texts(
+                    policy_end_date="policy_start_date + INTERVAL 1 YEAR",
+                    policy_age_years=age_years("policy_start_date", p.now),
+                    premium_rate_percent=f"CASE WHEN annual_premium > 0 THEN {rate} ELSE 0D END",
+                ),
                 "claims_category": decide(R.CLAIMS),
-                "premium_rate_percent": F.when(premium > 0, rate_pct(premium, cover, 4)).otherwise(F.lit(0.0)),
             }
         ),
         p,
@@ -315,27 +324,19 @@ def customer_addresses(raw: DataFrame, p: RunParams, geographic_regions: DataFra
     regions = geographic_regions.select(
         "state_code", "state_name", "region_name", "market_type", "cost_of_living_index", "population_density"
     )
-    clean = raw.where(NOT_INVALID.format("address_status")).select(
+    # The full address is put together from the parts as they came in.
+    state = joined("state_code", "' '", "postal_code")
+    clean = raw.where(NOT_INVALID.format("address_status")).selectExpr(
         "*",
-        # The full address is put together from the parts as they came in.
-        F.concat_ws(
-            ", ",
-            F.concat_ws(" ", "street_address", "unit_number"),
-            "city",
-            joined("state_code", F.lit(" "), "postal_code"),
-        ).alias("full_address"),
-        F.col("address_until").isNull().alias("is_current"),
-        F.coalesce(
-            age_years(F.col("address_since"), F.coalesce("address_until", p.stamp)), F.lit(0)
-        ).alias("years_at_address"),
+        f"concat_ws(', ', concat_ws(' ', street_address, unit_number), city, {state}) AS full_address",
+        "address_until IS NULL AS is_current",
+        f"coalesce({age_years('address_since', f'coalesce(address_until, {p.now})')}, 0) AS years_at_address",
     )
     return _stamped(
         clean.withColumns(
             {
                 **_upper("address_type", "state_code", "address_status"),
-                "street_address": title_case("street_address"),
-                "unit_number": title_case("unit_number"),
-                "city": title_case("city"),
+                **_texts(**{name: title_case(name) for name in ("street_address", "unit_number", "city")}),
             }
         )
         .join(regions, "state_code", "left")
@@ -354,16 +355,18 @@ def customer_addresses(raw: DataFrame, p: RunParams, geographic_regions: DataFra
 
 
 def customer_phones(raw: DataFrame, p: RunParams) -> DataFrame:
-    parts = ["area_code", "exchange", "line_number"]
+    area, exchange, line = "area_code", "exchange", "line_number"
     return _stamped(
         raw.where(NOT_INVALID.format("phone_status"))
         .withColumns(
             {
                 **_upper("phone_type", "phone_status"),
-                "formatted_phone": joined("area_code", F.lit("-"), "exchange", F.lit("-"), "line_number"),
-                "phone_digits_only": joined(*parts),
+                **_texts(
+                    formatted_phone=joined(area, "'-'", exchange, "'-'", line),
+                    phone_digits_only=joined(area, exchange, line),
+                    contact_window_hours=clock_hours("preferred_contact_start", "preferred_contact_end"),
+                ),
                 "is_valid_format": decide(R.PHONE_FORMAT),
-                "contact_window_hours": clock_hours("preferred_contact_start", "preferred_contact_end"),
             }
         )
         .withColumns(
@@ -378,15 +381,13 @@ def customer_phones(raw: DataFrame, p: RunParams) -> DataFrame:
 
 
 def customer_interactions(raw: DataFrame, p: RunParams) -> DataFrame:
-    moment = F.col("interaction_datetime")
+    at = "interaction_datetime"
     return _stamped(
         raw.where(NOT_INVALID.format("status"))
         .withColumns(
             {
                 **_upper("interaction_type", "reason_code", "status", "priority", "agent_tier"),
-                "interaction_date": F.to_date(moment),
-                "interaction_hour": F.hour(moment),
-                "day_of_week": day_of_week(moment),
+                **_texts(interaction_date=f"to_date({at})", interaction_hour=f"hour({at})", day_of_week=day_of_week(at)),
                 "duration_category": decide(R.DURATION),
             }
         )

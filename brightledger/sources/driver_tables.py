@@ -11,6 +11,8 @@ same inputs; only calendar steps are spelled differently per engine.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Days that bring order dates (1995-2001) next to the event dates (2024).
@@ -460,11 +462,22 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def bank_frames(spark: SparkSession, folder: str, as_of: str = "2024-02-01") -> dict[str, DataFrame]:
-    """All bank inputs as lazy frames over the given tables."""
-    inputs = bank_inputs(SparkText, as_of)
-    tables = {table: read_table(spark, folder, table) for table in sorted({t for t, _ in inputs.values()})}
-    return {
-        name: tables[table].selectExpr(*[f"{text} AS {column}" for column, text in columns.items()])
-        for name, (table, columns) in inputs.items()
-    }
+class BankFrames(Mapping[str, DataFrame]):
+    """All bank inputs as lazy frames over the given tables; a table is opened when
+    an input that needs it is first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str, as_of: str = "2024-02-01"):
+        self._spark, self._folder, self._inputs = spark, folder, bank_inputs(SparkText, as_of)
+        self._tables: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        table, columns = self._inputs[name]
+        if table not in self._tables:
+            self._tables[table] = read_table(self._spark, self._folder, table)
+        return self._tables[table].selectExpr(*[f"{text} AS {column}" for column, text in columns.items()])
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._inputs)
+
+    def __len__(self) -> int:
+        return len(self._inputs)

@@ -8,6 +8,8 @@ relations whose size the optimizer knows, which is what lets it broadcast them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Schemas of the reference CSVs, by table.
@@ -180,8 +182,20 @@ def builtin_reference(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(values_sql(name))
 
 
-def builtin_references(spark: SparkSession) -> dict[str, DataFrame]:
-    return {name: builtin_reference(spark, name) for name in FIXED_VALUES}
+class BuiltinReferences(Mapping[str, DataFrame]):
+    """The fixed reference tables by name, made when first asked for."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return builtin_reference(self._spark, name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(FIXED_VALUES)
+
+    def __len__(self) -> int:
+        return len(FIXED_VALUES)
 
 
 def load_reference(spark: SparkSession, folder: str, name: str) -> DataFrame:
