@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from brightledger.params import RunParams
 from brightledger.plans import gold, silver, staging
-from brightledger.sources.driver_tables import BankFrames
+from brightledger.sources.driver_tables import bank_frames
 from brightledger.sources.published import write_table
 from brightledger.sources.reference import BuiltinReferences
 
@@ -36,7 +36,7 @@ class Bank:
     @classmethod
     def over(cls, spark: SparkSession, folder: str, params: RunParams = RunParams(), store: str | None = None) -> Bank:
         """Over the given order and event tables."""
-        return cls(BankFrames(spark, folder, params.as_of.isoformat()), BuiltinReferences(spark), params, store)
+        return cls(bank_frames(spark, folder, params.as_of.isoformat()), BuiltinReferences(spark), params, store)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:

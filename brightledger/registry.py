@@ -6,8 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from brightledger.plans import gold, silver, staging
+from brightledger.operators import checks
+from brightledger.operators.sections import union_sections
+from brightledger.plans import gold, insights, orders, silver, staging
 from brightledger.plans.bank import Bank
+from brightledger.rules import contracts
+from brightledger.sources.driver_tables import read_table, shop_frames
+from brightledger.sources.published import passthrough
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,5 +69,111 @@ def bank_queries() -> dict[str, Query]:
     return named
 
 
+def shop_table(name: str, frames) -> DataFrame:
+    """A table of the order demo, built from the demo's inputs."""
+
+    def made(other: str) -> DataFrame:
+        return shop_table(other, frames)
+
+    if name in frames:
+        return frames[name]
+    return {
+        "stg_customers": lambda: orders.stg_customers(made("raw_customers")),
+        "stg_orders": lambda: orders.stg_orders(made("raw_orders")),
+        "stg_payments": lambda: orders.stg_payments(made("raw_payments")),
+        "customers": lambda: orders.customers(made("stg_customers"), made("stg_orders"), made("stg_payments")),
+        "orders": lambda: orders.orders(made("stg_orders"), made("stg_payments")),
+        "published_customers": lambda: orders.published_customers(made("shop_customers")),
+        "published_orders": lambda: orders.published_orders(made("shop_orders")),
+        "customer_orders": lambda: orders.customer_orders(made("published_customers"), made("published_orders")),
+        "customer_summary": lambda: orders.customer_summary(made("customer_orders")),
+        "numeric_grid_summary": lambda: orders.numeric_grid_summary(made("pairs"), step=1),
+    }[name]()
+
+
+# Registered name: table of the order demo.
+SHOP_TABLES = {
+    "order_customers": "customers",
+    "order_payments_pivot": "orders",
+    "shop_stg_customers": "stg_customers",
+    "shop_stg_orders": "stg_orders",
+    "shop_stg_payments": "stg_payments",
+    "published_customers": "published_customers",
+    "published_orders": "published_orders",
+    "customer_orders": "customer_orders",
+    "customer_summary": "customer_summary",
+    "numeric_grid_summary": "numeric_grid_summary",
+}
+
+
+def shop_queries() -> dict[str, Query]:
+    def over(name: str) -> Query:
+        return lambda spark, folder: portable(shop_table(name, shop_frames(spark, folder)))
+
+    return {registered: over(name) for registered, name in SHOP_TABLES.items()}
+
+
+def over_tables(step, *tables: str) -> Query:
+    """A step applied to given tables as they are."""
+    return lambda spark, folder: portable(step(*[read_table(spark, folder, table) for table in tables]))
+
+
+def insight_queries() -> dict[str, Query]:
+    return {
+        "account_band_mix": over_tables(insights.account_band_mix, "customer"),
+        "market_segment_share": over_tables(insights.market_segment_share, "customer"),
+        "latest_event_per_user": over_tables(insights.latest_event_per_user, "events"),
+        "customer_activity_alignment": over_tables(insights.customer_activity_alignment, "orders", "events"),
+        "recent_event_counts": over_tables(insights.recent_event_counts, "events"),
+        "order_value_steps": over_tables(insights.order_value_steps, "orders"),
+        "return_flag_pivot": over_tables(insights.return_flag_pivot, "lineitem"),
+        "supplier_scores": over_tables(insights.supplier_scores, "supplier", "lineitem"),
+        "customer_order_habits": over_tables(insights.customer_order_habits, "orders"),
+        "order_sections": over_tables(insights.order_sections, "orders", "supplier"),
+        "passthrough": over_tables(passthrough, "nation"),
+    }
+
+
+def check_queries() -> dict[str, Query]:
+    def bank(tables: dict) -> Query:
+        def query(spark: SparkSession, folder: str) -> DataFrame:
+            made = Bank.over(spark, folder)
+            return union_sections(*[checks.run_checks(name, made[name], listed) for name, listed in tables.items()])
+
+        return query
+
+    def demo(spark: SparkSession, folder: str) -> DataFrame:
+        frames = shop_frames(spark, folder)
+        tables = {name: shop_table(name, frames) for name in contracts.ORDER_DEMO}
+        return union_sections(
+            *[checks.run_checks(name, tables[name], listed, tables) for name, listed in contracts.ORDER_DEMO.items()]
+        )
+
+    def line_ids(lineitem: DataFrame) -> DataFrame:
+        return checks.unique_values(lineitem.selectExpr("l_orderkey * 10 + l_linenumber AS line_id"), "line_id")
+
+    def event_values(events: DataFrame) -> DataFrame:
+        kept = events.selectExpr("event_id", "user_id", "CASE WHEN event_type <> 'signup' THEN value END AS value")
+        return checks.missing(kept, "value").select("event_id", "user_id")
+
+    def event_types(events: DataFrame) -> DataFrame:
+        return checks.disallowed(events.select("event_id", "event_type"), "event_type", ("click", "view", "purchase"))
+
+    def orphan_events(events: DataFrame, customer: DataFrame) -> DataFrame:
+        owned = events.selectExpr("event_id", "user_id * 11 AS customer_id")
+        return checks.orphans(owned, "customer_id", customer, "c_custkey")
+
+    return {
+        "checks_staging": bank(contracts.STAGING),
+        "checks_roll_ups": bank(contracts.ROLL_UPS),
+        "checks_reports": bank(contracts.REPORTS),
+        "checks_order_demo": demo,
+        "check_unique_line_ids": over_tables(line_ids, "lineitem"),
+        "check_missing_event_values": over_tables(event_values, "events"),
+        "check_event_types": over_tables(event_types, "events"),
+        "check_orphan_events": over_tables(orphan_events, "events", "customer"),
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    return bank_queries()
+    return {**shop_queries(), **bank_queries(), **insight_queries(), **check_queries()}

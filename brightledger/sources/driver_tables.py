@@ -458,16 +458,69 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
     return {name: (table, {**columns, **loaded}) for name, (table, columns) in mapped.items()}
 
 
+def shop_inputs(d=SparkText) -> dict[str, tuple[str, dict[str, str]]]:
+    """Per input of the order demo: the given table it comes from, and its columns."""
+    first, last = pick("c_custkey", "Ann", "Bo", "Cy", None), "c_mktsegment"
+    status = (
+        "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN "
+        + pick("o_orderkey", "placed", "shipped")
+        + " ELSE "
+        + pick("o_orderkey", "return_pending", "returned")
+        + " END"
+    )
+    return {
+        "raw_customers": ("customer", {"id": "c_custkey", "first_name": first, "last_name": last}),
+        "raw_orders": (
+            "orders",
+            {
+                "id": "o_orderkey",
+                "user_id": "o_custkey",
+                "order_date": "CAST(o_orderdate AS DATE)",
+                "status": status,
+            },
+        ),
+        "raw_payments": (
+            "lineitem",
+            {
+                "id": "l_orderkey * 10 + l_linenumber",
+                "order_id": "CASE WHEN l_partkey % 50 = 0 THEN -1 ELSE l_orderkey END",
+                "payment_method": pick("l_suppkey", "credit_card", "coupon", "bank_transfer", "gift_card"),
+                "amount": d.whole("l_extendedprice * 100"),
+            },
+        ),
+        "shop_customers": (
+            "customer",
+            {
+                "customer_id": "c_custkey",
+                "first_name": first,
+                "last_name": last,
+                "email": "concat('c', CAST(c_custkey AS STRING), '@example.com')",
+            },
+        ),
+        "shop_orders": (
+            "orders",
+            {
+                "order_id": "o_orderkey",
+                "customer_id": "o_custkey",
+                "order_date": "CAST(o_orderdate AS TIMESTAMP)",
+                "amount": _money(f"{d.whole('o_totalprice')} % 500"),
+                "status": status,
+            },
+        ),
+        "pairs": ("lineitem", {"i": "l_partkey + 1", "j": "l_suppkey + 1"}),
+    }
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-class BankFrames(Mapping[str, DataFrame]):
-    """All bank inputs as lazy frames over the given tables; a table is opened when
-    an input that needs it is first asked for."""
+class TableFrames(Mapping[str, DataFrame]):
+    """Inputs as lazy frames over the given tables; a table is opened when an input
+    that needs it is first asked for."""
 
-    def __init__(self, spark: SparkSession, folder: str, as_of: str = "2024-02-01"):
-        self._spark, self._folder, self._inputs = spark, folder, bank_inputs(SparkText, as_of)
+    def __init__(self, spark: SparkSession, folder: str, inputs: dict[str, tuple[str, dict[str, str]]]):
+        self._spark, self._folder, self._inputs = spark, folder, inputs
         self._tables: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -481,3 +534,11 @@ class BankFrames(Mapping[str, DataFrame]):
 
     def __len__(self) -> int:
         return len(self._inputs)
+
+
+def bank_frames(spark: SparkSession, folder: str, as_of: str = "2024-02-01") -> TableFrames:
+    return TableFrames(spark, folder, bank_inputs(SparkText, as_of))
+
+
+def shop_frames(spark: SparkSession, folder: str) -> TableFrames:
+    return TableFrames(spark, folder, shop_inputs(SparkText))

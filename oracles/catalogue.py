@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracles import gold, silver, staging
+from oracles import gold, orders, silver, staging
 from oracles.kinds import kinds_of
 from oracles.text import Book
 
@@ -12,6 +12,7 @@ def book() -> Book:
     staging.build(made)
     silver.build(made)
     gold.build(made)
+    orders.build(made)
     return made
 
 
