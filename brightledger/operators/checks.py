@@ -1,8 +1,8 @@
 """Data checks as Spark jobs.
 
-Checks report how many findings there are and keep none of the rows. The missing and
-disallowed values of a table are counted in one pass; each uniqueness check is one
-aggregation on its column, with map-side partial counts.
+Checks report how many findings there are and keep none of the rows. Missing and
+disallowed values and the first uniqueness check of a table are counted in one pass,
+with map-side partial counts; every further uniqueness check is one aggregation.
 """
 
 from __future__ import annotations
@@ -62,26 +62,41 @@ def _row(table: str, check: Check, counted: DataFrame) -> DataFrame:
     )
 
 
+def _fails(check: Check) -> str:
+    return f"{check.column} IS NULL" if check.kind == "not_null" else _outside(check.column, check.values)
+
+
+def _counted_together(df: DataFrame, key: Check | None, row_checks: Sequence[Check]) -> DataFrame:
+    """One row with the findings of all row checks and of one uniqueness check.
+
+    The rows are grouped by the key that must be unique, so one reading of the table
+    (which may be a long plan) answers both.
+    """
+    found = [F.expr(f"count_if({_fails(check)}) AS c{i}") for i, check in enumerate(row_checks)]
+    if key is None:
+        return df.agg(*found)
+    per_value = df.groupBy(F.col(key.column).alias("_value")).agg(F.count("*").alias("_times"), *found)
+    return per_value.agg(
+        F.expr("count_if(_value IS NOT NULL AND _times > 1) AS c_key"),
+        *[F.expr(f"coalesce(sum(c{i}), 0) AS c{i}") for i in range(len(row_checks))],
+    )
+
+
 def run_checks(table: str, df: DataFrame, checks: Sequence[Check], parents: dict[str, DataFrame] = {}) -> DataFrame:
     """One result row per check on a table."""
-    results = []
-    one_pass = [check for check in checks if check.kind in ("not_null", "accepted_values")]
-    if one_pass:
-        conditions = [
-            f"{check.column} IS NULL" if check.kind == "not_null" else _outside(check.column, check.values)
-            for check in one_pass
-        ]
-        counted = df.agg(*[F.expr(f"count_if({text}) AS c{i}") for i, text in enumerate(conditions)])
-        rows = ", ".join(f"{literal(check.kind)}, {literal(check.column)}, c{i}" for i, check in enumerate(one_pass))
-        results.append(
-            counted.selectExpr(f"stack({len(one_pass)}, {rows}) AS (check_name, column_name, failures)").select(
-                F.lit(table).alias("table_name"), "check_name", "column_name", "failures"
-            )
-        )
+    row_checks = [check for check in checks if check.kind in ("not_null", "accepted_values")]
+    key, *other_keys = [check for check in checks if check.kind == "unique"] or [None]
+    together = [(check, f"c{i}") for i, check in enumerate(row_checks)] + ([(key, "c_key")] if key else [])
+    rows = ", ".join(f"{literal(check.kind)}, {literal(check.column)}, {count}" for check, count in together)
+    results = [
+        _counted_together(df, key, row_checks)
+        .selectExpr(f"stack({len(together)}, {rows}) AS (check_name, column_name, failures)")
+        .select(F.lit(table).alias("table_name"), "check_name", "column_name", "failures")
+    ]
+    for check in other_keys:
+        results.append(_row(table, check, unique_values(df, check.column).agg(F.count("*").alias("failures"))))
     for check in checks:
-        if check.kind == "unique":
-            results.append(_row(table, check, unique_values(df, check.column).agg(F.count("*").alias("failures"))))
-        elif check.kind == "relationships":
+        if check.kind == "relationships":
             lost = orphans(df, check.column, parents[check.parent], check.parent_column)
             results.append(_row(table, check, lost.agg(F.count("*").alias("failures"))))
     return reduce(DataFrame.unionAll, results)

@@ -34,15 +34,14 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "bri
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it in
-    ``spark.checkpoint.dir``; set here only where the cluster left it unset on a
-    local master.
+    """Folder every executor can reach: the one the cluster names in
+    ``spark.checkpoint.dir``. Only a local master without that setting gets a folder
+    made here.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="brightledger-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="brightledger-"))
+    return spark.sparkContext.getCheckpointDir()
