@@ -14,20 +14,20 @@ def moment(day: dt.date) -> str:
     return f"TIMESTAMP '{day.isoformat()} 00:00:00'"
 
 
-def _into_month(at: str) -> str:
-    """Seconds since the start of the month."""
-    return f"(day({at}) * 86400 + hour({at}) * 3600 + minute({at}) * 60 + extract(SECOND FROM {at}))"
+# Seconds in the 100-day months that ``_position`` counts in.
+_MONTH = 100 * 86400
 
 
-def _completed(start: str, end: str) -> str:
-    """Whole months from ``start`` to a later ``end``."""
-    span = f"(year({end}) - year({start})) * 12 + month({end}) - month({start})"
-    return f"({span} - CAST({_into_month(end)} < {_into_month(start)} AS INT))"
+def _position(at: str) -> str:
+    """A moment as seconds on a calendar whose months all have 100 days: two moments
+    are a whole month apart exactly when their positions are."""
+    days = f"((year({at}) * 12L + month({at})) * 100 + day({at}))"
+    return f"({days} * 86400 + hour({at}) * 3600 + minute({at}) * 60 + second({at}))"
 
 
 def completed_months(start: str, end: str) -> str:
     """Whole months between two moments; negative when ``end`` comes first."""
-    return f"(CASE WHEN {start} <= {end} THEN {_completed(start, end)} WHEN {start} > {end} THEN -{_completed(end, start)} END)"
+    return f"(({_position(end)} - {_position(start)}) div {_MONTH})"
 
 
 def age_years(start: str, end: str) -> str:
@@ -36,7 +36,7 @@ def age_years(start: str, end: str) -> str:
 
 def age_month_part(start: str, end: str) -> str:
     """Months of the age beyond its completed years, -11..11."""
-    return f"({completed_months(start, end)} % 12)"
+    return f"CAST({completed_months(start, end)} % 12 AS INT)"
 
 
 def day_of_week(at: str) -> str:

@@ -11,6 +11,7 @@ from brightledger.operators.sections import union_sections
 from brightledger.plans import gold, insights, orders, silver, staging
 from brightledger.plans.bank import Bank
 from brightledger.rules import contracts
+from brightledger.session import prepared
 from brightledger.sources.driver_tables import read_table, shop_frames
 from brightledger.sources.published import passthrough
 
@@ -176,4 +177,8 @@ def check_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    return {**shop_queries(), **bank_queries(), **insight_queries(), **check_queries()}
+    def with_settings(query: Query) -> Query:
+        return lambda spark, folder: query(prepared(spark), folder)
+
+    named = {**shop_queries(), **bank_queries(), **insight_queries(), **check_queries()}
+    return {name: with_settings(query) for name, query in named.items()}
