@@ -8,8 +8,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from brightledger.params import RunParams
-from brightledger.plans import gold, silver, staging
-from brightledger.sources.driver_tables import bank_frames
+from brightledger.plans import alternative, gold, silver, staging
+from brightledger.sources.driver_tables import alternative_frames, bank_frames
 from brightledger.sources.published import write_table
 from brightledger.sources.reference import BuiltinReferences
 
@@ -29,14 +29,28 @@ class Bank:
         references: Mapping[str, DataFrame],
         params: RunParams = RunParams(),
         store: str | None = None,
+        profile: str = "main",
     ):
         self.raw, self.references, self.params, self.store = raw, references, params, store
+        other = profile == "alt"
+        self.cleaning = {**staging.MODELS, **(alternative.STAGING if other else {})}
+        self.roll_ups = alternative.ROLL_UPS if other else silver.MODELS
+        self.reports = {} if other else gold.MODELS
         self._tables: dict[str, DataFrame] = {}
 
     @classmethod
-    def over(cls, spark: SparkSession, folder: str, params: RunParams = RunParams(), store: str | None = None) -> Bank:
+    def over(
+        cls,
+        spark: SparkSession,
+        folder: str,
+        params: RunParams = RunParams(),
+        store: str | None = None,
+        profile: str = "main",
+    ) -> Bank:
         """Over the given order and event tables."""
-        return cls(bank_frames(spark, folder, params.as_of.isoformat()), BuiltinReferences(spark), params, store)
+        frames = alternative_frames if profile == "alt" else bank_frames
+        raw = frames(spark, folder, params.as_of.isoformat())
+        return cls(raw, BuiltinReferences(spark), params, store, profile)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -44,12 +58,12 @@ class Bank:
         return self._tables[name]
 
     def _make(self, name: str) -> DataFrame:
-        if name in staging.MODELS:
-            clean, references = staging.MODELS[name]
+        if name in self.cleaning:
+            clean, references = self.cleaning[name]
             return clean(self.raw[name], self.params, *[self.references[r] for r in references])
-        model = silver.MODELS.get(name) or gold.MODELS[name]
+        model = self.roll_ups.get(name) or self.reports[name]
         table = self.call(model)
-        if self.store and name in silver.MODELS:
+        if self.store and name in self.roll_ups:
             return write_table(table, f"{self.store}/{name}")
         return table
 

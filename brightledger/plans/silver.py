@@ -446,6 +446,10 @@ def marketing_summary(campaigns: DataFrame) -> DataFrame:
             value=sum_if(converted, choice(R.CAMPAIGN_VALUE)),
         )
     )
+    return marketing_totals(per_channel)
+
+
+def marketing_totals(per_channel: DataFrame) -> DataFrame:
     return per_channel.groupBy(CUSTOMER).agg(
         *named(
             marketing_channels_used="count(channel)",
@@ -494,15 +498,17 @@ def channel_effectiveness(
     customer_interactions: DataFrame,
     digital_activity: DataFrame,
 ) -> DataFrame:
-    used = align(
-        [
-            channel_summary(channel_usage),
-            marketing_summary(marketing_campaigns),
-            service_summary(customer_interactions),
-            platform_summary(digital_activity),
-        ],
-        CUSTOMER,
+    return channel_scores(
+        p,
+        channel_summary(channel_usage),
+        marketing_summary(marketing_campaigns),
+        service_summary(customer_interactions),
+        platform_summary(digital_activity),
     )
+
+
+def channel_scores(p: RunParams, *summaries: DataFrame) -> DataFrame:
+    used = align(summaries, CUSTOMER)
     as_is = [CUSTOMER, "last_channel_usage_date", "last_digital_activity_date"]
     points_by_share = (
         "CASE WHEN total_channel_usage > 0"
@@ -595,15 +601,19 @@ def product_penetration_analysis(
     marketing_campaigns: DataFrame,
     channel_usage: DataFrame,
 ) -> DataFrame:
-    seen = align(
-        [
-            product_usage_summary(product_usage),
-            current_segment(customer_segments).withColumnRenamed("segment_assigned_date", "current_segment_date"),
-            campaign_response(marketing_campaigns),
-            channel_events(channel_usage),
-        ],
-        CUSTOMER,
+    days_known = whole_days("first_product_usage_date", p.now)
+    return product_scores(
+        p,
+        days_known,
+        product_usage_summary(product_usage),
+        current_segment(customer_segments).withColumnRenamed("segment_assigned_date", "current_segment_date"),
+        campaign_response(marketing_campaigns),
+        channel_events(channel_usage),
     )
+
+
+def product_scores(p: RunParams, days_known: str, *summaries: DataFrame) -> DataFrame:
+    seen = align(summaries, CUSTOMER)
     as_is = [
         CUSTOMER,
         "first_product_usage_date",
@@ -612,7 +622,7 @@ def product_penetration_analysis(
         "current_segment_date",
         "last_campaign_response_date",
     ]
-    months_known = f"{whole_days('first_product_usage_date', p.now)} / 30"
+    months_known = f"{days_known} / 30"
     stickiness = clamped(
         "total_products_used * 10",
         "least(50, total_usage_events)",
@@ -780,8 +790,24 @@ def comprehensive_risk_profile(
         ],
         CUSTOMER,
     )
-    scores = [f"current_{kind}_risk_score" for kind in ("credit", "fraud", "operational", "market")]
     return known.select(
+        *risk_measures(),
+        *named(
+            composite_risk_score=composite_risk_score(),
+            overall_risk_level=choice(R.RISK_LEVEL),
+            compliance_status=choice(R.COMPLIANCE),
+            requires_enhanced_monitoring=truth(R.MONITORING),
+            requires_immediate_review=truth(R.IMMEDIATE_REVIEW),
+            risk_trend=choice(R.RISK_TREND),
+            last_updated=p.stamp,
+        ),
+    )
+
+
+def risk_measures() -> list:
+    """Scores, counts and dates of an aligned risk frame, with defaults for what is unknown."""
+    scores = [f"current_{kind}_risk_score" for kind in ("credit", "fraud", "operational", "market")]
+    return [
         CUSTOMER,
         *or_else(R.UNKNOWN_SCORE, *scores),
         *or_else(UNKNOWN_SCORE, "avg_credit_score"),
@@ -819,16 +845,7 @@ def comprehensive_risk_profile(
             "unusual_activity_alerts",
             "pending_account_alerts",
         ),
-        *named(
-            composite_risk_score=composite_risk_score(),
-            overall_risk_level=choice(R.RISK_LEVEL),
-            compliance_status=choice(R.COMPLIANCE),
-            requires_enhanced_monitoring=truth(R.MONITORING),
-            requires_immediate_review=truth(R.IMMEDIATE_REVIEW),
-            risk_trend=choice(R.RISK_TREND),
-            last_updated=p.stamp,
-        ),
-    )
+    ]
 
 
 # --- retention ---------------------------------------------------------------

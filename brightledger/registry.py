@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from brightledger.operators import checks
 from brightledger.operators.sections import union_sections
-from brightledger.plans import gold, insights, orders, silver, staging
+from brightledger.plans import alternative, gold, insights, orders, silver, staging
 from brightledger.plans.bank import Bank
 from brightledger.rules import contracts
 from brightledger.session import prepared
@@ -35,9 +35,9 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[cast(field) for field in df.schema.fields])
 
 
-def bank_table(name: str) -> Query:
+def bank_table(name: str, profile: str = "main") -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return portable(Bank.over(spark, folder)[name])
+        return portable(Bank.over(spark, folder, profile=profile)[name])
 
     return query
 
@@ -67,6 +67,8 @@ def bank_queries() -> dict[str, Query]:
     ):
         named[step.__name__] = bank_report(gold.customer_health, step)
     named["channel_product_effectiveness"] = bank_report(gold.product_customers, gold.channel_product_effectiveness)
+    named |= {f"alt_stg_{name}": bank_table(name, "alt") for name in ("loans", "customer_phones")}
+    named |= {f"alt_int_{name}": bank_table(name, "alt") for name in alternative.ROLL_UPS}
     return named
 
 

@@ -458,6 +458,109 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
     return {name: (table, {**columns, **loaded}) for name, (table, columns) in mapped.items()}
 
 
+def alternative_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str, dict[str, str]]]:
+    """Inputs of the alternative rules where they differ; the others are shared."""
+    shared = bank_inputs(d, as_of)
+    loaded = {"last_updated": f"CAST('{as_of}' AS TIMESTAMP)"}
+
+    def of(name: str, *columns: str) -> dict[str, str]:
+        return {column: shared[name][1][column] for column in columns}
+
+    level = pick("event_id", "LOW", "HIGH", "MEDIUM")
+    own = {
+        "loans": (
+            "part",
+            {
+                "loan_id": "p_partkey",
+                "customer_id": d.whole("p_partkey / 3.0"),
+                "loan_type": pick("p_partkey", "student", "personal", "auto", "mortgage"),
+                "loan_date": d.day("2013-01-01", "p_partkey * 37 % 3900"),
+                "loan_amount": shared["loans"][1]["original_amount"],
+                "loan_status": "CASE WHEN p_partkey % 15 = 1 THEN 'defaulted' WHEN p_partkey % 10 = 1 THEN 'paid_off'"
+                " WHEN p_partkey % 49 = 0 THEN 'INVALID' ELSE 'active' END",
+            },
+        ),
+        "customer_phones": (
+            "orders",
+            {
+                **of("customer_phones", "phone_id", "customer_id", "sms_enabled", "is_primary"),
+                "phone_type": pick("o_orderkey", "emergency", "mobile", "home", "work", "primary"),
+                "phone_number": "concat("
+                + pick("o_orderkey", "555-0", "555-1", "(212) 555-")
+                + ", lpad(CAST(o_orderkey % 9000 + 1000 AS STRING), 4, '0'))",
+                "phone_status": "CASE WHEN o_orderkey % 15 = 1 THEN 'INVALID' WHEN o_orderkey % 10 = 1"
+                " THEN 'unverified' ELSE 'verified' END",
+                "marketing_consent": "o_orderkey % 4 <> 1",
+            },
+        ),
+        "investments": (
+            "lineitem",
+            {
+                "investment_id": "l_orderkey * 10 + l_linenumber",
+                "customer_id": "l_partkey",
+                "investment_type": pick("l_orderkey", "REAL_ESTATE", "STOCKS", "BONDS", "MUTUAL_FUNDS", "ETF"),
+                "investment_amount": _money("l_extendedprice", 12),
+                "current_price": _money(f"1 + {d.whole('l_quantity')} % 20 * 0.05 - 0.3", 8),
+            },
+        ),
+        "product_usage": (
+            "events",
+            {
+                "usage_id": "event_id",
+                "customer_id": "user_id * 10 + event_id % 9",
+                "product_id": pick("event_id", "CHCK001", "SAVE001", "LOAN001", "INVT001", "CD001", "CHCK001", "SAVE001"),
+                "usage_count": f"CAST({d.whole('value')} % 10 + 1 AS INT)",
+                "usage_date": d.plus("ts", "-(event_id % 200)"),
+            },
+        ),
+        "marketing_campaigns": (
+            "events",
+            {
+                "campaign_id": "event_id",
+                "customer_id": "user_id * 10 + event_id % 8",
+                "campaign_type": pick(
+                    "event_id", "EMAIL_PROMOTION", "DIRECT_MAIL", "DIGITAL_ADS", "SOCIAL_MEDIA", "PHONE_CALL", "EVENT"
+                ),
+                "campaign_date": shared["marketing_campaigns"][1]["sent_date"],
+                "response_status": pick(
+                    d.whole("value"), "CONVERTED", *["ENGAGED"] * 3, *["NO_RESPONSE"] * 11
+                ),
+            },
+        ),
+        "risk_assessments": (
+            "events",
+            {
+                **of("risk_assessments", "assessment_id", "customer_id", "risk_score", "assessment_date"),
+                "risk_type": pick("event_id", "COMPLIANCE_RISK", "CREDIT_RISK", "FRAUD_RISK", "OPERATIONAL_RISK"),
+                "risk_level": level,
+            },
+        ),
+        "fraud_alerts": (
+            "events",
+            {
+                **of("fraud_alerts", "alert_id", "customer_id", "alert_type", "alert_timestamp", "alert_status"),
+                "risk_level": level,
+            },
+        ),
+        "credit_scores": (
+            "events",
+            {
+                **of("credit_scores", "score_id", "customer_id", "score_date", "bureau"),
+                "score_value": shared["credit_scores"][1]["credit_score"],
+            },
+        ),
+        "kyc_records": (
+            "events",
+            {
+                **of("kyc_records", "kyc_id", "customer_id", "kyc_type"),
+                "verification_date": shared["kyc_records"][1]["review_date"],
+                "verification_status": pick(d.whole("value"), "FAILED", "PENDING", *["VERIFIED"] * 24),
+            },
+        ),
+    }
+    return {**shared, **{name: (table, {**columns, **loaded}) for name, (table, columns) in own.items()}}
+
+
 def shop_inputs(d=SparkText) -> dict[str, tuple[str, dict[str, str]]]:
     """Per input of the order demo: the given table it comes from, and its columns."""
     first, last = pick("c_custkey", "Ann", "Bo", "Cy", None), "c_mktsegment"
@@ -540,5 +643,9 @@ def bank_frames(spark: SparkSession, folder: str, as_of: str = "2024-02-01") ->
     return TableFrames(spark, folder, bank_inputs(SparkText, as_of))
 
 
+def alternative_frames(spark: SparkSession, folder: str, as_of: str = "2024-02-01") -> TableFrames:
+    return TableFrames(spark, folder, alternative_inputs(SparkText, as_of))
+
+
 def shop_frames(spark: SparkSession, folder: str) -> TableFrames:
     return TableFrames(spark, folder, shop_inputs(SparkText))

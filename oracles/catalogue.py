@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracles import gold, orders, silver, staging
+from oracles import alternative, gold, orders, silver, staging
 from oracles.kinds import kinds_of
 from oracles.text import Book
 
@@ -13,6 +13,7 @@ def book() -> Book:
     silver.build(made)
     gold.build(made)
     orders.build(made)
+    alternative.build(made)
     return made
 
 

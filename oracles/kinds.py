@@ -101,8 +101,16 @@ WHOLES: set[str] = set(
 )
 
 
-# One name, two meanings: an average in the reports, a step score in the roll-up.
-SPECIAL = {("int_customer_retention_analytics", "avg_churn_risk_score"): WHOLE}
+# One name, two meanings: an average or amount in one query, a whole number in another.
+# Amounts of the alternative profile.
+REALS |= {"loan_amount"}
+
+SPECIAL = {
+    ("int_customer_retention_analytics", "avg_churn_risk_score"): WHOLE,
+    ("alt_stg_loans", "percent_paid"): WHOLE,
+    ("alt_int_customer_financial_summary", "total_annual_premiums"): WHOLE,
+    ("alt_int_customer_financial_summary", "total_insurance_coverage"): WHOLE,
+}
 
 
 def kinds_of(query: str, columns: list[str]) -> dict[str, str]:
