@@ -56,7 +56,7 @@ def _over_report(section: str, measure: str) -> str:
 
 # --- executive dashboard -----------------------------------------------------
 def customer_health(
-    customer_profile: DataFrame,
+    profile_core: DataFrame,
     customer_financial_summary: DataFrame,
     comprehensive_risk_profile: DataFrame,
     channel_effectiveness: DataFrame,
@@ -64,7 +64,7 @@ def customer_health(
     product_penetration_analysis: DataFrame,
 ) -> DataFrame:
     return left_align(
-        customer_profile.select(
+        profile_core.select(
             CUSTOMER,
             "customer_value_segment",
             "lifecycle_stage_name",
@@ -109,7 +109,7 @@ def customer_health(
 
 def executive_customer_dashboard(
     p: RunParams,
-    customer_profile: DataFrame,
+    profile_core: DataFrame,
     customer_financial_summary: DataFrame,
     comprehensive_risk_profile: DataFrame,
     channel_effectiveness: DataFrame,
@@ -117,7 +117,7 @@ def executive_customer_dashboard(
     product_penetration_analysis: DataFrame,
 ) -> DataFrame:
     health = customer_health(
-        customer_profile,
+        profile_core,
         customer_financial_summary,
         comprehensive_risk_profile,
         channel_effectiveness,
@@ -274,7 +274,7 @@ def digital_preference_segments(health: DataFrame) -> DataFrame:
 # --- segmentation ------------------------------------------------------------
 def customer_segmentation_analysis(
     p: RunParams,
-    customer_profile: DataFrame,
+    profile_core: DataFrame,
     customer_financial_summary: DataFrame,
     comprehensive_risk_profile: DataFrame,
     channel_effectiveness: DataFrame,
@@ -282,7 +282,7 @@ def customer_segmentation_analysis(
     product_penetration_analysis: DataFrame,
 ) -> DataFrame:
     health = customer_health(
-        customer_profile,
+        profile_core,
         customer_financial_summary,
         comprehensive_risk_profile,
         channel_effectiveness,
@@ -389,10 +389,9 @@ def customer_segmentation_analysis(
 # --- product performance -----------------------------------------------------
 def product_customers(
     product_penetration_analysis: DataFrame,
-    customer_profile: DataFrame,
+    profile_core: DataFrame,
     customer_financial_summary: DataFrame,
-    account_performance_dashboard: DataFrame,
-    channel_effectiveness: DataFrame,
+    account_activity: DataFrame,
 ) -> DataFrame:
     """Customers with the weight they carry in the product report.
 
@@ -401,7 +400,7 @@ def product_customers(
     owner in one task, the accounts are reduced to a weight first and every measure
     is weighted.
     """
-    owned = account_performance_dashboard.groupBy(CUSTOMER).agg(
+    owned = account_activity.groupBy(CUSTOMER).agg(
         *named(
             accounts="count(*)",
             profitability_sum="sum(account_profitability_score)",
@@ -418,12 +417,11 @@ def product_customers(
             "next_best_product",
         ),
         [
-            customer_profile.select(CUSTOMER, "customer_value_segment", "digital_preference"),
+            profile_core.select(CUSTOMER, "customer_value_segment", "digital_preference"),
             customer_financial_summary.select(
                 CUSTOMER, VALUE, "total_deposit_accounts", "total_cards", "total_loans", "total_investments"
             ),
             owned,
-            channel_effectiveness.select(CUSTOMER, "channel_preference", "service_satisfaction_score"),
         ],
         CUSTOMER,
     ).select(
@@ -453,17 +451,15 @@ def _weighted_mean(name: str, exact: str) -> str:
 def product_performance_analytics(
     p: RunParams,
     product_penetration_analysis: DataFrame,
-    customer_profile: DataFrame,
+    profile_core: DataFrame,
     customer_financial_summary: DataFrame,
-    account_performance_dashboard: DataFrame,
-    channel_effectiveness: DataFrame,
+    account_activity: DataFrame,
 ) -> DataFrame:
     customers = product_customers(
         product_penetration_analysis,
-        customer_profile,
+        profile_core,
         customer_financial_summary,
-        account_performance_dashboard,
-        channel_effectiveness,
+        account_activity,
     )
     total, by_segment, by_product = (
         "PRODUCT_PORTFOLIO_OVERVIEW",
@@ -560,9 +556,20 @@ def product_performance_analytics(
     ).orderBy("analytics_section", F.desc_nulls_last("deposit_penetration_rate"))
 
 
-def channel_product_effectiveness(customers: DataFrame) -> DataFrame:
+def channel_product_effectiveness(
+    product_penetration_analysis: DataFrame,
+    profile_core: DataFrame,
+    customer_financial_summary: DataFrame,
+    account_activity: DataFrame,
+    channel_effectiveness: DataFrame,
+) -> DataFrame:
+    customers = product_customers(
+        product_penetration_analysis, profile_core, customer_financial_summary, account_activity
+    )
+    channels = channel_effectiveness.select(CUSTOMER, "channel_preference", "service_satisfaction_score")
     return (
-        customers.where("channel_preference IS NOT NULL")
+        customers.join(channels, CUSTOMER, "left")
+        .where("channel_preference IS NOT NULL")
         .groupBy("channel_preference")
         .agg(
             *named(
@@ -583,7 +590,7 @@ def financial_performance_summary(
     account_performance_dashboard: DataFrame,
     customer_financial_summary: DataFrame,
     product_penetration_analysis: DataFrame,
-    customer_profile: DataFrame,
+    profile_core: DataFrame,
 ) -> DataFrame:
     factor = f"CAST({choice(R.RISK_FACTOR)} AS DECIMAL(3,1))"
     accounts = account_performance_dashboard.select(
@@ -632,7 +639,7 @@ def financial_performance_summary(
         ),
         [
             product_penetration_analysis.select(CUSTOMER, "cross_sell_opportunity_score"),
-            customer_profile.select(CUSTOMER, "customer_value_segment", "engagement_level", "relationship_years"),
+            profile_core.select(CUSTOMER, "customer_value_segment", "engagement_level", "relationship_years"),
         ],
         CUSTOMER,
     ).agg(
@@ -716,7 +723,7 @@ def financial_performance_summary(
 def risk_management_dashboard(
     p: RunParams,
     comprehensive_risk_profile: DataFrame,
-    customer_profile: DataFrame,
+    customer_base: DataFrame,
     customer_financial_summary: DataFrame,
 ) -> DataFrame:
     customers = left_align(
@@ -733,7 +740,7 @@ def risk_management_dashboard(
             "risk_trend",
         ),
         [
-            customer_profile.select(CUSTOMER, "customer_value_segment"),
+            customer_base.select(CUSTOMER, "customer_value_segment"),
             customer_financial_summary.select(CUSTOMER, VALUE, "wealth_tier"),
         ],
         CUSTOMER,

@@ -116,42 +116,23 @@ def digital_engagement(activity: DataFrame) -> DataFrame:
     )
 
 
-def customer_profile(
-    p: RunParams,
-    customers_360: DataFrame,
-    customer_addresses: DataFrame,
-    customer_phones: DataFrame,
-    customer_segments: DataFrame,
-    customer_interactions: DataFrame,
-    digital_activity: DataFrame,
+# Models that others build on are split where a reader may need only a part: a left
+# join the optimizer cannot drop would cost every reader its scans and shuffles.
+def customer_base(customers_360: DataFrame) -> DataFrame:
+    """Customers without duplicates, partitioned by customer before the duplicates go:
+    later joins on the customer find the rows where they need them."""
+    return customers_360.select(*PROFILE_COLUMNS).repartition(CUSTOMER).distinct()
+
+
+def profile_core(
+    p: RunParams, customer_base: DataFrame, customer_interactions: DataFrame, digital_activity: DataFrame
 ) -> DataFrame:
-    # Partitioned by customer before removing duplicates: the joins below then
-    # find the rows where they need them.
-    customers = customers_360.select(*PROFILE_COLUMNS).repartition(CUSTOMER).distinct()
+    """The profile without addresses, phones and segments."""
     joined = left_align(
-        customers,
-        [
-            best_address(customer_addresses),
-            best_phone(customer_phones),
-            current_segment(customer_segments),
-            interaction_summary(customer_interactions),
-            digital_engagement(digital_activity),
-        ],
-        CUSTOMER,
+        customer_base, [interaction_summary(customer_interactions), digital_engagement(digital_activity)], CUSTOMER
     )
     return joined.select(
         *PROFILE_COLUMNS,
-        "primary_address",
-        "city",
-        "state_code",
-        "zip_code",
-        "address_verified",
-        "primary_phone",
-        "phone_verified",
-        "call_eligible",
-        "sms_eligible",
-        "current_segment",
-        "segment_assigned_date",
         "avg_satisfaction_score",
         "last_interaction_date",
         "last_digital_activity_date",
@@ -175,6 +156,16 @@ def customer_profile(
     )
 
 
+def customer_profile(
+    profile_core: DataFrame, customer_addresses: DataFrame, customer_phones: DataFrame, customer_segments: DataFrame
+) -> DataFrame:
+    return left_align(
+        profile_core,
+        [best_address(customer_addresses), best_phone(customer_phones), current_segment(customer_segments)],
+        CUSTOMER,
+    )
+
+
 # --- financial summary -------------------------------------------------------
 def account_summary(accounts: DataFrame) -> DataFrame:
     # The catalog's product types never carry these three labels, so the three
@@ -908,7 +899,7 @@ def customer_retention_analytics(
     retention_events: DataFrame,
     customer_interactions: DataFrame,
     digital_activity: DataFrame,
-    customer_profile: DataFrame,
+    profile_core: DataFrame,
     comprehensive_risk_profile: DataFrame,
 ) -> DataFrame:
     profile_columns = [
@@ -933,7 +924,7 @@ def customer_retention_analytics(
             retention_event_summary(retention_events),
             interaction_patterns(customer_interactions, p),
             digital_trends(digital_activity, p),
-            customer_profile.select(CUSTOMER, *profile_columns),
+            profile_core.select(CUSTOMER, *profile_columns),
             comprehensive_risk_profile.select(CUSTOMER, *risk_columns),
         ],
         CUSTOMER,
@@ -1007,16 +998,10 @@ def balance_movement(balances: DataFrame) -> DataFrame:
     )
 
 
-def account_performance_dashboard(
-    p: RunParams,
-    accounts: DataFrame,
-    account_balances: DataFrame,
-    transaction_analytics: DataFrame,
-    customer_financial_summary: DataFrame,
-    customer_profile: DataFrame,
-    comprehensive_risk_profile: DataFrame,
-    product_penetration_analysis: DataFrame,
+def account_activity(
+    p: RunParams, accounts: DataFrame, account_balances: DataFrame, transaction_analytics: DataFrame
 ) -> DataFrame:
+    """What an account shows on its own: balance, movements, profitability."""
     base = accounts.select(
         ACCOUNT,
         CUSTOMER,
@@ -1026,7 +1011,7 @@ def account_performance_dashboard(
         "opened_date",
         "annual_interest_rate",
         "monthly_fee",
-        F.col("current_balance").alias("own_balance"),
+        "current_balance",
         *named(account_age_years=age_years("opened_date", p.now)),
     )
     movements = transaction_analytics.select(
@@ -1036,12 +1021,27 @@ def account_performance_dashboard(
         "net_cash_flow",
         "total_deposit_amount",
         "total_payment_amount",
-        F.col("total_fee_amount").alias("total_fees_paid"),
         "digital_transaction_percentage",
         "spending_category",
         "activity_level",
         "last_transaction_date",
+        *named(total_fees_paid="total_fee_amount"),
     )
+    joined = left_align(base, [balance_movement(account_balances), movements], ACCOUNT)
+    balance = named(balance="coalesce(latest_balance, current_balance)")
+    return joined.select("*", *balance).select(
+        "*", *named(account_profitability_score=clamped(*R.PROFITABILITY_PARTS))
+    )
+
+
+def account_performance_dashboard(
+    p: RunParams,
+    account_activity: DataFrame,
+    customer_financial_summary: DataFrame,
+    profile_core: DataFrame,
+    comprehensive_risk_profile: DataFrame,
+    product_penetration_analysis: DataFrame,
+) -> DataFrame:
     # One row per customer holds all that is known about the owner, so accounts are
     # moved to their owners once; that join is the one a large owner can skew, and
     # it has the accounts on the side the runtime may split.
@@ -1057,7 +1057,7 @@ def account_performance_dashboard(
                 "wealth_tier",
                 "total_investments",
             ),
-            customer_profile.select(
+            profile_core.select(
                 CUSTOMER,
                 F.col("full_name").alias("customer_name"),
                 "age",
@@ -1090,13 +1090,17 @@ def account_performance_dashboard(
         ],
         CUSTOMER,
     )
-    joined = (
-        left_align(base, [balance_movement(account_balances), movements], ACCOUNT)
-        .join(owner, CUSTOMER, "left")
-        .select("*", *named(balance="coalesce(latest_balance, own_balance)"))
-    )
-    return joined.select(
-        *base.drop("own_balance").columns,
+    return account_activity.join(owner, CUSTOMER, "left").select(
+        ACCOUNT,
+        CUSTOMER,
+        "account_number",
+        "product_type",
+        "account_status",
+        "opened_date",
+        "annual_interest_rate",
+        "monthly_fee",
+        "account_age_years",
+        "account_profitability_score",
         "customer_name",
         "relationship_years",
         "lifecycle_stage_name",
@@ -1144,7 +1148,6 @@ def account_performance_dashboard(
             current_balance="balance",
             customer_product_penetration="coalesce(product_penetration_score, 0)",
             customer_wealth_tier="wealth_tier",
-            account_profitability_score=clamped(*R.PROFITABILITY_PARTS),
             account_health_score=clamped(*R.HEALTH_PARTS),
             account_risk_flag=choice(R.ACCOUNT_RISK_FLAG),
             account_opportunity=choice(R.ACCOUNT_OPPORTUNITY),
@@ -1290,3 +1293,6 @@ MODELS = {
     "account_performance_dashboard": account_performance_dashboard,
     "customer_360_master": customer_360_master,
 }
+
+# Parts of models that other models read.
+PARTS = {"customer_base": customer_base, "profile_core": profile_core, "account_activity": account_activity}

@@ -66,7 +66,7 @@ def bank_queries() -> dict[str, Query]:
         gold.digital_preference_segments,
     ):
         named[step.__name__] = bank_report(gold.customer_health, step)
-    named["channel_product_effectiveness"] = bank_report(gold.product_customers, gold.channel_product_effectiveness)
+    named["channel_product_effectiveness"] = bank_report(gold.channel_product_effectiveness)
     named |= {f"alt_stg_{name}": bank_table(name, "alt") for name in ("loans", "customer_phones")}
     named |= {f"alt_int_{name}": bank_table(name, "alt") for name in alternative.ROLL_UPS}
     return named

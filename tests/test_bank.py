@@ -221,10 +221,9 @@ def test_product_weights_equal_the_repeated_rows(spark, bank):
     """The weighted report against the join that repeats a customer per account."""
     names = (
         "product_penetration_analysis",
-        "customer_profile",
+        "profile_core",
         "customer_financial_summary",
-        "account_performance_dashboard",
-        "channel_effectiveness",
+        "account_activity",
     )
     weighted = gold.product_customers(*[bank[name] for name in names])
     repeated = (
