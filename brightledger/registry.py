@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -11,9 +12,10 @@ from brightledger.operators.sections import union_sections
 from brightledger.plans import alternative, gold, insights, orders, silver, staging
 from brightledger.plans.bank import Bank
 from brightledger.rules import contracts
-from brightledger.session import prepared
+from brightledger.session import prepared, shared_folder
 from brightledger.sources.driver_tables import read_table, shop_frames
-from brightledger.sources.published import passthrough
+from brightledger.sources.published import passthrough, read_published, write_table
+from brightledger.sources.reference import load_orders_demo
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,7 +115,29 @@ def shop_queries() -> dict[str, Query]:
     def over(name: str) -> Query:
         return lambda spark, folder: portable(shop_table(name, shop_frames(spark, folder)))
 
-    return {registered: over(name) for registered, name in SHOP_TABLES.items()}
+    return {
+        **{registered: over(name) for registered, name in SHOP_TABLES.items()},
+        "stored_customer_summary": stored_customer_summary,
+        "csv_order_customers": csv_order_customers,
+    }
+
+
+def stored_customer_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The published customers and orders are written to the shared folder, and the
+    summary is built by a reader that knows only where they are."""
+    frames, place = shop_frames(spark, folder), f"{shared_folder(spark)}/published-{uuid4().hex}"
+    for name in ("published_customers", "published_orders"):
+        write_table(shop_table(name, frames), f"{place}/{name}")
+    customers, placed = (read_published(spark, f"{place}/{n}") for n in ("published_customers", "published_orders"))
+    return portable(orders.customer_summary(orders.customer_orders(customers, placed)))
+
+
+def csv_order_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """The order demo from typed CSV files."""
+    frames, place = shop_frames(spark, folder), f"{shared_folder(spark)}/csv-{uuid4().hex}"
+    for name in ("raw_customers", "raw_orders", "raw_payments"):
+        frames[name].write.option("header", True).csv(f"{place}/{name}.csv")
+    return portable(shop_table("customers", load_orders_demo(spark, place)))
 
 
 def over_tables(step, *tables: str) -> Query:

@@ -28,6 +28,8 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "bri
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # A report has more stages than the 100 compiled plans kept by default.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

@@ -123,6 +123,8 @@ def build(book: Book) -> None:
         "",
         ("customer_orders",),
     )
+    for stored, source in {"stored_customer_summary": "customer_summary", "csv_order_customers": "order_customers"}.items():
+        book.add_text(stored, f"SELECT * FROM {source}", book.columns[source], (source,))
     book.add(
         "numeric_grid_summary",
         {
