@@ -4,13 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightledger.llm import chat, oracle
+from brightledger.llm import chat, oracle, pieces, sharding
 from brightledger.llm.common import given
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SHARDS = 8
+
+
+def vocabulary() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_two_pass_shuffle(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents shuffled into eight shards, read from the shards that were written."""
+    made = sharding.write_shards(given(spark, folder, "documents"), "doc_id", "text", SHARDS)
+    doc_id, text = F.col("record.doc_id"), F.coalesce("record.text", F.lit(""))
+    return made.slotted().select(
+        doc_id.alias("doc_id"),
+        "size",
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        F.col("slot").cast("long").alias("slot"),
+        sharding.shard_of(doc_id, SHARDS + 1).alias("grown_shard"),
+    )
+
+
+def op8_greedy_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Greedy word-piece counts of every whole document."""
+    documents = given(spark, folder, "documents").select("doc_id", "text")
+    return pieces.count_tokens(documents, "text", vocabulary()).select("doc_id", "counts.*")
+
 
 def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, and conversation -1, whose texts hold the template's markers."""
@@ -33,6 +61,8 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_two_pass_shuffle": op1_two_pass_shuffle,
+    "op8_greedy_pieces": op8_greedy_pieces,
     "op9_chat_format": op9_chat_format,
 }
 
