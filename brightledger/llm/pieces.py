@@ -103,7 +103,7 @@ def count_tokens(texts: DataFrame, text: str, path: str) -> DataFrame:
     length are read whole; repeated rows stay; an existing column ``counts`` is replaced.
     """
     schema = T.StructType(
-        [f for f in texts.schema.fields if f.name != "counts"]
+        [f for f in texts.schema.fields if f.name.lower() != "counts"]
         + [T.StructField("counts", T.StructType([T.StructField(n, T.LongType()) for n in ("n_words", "n_tokens", "n_unknown")]))]
     )
 
@@ -135,7 +135,7 @@ def count_tokens(texts: DataFrame, text: str, path: str) -> DataFrame:
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
             found = pa.array([of_text(value.as_py()) for value in column], kind)
-            kept = [n for n in batch.schema.names if n != "counts"]
+            kept = [n for n in batch.schema.names if n.lower() != "counts"]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], found], [*kept, "counts"])
 
     return texts.mapInArrow(counted, schema)

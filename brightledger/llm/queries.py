@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightledger.llm import chat, oracle, pieces, sharding
+from brightledger.llm import chat, idfiles, oracle, packing, pieces, sharding
 from brightledger.llm.common import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,36 @@ def op1_two_pass_shuffle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids, found through the index and read from the files written."""
+    documents = given(spark, folder, "documents").select("doc_id", "text")
+    files, keys = idfiles.write_id_files(documents, vocabulary())
+    read = files.payload(files.located(keys), idfiles.ids_crc32)
+    return read.join(files.shards(), "shard").select(
+        "doc_id",
+        (F.col("first_id") + F.col("offset")).alias("start"),
+        F.col("length").alias("n_tokens"),
+        F.col("digest").alias("ids_crc32"),
+        "copy",
+        "shard",
+    )
+
+
+def op6_cost_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    pieces_of = packing.pack(given(spark, folder, "documents").select("doc_id", "text"), vocabulary())
+    return pieces_of.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+        "cost",
+    )
+
+
 def op8_greedy_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Greedy word-piece counts of every whole document."""
     documents = given(spark, folder, "documents").select("doc_id", "text")
@@ -62,6 +92,8 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_two_pass_shuffle": op1_two_pass_shuffle,
+    "op5_id_files": op5_id_files,
+    "op6_cost_packing": op6_cost_packing,
     "op8_greedy_pieces": op8_greedy_pieces,
     "op9_chat_format": op9_chat_format,
 }
