@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightledger.llm import chat, idfiles, oracle, packing, pieces, sharding
+from brightledger.llm import chat, idfiles, langid, oracle, packing, pieces, sharding
 from brightledger.llm.common import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,19 @@ def op6_cost_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """The languages of every document, from the documents that are not held out."""
+    documents = given(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = langid.learn_from_folds(documents)
+    return langid.identify(documents.select("doc_id", "text"), model).select(
+        "doc_id",
+        langid.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("language.pred").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+        F.transform("language.mixture", lambda m: m["lang"]).alias("languages"),
+    )
+
+
 def op8_greedy_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Greedy word-piece counts of every whole document."""
     documents = given(spark, folder, "documents").select("doc_id", "text")
@@ -94,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op1_two_pass_shuffle": op1_two_pass_shuffle,
     "op5_id_files": op5_id_files,
     "op6_cost_packing": op6_cost_packing,
+    "op7_language_mixture": op7_language_mixture,
     "op8_greedy_pieces": op8_greedy_pieces,
     "op9_chat_format": op9_chat_format,
 }
