@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightledger.llm import chat, idfiles, langid, oracle, packing, pieces, sharding
+from brightledger.llm import chat, idfiles, langid, oracle, packing, pieces, sharding, vectors
 from brightledger.llm.common import given
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 8
+COSINE = 0.98
 
 
 def vocabulary() -> str:
@@ -103,6 +104,11 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_pivot_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all vectors."""
+    return vectors.near_duplicates(given(spark, folder, "embeddings"), COSINE)
+
+
 QUERIES: dict[str, Query] = {
     "op1_two_pass_shuffle": op1_two_pass_shuffle,
     "op5_id_files": op5_id_files,
@@ -110,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op7_language_mixture": op7_language_mixture,
     "op8_greedy_pieces": op8_greedy_pieces,
     "op9_chat_format": op9_chat_format,
+    "op10_pivot_index": op10_pivot_index,
 }
 
 ORACLE_SQL: dict[str, str] = {
