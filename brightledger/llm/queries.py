@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightledger.llm import chat, idfiles, langid, minhash, oracle, packing, pieces, sharding, vectors
+from brightledger.llm import chat, decontaminate, idfiles, langid, minhash, oracle, packing, pieces, sharding, vectors
 from brightledger.llm.common import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,12 @@ def op1_two_pass_shuffle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The benchmark items that every document holds, as they are or with other values."""
+    documents = given(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.contaminated(documents, given(spark, folder, "benchmark").select("item_id", "text"))
+
+
 def op4_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """The class of near-duplicates of every document."""
     return minhash.near_duplicates(given(spark, folder, "documents").select("doc_id", "text"))
@@ -116,6 +122,7 @@ def op10_pivot_index(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_two_pass_shuffle": op1_two_pass_shuffle,
+    "op2_template_decontamination": op2_template_decontamination,
     "op4_dart_minhash": op4_dart_minhash,
     "op5_id_files": op5_id_files,
     "op6_cost_packing": op6_cost_packing,
