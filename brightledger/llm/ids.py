@@ -9,13 +9,16 @@ import numpy as np
 
 # White space that separates tokens under any of the vocabularies used here. Texts are cut
 # there, words are encoded once each, and the ids are put together again.
+# ``str.split`` parts at white space and at the four separator controls, which are none.
+_SEPARATORS = re.compile(r"[\x1c-\x1f]")
 _BLANKS = re.compile(r"[ \t\n\r\f\v]+")
 # Words of these characters need no normalisation but lower case, and fall into parts as the
 # vocabulary's own pattern has them; the library's model encodes the parts. Other words go
 # through the library's whole pipeline, which costs five times as much.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-# Words kept per process; beyond it the memory starts anew, which changes no result.
+# Words, and parts of words, kept per process; beyond it the memory starts anew, which
+# changes no result.
 WORDS_KEPT = 400_000
 # A word longer than this is encoded each time.
 LONG_WORD = 64
@@ -46,35 +49,48 @@ class WordEncoder:
         # is, so they may span it; texts that hold one are encoded in one piece.
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.letters = self.tokenizer.model, byte_letters()
-        self.known: dict[str, tuple[int, ...]] = {}
+        # Ids as they lie in memory, so that those of a text are put together by one join.
+        self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _part(self, part: str) -> bytes:
+        letters = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
+        ids = np.array([token.id for token in self.model.tokenize(letters)], "<u4").tobytes()
+        if len(self.parts) >= WORDS_KEPT:
+            self.parts.clear()
+        if len(part) <= LONG_WORD:
+            self.parts[part] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
         if not _PLAIN.fullmatch(word):
-            return tuple(self._whole(word))
-        ids: list[int] = []
-        for part in _PARTS.findall(word.lower()):
-            if not part.isascii():
-                part = "".join([self.letters[b] for b in part.encode()])
-            ids += [token.id for token in self.model.tokenize(part)]
-        return tuple(ids)
+            return self._whole(word)
+        return b"".join([self.parts.get(part) or self._part(part) for part in _PARTS.findall(word.lower())])
 
     def encode(self, text: str | None, end: int) -> np.ndarray:
         """The ids of a text and then ``end``; null counts as empty."""
         text = text or ""
+        last = end.to_bytes(4, "little")
         if any(s in text for s in self.special):
-            return np.array([*self._whole(text), end], "<u4")
-        known, ids = self.known, []
-        for word in _BLANKS.split(text):
-            found = known.get(word)
-            if found is None:
-                found = self._word(word) if word else ()
-                if len(word) <= LONG_WORD:
-                    if len(known) >= WORDS_KEPT:
-                        known.clear()
-                    known[word] = found
-            ids += found
-        ids.append(end)
-        return np.array(ids, "<u4")
+            return np.frombuffer(self._whole(text) + last, "<u4")
+        words = _BLANKS.split(text) if _SEPARATORS.search(text) else text.split()
+        found = list(map(self.known.get, words))
+        if None in found:
+            for at, ids in enumerate(found):
+                if ids is None:
+                    found[at] = self._new(words[at])
+        found.append(last)
+        return np.frombuffer(b"".join(found), "<u4")
+
+    def _new(self, word: str) -> bytes:
+        ids = self.known.get(word)
+        if ids is None:
+            ids = self._word(word)
+            if len(self.known) >= WORDS_KEPT:
+                self.known.clear()
+            if len(word) <= LONG_WORD:
+                self.known[word] = ids
+        return ids
