@@ -2,8 +2,8 @@
 
 A folder holds
 
-* ``ids/<shard>.bin``: the raw ids of consecutive documents, little-endian unsigned 32-bit,
-  nothing between them;
+* ``ids/<shard>.bin``: the raw ids of consecutive documents, little-endian and unsigned, of 16
+  bits if all ids of the vocabulary fit and of 32 otherwise, nothing between them;
 * ``shards/``: a Parquet table (shard, first_id, n_ids): how many ids lie before a shard;
 * ``index/<bucket>.npz``: a minimal perfect hash over the document keys of a hash bucket and,
   at each key's number, its fingerprint, shard, offset in ids and length.
@@ -136,6 +136,7 @@ class IdFiles:
     spark: SparkSession
     folder: str
     buckets: int
+    kind: str  # of an id: <u2 or <u4
 
     def shards(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/shards")
@@ -159,8 +160,9 @@ class IdFiles:
         return bucketed(keys.select("doc_id", "copy"), self.buckets).groupBy("bucket").applyInArrow(look_up, _PLACES_DDL)
 
     def payload(self, places: DataFrame, digest) -> DataFrame:
-        """``digest`` (bytes to a whole number) of the ids at each (shard, offset, length),
-        read in file order, with the columns of ``places``."""
+        """``digest`` (an array of ids to a whole number) of the ids at each (shard, offset,
+        length), read in file order, with the columns of ``places``."""
+        kind = np.dtype(self.kind)
         folder, schema = self.folder, f"{_ddl(places)}, digest long"
 
         def read(batches):
@@ -173,9 +175,9 @@ class IdFiles:
                         if file is not None:
                             file.close()
                         shard, file = at, files.open_input_file(f"{path}/{at}.bin")
-                    file.seek(4 * offset)
-                    ids = file.read(4 * length)
-                    if len(ids) != 4 * length:
+                    file.seek(kind.itemsize * offset)
+                    ids = np.frombuffer(file.read(kind.itemsize * length), kind)
+                    if len(ids) != length:
                         raise ValueError(f"shard {at} ends before {offset + length} ids")
                     found.append(digest(ids))
                 yield batch.append_column("digest", pa.array(found, pa.int64()))
@@ -223,6 +225,7 @@ def write_id_files(
     """
     spark = documents.sparkSession
     folder = fresh_folder(spark, "token-ids")
+    kind = "<u2" if max(end_id + 1, encoder(tokenizer).tokenizer.get_vocab_size()) <= 1 << 16 else "<u4"
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
     total, rows = documents.agg(F.coalesce(F.sum(size), F.lit(0)), F.count("*")).first()
     shards, buckets = max(1, -(-total // shard_bytes)), max(1, -(-rows // bucket_keys))
@@ -237,7 +240,7 @@ def write_id_files(
             lengths = []
             for text in batch.column("text"):
                 ids = encoder(tokenizer).encode(text.as_py(), end_id)
-                file.out.write(ids.tobytes())
+                file.out.write(ids.astype(kind).tobytes())
                 lengths.append(len(ids))
             ends = offset + np.cumsum(lengths, dtype=np.int64)
             yield pa.RecordBatch.from_pydict(
@@ -279,8 +282,9 @@ def write_id_files(
 
     keys = bucketed(entries, buckets).groupBy("bucket").applyInArrow(index, "doc_id long, copy long")
     keys.write.parquet(f"{folder}/keys")
-    return IdFiles(spark, folder, buckets), spark.read.parquet(f"{folder}/keys")
+    return IdFiles(spark, folder, buckets, kind), spark.read.parquet(f"{folder}/keys")
 
 
-def ids_crc32(ids: bytes) -> int:
-    return crc32(ids)
+def ids_crc32(ids: np.ndarray) -> int:
+    """crc32 of the ids as little-endian unsigned 32-bit integers."""
+    return crc32(ids.astype("<u4").tobytes())
