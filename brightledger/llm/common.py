@@ -27,15 +27,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(place)
 
 
-def text_or_empty(text: Column) -> Column:
-    return F.coalesce(text, F.lit(""))
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row, however often it is used: the
+    optimizer puts a column's expression in place of its name, but not a lambda's argument."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a row without id counts as ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
-
-
-def raised(data) -> list[bytes]:
-    """The UTF-8 bytes of each text of an Arrow column; null counts as empty."""
-    return [b"" if value is None else value.encode("utf-8", "surrogatepass") for value in data.to_pylist()]

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brightledger.llm.common import stored
+from brightledger.llm.common import let, stored
 
 WINDOW = 8
 # Words of a window that are no placeholder, at least.
@@ -52,44 +52,48 @@ def _kind(token: Column, before: Column) -> Column:
     )
 
 
-def _with_tokens(df: DataFrame, text: Column) -> DataFrame:
-    cut = df.withColumn("_tokens", F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)))
-    return cut.withColumn("_before", F.concat(F.array(F.lit(".")), F.slice("_tokens", 1, F.greatest(F.size("_tokens") - 1, F.lit(0)))))
+def _tokens(text: Column, of_token) -> Column:
+    """``of_token(token, the one before it)`` for each token of the text, breaks included; a
+    text begins like a sentence."""
+    cut = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
+    shifted = lambda t: F.concat(F.array(F.lit(".")), F.slice(t, 1, F.greatest(F.size(t) - 1, F.lit(0))))
+    return let(cut, lambda t: F.zip_with(t, shifted(t), of_token))
 
 
-def templates(df: DataFrame, text: Column) -> DataFrame:
-    """``df`` with ``_template``, the words and placeholders of the text without breaks."""
-    kinds = _with_tokens(df, text).withColumn("_template", F.zip_with("_tokens", "_before", _kind))
-    return kinds.withColumn("_template", F.filter("_template", lambda k: k != BREAK)).drop("_tokens", "_before")
+def template(text: Column) -> Column:
+    """The words and placeholders of a text, without breaks."""
+    return F.filter(_tokens(text, _kind), lambda k: k != BREAK)
 
 
-def slots(df: DataFrame, text: Column) -> DataFrame:
-    """``df`` with ``_slots``: for each word of the template its kind and value."""
+def slots(text: Column) -> Column:
+    """The kind and the value of each word of the template."""
     pair = lambda t, b: F.struct(_kind(t, b).alias("kind"), F.lower(t).alias("value"))
-    kinds = _with_tokens(df, text).withColumn("_slots", F.zip_with("_tokens", "_before", pair))
-    return kinds.withColumn("_slots", F.filter("_slots", lambda s: s["kind"] != BREAK)).drop("_tokens", "_before")
+    return F.filter(_tokens(text, pair), lambda s: s["kind"] != BREAK)
 
 
-def windows(df: DataFrame, text: Column) -> DataFrame:
-    """``df`` with ``_windows``: a hash of each window of the template, in order. Pairs, fours
-    and eights are hashed in turn, so a word is handled three times, not eight."""
-    made = templates(df, text).withColumn("_n", F.size("_template"))
-    made = made.withColumn("_h", F.transform("_template", lambda k: F.xxhash64(k))).drop("_template")
-    for step in (1, 2, 4):
-        shifted = F.slice("_h", step + 1, F.greatest(F.size("_h") - step, F.lit(0)))
-        made = made.withColumn("_next", shifted).withColumn("_h", F.zip_with("_h", "_next", lambda a, b: F.xxhash64(a, b)))
-    return made.withColumn("_windows", F.slice("_h", 1, F.greatest(F.col("_n") - (WINDOW - 1), F.lit(0)))).drop("_h", "_next", "_n")
+def windows(text: Column) -> Column:
+    """A hash of each window of the template, in order. Pairs, fours and eights are hashed in
+    turn, so a word is handled three times, not eight."""
+
+    def doubled(hashes: Column, step: int) -> Column:
+        def paired(h: Column) -> Column:
+            shifted = F.slice(h, step + 1, F.greatest(F.size(h) - step, F.lit(0)))
+            return F.zip_with(F.slice(h, 1, F.greatest(F.size(h) - step, F.lit(0))), shifted, lambda a, b: F.xxhash64(a, b))
+
+        return let(hashes, paired)
+
+    words = F.transform(template(text), lambda k: F.xxhash64(k))
+    return doubled(doubled(doubled(words, 1), 2), 4)
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """(window, item_id, at, least): the windows with enough literal words and how many of
     them in a row make a match of the item."""
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
-    made = templates(windows(items, F.col("text")), F.col("text"))
-    placeholder = F.transform("_template", lambda k: k.startswith("<").cast("int"))
-    made = made.withColumn("_placeholder", placeholder).where(F.size("_windows") > 0)
-    made = made.select("item_id", F.size("_windows").alias("n"), F.posexplode("_windows").alias("at", "window"), "_placeholder")
-    literal = WINDOW - F.aggregate(F.slice("_placeholder", F.col("at") + 1, WINDOW), F.lit(0), lambda a, b: a + b)
+    placeholder = F.transform(template(F.col("text")), lambda k: k.startswith("<").cast("int"))
+    made = items.select("item_id", windows(F.col("text")).alias("windows"), placeholder.alias("placeholder"))
+    made = made.select("item_id", F.size("windows").alias("n"), F.posexplode("windows").alias("at", "window"), "placeholder")
+    literal = WINDOW - F.aggregate(F.slice("placeholder", F.col("at") + 1, WINDOW), F.lit(0), lambda a, b: a + b)
     # An item counts once for each place of a window; repeated rows of an item are one.
     return made.where(literal >= LITERALS).select("window", "item_id", "at", F.least(F.lit(RUN - WINDOW + 1), F.col("n")).alias("least")).distinct()
 
@@ -114,8 +118,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     if looked_for.count() <= BROADCAST_WINDOWS:
         looked_for = F.broadcast(looked_for)
     keyed = documents.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
-    in_texts = windows(keyed.where("text IS NOT NULL"), F.col("text"))
-    exploded = in_texts.select("doc_id", "row", F.posexplode("_windows").alias("place", "window"))
+    exploded = keyed.where("text IS NOT NULL").select("doc_id", "row", F.posexplode(windows(F.col("text"))).alias("place", "window"))
     runs = (
         exploded.join(looked_for, "window")
         .groupBy("doc_id", "row", "item_id", (F.col("place") - F.col("at")).alias("shift"))
@@ -134,19 +137,22 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     same_row = [F.col("d.row") == F.col("m.row"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))]
     held = found.alias("m").join(keyed.alias("d"), same_row).select("m.*", "d.text")
-    held = slots(held.dropDuplicates(["doc_id", "row", "item_id", "shift", "first"]), F.col("text")).drop("text")
-    held = held.withColumn("_doc", F.slice("_slots", F.col("first") + 1, F.col("words"))).drop("_slots")
-    items = slots(benchmark.select("item_id", "text").distinct(), F.col("text")).drop("text")
-    both = held.join(items, "item_id").withColumn("_item", F.slice("_slots", F.col("first") - F.col("shift") + 1, F.col("words")))
-    pairs = F.zip_with(
-        "_doc", "_item", lambda d, i: F.struct(d["kind"].alias("kind"), i["kind"].alias("item_kind"), d["value"].alias("value"), i["value"].alias("item_value"))
+    held = held.dropDuplicates(["doc_id", "row", "item_id", "shift", "first"])
+    held = held.withColumn("in_text", F.slice(slots(F.col("text")), F.col("first") + 1, F.col("words"))).drop("text")
+    items = benchmark.select("item_id", slots(F.col("text")).alias("item")).distinct()
+    in_item = F.slice("item", F.col("first") - F.col("shift") + 1, F.col("words"))
+    pair = lambda d, i: F.struct(
+        d["kind"].alias("kind"), i["kind"].alias("item_kind"), d["value"].alias("value"), i["value"].alias("item_value")
     )
-    both = both.withColumn("_pairs", pairs)
-    fits = F.forall("_pairs", lambda p: p["kind"].eqNullSafe(p["item_kind"]))
-    filled = F.array_distinct(F.filter("_pairs", lambda p: p["kind"].startswith("<")))
-    both = both.withColumn("_fits", fits).withColumn("_filled", filled)
-    of = lambda name: F.size(F.array_distinct(F.transform("_filled", lambda p: F.struct(p["kind"], p[name]))))
-    consistent = both.where(F.col("_fits") & (of("value") == F.size("_filled")) & (of("item_value") == F.size("_filled")))
+    pairs = held.join(items, "item_id").select("doc_id", "row", "item_id", F.zip_with("in_text", in_item, pair).alias("pairs"))
+
+    def consistent(pairs: Column) -> Column:
+        filled = F.array_distinct(F.filter(pairs, lambda p: p["kind"].startswith("<")))
+        values = lambda f, name: F.size(F.array_distinct(F.transform(f, lambda p: F.struct(p["kind"], p[name]))))
+        one_to_one = let(filled, lambda f: (values(f, "value") == F.size(f)) & (values(f, "item_value") == F.size(f)))
+        return F.forall(pairs, lambda p: p["kind"].eqNullSafe(p["item_kind"])) & one_to_one
+
+    consistent = pairs.where(consistent(F.col("pairs")))
     flagged = consistent.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
 
     left, right = keyed.select("doc_id", "row").alias("d"), flagged.alias("m")
