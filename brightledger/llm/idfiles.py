@@ -16,35 +16,23 @@ the key's number. A key that was never stored fails the 32-bit fingerprint, exce
 
 from __future__ import annotations
 
-import io
 from dataclasses import dataclass
 from functools import lru_cache
-from uuid import uuid4
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from brightledger.llm.common import fresh_folder
+from brightledger.llm.files import NewFile, load_arrays, opened, save_arrays
 from brightledger.llm.ids import encoder
+from brightledger.llm.shingles import mixed
 
 END_ID = 2
 SHARD_BYTES = 8 << 20  # of text
 BUCKET_KEYS = 1 << 16
 GAMMA = 2.0
-_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-
-
-def mixed(x: np.ndarray, seed: int) -> np.ndarray:
-    """A 64-bit hash of 64-bit values (the finaliser of splitmix64)."""
-    with np.errstate(over="ignore"):
-        x = x.astype(np.uint64) + np.uint64(seed + 1) * _MIX[0]
-        x = (x ^ (x >> np.uint64(30))) * _MIX[1]
-        x = (x ^ (x >> np.uint64(27))) * _MIX[2]
-    return x ^ (x >> np.uint64(31))
-
 
 def key_hash(keys: pa.Table | pa.RecordBatch) -> np.ndarray:
     """One 64-bit hash of doc_id (which may be null) and copy."""
@@ -113,24 +101,6 @@ _PLACES = pa.schema(
 )
 
 
-def _opened(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder)
-
-
-class _NewFile:
-    """A file that appears under its name when it is whole, so a task may run twice."""
-
-    def __init__(self, folder: str, name: str):
-        self.files, path = _opened(folder)
-        self.name, self.part = f"{path}/{name}", f"{path}/.{name}.{uuid4().hex}"
-        self.files.create_dir(path, recursive=True)
-        self.out = self.files.open_output_stream(self.part)
-
-    def close(self):
-        self.out.close()
-        self.files.move(self.part, self.name)
-
-
 @dataclass(frozen=True)
 class IdFiles:
     spark: SparkSession
@@ -166,7 +136,7 @@ class IdFiles:
         folder, schema = self.folder, f"{_ddl(places)}, digest long"
 
         def read(batches):
-            files, path = _opened(f"{folder}/ids")
+            files, path = opened(f"{folder}/ids")
             shard, file = None, None
             for batch in batches:
                 found = []
@@ -198,13 +168,8 @@ def fingerprint(hashes: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=4)
 def index_bucket(folder: str, bucket: int) -> dict | None:
-    files, path = _opened(f"{folder}/index")
-    name = f"{path}/{bucket}.npz"
-    if files.get_file_info(name).type == fs.FileType.NotFound:
-        return None
-    with files.open_input_file(name) as file:
-        stored = dict(np.load(io.BytesIO(file.read())))
-    return stored | {"hash": PerfectHash.unpacked(stored)}
+    stored = load_arrays(f"{folder}/index", f"{bucket}.npz")
+    return stored and stored | {"hash": PerfectHash.unpacked(stored)}
 
 
 def write_id_files(
@@ -236,7 +201,7 @@ def write_id_files(
         for batch in batches:
             if shard is None and batch.num_rows:
                 shard = batch.column("shard")[0].as_py()
-                file = _NewFile(f"{folder}/ids", f"{shard}.bin")
+                file = NewFile(f"{folder}/ids", f"{shard}.bin")
             lengths = []
             for text in batch.column("text"):
                 ids = encoder(tokenizer).encode(text.as_py(), end_id)
@@ -273,11 +238,7 @@ def write_id_files(
         at = np.empty(len(hashes), np.int64)
         at[made.numbers(hashes)] = np.arange(len(hashes))
         columns = {name: table[name].to_numpy()[at] for name in ("shard", "offset", "length")}
-        data = io.BytesIO()
-        np.savez(data, **made.packed(), **columns, print=fingerprint(hashes)[at])
-        file = _NewFile(f"{folder}/index", f"{bucket[0].as_py()}.npz")
-        file.out.write(data.getbuffer())
-        file.close()
+        save_arrays(f"{folder}/index", f"{bucket[0].as_py()}.npz", **made.packed(), **columns, print=fingerprint(hashes)[at])
         return table.select(["doc_id", "copy"])
 
     keys = bucketed(entries, buckets).groupBy("bucket").applyInArrow(index, "doc_id long, copy long")

@@ -30,9 +30,9 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
         return tuple(np.concatenate([[np.uint64(1)], np.cumprod(np.full(size, b, np.uint64))]) for b in (_BASE, inverse))
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """A 64-bit hash of each word (what ASCII white space parts) of the lower-case text."""
-    raw = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of each word (what ASCII white space parts) of a text's bytes."""
+    raw = np.frombuffer(text, np.uint8)
     found, at = [], 0
     while at < len(raw):
         end = min(len(raw), at + SLICE)
@@ -57,7 +57,7 @@ def _hashed(raw: np.ndarray) -> np.ndarray:
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     """Hashes of all runs of ``words`` words, in order. A text of fewer words, but at least
     one, is a single shingle; null and a text without words have none."""
-    hashed = word_hashes(text) if text else np.zeros(0, np.uint64)
+    hashed = word_hashes(text.lower().encode("utf-8", "surrogatepass")) if text else np.zeros(0, np.uint64)
     if not len(hashed):
         return hashed
     words = min(words, len(hashed))
