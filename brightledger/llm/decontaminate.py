@@ -98,16 +98,16 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     return made.where(literal >= LITERALS).select("window", "item_id", "at", F.least(F.lit(RUN - WINDOW + 1), F.col("n")).alias("least")).distinct()
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per row of ``documents`` (doc_id, text): doc_id, ``contaminated`` and
-    ``item_ids``, the benchmark items (item_id, text) found in it, ascending.
+def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, row, item_ids) of the texts of ``documents`` (doc_id, text) that hold items of
+    ``benchmark`` (item_id, text): ``row`` is a hash of both columns, the items ascend.
 
     A document holds an item if at least ``RUN`` words of the item's template (or all of a
     shorter item) lie in its template in a row, and the values in their slots map one to one.
     Items of fewer than ``WINDOW`` words are too unspecific and never found. Null and empty
     texts hold nothing; rows of the benchmark without id or text are ignored; an item_id with
-    several texts is found if one of them is; a null doc_id is kept as it is and repeated rows
-    stay; texts are read whole, of any length. Other columns are ignored; an empty table of
+    several texts is found if one of them is; a null doc_id is an id like any other and repeated rows
+    have one result; texts are read whole, of any length. Other columns are ignored; an empty table of
     documents gives no rows, an empty benchmark finds nothing.
 
     Words are exploded only as hashes of windows. The benchmark's windows are broadcast if a
@@ -117,7 +117,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     looked_for = stored(benchmark_windows(benchmark), "benchmark-windows")
     if looked_for.count() <= BROADCAST_WINDOWS:
         looked_for = F.broadcast(looked_for)
-    keyed = documents.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
+    keyed = documents.select("doc_id", _row().alias("row"), "text")
     exploded = keyed.where("text IS NOT NULL").select("doc_id", "row", F.posexplode(windows(F.col("text"))).alias("place", "window"))
     runs = (
         exploded.join(looked_for, "window")
@@ -155,9 +155,28 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     consistent = pairs.where(consistent(F.col("pairs")))
     flagged = consistent.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
 
-    left, right = keyed.select("doc_id", "row").alias("d"), flagged.alias("m")
+    return stored(flagged, "contaminated")
+
+
+def _row() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per row of ``documents``: doc_id, ``contaminated`` and ``item_ids`` as in
+    ``matches``, empty for the others."""
+    left = documents.select("doc_id", _row().alias("row")).alias("d")
+    right = matches(documents, benchmark).alias("m")
+    same_row = [F.col("d.row") == F.col("m.row"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))]
     return left.join(right, same_row, "left").select(
         F.col("d.doc_id").alias("doc_id"),
         F.col("m.item_ids").isNotNull().alias("contaminated"),
         F.coalesce("m.item_ids", F.array().cast("array<long>")).alias("item_ids"),
     )
+
+
+def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``documents``, all columns, that hold no benchmark item."""
+    found = matches(documents, benchmark).alias("m")
+    same_row = [F.xxhash64("d.doc_id", "d.text") == F.col("m.row"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))]
+    return documents.alias("d").join(found, same_row, "left_anti")

@@ -183,6 +183,14 @@ def near_duplicates(documents: DataFrame, threshold: float = SIMILARITY, counted
     return own.union(missing).select("doc_id", "class_id", F.coalesce(F.col("class_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def keep_one(documents: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+    """The rows of ``documents``, all columns, that stay: of each class the row with the
+    smallest doc_id, of rows that repeat it any one, and rows without doc_id."""
+    kept = near_duplicates(documents.select("doc_id", "text"), threshold).where("kept AND doc_id IS NOT NULL")
+    one = documents.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return one.select(documents.columns).union(documents.where("doc_id IS NULL"))
+
+
 def _verified(documents: DataFrame, nodes: DataFrame, groups: DataFrame, threshold: float, counted: bool) -> DataFrame:
     """Links (a, b) that join the texts of each candidate group into their classes."""
     grouped = groups.union(groups.select(F.col("component").alias("id"), "component").distinct())
