@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightledger.llm import chat, decontaminate, idfiles, langid, minhash, oracle, packing, pieces, sharding, vectors
-from brightledger.llm.common import given
+from brightledger.llm import chat, contexttree, decontaminate, idfiles, langid, minhash, oracle, packing, pieces, sharding, vectors
+from brightledger.llm.common import fold, given
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,22 @@ def op2_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(documents, given(spark, folder, "benchmark").select("item_id", "text"))
 
 
+def op3_context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The log probability of every whole document under context-tree weighting."""
+    held_out = fold(F.col("doc_id"), contexttree.TRAIN_FOLDS) == contexttree.HELD_OUT_FOLD
+    documents = given(spark, folder, "documents").select("doc_id", (~held_out).alias("train"), "text")
+    return contexttree.score(documents).select(
+        "doc_id",
+        (~F.col("train")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+        "bits_per_byte",
+    )
+
+
 def op4_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """The class of near-duplicates of every document."""
     return minhash.near_duplicates(given(spark, folder, "documents").select("doc_id", "text"))
@@ -123,6 +139,7 @@ def op10_pivot_index(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_two_pass_shuffle": op1_two_pass_shuffle,
     "op2_template_decontamination": op2_template_decontamination,
+    "op3_context_tree": op3_context_tree,
     "op4_dart_minhash": op4_dart_minhash,
     "op5_id_files": op5_id_files,
     "op6_cost_packing": op6_cost_packing,
