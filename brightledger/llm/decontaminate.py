@@ -103,7 +103,8 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``benchmark`` (item_id, text): ``row`` is a hash of both columns, the items ascend.
 
     A document holds an item if at least ``RUN`` words of the item's template (or all of a
-    shorter item) lie in its template in a row, and the values in their slots map one to one.
+    shorter item) lie in its template in a row, and the values in the slots there, and on as
+    far as the templates agree, map one to one.
     Items of fewer than ``WINDOW`` words are too unspecific and never found. Null and empty
     texts hold nothing; rows of the benchmark without id or text are ignored; an item_id with
     several texts is found if one of them is; a null doc_id is an id like any other and repeated rows
@@ -131,28 +132,38 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         cut.groupBy("doc_id", "row", "item_id", "shift", (F.col("place") - F.col("rank")).alias("run"))
         .agg(F.min("place").alias("first"), F.count("*").alias("n"), F.max("least").alias("least"))
         .where("n >= least")
-        .select("doc_id", "row", "item_id", "shift", "first", (F.col("n") + WINDOW - 1).cast("int").alias("words"))
+        .withColumn("end", F.col("first") + F.col("n") + (WINDOW - 1))
+        .groupBy("doc_id", "row", "item_id", "shift")
+        .agg(F.min("first").alias("first"), (F.max("end") - F.min("first")).cast("int").alias("words"))
     )
     found = stored(found, "matches")
 
     same_row = [F.col("d.row") == F.col("m.row"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))]
     held = found.alias("m").join(keyed.alias("d"), same_row).select("m.*", "d.text")
-    held = held.dropDuplicates(["doc_id", "row", "item_id", "shift", "first"])
-    held = held.withColumn("in_text", F.slice(slots(F.col("text")), F.col("first") + 1, F.col("words"))).drop("text")
+    held = held.dropDuplicates(["doc_id", "row", "item_id", "shift"])
     items = benchmark.select("item_id", slots(F.col("text")).alias("item")).distinct()
-    in_item = F.slice("item", F.col("first") - F.col("shift") + 1, F.col("words"))
     pair = lambda d, i: F.struct(
         d["kind"].alias("kind"), i["kind"].alias("item_kind"), d["value"].alias("value"), i["value"].alias("item_value")
     )
-    pairs = held.join(items, "item_id").select("doc_id", "row", "item_id", F.zip_with("in_text", in_item, pair).alias("pairs"))
+    # The whole item laid over the text at its shift.
+    begin = F.greatest("shift", F.lit(0))
+    held = held.withColumn("begin", begin).withColumn("in_text", slots(F.col("text"))).drop("text").join(items, "item_id")
+    size = F.least(F.size("item") + F.col("shift"), F.size("in_text")) - F.col("begin")
+    laid = F.zip_with(F.slice("in_text", F.col("begin") + 1, size), F.slice("item", F.col("begin") - F.col("shift") + 1, size), pair)
+    pairs = held.select("doc_id", "row", "item_id", (F.col("first") - F.col("begin")).alias("from"), "words", laid.alias("pairs"))
 
     def consistent(pairs: Column) -> Column:
-        filled = F.array_distinct(F.filter(pairs, lambda p: p["kind"].startswith("<")))
+        """Whether the slots map one to one, value by value, as far as the template agrees on
+        both sides of the run that was found."""
+        places = F.transform(pairs, lambda p, n: F.when(~p["kind"].eqNullSafe(p["item_kind"]), n))
+        low = lambda wrong: F.coalesce(F.array_max(F.filter(wrong, lambda n: n < F.col("from"))) + 1, F.lit(0))
+        high = lambda wrong: F.coalesce(F.array_min(F.filter(wrong, lambda n: n >= F.col("from") + F.col("words"))), F.size(pairs))
+        agreed = let(F.array_compact(places), lambda wrong: F.slice(pairs, low(wrong) + 1, high(wrong) - low(wrong)))
+        both = F.filter(agreed, lambda p: p["kind"].startswith("<") & p["kind"].eqNullSafe(p["item_kind"]))
         values = lambda f, name: F.size(F.array_distinct(F.transform(f, lambda p: F.struct(p["kind"], p[name]))))
-        one_to_one = let(filled, lambda f: (values(f, "value") == F.size(f)) & (values(f, "item_value") == F.size(f)))
-        return F.forall(pairs, lambda p: p["kind"].eqNullSafe(p["item_kind"])) & one_to_one
+        return let(F.array_distinct(both), lambda f: (values(f, "value") == F.size(f)) & (values(f, "item_value") == F.size(f)))
 
-    consistent = pairs.where(consistent(F.col("pairs")))
+    consistent = pairs.where(let(F.col("pairs"), consistent))
     flagged = consistent.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
 
     return stored(flagged, "contaminated")
