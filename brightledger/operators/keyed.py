@@ -9,17 +9,28 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def align(summaries: Sequence[DataFrame], key: str) -> DataFrame:
-    """Full outer alignment of summaries that hold at most one row per key.
+    """Full outer join of summaries that were each aggregated by ``key``, so that they hold at
+    most one row per key; others go through ``outer_join``.
 
     The summaries are stacked and merged by one ``groupBy``. Each of them is already
     hash-partitioned on the key by its own aggregation, the union keeps that
     partitioning, and so the merge needs no further shuffle; a chain of full joins on
     a running ``coalesce`` key would reshuffle everything once per join. Measures a
-    key lacks come out NULL. Column names must differ between summaries. Rows without
-    a key are merged into one.
+    key lacks come out NULL. Column names must differ between summaries. As in a join, a
+    missing key matches nothing: such a row of each summary stays a row of its own.
     """
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), summaries)
-    return stacked.groupBy(key).agg(*[F.expr(f"max({name}) AS {name}") for name in stacked.columns if name != key])
+    marked = [
+        summary.withColumn("_unmatched", F.expr(f"CASE WHEN {key} IS NULL THEN {number} END"))
+        for number, summary in enumerate(summaries)
+    ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+    measures = [name for name in stacked.columns if name not in (key, "_unmatched")]
+    return stacked.groupBy(key, "_unmatched").agg(*[F.expr(f"max({name}) AS {name}") for name in measures]).drop("_unmatched")
+
+
+def outer_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Full outer join on ``key``, for frames in which a key may be repeated or missing."""
+    return left.join(right, key, "full")
 
 
 def left_align(base: DataFrame, others: Sequence[DataFrame], key: str) -> DataFrame:

@@ -107,26 +107,10 @@ def customer_health(
     )
 
 
-def executive_customer_dashboard(
-    p: RunParams,
-    profile_core: DataFrame,
-    customer_financial_summary: DataFrame,
-    comprehensive_risk_profile: DataFrame,
-    channel_effectiveness: DataFrame,
-    customer_retention_analytics: DataFrame,
-    product_penetration_analysis: DataFrame,
-) -> DataFrame:
-    health = customer_health(
-        profile_core,
-        customer_financial_summary,
-        comprehensive_risk_profile,
-        channel_effectiveness,
-        customer_retention_analytics,
-        product_penetration_analysis,
-    )
+def executive_customer_dashboard(p: RunParams, customer_health: DataFrame) -> DataFrame:
     total, segment = "EXECUTIVE_SUMMARY", "SEGMENT_PERFORMANCE"
     facts = totals_and_groups(
-        health,
+        customer_health,
         [[], ["customer_value_segment"]],
         [total, segment],
         named(
@@ -272,26 +256,10 @@ def digital_preference_segments(health: DataFrame) -> DataFrame:
 
 
 # --- segmentation ------------------------------------------------------------
-def customer_segmentation_analysis(
-    p: RunParams,
-    profile_core: DataFrame,
-    customer_financial_summary: DataFrame,
-    comprehensive_risk_profile: DataFrame,
-    channel_effectiveness: DataFrame,
-    customer_retention_analytics: DataFrame,
-    product_penetration_analysis: DataFrame,
-) -> DataFrame:
-    health = customer_health(
-        profile_core,
-        customer_financial_summary,
-        comprehensive_risk_profile,
-        channel_effectiveness,
-        customer_retention_analytics,
-        product_penetration_analysis,
-    )
+def customer_segmentation_analysis(p: RunParams, customer_health: DataFrame) -> DataFrame:
     overview, lifecycle = "SEGMENT_OVERVIEW", "LIFECYCLE_ANALYSIS"
     facts = totals_and_groups(
-        health,
+        customer_health,
         [["customer_value_segment"], ["lifecycle_stage_name"]],
         [overview, lifecycle],
         named(
@@ -614,8 +582,6 @@ def financial_performance_summary(
     )
     portfolio = accounts.agg(
         *named(
-            total_accounts="count(DISTINCT account_id)",
-            total_customers=f"count(DISTINCT {CUSTOMER})",
             aum="sum(current_balance)",
             avg_balance=mean("current_balance"),
             private_aum=sum_if("customer_wealth_tier = 'PRIVATE_BANKING'", "current_balance"),
@@ -656,7 +622,13 @@ def financial_performance_summary(
             highly_engaged_customers=n_if("engagement_level = 'HIGHLY_ENGAGED'"),
         )
     )
-    facts = one_row(portfolio, owners).select(
+    # An account may stand in several rows, one per version of its owner's profile; ids are
+    # made distinct on their own, so that no account row is repeated for it.
+    counts = [
+        accounts.select(F.col(key).alias("id")).distinct().agg(F.count("id").alias(name))
+        for key, name in (("account_id", "total_accounts"), (CUSTOMER, "total_customers"))
+    ]
+    facts = one_row(portfolio, *counts, owners).select(
         "*",
         *named(
             net_revenue_yield=f"{ratio('net_revenue', 'aum')} * 100",
@@ -859,6 +831,9 @@ def risk_management_dashboard(
     ).orderBy("dashboard_section", F.desc_nulls_last("critical_risk_customer_percentage"))
 
 
+# What several reports read.
+PARTS = {"customer_health": customer_health}
+
 MODELS = {
     "executive_customer_dashboard": executive_customer_dashboard,
     "financial_performance_summary": financial_performance_summary,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from brightledger.functions.dates import moment
 from brightledger.functions.scoring import choice, clamped, mean, n_if, named, rate_pct
-from brightledger.operators.keyed import align, latest_per_key, newest_two, recent_count, share_of_total
+from brightledger.operators.keyed import align, latest_per_key, newest_two, outer_join, recent_count, share_of_total
 from brightledger.operators.sections import totals_and_groups, union_sections
 from brightledger.rules.base import band, lookup, rules
 
@@ -81,6 +81,28 @@ def customer_activity_alignment(orders: DataFrame, events: DataFrame) -> DataFra
     return known.select("*", *named(next_action=choice(CUSTOMER_ACTION)))
 
 
+def customer_versions_alignment(customer: DataFrame, orders: DataFrame, events: DataFrame) -> DataFrame:
+    """Orders, events and segments per customer where keys are missing and repeated: large
+    debtors, small open orders and large errors name no customer, and customers in debt
+    have a second version."""
+    known = align(
+        [
+            orders.groupBy(F.expr("CASE WHEN o_orderstatus <> 'P' OR o_totalprice >= 5000 THEN o_custkey END AS customer_id")).agg(
+                *named(orders="count(*)", last_order="max(to_date(o_orderdate))")
+            ),
+            events.groupBy(F.expr("CASE WHEN event_type <> 'error' OR value <= 100 THEN user_id * 11 END AS customer_id")).agg(
+                *named(events="count(*)", purchases=n_if("event_type = 'purchase'"))
+            ),
+        ],
+        "customer_id",
+    )
+    key = F.expr("CASE WHEN c_acctbal >= -900 THEN c_custkey END AS customer_id")
+    versions = customer.select(key, F.col("c_mktsegment").alias("segment")).union(
+        customer.where("c_acctbal < 0").select(key, F.lit("IN DEBT"))
+    )
+    return outer_join(known, versions, "customer_id")
+
+
 def recent_event_counts(events: DataFrame) -> DataFrame:
     def since(days: int) -> str:
         return moment(EVENTS_UNTIL - dt.timedelta(days=days))

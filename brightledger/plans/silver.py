@@ -29,7 +29,7 @@ from brightledger.functions.scoring import (
     truth,
     weighted,
 )
-from brightledger.operators.keyed import align, left_align, newest, newest_two, nulls_first, recent_count
+from brightledger.operators.keyed import align, left_align, newest, newest_two, nulls_first, outer_join, recent_count
 from brightledger.params import RunParams
 from brightledger.rules import silver as R
 
@@ -119,9 +119,11 @@ def digital_engagement(activity: DataFrame) -> DataFrame:
 # Models that others build on are split where a reader may need only a part: a left
 # join the optimizer cannot drop would cost every reader its scans and shuffles.
 def customer_base(customers_360: DataFrame) -> DataFrame:
-    """Customers without duplicates, partitioned by customer before the duplicates go:
-    later joins on the customer find the rows where they need them."""
-    return customers_360.select(*PROFILE_COLUMNS).repartition(CUSTOMER).distinct()
+    """Customers without duplicates, partitioned by customer: later joins on the customer
+    find the rows where they need them. Each task drops its duplicates before the shuffle."""
+    rest = [column for column in PROFILE_COLUMNS if column != CUSTOMER]
+    versions = customers_360.groupBy(CUSTOMER).agg(F.collect_set(F.struct(*rest)).alias("versions"))
+    return versions.select(CUSTOMER, F.inline("versions")).select(*PROFILE_COLUMNS)
 
 
 def profile_core(
@@ -919,16 +921,17 @@ def customer_retention_analytics(
         "requires_immediate_review",
         "risk_trend",
     ]
-    known = align(
+    summaries = align(
         [
             retention_event_summary(retention_events),
             interaction_patterns(customer_interactions, p),
             digital_trends(digital_activity, p),
-            profile_core.select(CUSTOMER, *profile_columns),
             comprehensive_risk_profile.select(CUSTOMER, *risk_columns),
         ],
         CUSTOMER,
-    ).select("*", *named(recent_churn_risk=f"last_churn_risk_date >= {p.days_ago(30)}"))
+    )
+    # A customer may have several versions of the profile, each of which is a row.
+    known = outer_join(summaries, profile_core.select(CUSTOMER, *profile_columns), CUSTOMER).select("*", *named(recent_churn_risk=f"last_churn_risk_date >= {p.days_ago(30)}"))
     as_is = [
         CUSTOMER,
         "last_retention_event_date",
@@ -1042,10 +1045,11 @@ def account_performance_dashboard(
     comprehensive_risk_profile: DataFrame,
     product_penetration_analysis: DataFrame,
 ) -> DataFrame:
-    # One row per customer holds all that is known about the owner, so accounts are
-    # moved to their owners once; that join is the one a large owner can skew, and
-    # it has the accounts on the side the runtime may split.
-    owner = align(
+    # All that is known about an owner is put together first, so accounts are moved to
+    # their owners once, in the one join that a large owner can skew. The runtime splits
+    # a large owner's accounts where both sides of that join are shuffled for it, as they
+    # are when the roll-ups below come from stored files.
+    summaries = align(
         [
             customer_financial_summary.select(
                 CUSTOMER,
@@ -1057,18 +1061,6 @@ def account_performance_dashboard(
                 "wealth_tier",
                 "total_investments",
             ),
-            profile_core.select(
-                CUSTOMER,
-                F.col("full_name").alias("customer_name"),
-                "age",
-                "relationship_years",
-                "lifecycle_stage_name",
-                "customer_value_segment",
-                "engagement_level",
-                "at_risk_customer",
-                "digital_preference",
-                "avg_satisfaction_score",
-            ),
             comprehensive_risk_profile.select(
                 CUSTOMER,
                 "overall_risk_level",
@@ -1090,6 +1082,19 @@ def account_performance_dashboard(
         ],
         CUSTOMER,
     )
+    profile = profile_core.select(
+        CUSTOMER,
+        F.col("full_name").alias("customer_name"),
+        "age",
+        "relationship_years",
+        "lifecycle_stage_name",
+        "customer_value_segment",
+        "engagement_level",
+        "at_risk_customer",
+        "digital_preference",
+        "avg_satisfaction_score",
+    )
+    owner = outer_join(summaries, profile, CUSTOMER)
     return account_activity.join(owner, CUSTOMER, "left").select(
         ACCOUNT,
         CUSTOMER,

@@ -37,20 +37,34 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[cast(field) for field in df.schema.fields])
 
 
+# By session and folder of tables, for as long as the session lasts.
+_BANKS: dict[tuple[str, str], Bank] = {}
+
+
+def reporting_bank(spark: SparkSession, folder: str) -> Bank:
+    """The bank that reports read: its roll-ups are written once per session to the shared
+    folder, and every report over the same tables starts at those files."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _BANKS:
+        _BANKS[key] = Bank.over(spark, folder, store=f"{shared_folder(spark)}/bank-{uuid4().hex}")
+    return _BANKS[key]
+
+
 def bank_table(name: str, profile: str = "main") -> Query:
+    """A table of the cleaning or roll-up layer, computed from the given tables each time."""
+
     def query(spark: SparkSession, folder: str) -> DataFrame:
         return portable(Bank.over(spark, folder, profile=profile)[name])
 
     return query
 
 
-def bank_report(*steps) -> Query:
-    """Models applied one after the other: the first reads tables, the rest its result."""
+def bank_report(name: str, *steps) -> Query:
+    """A report, or models applied one after the other to a stored part."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        first, *rest = steps
-        df = Bank.over(spark, folder).call(first)
-        for step in rest:
+        df = reporting_bank(spark, folder)[name]
+        for step in steps:
             df = step(df)
         return portable(df)
 
@@ -60,15 +74,17 @@ def bank_report(*steps) -> Query:
 def bank_queries() -> dict[str, Query]:
     named = {f"stg_{name}": bank_table(name) for name in staging.MODELS}
     named |= {f"int_{name}": bank_table(name) for name in silver.MODELS}
-    named |= {name: bank_table(name) for name in gold.MODELS}
+    named |= {name: bank_report(name) for name in gold.MODELS}
     for step in (
         gold.risk_heatmap,
         gold.retention_insights,
         gold.digital_transformation_metrics,
         gold.digital_preference_segments,
     ):
-        named[step.__name__] = bank_report(gold.customer_health, step)
-    named["channel_product_effectiveness"] = bank_report(gold.channel_product_effectiveness)
+        named[step.__name__] = bank_report("customer_health", step)
+    named["channel_product_effectiveness"] = lambda spark, folder: portable(
+        reporting_bank(spark, folder).call(gold.channel_product_effectiveness)
+    )
     named |= {f"alt_stg_{name}": bank_table(name, "alt") for name in ("loans", "customer_phones")}
     named |= {f"alt_int_{name}": bank_table(name, "alt") for name in alternative.ROLL_UPS}
     return named
@@ -93,6 +109,7 @@ def shop_table(name: str, frames) -> DataFrame:
         "customer_orders": lambda: orders.customer_orders(made("published_customers"), made("published_orders")),
         "customer_summary": lambda: orders.customer_summary(made("customer_orders")),
         "numeric_grid_summary": lambda: orders.numeric_grid_summary(made("pairs"), step=1),
+        "numeric_grid_filtered": lambda: orders.numeric_grid_summary(made("pairs")),
     }[name]()
 
 
@@ -108,6 +125,7 @@ SHOP_TABLES = {
     "customer_orders": "customer_orders",
     "customer_summary": "customer_summary",
     "numeric_grid_summary": "numeric_grid_summary",
+    "numeric_grid_filtered": "numeric_grid_filtered",
 }
 
 
@@ -151,6 +169,7 @@ def insight_queries() -> dict[str, Query]:
         "market_segment_share": over_tables(insights.market_segment_share, "customer"),
         "latest_event_per_user": over_tables(insights.latest_event_per_user, "events"),
         "customer_activity_alignment": over_tables(insights.customer_activity_alignment, "orders", "events"),
+        "customer_versions_alignment": over_tables(insights.customer_versions_alignment, "customer", "orders", "events"),
         "recent_event_counts": over_tables(insights.recent_event_counts, "events"),
         "order_value_steps": over_tables(insights.order_value_steps, "orders"),
         "return_flag_pivot": over_tables(insights.return_flag_pivot, "lineitem"),
@@ -164,7 +183,7 @@ def insight_queries() -> dict[str, Query]:
 def check_queries() -> dict[str, Query]:
     def bank(tables: dict) -> Query:
         def query(spark: SparkSession, folder: str) -> DataFrame:
-            made = Bank.over(spark, folder)
+            made = reporting_bank(spark, folder)
             return union_sections(*[checks.run_checks(name, made[name], listed) for name, listed in tables.items()])
 
         return query

@@ -5,6 +5,7 @@ and must not be changed without it.
 """
 
 from brightledger.rules.base import any_of, band, lookup, rules
+from brightledger.rules.staging import LOAN_PERFORMANCE  # noqa: F401  (the same in both profiles)
 
 # --- loans -------------------------------------------------------------------
 LOAN_TENURE = rules(
@@ -22,14 +23,13 @@ LOAN_RISK = rules(
     ("loan_age_years > 6", 70),
     ("loan_age_years > 3", 55),
 )
-LOAN_PERFORMANCE = band("percent_paid", [(80, "EXCELLENT"), (60, "GOOD"), (40, "FAIR"), (20, "POOR")], "NEW")
 LOAN_SIZE = band("loan_amount", [(500000, "JUMBO"), (200000, "LARGE"), (50000, "MEDIUM"), (10000, "SMALL")], "MICRO")
 # Upper amounts per loan type: (type, excellent below, good below).
 LOAN_AMOUNT_LIMITS = (("MORTGAGE", 200000, 500000), ("PERSONAL", 100000, 150000), ("AUTO", 150000, 200000))
 LOAN_RATE = rules(
     "MARKET_RATE",
     *[
-        (f"loan_amount < {limit} AND loan_type = '{kind}'", label)
+        (f"loan_type = '{kind}' AND loan_amount < {limit}", label)
         for kind, excellent, good in LOAN_AMOUNT_LIMITS
         for limit, label in ((excellent, "EXCELLENT_RATE"), (good, "GOOD_RATE"))
     ],
@@ -41,17 +41,17 @@ LOAN_INTEREST = lookup("loan_type", {"MORTGAGE": 4.5, "AUTO": 6.8}, 12.5)
 PHONE_DIGITS = 10
 PHONE_FLAGS = {
     "is_mobile": "phone_type = 'MOBILE'",
-    "is_primary_contact": "is_primary OR phone_type = 'PRIMARY'",
-    "communication_ready": "is_valid_format AND phone_status = 'VERIFIED'",
-    "sms_ready": "phone_status = 'VERIFIED' AND sms_enabled",
-    "marketing_ready": "phone_status = 'VERIFIED' AND marketing_consent",
+    "is_primary_contact": "phone_type = 'PRIMARY' OR is_primary",
+    "communication_ready": "phone_status = 'VERIFIED' AND is_valid_format",
+    "sms_ready": "sms_enabled AND phone_status = 'VERIFIED'",
+    "marketing_ready": "marketing_consent AND phone_status = 'VERIFIED'",
 }
 PHONE_QUALITY = rules(
     25,
-    ("sms_enabled AND is_valid_format AND phone_status = 'VERIFIED'", 95),
-    ("is_valid_format AND phone_status = 'VERIFIED'", 85),
+    ("phone_status = 'VERIFIED' AND is_valid_format AND sms_enabled", 95),
+    ("phone_status = 'VERIFIED' AND is_valid_format", 85),
     ("phone_status = 'VERIFIED'", 70),
-    ("is_valid_format AND phone_status = 'UNVERIFIED'", 50),
+    ("phone_status = 'UNVERIFIED' AND is_valid_format", 50),
 )
 
 # --- financial summary -------------------------------------------------------

@@ -19,8 +19,8 @@ NON_COMPLIANT = "compliance_status <> 'COMPLIANT'"
 PORTFOLIO_HEALTH = rules(
     "GROWTH_OPPORTUNITY",
     ("total_customers = 0", "GROWTH_OPPORTUNITY"),
-    ("high_value_customers >= 0.2 * total_customers", "STRONG_VALUE_MIX"),
-    ("high_value_customers >= 0.1 * total_customers", "BALANCED_PORTFOLIO"),
+    ("high_value_customers >= total_customers * 0.2", "STRONG_VALUE_MIX"),
+    ("high_value_customers >= total_customers * 0.1", "BALANCED_PORTFOLIO"),
 )
 SEGMENT_HEALTH = lookup(
     "customer_value_segment",
@@ -32,8 +32,8 @@ DIGITAL_MATURITY = band(
 )
 RISK_STATUS = rules(
     "HIGH_RISK_ATTENTION_NEEDED",
-    ("high_risk_customers <= 0.05 * total_customers", "LOW_RISK_PORTFOLIO"),
-    ("high_risk_customers <= 0.15 * total_customers", "MANAGED_RISK"),
+    ("high_risk_customers <= total_customers * 0.05", "LOW_RISK_PORTFOLIO"),
+    ("high_risk_customers <= total_customers * 0.15", "MANAGED_RISK"),
 )
 
 # --- financial summary -------------------------------------------------------
@@ -79,25 +79,25 @@ DIGITAL_STRATEGY = band(
 )
 RETENTION_CLASS = rules(
     "STANDARD_RETENTION",
-    ("avg_retention_opportunity >= 70 AND avg_churn_risk <= 30", "LOYALTY_CHAMPIONS"),
-    ("avg_retention_opportunity >= 50 AND avg_churn_risk <= 50", "STABLE_RELATIONSHIPS"),
+    ("avg_churn_risk <= 30 AND avg_retention_opportunity >= 70", "LOYALTY_CHAMPIONS"),
+    ("avg_churn_risk <= 50 AND avg_retention_opportunity >= 50", "STABLE_RELATIONSHIPS"),
     ("avg_churn_risk >= 70", "RETENTION_CRITICAL"),
 )
 MARKETING_ACTION = rules(
     "MAINTAIN_CURRENT_STRATEGY",
-    ("high_cross_sell_customers >= 0.5 * segment_customer_count", "AGGRESSIVE_CROSS_SELL_CAMPAIGN"),
-    ("customer_value_segment = 'High Value' AND digital_adoption_rate_pct < 40", "DIGITAL_TRANSFORMATION_FOCUS"),
+    ("high_cross_sell_customers >= segment_customer_count * 0.5", "AGGRESSIVE_CROSS_SELL_CAMPAIGN"),
+    ("digital_adoption_rate_pct < 40 AND customer_value_segment = 'High Value'", "DIGITAL_TRANSFORMATION_FOCUS"),
     ("marketing_response_rate_pct < 30", "MESSAGING_STRATEGY_REVIEW"),
-    ("critical_retention_cases >= 0.1 * segment_customer_count", "RETENTION_PROGRAM_PRIORITY"),
+    ("critical_retention_cases >= segment_customer_count * 0.1", "RETENTION_PROGRAM_PRIORITY"),
 )
 
 # --- product performance -----------------------------------------------------
 CROSS_SELL_STATUS = rules(
     "CROSS_SELL_IMPROVEMENT_NEEDED",
     ("total_customers = 0", "CROSS_SELL_IMPROVEMENT_NEEDED"),
-    ("multi_product_customers >= 0.6 * total_customers", "EXCELLENT_CROSS_SELL_PERFORMANCE"),
-    ("multi_product_customers >= 0.4 * total_customers", "STRONG_CROSS_SELL_PERFORMANCE"),
-    ("multi_product_customers >= 0.25 * total_customers", "MODERATE_CROSS_SELL_PERFORMANCE"),
+    ("multi_product_customers >= total_customers * 0.6", "EXCELLENT_CROSS_SELL_PERFORMANCE"),
+    ("multi_product_customers >= total_customers * 0.4", "STRONG_CROSS_SELL_PERFORMANCE"),
+    ("multi_product_customers >= total_customers * 0.25", "MODERATE_CROSS_SELL_PERFORMANCE"),
 )
 SEGMENT_CROSS_SELL = lookup(
     "customer_value_segment",
@@ -111,9 +111,9 @@ SEGMENT_CROSS_SELL = lookup(
 PRODUCT_DIGITAL_MATURITY = rules(
     "DIGITAL_TRANSFORMATION_NEEDED",
     ("total_customers = 0", "DIGITAL_TRANSFORMATION_NEEDED"),
-    ("digital_preferred_customers >= 0.7 * total_customers", "DIGITAL_PRODUCT_LEADER"),
-    ("digital_preferred_customers >= 0.5 * total_customers", "DIGITAL_PROGRESSIVE"),
-    ("digital_preferred_customers >= 0.3 * total_customers", "DIGITAL_DEVELOPING"),
+    ("digital_preferred_customers >= total_customers * 0.7", "DIGITAL_PRODUCT_LEADER"),
+    ("digital_preferred_customers >= total_customers * 0.5", "DIGITAL_PROGRESSIVE"),
+    ("digital_preferred_customers >= total_customers * 0.3", "DIGITAL_DEVELOPING"),
 )
 WEALTH_PRODUCTS = band(
     "investment_penetration_rate",
@@ -123,14 +123,14 @@ WEALTH_PRODUCTS = band(
 PRODUCT_STRATEGY = rules(
     "OPTIMIZE_CURRENT_PORTFOLIO",
     ("total_customers = 0", "OPTIMIZE_CURRENT_PORTFOLIO"),
-    ("high_cross_sell_opportunity >= 0.3 * total_customers", "AGGRESSIVE_CROSS_SELL_CAMPAIGN"),
-    ("avg_value > 50000 AND investment_penetration_rate < 15", "WEALTH_PRODUCT_FOCUS"),
+    ("high_cross_sell_opportunity >= total_customers * 0.3", "AGGRESSIVE_CROSS_SELL_CAMPAIGN"),
+    ("investment_penetration_rate < 15 AND avg_value > 50000", "WEALTH_PRODUCT_FOCUS"),
     ("digital_first_rate < 50", "DIGITAL_PRODUCT_ENHANCEMENT"),
-    ("multi_product_customers < 0.4 * total_customers", "PRODUCT_BUNDLING_STRATEGY"),
+    ("multi_product_customers < total_customers * 0.4", "PRODUCT_BUNDLING_STRATEGY"),
 )
 PRODUCT_FOCUS = rules(
     "PRODUCT_OPTIMIZATION",
-    ("loan_penetration_rate < 0.3 * deposit_penetration_rate", "LENDING_PRODUCT_EXPANSION"),
+    ("loan_penetration_rate < deposit_penetration_rate * 0.3", "LENDING_PRODUCT_EXPANSION"),
     ("card_penetration_rate < 60", "PAYMENT_PRODUCT_GROWTH"),
     ("investment_penetration_rate < 20", "WEALTH_MANAGEMENT_DEVELOPMENT"),
 )
@@ -146,8 +146,8 @@ PORTFOLIO_RISK = rules(
 TIER_RISK = rules(
     "MANAGED_RISK_PROFILE",
     ("total_customers = 0", "MANAGED_RISK_PROFILE"),
-    ("at_high_risk > 0.1 * total_customers", "HIGH_RISK_CONCENTRATION"),
-    ("compliance_issues > 0.05 * total_customers", "COMPLIANCE_ISSUES"),
+    ("at_high_risk > total_customers * 0.1", "HIGH_RISK_CONCENTRATION"),
+    ("compliance_issues > total_customers * 0.05", "COMPLIANCE_ISSUES"),
     ("avg_composite > 70", "RISK_DETERIORATION"),
 )
 COMPLIANCE_HEALTH = band(
@@ -171,5 +171,5 @@ RISK_ACTION = rules(
 )
 REGULATORY = rules(
     "NO_REGULATORY_ALERTS",
-    ("compliance_actions > 25 OR non_compliance_rate > 5", "REGULATORY_REPORTING_REQUIRED"),
+    ("non_compliance_rate > 5 OR compliance_actions > 25", "REGULATORY_REPORTING_REQUIRED"),
 )

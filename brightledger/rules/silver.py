@@ -23,14 +23,14 @@ RISING_AFFLUENT = any_of("current_segment", "PREMIUM", "MASS_AFFLUENT", "EMERGIN
 # --- customer profile --------------------------------------------------------
 ENGAGEMENT = rules(
     "MINIMAL_ENGAGEMENT",
-    ("avg_satisfaction_score >= 4 AND total_digital_activities >= 50", "HIGHLY_ENGAGED"),
-    ("avg_satisfaction_score >= 3 AND total_digital_activities >= 20", "MODERATELY_ENGAGED"),
-    ("total_service_interactions > 0 OR total_digital_activities > 0", "LIGHTLY_ENGAGED"),
+    ("total_digital_activities >= 50 AND avg_satisfaction_score >= 4", "HIGHLY_ENGAGED"),
+    ("total_digital_activities >= 20 AND avg_satisfaction_score >= 3", "MODERATELY_ENGAGED"),
+    ("total_digital_activities > 0 OR total_service_interactions > 0", "LIGHTLY_ENGAGED"),
 )
-AT_RISK = "avg_satisfaction_score < 2 OR escalated_interactions > 2"
+AT_RISK = "escalated_interactions > 2 OR avg_satisfaction_score < 2"
 DIGITAL_PREFERENCE = rules(
     "NON_DIGITAL",
-    ("web_portal_activities < mobile_app_activities", "MOBILE_PREFERRED"),
+    ("mobile_app_activities > web_portal_activities", "MOBILE_PREFERRED"),
     ("web_portal_activities > mobile_app_activities", "WEB_PREFERRED"),
     ("total_digital_activities > 0", "MULTI_CHANNEL"),
 )
@@ -50,8 +50,8 @@ PENETRATION_PARTS = tuple(
 # Utilisation is a percentage, yet the limits are fractions; kept as given.
 FINANCIAL_RISK = rules(
     "LOW_RISK",
-    ("max_credit_utilization > 0.9 OR delinquent_loans > 0", "HIGH_RISK"),
-    ("at_risk_loan_balance > 0 OR avg_credit_utilization > 0.7", "MEDIUM_RISK"),
+    ("delinquent_loans > 0 OR max_credit_utilization > 0.9", "HIGH_RISK"),
+    ("avg_credit_utilization > 0.7 OR at_risk_loan_balance > 0", "MEDIUM_RISK"),
 )
 WEALTH_TIER = band(
     "wealth",
@@ -91,16 +91,16 @@ DIVERSITY_WEIGHTS = {
 }
 DIVERSITY_MIX = rules(
     0,
-    ("physical_channels_used > 0 AND digital_channels_used > 0", 20),
-    ("physical_channels_used > 0 OR digital_channels_used > 0", 10),
+    ("digital_channels_used > 0 AND physical_channels_used > 0", 20),
+    ("digital_channels_used > 0 OR physical_channels_used > 0", 10),
 )
 CHANNEL_PREFERENCE = rules(
     "MINIMAL_USAGE",
-    ("digital_channel_usage > 4 * physical_channel_usage", "DIGITAL_ONLY"),
-    ("digital_channel_usage > 2 * physical_channel_usage", "DIGITAL_FIRST"),
+    ("digital_channel_usage > physical_channel_usage * 4", "DIGITAL_ONLY"),
+    ("digital_channel_usage > physical_channel_usage * 2", "DIGITAL_FIRST"),
     ("digital_channel_usage > physical_channel_usage", "DIGITAL_PREFERRED"),
-    ("digital_channel_usage < physical_channel_usage", "PHYSICAL_PREFERRED"),
-    ("physical_channel_usage > 0 AND digital_channel_usage > 0", "OMNI_CHANNEL"),
+    ("physical_channel_usage > digital_channel_usage", "PHYSICAL_PREFERRED"),
+    ("digital_channel_usage > 0 AND physical_channel_usage > 0", "OMNI_CHANNEL"),
     ("digital_channel_usage > 0", "DIGITAL_ONLY"),
     ("physical_channel_usage > 0", "PHYSICAL_ONLY"),
 )
@@ -121,17 +121,17 @@ SESSION_QUALITY = rules(
 )
 CHANNEL_ACTION = rules(
     "MAINTAIN_CURRENT_STRATEGY",
-    ("physical_channels_used > 0 AND digital_channels_used = 0", "DIGITAL_ONBOARDING"),
-    ("total_channels_used = 1 AND total_digital_activities = 0", "CHANNEL_EXPANSION"),
+    ("digital_channels_used = 0 AND physical_channels_used > 0", "DIGITAL_ONBOARDING"),
+    ("total_digital_activities = 0 AND total_channels_used = 1", "CHANNEL_EXPANSION"),
     ("total_escalated_interactions > 2", "SERVICE_CHANNEL_OPTIMIZATION"),
-    ("total_campaigns_received > 10 AND marketing_conversion_rate < 0.05", "MARKETING_CHANNEL_REVIEW"),
+    ("marketing_conversion_rate < 0.05 AND total_campaigns_received > 10", "MARKETING_CHANNEL_REVIEW"),
 )
 CHANNEL_OPPORTUNITY = rules(
     "STANDARD_OPTIMIZATION",
-    ("physical_channels_used > 0 AND digital_channels_used = 0", "HIGH_DIGITAL_OPPORTUNITY"),
-    ("total_campaigns_received > 5 AND marketing_conversion_rate = 0", "MARKETING_OPTIMIZATION"),
-    ("service_satisfaction_score < 3 AND service_channels_used > 3", "SERVICE_CONSOLIDATION"),
-    ("total_digital_activities > 20 AND digital_platforms_used = 1", "PLATFORM_EXPANSION"),
+    ("digital_channels_used = 0 AND physical_channels_used > 0", "HIGH_DIGITAL_OPPORTUNITY"),
+    ("marketing_conversion_rate = 0 AND total_campaigns_received > 5", "MARKETING_OPTIMIZATION"),
+    ("service_channels_used > 3 AND service_satisfaction_score < 3", "SERVICE_CONSOLIDATION"),
+    ("digital_platforms_used = 1 AND total_digital_activities > 20", "PLATFORM_EXPANSION"),
 )
 
 # --- product penetration -----------------------------------------------------
@@ -149,15 +149,15 @@ DIGITAL_ADOPTION = band(
 RESPONSIVENESS = rules(
     "UNRESPONSIVE",
     ("total_campaigns_targeted = 0", "UNTARGETED"),
-    ("campaigns_converted > 0.1 * total_campaigns_targeted", "HIGHLY_RESPONSIVE"),
-    ("campaigns_clicked > 0.05 * total_campaigns_targeted", "MODERATELY_RESPONSIVE"),
-    ("campaigns_opened > 0.02 * total_campaigns_targeted", "LIGHTLY_RESPONSIVE"),
+    ("campaigns_converted > total_campaigns_targeted * 0.1", "HIGHLY_RESPONSIVE"),
+    ("campaigns_clicked > total_campaigns_targeted * 0.05", "MODERATELY_RESPONSIVE"),
+    ("campaigns_opened > total_campaigns_targeted * 0.02", "LIGHTLY_RESPONSIVE"),
 )
 PRODUCT_CHANNEL = rules(
     "MINIMAL_ENGAGEMENT",
-    ("digital_channel_usage > 3 * physical_channel_usage", "DIGITAL_FIRST"),
+    ("digital_channel_usage > physical_channel_usage * 3", "DIGITAL_FIRST"),
     ("digital_channel_usage > physical_channel_usage", "DIGITAL_PREFERRED"),
-    ("digital_channel_usage < physical_channel_usage", "BRANCH_PREFERRED"),
+    ("physical_channel_usage > digital_channel_usage", "BRANCH_PREFERRED"),
     ("total_channels_used > 0", "OMNI_CHANNEL"),
 )
 
@@ -176,16 +176,16 @@ SPECIALISATION = rules(
 )
 CROSS_SELL_PARTS = (
     rules(0, ("digital_banking_products = 0", 20)),
-    rules(0, (f"{AFFLUENT} AND lending_products = 0", 25)),
-    rules(0, (f"{RISING_AFFLUENT} AND investment_products = 0", 30)),
+    rules(0, (f"lending_products = 0 AND {AFFLUENT}", 25)),
+    rules(0, (f"investment_products = 0 AND {RISING_AFFLUENT}", 30)),
     rules(0, ("insurance_products = 0", 15)),
     rules(0, ("cross_sell_conversions > 0", 10)),
 )
 NEXT_PRODUCT = rules(
     "BASIC_PRODUCTS",
-    (f"{AFFLUENT} AND investment_products = 0", "INVESTMENT_ADVISORY"),
-    ("digital_banking_products > 0 AND lending_products = 0", "PERSONAL_LOAN"),
-    ("total_products_used > 0 AND insurance_products = 0", "INSURANCE_BUNDLE"),
+    (f"investment_products = 0 AND {AFFLUENT}", "INVESTMENT_ADVISORY"),
+    ("lending_products = 0 AND digital_banking_products > 0", "PERSONAL_LOAN"),
+    ("insurance_products = 0 AND total_products_used > 0", "INSURANCE_BUNDLE"),
     ("digital_banking_products = 0", "MOBILE_BANKING"),
     ("total_products_used >= 2", "PREMIUM_SERVICES"),
 )
@@ -202,16 +202,16 @@ RISK_WEIGHTS = {
 }
 RISK_LEVEL = rules(
     "LOW_RISK",
-    ("sanctions_flags > 0 OR confirmed_fraud_incidents > 0", "CRITICAL_RISK"),
-    ("failed_kyc_checks > 0 OR aml_flags > 0 OR pending_fraud_investigations > 0", "HIGH_RISK"),
-    ("current_fraud_risk_score < 550 OR current_credit_risk_score < 550", "ELEVATED_RISK"),
-    ("total_fraud_alerts > 2 OR avg_credit_score < 580", "MODERATE_RISK"),
+    ("confirmed_fraud_incidents > 0 OR sanctions_flags > 0", "CRITICAL_RISK"),
+    ("pending_fraud_investigations > 0 OR aml_flags > 0 OR failed_kyc_checks > 0", "HIGH_RISK"),
+    ("current_credit_risk_score < 550 OR current_fraud_risk_score < 550", "ELEVATED_RISK"),
+    ("avg_credit_score < 580 OR total_fraud_alerts > 2", "MODERATE_RISK"),
 )
 COMPLIANCE = rules(
     "PENDING_VERIFICATION",
-    ("aml_flags > 0 OR sanctions_flags > 0", "NON_COMPLIANT"),
-    ("total_compliance_flags > 0 OR failed_kyc_checks > 0", "REVIEW_REQUIRED"),
-    ("total_compliance_checks > 0 AND passed_kyc_checks > 0", "COMPLIANT"),
+    ("sanctions_flags > 0 OR aml_flags > 0", "NON_COMPLIANT"),
+    ("failed_kyc_checks > 0 OR total_compliance_flags > 0", "REVIEW_REQUIRED"),
+    ("passed_kyc_checks > 0 AND total_compliance_checks > 0", "COMPLIANT"),
 )
 MONITORING = (
     "confirmed_fraud_incidents > 0 OR sanctions_flags > 0 OR aml_flags > 0"
@@ -224,13 +224,13 @@ IMMEDIATE_REVIEW = (
 RISK_TREND = rules(
     "STABLE",
     ("credit_score_volatility > 50", "VOLATILE"),
-    ("total_credit_reports < total_fraud_alerts", "DETERIORATING"),
+    ("total_fraud_alerts > total_credit_reports", "DETERIORATING"),
     ("highest_credit_score - lowest_credit_score > 100", "UNSTABLE"),
 )
 
 # --- retention ---------------------------------------------------------------
 EVENT_CHURN_SCORE = rules(25, ("churn_events > 0", 90), ("churn_risk_events > 2", 75), ("churn_risk_events > 0", 50))
-LOST_TOUCH = "total_digital_activities > 0 AND digital_activities_last_30_days = 0"
+LOST_TOUCH = "digital_activities_last_30_days = 0 AND total_digital_activities > 0"
 POINTS_PER_CHURN_EVENT = 30
 CHURN_PARTS = (
     rules(0, ("at_risk_customer", 25)),
@@ -245,7 +245,7 @@ CHURN_PARTS = (
         (LOST_TOUCH, 15),
         ("digital_activities_last_30_days < floor(digital_activities_last_90_days / 3)", 10),
     ),
-    rules(0, ("support_interactions < complaint_interactions", 15), ("escalated_interactions > 2", 10)),
+    rules(0, ("complaint_interactions > support_interactions", 15), ("escalated_interactions > 2", 10)),
     rules(0, (HIGH_RISK_LEVELS, 10), ("requires_immediate_review", 5)),
 )
 # Segment labels here differ from the ones the cleaning layer gives; kept as given.
@@ -259,26 +259,26 @@ OPPORTUNITY_PARTS = (
 RETENTION_STAGE = rules(
     "STABLE",
     ("churn_events > 0", "CHURNED"),
-    ("recent_churn_risk AND churn_risk_events > 0", "HIGH_CHURN_RISK"),
-    ("escalated_interactions > 2 OR avg_satisfaction_score <= 2", "DISSATISFIED"),
+    ("churn_risk_events > 0 AND recent_churn_risk", "HIGH_CHURN_RISK"),
+    ("avg_satisfaction_score <= 2 OR escalated_interactions > 2", "DISSATISFIED"),
     (LOST_TOUCH, "DISENGAGED"),
-    ("complaint_interactions > 0 AND interactions_last_30_days > 3", "COMPLAINT_PATTERN"),
+    ("interactions_last_30_days > 3 AND complaint_interactions > 0", "COMPLAINT_PATTERN"),
     ("successful_retentions > 0", "SUCCESSFULLY_RETAINED"),
     ("engagement_level = 'HIGHLY_ENGAGED'", "LOYAL"),
 )
 RETENTION_ACTION = rules(
     "STANDARD_RETENTION",
     ("churn_events > 0", "WIN_BACK_CAMPAIGN"),
-    ("recent_churn_risk AND churn_risk_events > 0", "IMMEDIATE_RETENTION_CALL"),
+    ("churn_risk_events > 0 AND recent_churn_risk", "IMMEDIATE_RETENTION_CALL"),
     ("min_satisfaction_score <= 2", "SATISFACTION_RECOVERY"),
     (LOST_TOUCH, "RE_ENGAGEMENT_CAMPAIGN"),
-    ("support_interactions < complaint_interactions", "PROACTIVE_OUTREACH"),
+    ("complaint_interactions > support_interactions", "PROACTIVE_OUTREACH"),
     ("escalated_interactions > 1", "EXECUTIVE_ESCALATION"),
     ("engagement_level = 'MINIMAL_ENGAGED'", "ACTIVATION_CAMPAIGN"),
 )
 RETENTION_STRATEGY = rules(
     "STANDARD_RETENTION",
-    ("churn_risk_events > 0 AND customer_value_segment = 'HIGH_VALUE'", "CONCIERGE_RETENTION"),
+    ("customer_value_segment = 'HIGH_VALUE' AND churn_risk_events > 0", "CONCIERGE_RETENTION"),
     ("digital_preference = 'DIGITAL_FIRST'", "DIGITAL_RETENTION_CAMPAIGN"),
     ("complaint_interactions > 0", "SERVICE_RECOVERY"),
     ("digital_activities_last_30_days = 0", "PRODUCT_EDUCATION"),
@@ -287,9 +287,9 @@ RETENTION_STRATEGY = rules(
 RETENTION_PRIORITY = rules(
     "MONITOR",
     ("churn_events > 0", "WIN_BACK"),
-    ("customer_value_segment = 'HIGH_VALUE' AND churn_risk_events > 0", "CRITICAL"),
-    ("avg_satisfaction_score <= 2 OR churn_risk_events > 0", "HIGH"),
-    ("digital_activities_last_30_days = 0 OR escalated_interactions > 1", "MEDIUM"),
+    ("churn_risk_events > 0 AND customer_value_segment = 'HIGH_VALUE'", "CRITICAL"),
+    ("churn_risk_events > 0 OR avg_satisfaction_score <= 2", "HIGH"),
+    ("escalated_interactions > 1 OR digital_activities_last_30_days = 0", "MEDIUM"),
     ("engagement_level = 'MINIMAL_ENGAGED'", "LOW"),
 )
 
@@ -312,8 +312,8 @@ HEALTH_PARTS = (
     band("avg_satisfaction_score", [(4, 10), (3, 7), (2, 4)], 0),
     lookup("compliance_status", {"COMPLIANT": 10, "PENDING_VERIFICATION": 5}, 0),
 )
-DORMANT = "account_age_years > 1 AND total_transactions = 0"
-YOUNG_OFFLINE = "age < 50 AND digital_transaction_percentage < 30"
+DORMANT = "total_transactions = 0 AND account_age_years > 1"
+YOUNG_OFFLINE = "digital_transaction_percentage < 30 AND age < 50"
 ACCOUNT_RISK_FLAG = rules(
     "NORMAL",
     ("requires_immediate_review", "IMMEDIATE_REVIEW_REQUIRED"),
@@ -327,17 +327,17 @@ ACCOUNT_OPPORTUNITY = rules(
     ("cross_sell_opportunity_score >= 75", "HIGH_CROSS_SELL_OPPORTUNITY"),
     (WEALTHY_TIERS, "WEALTH_MANAGEMENT_OPPORTUNITY"),
     (YOUNG_OFFLINE, "DIGITAL_CONVERSION_OPPORTUNITY"),
-    ("account_age_years < 2 AND activity_level = 'MINIMAL'", "ACTIVATION_OPPORTUNITY"),
+    ("activity_level = 'MINIMAL' AND account_age_years < 2", "ACTIVATION_OPPORTUNITY"),
     ("product_penetration_score < 40", "PRODUCT_EXPANSION_OPPORTUNITY"),
 )
 ACCOUNT_ACTION = rules(
     "STANDARD_MAINTENANCE",
     ("requires_immediate_review", "RISK_REVIEW"),
-    ("avg_satisfaction_score < 3 AND at_risk_customer", "RETENTION_CALL"),
+    ("at_risk_customer AND avg_satisfaction_score < 3", "RETENTION_CALL"),
     (DORMANT, "DORMANT_REACTIVATION"),
     ("cross_sell_opportunity_score >= 75", "CROSS_SELL_CAMPAIGN"),
     (YOUNG_OFFLINE, "DIGITAL_ONBOARDING"),
-    ("total_investments = 0 AND balance >= 50000", "INVESTMENT_CONSULTATION"),
+    ("balance >= 50000 AND total_investments = 0", "INVESTMENT_CONSULTATION"),
 )
 ACCOUNT_SERVICE_TIER = rules(
     "STANDARD",
@@ -365,10 +365,10 @@ MASTER_CHURN_PARTS = (
 MASTER_ACTION = rules(
     "MAINTAIN_RELATIONSHIP",
     ("requires_immediate_review", "IMMEDIATE_RISK_REVIEW"),
-    ("avg_satisfaction_score < 3 AND at_risk_customer", "RETENTION_OUTREACH"),
-    (f"total_investments = 0 AND {WEALTHY_TIERS}", "WEALTH_CONSULTATION"),
-    ("lending_eligible AND product_penetration_score < 40", "CROSS_SELL_LENDING"),
-    ("age < 50 AND digital_transaction_percentage < 50", "DIGITAL_ADOPTION_CAMPAIGN"),
+    ("at_risk_customer AND avg_satisfaction_score < 3", "RETENTION_OUTREACH"),
+    (f"{WEALTHY_TIERS} AND total_investments = 0", "WEALTH_CONSULTATION"),
+    ("product_penetration_score < 40 AND lending_eligible", "CROSS_SELL_LENDING"),
+    ("digital_transaction_percentage < 50 AND age < 50", "DIGITAL_ADOPTION_CAMPAIGN"),
     ("avg_credit_utilization > 0.8", "CREDIT_LIMIT_INCREASE_OFFER"),
     ("engagement_level = 'MINIMAL_ENGAGEMENT'", "ENGAGEMENT_CAMPAIGN"),
 )
@@ -376,7 +376,7 @@ MASTER_TIER = rules(
     "BRONZE_CUSTOMER",
     ("wealth_tier = 'PRIVATE_BANKING'", "ULTRA_HIGH_NET_WORTH"),
     ("wealth_tier = 'WEALTH_MANAGEMENT'", "HIGH_NET_WORTH"),
-    ("relationship_years >= 5 AND product_penetration_score >= 80", "PLATINUM_CUSTOMER"),
-    ("engagement_level = 'HIGHLY_ENGAGED' AND product_penetration_score >= 60", "GOLD_CUSTOMER"),
+    ("product_penetration_score >= 80 AND relationship_years >= 5", "PLATINUM_CUSTOMER"),
+    ("product_penetration_score >= 60 AND engagement_level = 'HIGHLY_ENGAGED'", "GOLD_CUSTOMER"),
     ("product_penetration_score >= 40", "SILVER_CUSTOMER"),
 )

@@ -21,8 +21,8 @@ CREDIT_RANGE = band(
 )
 RISK_CATEGORY = rules(
     "RC006",
-    ("annual_income >= 75000 AND credit_score >= 740", "RC002"),
-    ("annual_income >= 50000 AND credit_score >= 670", "RC003"),
+    ("credit_score >= 740 AND annual_income >= 75000", "RC002"),
+    ("credit_score >= 670 AND annual_income >= 50000", "RC003"),
     ("credit_score >= 580", "RC004"),
     ("credit_score >= 500", "RC005"),
 )
@@ -35,11 +35,11 @@ LIFECYCLE_STAGE = rules(
 )
 VALUE_SEGMENT = rules(
     "Standard Value",
-    ("credit_score >= 740 AND annual_income >= 250000", "High Value"),
-    ("credit_score >= 670 AND annual_income >= 100000", "Medium Value"),
+    ("annual_income >= 250000 AND credit_score >= 740", "High Value"),
+    ("annual_income >= 100000 AND credit_score >= 670", "Medium Value"),
 )
 CUSTOMER_FLAGS = {
-    "marketing_eligible": "customer_status = 'ACTIVE' AND age >= 18",
+    "marketing_eligible": "age >= 18 AND customer_status = 'ACTIVE'",
     "lending_eligible": "credit_score >= 580",
     "premium_product_eligible": "annual_income >= 50000",
 }
@@ -56,8 +56,8 @@ SERVICE_TIER = band(
 ACCOUNT_TENURE = band("account_age_years", [(10, "Long Term"), (5, "Established"), (2, "Mature")], "New")
 ACCOUNT_DIGITAL = rules(
     "Traditional",
-    ("mobile_banking_enabled AND online_banking_enabled", "Full Digital"),
-    ("mobile_banking_enabled OR online_banking_enabled", "Partial Digital"),
+    ("online_banking_enabled AND mobile_banking_enabled", "Full Digital"),
+    ("online_banking_enabled OR mobile_banking_enabled", "Partial Digital"),
 )
 ACCOUNT_RISK = rules(
     "Normal",
@@ -68,14 +68,14 @@ ACCOUNT_RISK = rules(
 )
 ACCOUNT_CROSS_SELL = rules(
     20,
-    ("account_age_years >= 2 AND current_balance >= 50000", 90),
-    ("account_age_years >= 1 AND current_balance >= 25000", 75),
+    ("current_balance >= 50000 AND account_age_years >= 2", 90),
+    ("current_balance >= 25000 AND account_age_years >= 1", 75),
     ("current_balance >= 10000", 60),
     ("account_status = 'ACTIVE'", 45),
 )
 ACCOUNT_FLAGS = {
     "below_minimum_balance": "current_balance < product_min_balance",
-    "fee_waiver_eligible": "monthly_fee > 0 AND current_balance >= product_min_balance",
+    "fee_waiver_eligible": "current_balance >= product_min_balance AND monthly_fee > 0",
 }
 DAILY_BALANCE = band("balance_amount", [(50000, "HIGH_BALANCE"), (10000, "MEDIUM_BALANCE")], "LOW_BALANCE")
 
@@ -108,7 +108,7 @@ FLOW = rules(
 TRANSACTION_RISK = rules(
     20,
     ("is_high_risk", 90),
-    ("time_category = 'OFF_HOURS' AND amount_category = 'LARGE'", 75),
+    ("amount_category = 'LARGE' AND time_category = 'OFF_HOURS'", 75),
     ("amount_category = 'LARGE'", 60),
     ("time_category = 'OFF_HOURS'", 45),
 )
@@ -139,8 +139,8 @@ CARD_RISK = rules(
 )
 CARD_DIGITAL = rules(
     "TRADITIONAL",
-    ("online_enabled AND contactless_enabled", "FULL_DIGITAL"),
-    ("online_enabled OR contactless_enabled", "PARTIAL_DIGITAL"),
+    ("contactless_enabled AND online_enabled", "FULL_DIGITAL"),
+    ("contactless_enabled OR online_enabled", "PARTIAL_DIGITAL"),
 )
 CARD_TIER = rules(
     "N/A",
@@ -150,7 +150,7 @@ CARD_TIER = rules(
     ("credit_limit > 0", "STANDARD"),
 )
 CARD_TENURE = band("card_age_years", [(5, "LONG_TERM"), (2, "ESTABLISHED"), (1, "MATURE")], "NEW")
-CARD_FLAGS = {"is_usable": "NOT is_expired AND card_status = 'ACTIVE'"}
+CARD_FLAGS = {"is_usable": "card_status = 'ACTIVE' AND NOT is_expired"}
 
 # --- loans -------------------------------------------------------------------
 LOAN_DELINQUENCY = rules(
@@ -178,13 +178,13 @@ LOAN_RATE_LIMITS = (("MORTGAGE", 4, 5), ("PERSONAL", 10, 12), ("AUTO", 5, 7))
 LOAN_RATE = rules(
     "MARKET_RATE",
     *[
-        (f"interest_rate < {limit} AND loan_type = '{kind}'", label)
+        (f"loan_type = '{kind}' AND interest_rate < {limit}", label)
         for kind, excellent, good in LOAN_RATE_LIMITS
         for limit, label in ((excellent, "EXCELLENT_RATE"), (good, "GOOD_RATE"))
     ],
 )
 LOAN_TENURE = band("loan_age_years", [(10, "LONG_TERM"), (5, "ESTABLISHED"), (2, "MATURE")], "NEW")
-LOAN_FLAGS = {"is_performing": "days_past_due = 0 AND " + any_of("loan_status", "CURRENT", "PAID_OFF")}
+LOAN_FLAGS = {"is_performing": any_of("loan_status", "CURRENT", "PAID_OFF") + " AND days_past_due = 0"}
 
 # --- investments -------------------------------------------------------------
 ASSET_CLASS = lookup(
@@ -214,16 +214,16 @@ HOLDING_SIZE = band(
 )
 TAX_STATUS = rules(
     "NO_TAX_IMPACT",
-    ("unrealized_gain_loss > 0 AND account_type = 'TAXABLE'", "TAXABLE_GAIN"),
-    ("unrealized_gain_loss < 0 AND account_type = 'TAXABLE'", "TAX_LOSS_HARVEST"),
+    ("account_type = 'TAXABLE' AND unrealized_gain_loss > 0", "TAXABLE_GAIN"),
+    ("account_type = 'TAXABLE' AND unrealized_gain_loss < 0", "TAX_LOSS_HARVEST"),
     (any_of("account_type", "IRA", "ROTH_IRA", "401K"), "TAX_DEFERRED"),
 )
 RISK_RETURN = rules(
     "MODERATE_RISK_RETURN",
-    ("return_percent > 15 AND risk_rating = 'HIGH'", "HIGH_RISK_HIGH_RETURN"),
-    ("return_percent < 0 AND risk_rating = 'HIGH'", "HIGH_RISK_POOR_RETURN"),
-    ("return_percent > 5 AND risk_rating = 'LOW'", "LOW_RISK_GOOD_RETURN"),
-    ("return_percent < 0 AND risk_rating = 'LOW'", "LOW_RISK_POOR_RETURN"),
+    ("risk_rating = 'HIGH' AND return_percent > 15", "HIGH_RISK_HIGH_RETURN"),
+    ("risk_rating = 'HIGH' AND return_percent < 0", "HIGH_RISK_POOR_RETURN"),
+    ("risk_rating = 'LOW' AND return_percent > 5", "LOW_RISK_GOOD_RETURN"),
+    ("risk_rating = 'LOW' AND return_percent < 0", "LOW_RISK_POOR_RETURN"),
 )
 HOLDING_TENURE = band("holding_years", [(5, "LONG_TERM"), (2, "MEDIUM_TERM"), (1, "SHORT_TERM")], "VERY_SHORT_TERM")
 HOLDING_FLAGS = {"is_major_holding": "current_value >= 50000", "requires_review": "return_percent < -20"}
@@ -243,39 +243,39 @@ LIVING_COST = band("cost_of_living_index", [(130, "High Cost Area"), (110, "Medi
 ADDRESS_STABILITY = band("years_at_address", [(5, "Stable"), (2, "Moderate")], "New")
 ADDRESS_QUALITY = rules(
     20,
-    ("years_at_address >= 2 AND address_status = 'VERIFIED'", 90),
-    ("years_at_address >= 1 AND address_status = 'VERIFIED'", 75),
+    ("address_status = 'VERIFIED' AND years_at_address >= 2", 90),
+    ("address_status = 'VERIFIED' AND years_at_address >= 1", 75),
     ("address_status = 'VERIFIED'", 60),
     ("address_status = 'UNVERIFIED'", 40),
 )
 ADDRESS_FLAGS = {
-    "service_deliverable": "address_status = 'VERIFIED' AND is_deliverable",
+    "service_deliverable": "is_deliverable AND address_status = 'VERIFIED'",
     "urban_area": "population_density = 'High'",
 }
 # Number parts no real line has, and area codes set apart for special use.
 DUMMY_PARTS = (("area_code", "000", "111", "999"), ("exchange", "000", "111", "999"), ("line_number", "0000", "1111", "9999"))
 PHONE_FORMAT = rules(True, *[(any_of(*part), False) for part in DUMMY_PARTS])
 PHONE_FLAGS = {
-    "call_eligible": "NOT do_not_call AND is_verified AND phone_status = 'ACTIVE'",
-    "sms_eligible": "sms_enabled AND phone_status = 'ACTIVE' AND phone_type = 'MOBILE'",
+    "call_eligible": "is_verified AND phone_status = 'ACTIVE' AND NOT do_not_call",
+    "sms_eligible": "sms_enabled AND phone_type = 'MOBILE' AND phone_status = 'ACTIVE'",
     "is_mobile": "phone_type = 'MOBILE'",
     "is_landline": any_of("phone_type", "HOME", "WORK"),
     "is_special_number": any_of("area_code", "555", "800", "888", "877", "866"),
-    "verification_required": "phone_status = 'ACTIVE' AND NOT is_verified",
+    "verification_required": "NOT is_verified AND phone_status = 'ACTIVE'",
 }
 PHONE_MARKETING_FLAGS = {
-    "marketing_call_eligible": "call_eligible AND marketing_opt_in",
-    "marketing_sms_eligible": "sms_eligible AND marketing_opt_in",
+    "marketing_call_eligible": "marketing_opt_in AND call_eligible",
+    "marketing_sms_eligible": "marketing_opt_in AND sms_eligible",
 }
 PHONE_QUALITY = rules(
     30,
-    ("is_valid_format AND phone_status = 'ACTIVE' AND is_verified", 95),
+    ("is_verified AND is_valid_format AND phone_status = 'ACTIVE'", 95),
     ("is_valid_format AND phone_status = 'ACTIVE'", 80),
     ("is_valid_format", 60),
 )
 CONTACT_METHOD = rules(
     "NO_CONTACT",
-    ("sms_enabled AND phone_type = 'MOBILE'", "SMS_PREFERRED"),
+    ("phone_type = 'MOBILE' AND sms_enabled", "SMS_PREFERRED"),
     ("phone_type = 'MOBILE'", "MOBILE_CALL"),
     ("phone_type = 'HOME'", "HOME_CALL"),
     ("phone_type = 'WORK'", "WORK_CALL"),
@@ -294,20 +294,20 @@ EFFORT = band("contact_count", [(3, "HIGH_EFFORT"), (1, "MEDIUM_EFFORT")], "LOW_
 SATISFACTION = band("satisfaction_score", [(4, "SATISFIED"), (3, "NEUTRAL"), (1, "DISSATISFIED")], "NOT_RATED")
 RESOLUTION = rules(
     "UNRESOLVED_PENDING",
-    ("status = 'RESOLVED' AND NOT was_escalated AND contact_count = 1", "FIRST_CONTACT_RESOLUTION"),
+    ("status = 'RESOLVED' AND contact_count = 1 AND NOT was_escalated", "FIRST_CONTACT_RESOLUTION"),
     ("status = 'RESOLVED' AND NOT was_escalated", "RESOLVED_NO_ESCALATION"),
     ("status = 'RESOLVED' AND was_escalated", "RESOLVED_WITH_ESCALATION"),
     ("status = 'ESCALATED'", "UNRESOLVED_ESCALATED"),
 )
 COMPLEXITY = rules(
     "SIMPLE",
-    ("was_escalated AND " + any_of("reason_code", "TRANSACTION_DISPUTE", "LOAN_QUESTION"), "COMPLEX"),
+    (any_of("reason_code", "TRANSACTION_DISPUTE", "LOAN_QUESTION") + " AND was_escalated", "COMPLEX"),
     (any_of("agent_tier", "SPECIALIST", "SUPERVISOR"), "MODERATE"),
 )
 INTERACTION_FLAGS = {
     "is_digital_interaction": DIGITAL_CONTACT,
-    "high_risk_interaction": "(satisfaction_score <= 2 AND reason_code = 'FEES_COMPLAINT')"
-    " OR (status <> 'RESOLVED' AND priority = 'URGENT')",
+    "high_risk_interaction": "(reason_code = 'FEES_COMPLAINT' AND satisfaction_score <= 2)"
+    " OR (priority = 'URGENT' AND status <> 'RESOLVED')",
 }
 CAMPAIGN_ENGAGEMENT = lookup(
     "response_type",

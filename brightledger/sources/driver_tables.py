@@ -62,7 +62,9 @@ def _money(expr: str, digits: int = 14) -> str:
 
 
 def _padded(prefix: str, expr: str, width: int) -> str:
-    return f"concat('{prefix}', lpad(CAST({expr} AS STRING), {width}, '0'))"
+    """The number with zeros in front up to ``width`` digits; a longer one stays whole."""
+    number = f"CAST({expr} AS STRING)"
+    return f"concat('{prefix}', lpad({number}, CAST(greatest({width}, length({number})) AS INT), '0'))"
 
 
 def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str, dict[str, str]]]:
@@ -92,7 +94,8 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "customer_status": "CASE WHEN c_acctbal < -900 THEN 'closed' WHEN c_acctbal < -500 THEN 'suspended' ELSE 'active' END",
         "customer_since_date": d.day("2012-01-01", "c_custkey * 53 % 4400"),
     }
-    closed = "o_orderstatus = 'P' AND o_orderkey % 4 = 0"
+    closed = "o_orderstatus = 'P' AND o_totalprice < 50000"
+    urgent, quiet = "o_orderpriority IN ('1-URGENT', '2-HIGH')", "o_orderpriority = '5-LOW'"
     accounts = {
         "account_id": "o_orderkey",
         "account_number": _padded("ACC", "o_orderkey", 8),
@@ -102,17 +105,16 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         " WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'INVT001' ELSE 'BUSI001' END",
         "current_balance": _money(f"{price} - 100000 * (o_orderkey % 4)"),
         "average_balance": price,
-        "account_status": "CASE WHEN o_orderstatus <> 'P' THEN 'active' ELSE "
-        + pick("o_orderkey", "closed", "dormant", "restricted", "active")
-        + " END",
+        "account_status": "CASE WHEN o_orderstatus <> 'P' THEN 'active' WHEN o_totalprice < 50000 THEN 'closed'"
+        " WHEN o_totalprice < 100000 THEN 'dormant' WHEN o_totalprice < 150000 THEN 'restricted' ELSE 'active' END",
         "opened_date": order_day,
         "closed_date": f"CASE WHEN {closed} THEN {d.plus('o_orderdate', str(SHIFT + 400))} END",
         "interest_rate": "CAST(CAST(o_orderkey % 500 AS DOUBLE) / 100 AS DECIMAL(6,2))",
         "monthly_fee": _money("5 * (o_orderkey % 4)", 8),
-        "online_banking_enabled": "o_orderkey % 3 <> 1",
-        "mobile_banking_enabled": "o_orderkey % 4 <> 1",
-        "overdraft_protection": "o_orderkey % 5 <> 1",
-        "is_joint_account": "o_orderkey % 8 = 1",
+        "online_banking_enabled": f"NOT ({quiet})",
+        "mobile_banking_enabled": f"{urgent} OR o_orderstatus = 'O'",
+        "overdraft_protection": "o_totalprice >= 200000",
+        "is_joint_account": "o_orderstatus = 'F' AND o_totalprice >= 400000",
     }
     cards = {
         "card_id": "o_orderkey",
@@ -121,17 +123,17 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "linked_account_id": "CASE WHEN o_orderkey % 3 = 1 THEN o_orderkey END",
         "card_type": pick("o_orderkey", "prepaid", "debit", "credit"),
         "card_brand": pick("o_orderkey", "discover", "visa", "mastercard", "amex"),
-        "card_status": "CASE WHEN o_orderkey % 20 = 1 THEN 'blocked' WHEN o_orderkey % 15 = 1 THEN 'expired'"
-        " WHEN o_orderkey % 10 = 1 THEN 'inactive' ELSE 'active' END",
+        "card_status": f"CASE WHEN o_orderstatus <> 'P' THEN 'active' WHEN {quiet} THEN 'blocked'"
+        f" WHEN {urgent} THEN 'expired' ELSE 'inactive' END",
         "credit_limit": "CASE WHEN o_orderkey % 3 = 2 THEN " + pick("o_orderkey", 5000, 50000, 25000, 10000, 0) + " END",
         "current_balance": f"CASE WHEN o_orderkey % 3 = 1 THEN {_money('0')}"
         f" ELSE {_money(d.whole('o_totalprice') + ' % 9973')} END",
         "issue_date": order_day,
         "expiry_date": f"{order_day} + INTERVAL 4 YEAR",
-        "contactless_enabled": "o_orderkey % 3 <> 1",
-        "online_enabled": "o_orderkey % 4 <> 1",
-        "international_enabled": "o_orderkey % 5 <> 1",
-        "is_business_card": "o_orderkey % 8 = 1",
+        "contactless_enabled": "o_orderstatus <> 'P'",
+        "online_enabled": f"NOT ({quiet})",
+        "international_enabled": urgent,
+        "is_business_card": "o_totalprice >= 400000",
     }
     principal = _money("CAST(p_retailprice AS DECIMAL(12,2)) * (1 + 5 * p_size)")
     loans = {
@@ -145,14 +147,13 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         + " END",
         "interest_rate": "CAST(CAST(350 + p_partkey % 120 * 10 AS DOUBLE) / 100 AS DECIMAL(6,2))",
         "term_months": pick("p_partkey", 180, 360, 60, 72),
-        "loan_status": pick(
-            "p_partkey", *["current"] * 8, "delinquent", "default", "paid_off", "charged_off", "current"
-        ),
+        "loan_status": "CASE WHEN p_size <= 4 THEN 'charged_off' WHEN p_size <= 8 THEN 'default'"
+        " WHEN p_size <= 12 THEN 'delinquent' WHEN p_size <= 18 THEN 'paid_off' ELSE 'current' END",
         "origination_date": d.day("2013-01-01", "p_partkey * 37 % 3900"),
-        "maturity_date": f"CASE WHEN p_partkey % 13 = 10 THEN {d.day('2013-01-01', 'p_partkey * 37 % 3900')} + INTERVAL 9 YEAR END",
-        "days_past_due": "CASE WHEN p_partkey % 5 = 1 THEN CAST(p_partkey % 120 AS INT) ELSE 0 END",
-        "has_collateral": "p_partkey % 5 = 1",
-        "is_secured": "p_partkey % 8 = 1",
+        "maturity_date": f"CASE WHEN p_size BETWEEN 13 AND 18 THEN {d.day('2013-01-01', 'p_partkey * 37 % 3900')} + INTERVAL 9 YEAR END",
+        "days_past_due": "CASE WHEN p_size <= 14 THEN CAST(9 * (14 - p_size) AS INT) ELSE 0 END",
+        "has_collateral": "p_size > 40",
+        "is_secured": "p_size > 30",
     }
     investments = {
         "holding_id": line_id,
@@ -175,7 +176,8 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "coverage_amount": _money("CAST(p_retailprice AS DECIMAL(12,2)) * p_size"),
         "annual_premium": _money("p_retailprice", 10),
         "policy_start_date": d.day("2018-01-01", "p_partkey * 29 % 2100"),
-        "policy_status": pick("p_partkey", *["ACTIVE"] * 7, "CANCELLED", "LAPSED", "SUSPENDED"),
+        "policy_status": "CASE WHEN p_size > 47 THEN 'CANCELLED' WHEN p_size > 44 THEN 'LAPSED'"
+        " WHEN p_size > 41 THEN 'SUSPENDED' ELSE 'ACTIVE' END",
         "claims_count": "CAST(p_partkey % 7 AS INT)",
     }
     places = ["new york", "los angeles", "CHICAGO", "houston", "phoenix", "philadelphia", "san antonio", "winston-salem", "seattle", "denver"]
@@ -190,11 +192,11 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "city": pick("o_orderkey", *places),
         "state_code": pick("o_orderkey", "ny", "ca", "il", "tx", "az", "pa", "tx", "nc", "wa", "co"),
         "postal_code": "CAST(10000 + o_orderkey % 89999 AS STRING)",
-        "address_status": "CASE WHEN o_orderkey % 25 = 1 THEN 'INVALID' WHEN o_orderkey % 49 = 0 THEN NULL"
-        " WHEN o_orderkey % 5 = 1 THEN 'UNVERIFIED' ELSE 'VERIFIED' END",
-        "address_since": f"CASE WHEN o_orderkey % 41 <> 0 THEN {order_day} END",
-        "address_until": f"CASE WHEN o_orderkey % 4 = 3 THEN {d.plus('o_orderdate', str(SHIFT + 900))} END",
-        "is_deliverable": "o_orderkey % 10 <> 1",
+        "address_status": "CASE WHEN o_totalprice < 20000 THEN 'INVALID' WHEN o_totalprice < 30000 THEN NULL"
+        " WHEN o_orderstatus = 'P' THEN 'UNVERIFIED' ELSE 'VERIFIED' END",
+        "address_since": f"CASE WHEN o_totalprice < 480000 THEN {order_day} END",
+        "address_until": f"CASE WHEN o_orderstatus = 'F' THEN {d.plus('o_orderdate', str(SHIFT + 900))} END",
+        "is_deliverable": f"NOT ({quiet})",
     }
     phones = {
         "phone_id": "o_orderkey",
@@ -203,12 +205,12 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "area_code": pick("o_orderkey", "555", "444", "333", "000", "800"),
         "exchange": "lpad(CAST(o_orderkey % 1000 AS STRING), 3, '0')",
         "line_number": "lpad(CAST(o_orderkey % 10000 AS STRING), 4, '0')",
-        "is_verified": "o_orderkey % 5 <> 1",
-        "sms_enabled": "o_orderkey % 3 <> 1",
-        "marketing_opt_in": "o_orderkey % 2 = 1",
-        "do_not_call": "o_orderkey % 10 = 1",
-        "phone_status": "CASE WHEN o_orderkey % 20 = 1 THEN 'inactive' WHEN o_orderkey % 15 = 1 THEN 'unverified' ELSE 'active' END",
-        "is_primary": "o_orderkey % 4 = 1",
+        "is_verified": "o_orderstatus <> 'P'",
+        "sms_enabled": f"NOT ({quiet})",
+        "marketing_opt_in": "o_totalprice >= 150000",
+        "do_not_call": "o_totalprice < 25000",
+        "phone_status": "CASE WHEN o_totalprice < 30000 THEN 'inactive' WHEN o_totalprice < 60000 THEN 'unverified' ELSE 'active' END",
+        "is_primary": urgent,
         "preferred_contact_start": pick("o_orderkey", "08:00:00", "09:30:00", "10:00:00"),
         "preferred_contact_end": pick("o_orderkey", "20:00:00", "18:00:00", "19:15:00"),
     }
@@ -221,7 +223,8 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
             "event_id", "general_inquiry", "account_inquiry", "transaction_dispute", "card_issue",
             "loan_question", "fees_complaint", "technical_support", "product_information",
         ),
-        "status": pick("event_id", "pending", "escalated", "reopened", *["resolved"] * 6),
+        "status": "CASE WHEN event_type = 'error' THEN 'escalated' WHEN value < 5 THEN 'pending'"
+        " WHEN value < 10 THEN 'reopened' ELSE 'resolved' END",
         "priority": pick("event_id", "low", "urgent", "high", "medium"),
         "interaction_datetime": d.plus("ts", "-(event_id % 120)"),
         "duration_minutes": "CAST(event_id * 7 % 150 + 5 AS INT)",
@@ -255,13 +258,14 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
             "payment", "purchase", "fee", "interest", "dividend",
         ),
         "transaction_amount": line_amount,
-        "transaction_status": pick("l_suppkey", "failed", "pending", "cancelled", *["completed"] * 17),
+        "transaction_status": "CASE WHEN l_quantity <= 2 THEN 'failed' WHEN l_quantity <= 4 THEN 'pending'"
+        " WHEN l_quantity <= 6 THEN 'cancelled' ELSE 'completed' END",
         "channel": pick(units, "card", "atm", "online", "mobile", "branch", "phone"),
         "transaction_datetime": ship_time,
         "transaction_location": pick("l_partkey", "New York, NY", "Chicago, IL", "Online"),
         "merchant_name": pick("l_partkey", None, "Grocer", None, "Fuel"),
-        "is_high_risk": "l_partkey % 100 = 1",
-        "requires_approval": "l_partkey % 50 = 1",
+        "is_high_risk": "l_returnflag = 'R' AND l_discount >= 0.1",
+        "requires_approval": "l_returnflag = 'R'",
     }
     deposits = {
         "deposit_id": line_id,
@@ -270,7 +274,7 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "deposit_type": pick("l_partkey", "MOBILE_DEPOSIT", "PAYROLL", "CASH", "CHECK", "WIRE_TRANSFER", "ACH"),
         "deposit_amount": line_amount,
         "deposit_datetime": ship_time,
-        "deposit_status": pick("l_suppkey", "PENDING", "HELD", *["CLEARED"] * 9),
+        "deposit_status": "CASE WHEN l_quantity <= 4 THEN 'PENDING' WHEN l_quantity <= 8 THEN 'HELD' ELSE 'CLEARED' END",
     }
     withdrawals = {
         "withdrawal_id": line_id,
@@ -279,7 +283,7 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "withdrawal_type": pick("l_partkey", "CHECK", "ATM", "TELLER", "ONLINE", "WIRE_TRANSFER"),
         "withdrawal_amount": _money("l_quantity * 137", 12),
         "withdrawal_datetime": ship_time,
-        "withdrawal_status": pick("l_suppkey", "FAILED", "PENDING", *["COMPLETED"] * 9),
+        "withdrawal_status": "CASE WHEN l_quantity <= 4 THEN 'FAILED' WHEN l_quantity <= 8 THEN 'PENDING' ELSE 'COMPLETED' END",
     }
     transfers = {
         "transfer_id": line_id,
@@ -287,7 +291,7 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "to_account_id": "l_partkey * 8",
         "transfer_amount": _money("l_quantity * 11", 12),
         "transfer_date": ship_day,
-        "transfer_status": pick("l_suppkey", "FAILED", *["COMPLETED"] * 9),
+        "transfer_status": "CASE WHEN l_quantity <= 5 THEN 'FAILED' ELSE 'COMPLETED' END",
     }
     payments = {
         "payment_id": line_id,
@@ -296,7 +300,7 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "payment_type": pick("l_partkey", "TAX_PAYMENT", "BILL_PAY", "PERSON_TO_PERSON", "MERCHANT_PAYMENT", "LOAN_PAYMENT"),
         "payment_amount": _money("l_quantity * 23", 12),
         "payment_date": ship_day,
-        "payment_status": pick("l_suppkey", "FAILED", "PENDING", *["COMPLETED"] * 11),
+        "payment_status": "CASE WHEN l_quantity <= 3 THEN 'FAILED' WHEN l_quantity <= 7 THEN 'PENDING' ELSE 'COMPLETED' END",
     }
     fees = {
         "fee_id": line_id,
@@ -307,7 +311,7 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         ),
         "fee_amount": _money("l_tax * 500", 10),
         "fee_date": ship_day,
-        "fee_status": pick("l_suppkey", "WAIVED", "REFUNDED", *["CHARGED"] * 5),
+        "fee_status": "CASE WHEN l_returnflag = 'R' THEN 'REFUNDED' WHEN l_discount = 0 THEN 'WAIVED' ELSE 'CHARGED' END",
     }
     balances = {
         "balance_id": line_id,
@@ -328,7 +332,7 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         **lines,
         "alert_type": pick("l_partkey", "RATE_CHANGE", "LOW_BALANCE", "LARGE_DEPOSIT", "UNUSUAL_ACTIVITY", "PAYMENT_DUE"),
         "alert_timestamp": ship_time,
-        "alert_status": pick("l_suppkey", *["DISMISSED"] * 30, "PENDING", *["ACTIONED"] * 30),
+        "alert_status": "CASE WHEN l_quantity > 49 AND l_discount = 0 THEN 'PENDING' WHEN l_linestatus = 'F' THEN 'ACTIONED' ELSE 'DISMISSED' END",
     }
     channel_usage = {
         "usage_id": "event_id",
@@ -364,18 +368,15 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         ),
         "channel": pick("event_id * 3 + user_id", "DIGITAL_AD", "EMAIL", "DIRECT_MAIL", "PHONE"),
         "sent_date": event_day,
-        "response_type": pick(
-            d.whole("value"), "CONVERTED", "OPENED", "OPENED", "CLICKED", "CLICKED", *["NO_RESPONSE"] * 10
-        ),
+        "response_type": "CASE event_type WHEN 'purchase' THEN 'CONVERTED' WHEN 'click' THEN 'CLICKED' WHEN 'view' THEN 'OPENED' ELSE 'NO_RESPONSE' END",
         "resulted_in_sale": "event_type IN ('purchase', 'signup')",
     }
     retention = {
         "event_id": "event_id",
         "customer_id": spread[7],
-        "event_type": pick(
-            "event_id", "ACCOUNT_CLOSED", *["CHURN_RISK_IDENTIFIED"] * 2, *["RETENTION_OFFER_SENT"] * 5,
-            *["CUSTOMER_SAVED"] * 4, *["WIN_BACK_CAMPAIGN"] * 3, *["LOYALTY_PROGRAM_ENROLLED"] * 8,
-        ),
+        "event_type": "CASE event_type WHEN 'view' THEN 'RETENTION_OFFER_SENT' WHEN 'purchase' THEN 'CUSTOMER_SAVED'"
+        " WHEN 'click' THEN 'WIN_BACK_CAMPAIGN' WHEN 'signup' THEN 'LOYALTY_PROGRAM_ENROLLED'"
+        " ELSE CASE WHEN value > 100 THEN 'ACCOUNT_CLOSED' ELSE 'CHURN_RISK_IDENTIFIED' END END",
         "event_date": event_day,
         "event_outcome": pick("event_id", "SUCCESSFUL", "FAILED", "PENDING"),
     }
@@ -399,16 +400,14 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         ),
         "risk_score": "CAST(event_id * 13 % 100 AS INT)",
         "alert_timestamp": d.plus("ts", "-(event_id % 60)"),
-        "alert_status": pick(
-            d.whole("value"), "CONFIRMED_FRAUD", "UNDER_REVIEW", *["FALSE_POSITIVE"] * 27
-        ),
+        "alert_status": "CASE WHEN value > 150 THEN 'CONFIRMED_FRAUD' WHEN value > 120 THEN 'UNDER_REVIEW' ELSE 'FALSE_POSITIVE' END",
     }
     compliance = {
         "compliance_id": "event_id",
         "customer_id": spread[8],
         "compliance_type": pick("event_id", "ADVERSE_MEDIA", "AML_SCREENING", "SANCTIONS_CHECK", "PEP_SCREENING"),
         "check_date": event_day,
-        "compliance_status": pick(d.whole("value"), "FLAGGED", *["CLEAR"] * 24),
+        "compliance_status": "CASE WHEN value > 160 THEN 'FLAGGED' ELSE 'CLEAR' END",
     }
     scores = {
         "score_id": "event_id",
@@ -422,7 +421,7 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "customer_id": spread[10],
         "kyc_type": pick("event_id", "ENHANCED_DD", "INITIAL", "PERIODIC_REVIEW"),
         "review_date": event_day,
-        "status": pick(d.whole("value"), "FAILED", *["PASSED"] * 24),
+        "status": "CASE WHEN value > 160 THEN 'FAILED' ELSE 'PASSED' END",
     }
     mapped = {
         "customers_360": ("customer", customers),
@@ -476,8 +475,8 @@ def alternative_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tupl
                 "loan_type": pick("p_partkey", "student", "personal", "auto", "mortgage"),
                 "loan_date": d.day("2013-01-01", "p_partkey * 37 % 3900"),
                 "loan_amount": shared["loans"][1]["original_amount"],
-                "loan_status": "CASE WHEN p_partkey % 15 = 1 THEN 'defaulted' WHEN p_partkey % 10 = 1 THEN 'paid_off'"
-                " WHEN p_partkey % 49 = 0 THEN 'INVALID' ELSE 'active' END",
+                "loan_status": "CASE WHEN p_size <= 4 THEN 'defaulted' WHEN p_size <= 8 THEN 'paid_off'"
+                " WHEN p_size <= 10 THEN 'INVALID' ELSE 'active' END",
             },
         ),
         "customer_phones": (
@@ -488,9 +487,9 @@ def alternative_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tupl
                 "phone_number": "concat("
                 + pick("o_orderkey", "555-0", "555-1", "(212) 555-")
                 + ", lpad(CAST(o_orderkey % 9000 + 1000 AS STRING), 4, '0'))",
-                "phone_status": "CASE WHEN o_orderkey % 15 = 1 THEN 'INVALID' WHEN o_orderkey % 10 = 1"
+                "phone_status": "CASE WHEN o_totalprice < 30000 THEN 'INVALID' WHEN o_orderstatus = 'P'"
                 " THEN 'unverified' ELSE 'verified' END",
-                "marketing_consent": "o_orderkey % 4 <> 1",
+                "marketing_consent": "o_totalprice >= 100000",
             },
         ),
         "investments": (
@@ -522,9 +521,7 @@ def alternative_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tupl
                     "event_id", "EMAIL_PROMOTION", "DIRECT_MAIL", "DIGITAL_ADS", "SOCIAL_MEDIA", "PHONE_CALL", "EVENT"
                 ),
                 "campaign_date": shared["marketing_campaigns"][1]["sent_date"],
-                "response_status": pick(
-                    d.whole("value"), "CONVERTED", *["ENGAGED"] * 3, *["NO_RESPONSE"] * 11
-                ),
+                "response_status": "CASE event_type WHEN 'purchase' THEN 'CONVERTED' WHEN 'click' THEN 'ENGAGED' ELSE 'NO_RESPONSE' END",
             },
         ),
         "risk_assessments": (
@@ -554,7 +551,7 @@ def alternative_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tupl
             {
                 **of("kyc_records", "kyc_id", "customer_id", "kyc_type"),
                 "verification_date": shared["kyc_records"][1]["review_date"],
-                "verification_status": pick(d.whole("value"), "FAILED", "PENDING", *["VERIFIED"] * 24),
+                "verification_status": "CASE WHEN value > 160 THEN 'FAILED' WHEN value > 130 THEN 'PENDING' ELSE 'VERIFIED' END",
             },
         ),
     }

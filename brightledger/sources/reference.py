@@ -54,11 +54,11 @@ SCHEMAS = {
     "resolution_time_hours int, availability_percentage decimal(6,2), dedicated_support boolean",
     "transaction_types": "transaction_type_id string, type_name string, category string, description string, "
     "is_debit boolean, risk_weight decimal(4,2), fee_applicable boolean",
-    "raw_customers": "id int, first_name string, last_name string",
-    "raw_orders": "id int, user_id int, order_date date, status string",
-    "raw_payments": "id int, order_id int, payment_method string, amount int",
-    "shop_customers": "customer_id int, first_name string, last_name string, email string",
-    "shop_orders": "order_id int, customer_id int, order_date date, amount decimal(18,2), status string",
+    "raw_customers": "id bigint, first_name string, last_name string",
+    "raw_orders": "id bigint, user_id bigint, order_date date, status string",
+    "raw_payments": "id bigint, order_id bigint, payment_method string, amount bigint",
+    "shop_customers": "customer_id bigint, first_name string, last_name string, email string",
+    "shop_orders": "order_id bigint, customer_id bigint, order_date date, amount decimal(18,2), status string",
 }
 
 # Fixed values of the joined reference tables: the columns the cleaning layer uses.

@@ -125,21 +125,22 @@ def build(book: Book) -> None:
     )
     for stored, source in {"stored_customer_summary": "customer_summary", "csv_order_customers": "order_customers"}.items():
         book.add_text(stored, f"SELECT * FROM {source}", book.columns[source], (source,))
-    book.add(
-        "numeric_grid_summary",
-        {
-            "my_number": "CAST(5 AS BIGINT)",
-            "total_rows": "count(*)",
-            "avg_sum_squares": rounded(f"{real('sum(CAST(pow(i, 2) + pow(j, 2) AS DECIMAL(38,0)))')} / count(*)", 2),
-            "total_sqrt_product": real("round(sum(CAST(sqrt(i * j) AS DECIMAL(28,6))), 2)"),
-            "max_trig": rounded("max(sin(i) * cos(j))", 4),
-            "min_log_product": rounded("min(ln(i + 1) * ln(j + 1))", 4),
-            "message": literal(O.GRID_MESSAGE),
-        },
-        "_pairs",
-        "",
-        ("_pairs",),
-    )
+    for name, kept in (("numeric_grid_summary", ""), ("numeric_grid_filtered", "WHERE (i + j) % 100 = 0")):
+        book.add(
+            name,
+            {
+                "my_number": "CAST(5 AS BIGINT)",
+                "total_rows": "count(*)",
+                "avg_sum_squares": rounded(f"{real('sum(CAST(pow(i, 2) + pow(j, 2) AS DECIMAL(38,0)))')} / count(*)", 2),
+                "total_sqrt_product": real("round(sum(CAST(sqrt(i * j) AS DECIMAL(28,6))), 2)"),
+                "max_trig": rounded("max(sin(i) * cos(j))", 4),
+                "min_log_product": rounded("min(ln(i + 1) * ln(j + 1))", 4),
+                "message": literal(O.GRID_MESSAGE),
+            },
+            "_pairs",
+            kept,
+            ("_pairs",),
+        )
     book.add_text("passthrough", "SELECT * FROM nation", ["n_nationkey", "n_name", "n_regionkey"])
 
     # Reusable steps
@@ -186,6 +187,22 @@ def build(book: Book) -> None:
         "customer_id orders spent last_order events purchases errors last_event next_action".split(),
     )
 
+    book.add_text(
+        "customer_versions_alignment",
+        "SELECT coalesce(k.customer_id, v.customer_id) AS customer_id, orders, CAST(last_order AS VARCHAR) AS last_order,"
+        " events, purchases, segment FROM"
+        " (SELECT coalesce(o.customer_id, e.customer_id) AS customer_id, orders, last_order, events, purchases FROM"
+        " (SELECT CASE WHEN o_orderstatus <> 'P' OR o_totalprice >= 5000 THEN o_custkey END AS customer_id,"
+        " count(*) AS orders, max(CAST(o_orderdate AS DATE)) AS last_order FROM orders GROUP BY 1) o"
+        " FULL JOIN (SELECT CASE WHEN event_type <> 'error' OR value <= 100 THEN user_id * 11 END AS customer_id,"
+        " count(*) AS events, count(*) FILTER (event_type = 'purchase') AS purchases FROM events GROUP BY 1) e"
+        " ON o.customer_id = e.customer_id) k"
+        " FULL JOIN (SELECT CASE WHEN c_acctbal >= -900 THEN c_custkey END AS customer_id, c_mktsegment AS segment FROM customer"
+        " UNION ALL SELECT CASE WHEN c_acctbal >= -900 THEN c_custkey END, 'IN DEBT' FROM customer WHERE c_acctbal < 0) v"
+        " ON k.customer_id = v.customer_id",
+        "customer_id orders last_order events purchases segment".split(),
+    )
+
     def since(days: int, more: str = "TRUE") -> str:
         return n(f"ts >= TIMESTAMP '{I.EVENTS_UNTIL.isoformat()} 00:00:00' - INTERVAL {days} DAY AND {more}")
 

@@ -5,7 +5,7 @@ import random
 from conftest import rows
 from pyspark.sql import functions as F
 
-from brightledger.operators.keyed import align, latest_per_key, newest, newest_two, nulls_first, share_of_total
+from brightledger.operators.keyed import align, latest_per_key, newest, newest_two, nulls_first, outer_join, share_of_total
 from brightledger.operators.sections import one_row, totals_and_groups, union_sections
 
 
@@ -21,6 +21,15 @@ def test_align_keeps_every_key_and_marks_what_is_missing(spark):
     ]
 
 
+def test_align_and_outer_join_match_a_chain_of_full_joins(spark):
+    a = spark.createDataFrame([(1, "n"), (None, "m")], "k int, a string")
+    b = spark.createDataFrame([(1, 5), (None, 6), (3, 7)], "k int, b int")
+    c = spark.createDataFrame([(1, "Anna"), (1, "Bob"), (None, "Cy"), (4, "Di")], "k int, c string")
+    chained = a.join(b, "k", "full").join(c, "k", "full")
+    assert rows(outer_join(align([a, b], "k"), c, "k")) == rows(chained)
+    assert chained.count() == 7
+
+
 def test_align_of_aggregates_does_not_shuffle_again(spark):
     facts = [
         spark.range(1000).selectExpr("id % 50 AS k", f"id AS v{i}").groupBy("k").agg(F.sum(f"v{i}").alias(f"s{i}"))
