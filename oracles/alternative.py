@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from brightledger.rules import alternative as A
-from brightledger.rules import silver as R
-from brightledger.sources.driver_tables import CheckText, alternative_inputs
+from oracles.fixed_inputs import ALTERNATIVE
+from oracles.fixed_rules import alternative as A
+from oracles.fixed_rules import silver as R
 from oracles.silver import full_joined, grouped, or_else, ranked
 from oracles.text import Book, case, cases, mean, mean_of_means, n, pct, real, rounded, same, score, select, total, truths, zero
 
@@ -12,7 +12,7 @@ from oracles.text import Book, case, cases, mean, mean_of_means, n, pct, real, r
 def build(book: Book, as_of: str = "2024-02-01") -> None:
     today = f"CAST('{as_of}' AS TIMESTAMP)"
     updated = {"last_updated": today}
-    for name, (table, columns) in alternative_inputs(CheckText, as_of).items():
+    for name, (table, columns) in ALTERNATIVE.items():
         book.add(f"_alt_{name}", columns, table)
 
     # Cleaning

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brightledger.rules import gold as R
+from oracles.fixed_rules import gold as R
 from oracles.text import (
     Book,
     case,

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from brightledger.operators.checks import Check
-from brightledger.plans import insights as I
-from brightledger.plans import orders as O
-from brightledger.rules import contracts
-from brightledger.sources.driver_tables import CheckText, shop_inputs
+from oracles import fixed_checks as contracts
+from oracles.fixed_checks import Check
+from oracles.fixed_inputs import SHOP
+from oracles.fixed_rules import insights as I
+from oracles.fixed_rules import orders as O
 from oracles.text import Book, case, literal, mean, n, pct, real, rounded, score, select, share, total
 
 
 def build(book: Book) -> None:
-    for name, (table, columns) in shop_inputs(CheckText).items():
+    for name, (table, columns) in SHOP.items():
         book.add(f"_{name}", columns, table)
 
     # Order demo
@@ -204,7 +204,7 @@ def build(book: Book) -> None:
     )
 
     def since(days: int, more: str = "TRUE") -> str:
-        return n(f"ts >= TIMESTAMP '{I.EVENTS_UNTIL.isoformat()} 00:00:00' - INTERVAL {days} DAY AND {more}")
+        return n(f"ts >= TIMESTAMP '{I.EVENTS_UNTIL} 00:00:00' - INTERVAL {days} DAY AND {more}")
 
     bought = "event_type = 'purchase'"
     book.add(

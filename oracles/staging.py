@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from brightledger.rules import staging as R
-from brightledger.sources.driver_tables import CheckText, bank_inputs
-from brightledger.sources.reference import values_sql
+from oracles.fixed_inputs import BANK, REFERENCES
+from oracles.fixed_rules import staging as R
 from oracles.text import Book, case, cases, pct, rounded, select, truth, truths
 
 
@@ -27,15 +26,19 @@ def build(book: Book, as_of: str = "2024-02-01") -> None:
     def upper(*names: str) -> dict[str, str]:
         return {name: f"upper({name})" for name in names}
 
+    def time_of_day(hour: str) -> str:
+        return (
+            f"CASE WHEN {hour} BETWEEN 9 AND 17 THEN 'BUSINESS_HOURS' WHEN {hour} BETWEEN 18 AND 22 THEN 'EVENING'"
+            f" WHEN {hour} BETWEEN 6 AND 8 THEN 'MORNING' ELSE 'OFF_HOURS' END"
+        )
+
     def clock(name: str) -> str:
         return f"CAST({name} AS TIME)"
 
-    inputs = bank_inputs(CheckText, as_of)
-
     def stage(name: str, *steps: dict[str, str], status: str | None = None, drop=(), refs=()) -> None:
         """Projection steps over an input; ``refs`` are (table, key, {column: source})
         joined before the last step."""
-        table, columns = inputs[name]
+        table, columns = BANK[name]
         text = select(columns, table)
         known = list(columns)
         if status:
@@ -43,7 +46,7 @@ def build(book: Book, as_of: str = "2024-02-01") -> None:
         for i, step in enumerate(steps):
             if i == len(steps) - 1:
                 for table_name, key, taken in refs:
-                    ref = select({key[0]: key[1], **taken}, f"({values_sql(table_name)})")
+                    ref = select({key[0]: key[1], **taken}, f"({REFERENCES[table_name]})")
                     text = f"SELECT * FROM ({text}) LEFT JOIN ({ref}) USING ({key[0]})"
                     known += [c for c in taken if c not in known]
             merged = {c: step.get(c, c) for c in known} | {c: t for c, t in step.items() if c not in known}
@@ -157,7 +160,7 @@ def build(book: Book, as_of: str = "2024-02-01") -> None:
         {
             **cases(
                 channel_category=R.CHANNEL_GROUP,
-                time_category=R.time_of_day("transaction_hour"),
+                time_category=time_of_day("transaction_hour"),
                 day_category=R.DAY_KIND,
                 flow_direction=R.FLOW,
             ),
@@ -320,7 +323,7 @@ def build(book: Book, as_of: str = "2024-02-01") -> None:
         {
             **cases(
                 channel_category=R.CONTACT_CHANNEL,
-                time_category=R.time_of_day("interaction_hour"),
+                time_category=time_of_day("interaction_hour"),
                 day_category=R.DAY_KIND,
                 customer_effort=R.EFFORT,
                 satisfaction_category=R.SATISFACTION,
@@ -334,6 +337,6 @@ def build(book: Book, as_of: str = "2024-02-01") -> None:
     stage("marketing_campaigns", cases(engagement_level=R.CAMPAIGN_ENGAGEMENT, channel_type=R.CAMPAIGN_CHANNEL))
     stage("credit_scores", {"score_category": case(R.BUREAU_SCORE)})
     stage("risk_assessments", {"score_category": case(R.ASSESSMENT_SCORE)})
-    for name in inputs:
+    for name in BANK:
         if f"stg_{name}" not in book.queries:
             stage(name)

@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from brightledger.rules.base import Rules
-
-
 def literal(value) -> str:
     if value is None:
         return "NULL"
@@ -15,13 +12,13 @@ def literal(value) -> str:
     return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else repr(value)
 
 
-def case(rules: Rules) -> str:
-    arms = " ".join(f"WHEN {condition} THEN {literal(value)}" for condition, value in rules.pairs)
-    return f"CASE {arms} ELSE {literal(rules.default)} END"
+def case(rule: str) -> str:
+    """A rule on one line, whatever its layout."""
+    return " ".join(rule.split())
 
 
-def cases(**named: Rules) -> dict[str, str]:
-    return {name: case(rules) for name, rules in named.items()}
+def cases(**named: str) -> dict[str, str]:
+    return {name: case(rule) for name, rule in named.items()}
 
 
 def truth(condition: str) -> str:
@@ -74,8 +71,7 @@ def mean_of_means(expr: str) -> str:
 
 
 def score(*parts) -> str:
-    texts = [case(part) if isinstance(part, Rules) else part for part in parts]
-    return "least(100, greatest(0, " + " + ".join(f"({text})" for text in texts) + "))"
+    return "least(100, greatest(0, " + " + ".join(f"({case(part)})" for part in parts) + "))"
 
 
 def zero(*names: str) -> dict[str, str]:
