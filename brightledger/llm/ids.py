@@ -3,23 +3,21 @@
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
-# White space that separates tokens under any of the vocabularies used here. Texts are cut
-# there, words are encoded once each, and the ids are put together again.
-# ``str.split`` parts at white space and at the four separator controls, which are none.
-_SEPARATORS = re.compile(r"[\x1c-\x1f]")
+# A text of white space, printable ASCII and Latin-1 letters needs no normalisation but lower
+# case, and falls into parts as the vocabulary's own pattern has them; the library's model
+# encodes each part once. Other texts are cut at white space, which the vocabularies used here
+# drop, and words of other characters go through the library's whole pipeline.
+_OTHER = re.compile(r"[^\t-\r -~À-ÖØ-öø-ÿ]")
+_PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-zß-öø-ÿ0-9\s]+")
 _BLANKS = re.compile(r"[ \t\n\r\f\v]+")
-# Words of these characters need no normalisation but lower case, and fall into parts as the
-# vocabulary's own pattern has them; the library's model encodes the parts. Other words go
-# through the library's whole pipeline, which costs five times as much.
-_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-# Words, and parts of words, kept per process; beyond it the memory starts anew, which
-# changes no result.
-WORDS_KEPT = 400_000
+# Words, and parts of words, kept per generation and process: when a generation is full, the
+# one before it is forgotten, so words that recur stay. This changes no result.
+WORDS_KEPT = 300_000
 # A word longer than this is encoded each time.
 LONG_WORD = 64
 
@@ -50,47 +48,56 @@ class WordEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.letters = self.tokenizer.model, byte_letters()
         # Ids as they lie in memory, so that those of a text are put together by one join.
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.known, self.parts = Kept(), Kept()
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _part(self, part: str) -> bytes:
         letters = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
-        ids = np.array([token.id for token in self.model.tokenize(letters)], "<u4").tobytes()
-        if len(self.parts) >= WORDS_KEPT:
-            self.parts.clear()
-        if len(part) <= LONG_WORD:
-            self.parts[part] = ids
-        return ids
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
+
+    def _found(self, kept: "Kept", words: list[str], make) -> bytes:
+        found = list(map(kept.new.get, words))
+        if None in found:
+            find = kept.find
+            found = [find(words[at], make) if ids is None else ids for at, ids in enumerate(found)]
+        return b"".join(found)
+
+    def _plain(self, text: str) -> bytes:
+        return self._found(self.parts, _PARTS.findall(text.lower()), self._part)
 
     def _word(self, word: str) -> bytes:
-        if not _PLAIN.fullmatch(word):
-            return self._whole(word)
-        return b"".join([self.parts.get(part) or self._part(part) for part in _PARTS.findall(word.lower())])
+        return self._whole(word) if _OTHER.search(word) else self._plain(word)
 
     def encode(self, text: str | None, end: int) -> np.ndarray:
         """The ids of a text and then ``end``; null counts as empty."""
         text = text or ""
-        last = end.to_bytes(4, "little")
         if any(s in text for s in self.special):
-            return np.frombuffer(self._whole(text) + last, "<u4")
-        words = _BLANKS.split(text) if _SEPARATORS.search(text) else text.split()
-        found = list(map(self.known.get, words))
-        if None in found:
-            for at, ids in enumerate(found):
-                if ids is None:
-                    found[at] = self._new(words[at])
-        found.append(last)
-        return np.frombuffer(b"".join(found), "<u4")
-
-    def _new(self, word: str) -> bytes:
-        ids = self.known.get(word)
+            ids = self._whole(text)
+        elif _OTHER.search(text):
+            ids = self._found(self.known, _BLANKS.split(text), self._word)
+        else:
+            ids = self._plain(text)
+        return np.frombuffer(ids + end.to_bytes(4, "little"), "<u4")
+
+
+class Kept:
+    """Results by word, in two generations."""
+
+    def __init__(self):
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def find(self, word: str, make) -> bytes:
+        ids = self.new.get(word)
+        if ids is not None:
+            return ids
+        ids = self.old.get(word)
         if ids is None:
-            ids = self._word(word)
-            if len(self.known) >= WORDS_KEPT:
-                self.known.clear()
-            if len(word) <= LONG_WORD:
-                self.known[word] = ids
+            ids = make(word)
+        if len(word) <= LONG_WORD:
+            if len(self.new) >= WORDS_KEPT:
+                self.new, self.old = {}, self.new
+            self.new[word] = ids
         return ids
