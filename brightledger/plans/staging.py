@@ -1,8 +1,8 @@
 """Cleaning layer: one function per input, all row-local except for joins to
 reference tables of a handful of rows.
 
-Nothing here shuffles. Reference tables carry their size, so the optimizer
-broadcasts them on its own and would stop doing so if one ever grew.
+Nothing here shuffles: the built-in reference tables are marked for broadcasting where they
+are made, and the optimizer decides about loaded ones by their size.
 """
 
 from __future__ import annotations

@@ -13,9 +13,9 @@ from brightledger.plans import alternative, gold, insights, orders, silver, stag
 from brightledger.plans.bank import Bank
 from brightledger.rules import contracts
 from brightledger.session import prepared, shared_folder
-from brightledger.sources.driver_tables import read_table, shop_frames
+from brightledger.sources.driver_tables import bank_frames, read_table, shop_frames
 from brightledger.sources.published import passthrough, read_published, write_table
-from brightledger.sources.reference import load_orders_demo
+from brightledger.sources.reference import SCHEMAS, BuiltinReferences, load_orders_demo, load_reference
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,6 +137,7 @@ def shop_queries() -> dict[str, Query]:
         **{registered: over(name) for registered, name in SHOP_TABLES.items()},
         "stored_customer_summary": stored_customer_summary,
         "csv_order_customers": csv_order_customers,
+        **{f"csv_stg_{name}": csv_referenced(name) for name in ("accounts", "customers_360", "customer_addresses")},
     }
 
 
@@ -158,6 +159,25 @@ def csv_order_customers(spark: SparkSession, folder: str) -> DataFrame:
     return portable(shop_table("customers", load_orders_demo(spark, place)))
 
 
+def csv_referenced(name: str) -> Query:
+    """A cleaned table joined to reference tables that were written as CSV and loaded under
+    their declared schemas."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        place = f"{shared_folder(spark)}/references-{uuid4().hex}"
+        builtin = BuiltinReferences(spark)
+        for table, df in builtin.items():
+            declared = T.StructType.fromDDL(SCHEMAS[table])
+            columns = [
+                F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in declared
+            ]
+            df.select(*columns).write.option("header", True).csv(f"{place}/{table}.csv")
+        loaded = {table: load_reference(spark, place, table) for table in builtin}
+        return portable(Bank(bank_frames(spark, folder), loaded)[name])
+
+    return query
+
+
 def over_tables(step, *tables: str) -> Query:
     """A step applied to given tables as they are."""
     return lambda spark, folder: portable(step(*[read_table(spark, folder, table) for table in tables]))

@@ -39,9 +39,11 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "bri
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Gives a session the settings the plans rely on."""
+    """Gives a session the settings the plans rely on, where it does not set them itself."""
+    own = spark.conf.getAll
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if key not in own:
+            spark.conf.set(key, value)
     return spark
 
 

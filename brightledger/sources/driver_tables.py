@@ -74,7 +74,8 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
     order_day = d.plus("o_orderdate", str(SHIFT))
     ship_day = d.plus("l_shipdate", str(SHIFT))
     ship_time = d.plus("l_shipdate", str(SHIFT), "l_partkey % 1440")
-    line_id = "l_orderkey * 10 + l_linenumber"
+    # A reference to an order line; the given lines do not have it for themselves alone.
+    line_ref = "l_orderkey * 10 + l_linenumber"
     price = _money("o_totalprice")
     units = d.whole("l_quantity")
     spread = {n: f"user_id * 10 + event_id % {n}" for n in (7, 8, 9, 10, 11)}
@@ -156,8 +157,8 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "is_secured": "p_size > 30",
     }
     investments = {
-        "holding_id": line_id,
-        "holding_number": _padded("INV", line_id, 10),
+        "holding_id": line_ref,
+        "holding_number": _padded("INV", line_ref, 10),
         "customer_id": "l_partkey",
         "investment_type": pick("l_orderkey", "money_market", "stock", "bond", "mutual_fund", "etf", "cd"),
         "symbol": pick("l_orderkey", "cash", "aapl", "us_treasury_10yr", "fund_500", "vti", "bank_cd_5yr"),
@@ -250,8 +251,8 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         f" WHEN l_linenumber = 2 THEN {_money('l_quantity', 12)} ELSE {_money('l_quantity * 50', 12)} END"
     )
     transactions = {
-        "transaction_id": line_id,
-        "transaction_number": _padded("TXN", line_id, 10),
+        "transaction_id": line_ref,
+        "transaction_number": _padded("TXN", line_ref, 10),
         **lines,
         "transaction_type": pick(
             "l_partkey", "refund", "deposit", "withdrawal", "transfer_in", "transfer_out",
@@ -268,8 +269,8 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "requires_approval": "l_returnflag = 'R'",
     }
     deposits = {
-        "deposit_id": line_id,
-        "deposit_number": _padded("DEP", line_id, 10),
+        "deposit_id": line_ref,
+        "deposit_number": _padded("DEP", line_ref, 10),
         **lines,
         "deposit_type": pick("l_partkey", "MOBILE_DEPOSIT", "PAYROLL", "CASH", "CHECK", "WIRE_TRANSFER", "ACH"),
         "deposit_amount": line_amount,
@@ -277,8 +278,8 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "deposit_status": "CASE WHEN l_quantity <= 4 THEN 'PENDING' WHEN l_quantity <= 8 THEN 'HELD' ELSE 'CLEARED' END",
     }
     withdrawals = {
-        "withdrawal_id": line_id,
-        "withdrawal_number": _padded("WDL", line_id, 10),
+        "withdrawal_id": line_ref,
+        "withdrawal_number": _padded("WDL", line_ref, 10),
         **lines,
         "withdrawal_type": pick("l_partkey", "CHECK", "ATM", "TELLER", "ONLINE", "WIRE_TRANSFER"),
         "withdrawal_amount": _money("l_quantity * 137", 12),
@@ -286,7 +287,7 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "withdrawal_status": "CASE WHEN l_quantity <= 4 THEN 'FAILED' WHEN l_quantity <= 8 THEN 'PENDING' ELSE 'COMPLETED' END",
     }
     transfers = {
-        "transfer_id": line_id,
+        "transfer_id": line_ref,
         "from_account_id": "l_orderkey",
         "to_account_id": "l_partkey * 8",
         "transfer_amount": _money("l_quantity * 11", 12),
@@ -294,8 +295,8 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "transfer_status": "CASE WHEN l_quantity <= 5 THEN 'FAILED' ELSE 'COMPLETED' END",
     }
     payments = {
-        "payment_id": line_id,
-        "payment_number": _padded("PAY", line_id, 10),
+        "payment_id": line_ref,
+        "payment_number": _padded("PAY", line_ref, 10),
         **lines,
         "payment_type": pick("l_partkey", "TAX_PAYMENT", "BILL_PAY", "PERSON_TO_PERSON", "MERCHANT_PAYMENT", "LOAN_PAYMENT"),
         "payment_amount": _money("l_quantity * 23", 12),
@@ -303,8 +304,8 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "payment_status": "CASE WHEN l_quantity <= 3 THEN 'FAILED' WHEN l_quantity <= 7 THEN 'PENDING' ELSE 'COMPLETED' END",
     }
     fees = {
-        "fee_id": line_id,
-        "fee_number": _padded("FEE", line_id, 8),
+        "fee_id": line_ref,
+        "fee_number": _padded("FEE", line_ref, 8),
         **lines,
         "fee_type": pick(
             "l_partkey", "LATE_PAYMENT", "MONTHLY_MAINTENANCE", "OVERDRAFT", "ATM_FEE", "WIRE_TRANSFER", "FOREIGN_TRANSACTION"
@@ -314,21 +315,21 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "fee_status": "CASE WHEN l_returnflag = 'R' THEN 'REFUNDED' WHEN l_discount = 0 THEN 'WAIVED' ELSE 'CHARGED' END",
     }
     balances = {
-        "balance_id": line_id,
+        "balance_id": line_ref,
         **lines,
         "balance_amount": _money("l_extendedprice - 5000", 12),
         "available_balance": _money("l_extendedprice - 5100", 12),
         "balance_date": ship_day,
     }
     accruals = {
-        "accrual_id": line_id,
+        "accrual_id": line_ref,
         **lines,
         "interest_amount": _money("l_discount * 100", 10),
         "interest_rate": "CAST(l_discount * 50 AS DECIMAL(6,2))",
         "accrual_date": ship_day,
     }
     account_alerts = {
-        "alert_id": line_id,
+        "alert_id": line_ref,
         **lines,
         "alert_type": pick("l_partkey", "RATE_CHANGE", "LOW_BALANCE", "LARGE_DEPOSIT", "UNUSUAL_ACTIVITY", "PAYMENT_DUE"),
         "alert_timestamp": ship_time,

@@ -18,13 +18,6 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
-    """Materialise under a catalog name, bucketed and sorted by ``key``: later joins
-    and group-bys on the key read it without a shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
-    return df.sparkSession.table(name)
-
-
 def read_published(spark: SparkSession, name: str) -> DataFrame:
     """Another project's public result: a path (it has a slash) or a catalog name."""
     return spark.read.parquet(name) if "/" in name else spark.table(name)

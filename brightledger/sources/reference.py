@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Schemas of the reference CSVs, by table.
 SCHEMAS = {
@@ -183,13 +183,15 @@ def builtin_reference(spark: SparkSession, name: str) -> DataFrame:
 
 
 class BuiltinReferences(Mapping[str, DataFrame]):
-    """The fixed reference tables by name, made when first asked for."""
+    """The fixed reference tables by name, made when first asked for. They are marked for
+    broadcasting, being about ten rows each whatever the size of the bank; tables loaded from
+    files are not."""
 
     def __init__(self, spark: SparkSession):
         self._spark = spark
 
     def __getitem__(self, name: str) -> DataFrame:
-        return builtin_reference(self._spark, name)
+        return F.broadcast(builtin_reference(self._spark, name))
 
     def __iter__(self) -> Iterator[str]:
         return iter(FIXED_VALUES)

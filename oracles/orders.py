@@ -141,6 +141,8 @@ def build(book: Book) -> None:
             kept,
             ("_pairs",),
         )
+    for name in ("stg_accounts", "stg_customers_360", "stg_customer_addresses"):
+        book.add_text(f"csv_{name}", f"SELECT * FROM {name}", book.columns[name], (name,))
     book.add_text("passthrough", "SELECT * FROM nation", ["n_nationkey", "n_name", "n_regionkey"])
 
     # Reusable steps

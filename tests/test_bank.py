@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from brightledger.params import RunParams
 from brightledger.plans import gold, silver, staging
 from brightledger.plans.bank import Bank
+from brightledger.sources.published import write_table
 from brightledger.sources.reference import builtin_reference
 
 P = RunParams(dt.date(2024, 2, 1))
@@ -269,3 +270,35 @@ def test_another_day_moves_ages_and_windows(spark, sf_dir):
     assert a - b == 10
     recent = later["customer_retention_analytics"].agg(F.sum("interactions_last_90_days")).first()[0]
     assert recent == 0
+
+
+def test_a_large_owner_is_split_once_roll_ups_are_stored(spark, tmp_path):
+    """Half of the accounts have one owner; with both sides of the owner join shuffled for
+    it, the final plan splits that owner's partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.getAll.get(key) for key in settings}
+    try:
+        bank = Bank.over(spark, "/root/testdata/sf0.01", store=str(tmp_path / "store"))
+        owned = F.expr("CASE WHEN account_id % 2 = 0 THEN 1 ELSE customer_id END").alias("customer_id")
+        skewed = bank["account_activity"].select(owned, *[c for c in bank["account_activity"].columns if c != "customer_id"])
+        bank._tables["account_activity"] = write_table(skewed.repartition(4), str(tmp_path / "skewed"))
+        names = ("customer_financial_summary", "profile_core", "comprehensive_risk_profile", "product_penetration_analysis")
+        made = [bank[n] for n in names]
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = silver.account_performance_dashboard(bank.params, bank["account_activity"], *made)
+        df.write.mode("overwrite").format("noop").save()
+        rows_out = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert len(rows_out) == skewed.count()
+        assert "skew=true" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -1,10 +1,13 @@
 """Every registered query against its check query, and the driver contract."""
 
 import re
+from pathlib import Path
 
 import pytest
 
 import __spark_entry__ as entry
+from brightledger.rules import staging as staging_rules
+from brightledger.rules.base import band
 from compare import check_rows, differences
 
 QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
@@ -35,3 +38,16 @@ def test_query(spark, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     columns, expected = check_rows(CHECKS[name], sf_dir)
     assert differences(df.columns, [tuple(r) for r in df.collect()], columns, expected) == []
+
+
+def test_a_changed_threshold_turns_its_query_red(spark, sf_dir, monkeypatch):
+    changed = band("current_balance", [(100000, "High Balance"), (26000, "Medium Balance"), (5000, "Standard Balance")], "Low Balance")
+    monkeypatch.setattr(staging_rules, "BALANCE_TIER", changed)
+    df = QUERIES["stg_accounts"](spark, sf_dir)
+    columns, expected = check_rows(CHECKS["stg_accounts"], sf_dir)
+    assert any("balance_tier" in d for d in differences(df.columns, [tuple(r) for r in df.collect()], columns, expected))
+
+
+def test_check_queries_import_nothing_from_the_library():
+    sources = (Path(__file__).parent.parent / "oracles").glob("*.py")
+    assert not [p.name for p in sources if re.search(r"^\s*(from|import) brightledger", p.read_text(), re.M)]

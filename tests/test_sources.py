@@ -8,8 +8,9 @@ from conftest import rows
 
 from brightledger.operators.checks import run_checks
 from brightledger.rules import contracts
-from brightledger.session import shared_folder
+from brightledger.session import prepared, shared_folder
 from brightledger.sources import published, reference
+from brightledger.sources.driver_tables import _padded
 
 
 @pytest.fixture
@@ -84,3 +85,27 @@ def test_shared_folder_is_the_clusters_or_made_once(spark):
     folder = shared_folder(spark)
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert folder == named and shared_folder(spark) == folder
+
+
+def test_long_numbers_stay_whole_and_distinct(spark, folder):
+    ids = [7, 999_999, 1_000_000, 123_456_789_012, 123_456_789_013, 2**31 + 1]
+    df = spark.createDataFrame([(i,) for i in ids], "n long").selectExpr(f"{_padded('CUST', 'n', 6)} AS number")
+    numbers = [r["number"] for r in df.collect()]
+    assert numbers == [f"CUST{i:06d}" for i in ids]
+
+
+def test_csv_ids_may_be_long(spark, folder):
+    write(folder, "raw_customers", f"id,first_name,last_name\n{2**31 + 5},Ann,A\n")
+    write(folder, "raw_orders", f"id,user_id,order_date,status\n{2**40},{2**31 + 5},2018-01-01,returned\n")
+    write(folder, "raw_payments", f"id,order_id,payment_method,amount\n{2**41},{2**40},coupon,{2**33}\n")
+    frames = reference.load_orders_demo(spark, folder)
+    assert rows(frames["raw_payments"])[0] == {"id": 2**41, "order_id": 2**40, "payment_method": "coupon", "amount": 2**33}
+    assert rows(frames["raw_orders"])[0]["user_id"] == rows(frames["raw_customers"])[0]["id"] == 2**31 + 5
+
+
+def test_settings_of_the_session_are_kept(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert prepared(spark).conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
