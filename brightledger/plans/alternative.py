@@ -22,7 +22,25 @@ def calendar_years(start: str, end: str) -> str:
     return f"(year({end}) - year({start}))"
 
 
+def calendar_months(start: str, end: str) -> str:
+    """Month boundaries passed, whatever the day."""
+    return f"({calendar_years(start, end)} * 12 + month({end}) - month({start}))"
+
+
 # --- cleaning ----------------------------------------------------------------
+def calendar_ages(p: RunParams) -> dict[str, str]:
+    """Ages by the calendar; here the months of a relationship are all of them."""
+    return {
+        "age": calendar_years("date_of_birth", p.now),
+        "relationship_years": calendar_years("customer_since_date", p.now),
+        "relationship_month_part": calendar_months("customer_since_date", p.now),
+    }
+
+
+def customers_360(raw: DataFrame, p: RunParams, *references: DataFrame) -> DataFrame:
+    return staging.customers_360(raw, p, *references, ages=calendar_ages)
+
+
 def loans(raw: DataFrame, p: RunParams) -> DataFrame:
     clean = raw.where("loan_status <> 'INVALID'").withColumns(
         {
@@ -294,12 +312,15 @@ def comprehensive_risk_profile(
 
 # Overrides of the main models by table name.
 STAGING = {
+    "customers_360": (customers_360, staging.MODELS["customers_360"][1]),
     "loans": (loans, ()),
     "customer_phones": (customer_phones, ()),
     **{name: (staging.load_stamped, ()) for name in (
         "investments", "product_usage", "marketing_campaigns", "risk_assessments", "fraud_alerts", "credit_scores", "kyc_records",
     )},
 }
+# Roll-ups whose rules are those of the main profile.
+SHARED = {"transaction_analytics": silver.transaction_analytics}
 ROLL_UPS = {
     "customer_financial_summary": customer_financial_summary,
     "channel_effectiveness": channel_effectiveness,

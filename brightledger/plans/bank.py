@@ -34,7 +34,7 @@ class Bank:
         self.raw, self.references, self.params, self.store = raw, references, params, store
         other = profile == "alt"
         self.cleaning = {**staging.MODELS, **(alternative.STAGING if other else {})}
-        self.roll_ups = alternative.ROLL_UPS if other else {**silver.MODELS, **silver.PARTS, **gold.PARTS}
+        self.roll_ups = {**alternative.SHARED, **alternative.ROLL_UPS} if other else {**silver.MODELS, **silver.PARTS, **gold.PARTS}
         self.reports = {} if other else gold.MODELS
         self._tables: dict[str, DataFrame] = {}
 

@@ -35,6 +35,15 @@ def load_stamped(raw: DataFrame, p: RunParams) -> DataFrame:
     return _stamped(raw, p)
 
 
+def completed_ages(p: RunParams) -> dict[str, str]:
+    """Ages in completed years, and the months of the relationship beyond them."""
+    return {
+        "age": age_years("date_of_birth", p.now),
+        "relationship_years": age_years("customer_since_date", p.now),
+        "relationship_month_part": age_month_part("customer_since_date", p.now),
+    }
+
+
 def customers_360(
     raw: DataFrame,
     p: RunParams,
@@ -43,6 +52,7 @@ def customers_360(
     credit_score_ranges: DataFrame,
     risk_categories: DataFrame,
     lifecycle_stages: DataFrame,
+    ages=completed_ages,
 ) -> DataFrame:
     clean = raw.where(NOT_INVALID.format("customer_status")).withColumns(
         {
@@ -50,9 +60,7 @@ def customers_360(
                 first_name=title_case("first_name"),
                 last_name=title_case("last_name"),
                 email_address="lower(email_address)",
-                age=age_years("date_of_birth", p.now),
-                relationship_years=age_years("customer_since_date", p.now),
-                relationship_month_part=age_month_part("customer_since_date", p.now),
+                **ages(p),
             ),
             **_upper("gender", "customer_status"),
         }

@@ -85,7 +85,7 @@ def bank_queries() -> dict[str, Query]:
     named["channel_product_effectiveness"] = lambda spark, folder: portable(
         reporting_bank(spark, folder).call(gold.channel_product_effectiveness)
     )
-    named |= {f"alt_stg_{name}": bank_table(name, "alt") for name in ("loans", "customer_phones")}
+    named |= {f"alt_stg_{name}": bank_table(name, "alt") for name in ("customers_360", "loans", "customer_phones")}
     named |= {f"alt_int_{name}": bank_table(name, "alt") for name in alternative.ROLL_UPS}
     return named
 

@@ -35,7 +35,7 @@ def build(book: Book, as_of: str = "2024-02-01") -> None:
     def clock(name: str) -> str:
         return f"CAST({name} AS TIME)"
 
-    def stage(name: str, *steps: dict[str, str], status: str | None = None, drop=(), refs=()) -> None:
+    def stage(name: str, *steps: dict[str, str], status: str | None = None, drop=(), refs=(), prefix="") -> None:
         """Projection steps over an input; ``refs`` are (table, key, {column: source})
         joined before the last step."""
         table, columns = BANK[name]
@@ -53,62 +53,75 @@ def build(book: Book, as_of: str = "2024-02-01") -> None:
             text = select(merged, f"({text})")
             known = list(merged)
         final = {c: c for c in known if c not in drop} | {"dbt_created_at": today}
-        book.add(f"stg_{name}", final, f"({text})")
+        book.add(f"{prefix}stg_{name}", final, f"({text})")
 
-    stage(
-        "customers_360",
-        {
-            "first_name": title("first_name"),
-            "last_name": title("last_name"),
-            "email_address": "lower(email_address)",
-            "age": years("date_of_birth"),
-            "relationship_years": years("customer_since_date"),
-            "relationship_month_part": months("customer_since_date", today),
-            **upper("gender", "customer_status"),
-        },
-        {
-            "full_name": "concat(first_name, ' ', last_name)",
-            **cases(
-                age_cohort_id=R.AGE_COHORT,
-                income_bracket_id=R.INCOME_BRACKET,
-                credit_score_range_id=R.CREDIT_RANGE,
-                risk_category_id=R.RISK_CATEGORY,
-                lifecycle_stage_id=R.LIFECYCLE_STAGE,
-                customer_value_segment=R.VALUE_SEGMENT,
-            ),
-            **truths(R.CUSTOMER_FLAGS),
-        },
-        {},
-        status="customer_status",
-        drop=("relationship_month_part",),
-        refs=(
-            (
-                "age_cohorts",
-                ("age_cohort_id", "cohort_id"),
-                {"age_cohort_name": "cohort_name", "age_cohort_characteristics": "characteristics"},
-            ),
-            (
-                "income_brackets",
-                ("income_bracket_id", "bracket_id"),
-                {"income_bracket_name": "bracket_name", "income_marketing_priority": "marketing_priority"},
-            ),
-            (
-                "credit_score_ranges",
-                ("credit_score_range_id", "score_range_id"),
-                {"credit_score_range_name": "range_name", "credit_grade": "grade", "expected_default_rate": "default_rate"},
-            ),
-            (
-                "risk_categories",
-                ("risk_category_id", "risk_category_id"),
-                {"risk_level": "risk_level", "risk_name": "risk_name", "risk_monitoring_frequency": "monitoring_frequency"},
-            ),
-            (
-                "lifecycle_stages",
-                ("lifecycle_stage_id", "stage_id"),
-                {"lifecycle_stage_name": "stage_name", "lifecycle_characteristics": "characteristics"},
+    def boundaries(unit: str, start: str) -> str:
+        return f"CAST(date_diff('{unit}', {start}, {today}) AS INTEGER)"
+
+    completed = {
+        "age": years("date_of_birth"),
+        "relationship_years": years("customer_since_date"),
+        "relationship_month_part": months("customer_since_date", today),
+    }
+    by_calendar = {
+        "age": boundaries("year", "date_of_birth"),
+        "relationship_years": boundaries("year", "customer_since_date"),
+        "relationship_month_part": boundaries("month", "customer_since_date"),
+    }
+    for prefix, ages in (("alt_", by_calendar), ("", completed)):
+        stage(
+            "customers_360",
+            {
+                "first_name": title("first_name"),
+                "last_name": title("last_name"),
+                "email_address": "lower(email_address)",
+                **ages,
+                **upper("gender", "customer_status"),
+            },
+            {
+                "full_name": "concat(first_name, ' ', last_name)",
+                **cases(
+                    age_cohort_id=R.AGE_COHORT,
+                    income_bracket_id=R.INCOME_BRACKET,
+                    credit_score_range_id=R.CREDIT_RANGE,
+                    risk_category_id=R.RISK_CATEGORY,
+                    lifecycle_stage_id=R.LIFECYCLE_STAGE,
+                    customer_value_segment=R.VALUE_SEGMENT,
+                ),
+                **truths(R.CUSTOMER_FLAGS),
+            },
+            {},
+            status="customer_status",
+            drop=("relationship_month_part",),
+            refs=(
+                (
+                    "age_cohorts",
+                    ("age_cohort_id", "cohort_id"),
+                    {"age_cohort_name": "cohort_name", "age_cohort_characteristics": "characteristics"},
+                ),
+                (
+                    "income_brackets",
+                    ("income_bracket_id", "bracket_id"),
+                    {"income_bracket_name": "bracket_name", "income_marketing_priority": "marketing_priority"},
+                ),
+                (
+                    "credit_score_ranges",
+                    ("credit_score_range_id", "score_range_id"),
+                    {"credit_score_range_name": "range_name", "credit_grade": "grade", "expected_default_rate": "default_rate"},
+                ),
+                (
+                    "risk_categories",
+                    ("risk_category_id", "risk_category_id"),
+                    {"risk_level": "risk_level", "risk_name": "risk_name", "risk_monitoring_frequency": "monitoring_frequency"},
+                ),
+                (
+                    "lifecycle_stages",
+                    ("lifecycle_stage_id", "stage_id"),
+                    {"lifecycle_stage_name": "stage_name", "lifecycle_characteristics": "characteristics"},
+                ),
             ),
-        ),
-    )
+            prefix=prefix,
+        )
     expense = "CAST(average_balance * annual_interest_rate AS DOUBLE) / 12"
     stage(
         "accounts",
