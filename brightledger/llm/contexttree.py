@@ -34,7 +34,7 @@ EDGE = 255
 STEM = 3
 # Text bytes counted at a time, and per part of the hash space.
 CHUNK_BYTES = 4 << 20
-PART_BYTES = 16 << 20
+PART_BYTES = 32 << 20
 # Grams whose subtrees are built together, cut between stems.
 BATCH_GRAMS = 200_000
 # The word hash that stands for a text's end.
@@ -255,8 +255,11 @@ def _counted_blocks(parts: int):
         for kind, counts in found.items():
             counts.settle()
             part = (mixed(counts.keys, 7) % np.uint64(parts)).astype(np.int64)
-            for p in np.unique(part):
-                keys, n = counts.keys[part == p], counts.n[part == p]
+            order = np.argsort(part, kind="stable")
+            cuts = np.flatnonzero(np.diff(part[order], prepend=-1, append=parts))
+            for begin, end in zip(cuts[:-1], cuts[1:]):
+                p, here = part[order[begin]], order[begin:end]
+                keys, n = counts.keys[here], counts.n[here]
                 yield {"block": block, "kind": kind, "part": int(p), "size": len(keys), "keys": packed(keys), "n": _squeezed(n.astype("<u4"))}
 
     def count(batches):
