@@ -17,7 +17,7 @@ _PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-zß-öø-
 _BLANKS = re.compile(r"[ \t\n\r\f\v]+")
 # Words, and parts of words, kept per generation and process: when a generation is full, the
 # one before it is forgotten, so words that recur stay. This changes no result.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 200_000
 # A word longer than this is encoded each time.
 LONG_WORD = 64
 
