@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from brightledger.functions.scoring import choice, choices, decide_all, flags, mean, n_if, named, or_zero, points, sum_if
 from brightledger.operators.keyed import align, newest, nulls_first
 from brightledger.params import RunParams
-from brightledger.plans import silver, staging
+from brightledger.plans import gold, silver, staging
 from brightledger.rules import alternative as A
 from brightledger.rules import silver as R
 
@@ -311,6 +311,77 @@ def comprehensive_risk_profile(
 
 
 # Overrides of the main models by table name.
+
+
+# --- roll-ups and reports whose rules are the main ones, under this profile's labels ---------
+def risk_in_main_terms(risk: DataFrame) -> DataFrame:
+    """The risk profile under the names that shared models read; it has no trend of its own."""
+    return risk.withColumns(
+        {
+            "overall_risk_level": F.col("composite_risk_rating"),
+            **flags(
+                {
+                    "requires_enhanced_monitoring": "overall_risk_assessment = 'REQUIRES_MONITORING'",
+                    "requires_immediate_review": "overall_risk_assessment = 'REQUIRES_IMMEDIATE_REVIEW'",
+                }
+            ),
+            "risk_trend": F.lit("STABLE"),
+        }
+    )
+
+
+def finance_in_main_terms(finance: DataFrame) -> DataFrame:
+    """The financial summary likewise: value segments stand for wealth tiers."""
+    return finance.withColumns(
+        {"wealth_tier": F.col("customer_value_segment"), "financial_risk_level": F.col("customer_risk_profile")}
+    )
+
+
+def customer_profile(
+    profile_core: DataFrame, customer_addresses: DataFrame, customer_phones: DataFrame, customer_segments: DataFrame
+) -> DataFrame:
+    phones = customer_phones.withColumns(
+        {
+            **flags({"is_verified": "phone_status = 'VERIFIED'"}),
+            "call_eligible": F.col("communication_ready"),
+            "sms_eligible": F.col("sms_ready"),
+        }
+    )
+    return silver.customer_profile(profile_core, customer_addresses, phones, customer_segments)
+
+
+def customer_retention_analytics(
+    p: RunParams,
+    retention_events: DataFrame,
+    customer_interactions: DataFrame,
+    digital_activity: DataFrame,
+    profile_core: DataFrame,
+    comprehensive_risk_profile: DataFrame,
+) -> DataFrame:
+    risk = risk_in_main_terms(comprehensive_risk_profile)
+    return silver.customer_retention_analytics(
+        p, retention_events, customer_interactions, digital_activity, profile_core, risk
+    )
+
+
+def customer_health(
+    profile_core: DataFrame,
+    customer_financial_summary: DataFrame,
+    comprehensive_risk_profile: DataFrame,
+    channel_effectiveness: DataFrame,
+    customer_retention_analytics: DataFrame,
+    product_penetration_analysis: DataFrame,
+) -> DataFrame:
+    return gold.customer_health(
+        profile_core,
+        finance_in_main_terms(customer_financial_summary),
+        risk_in_main_terms(comprehensive_risk_profile),
+        channel_effectiveness,
+        customer_retention_analytics,
+        product_penetration_analysis,
+    )
+
+
 STAGING = {
     "customers_360": (customers_360, staging.MODELS["customers_360"][1]),
     "loans": (loans, ()),
@@ -320,10 +391,21 @@ STAGING = {
     )},
 }
 # Roll-ups whose rules are those of the main profile.
-SHARED = {"transaction_analytics": silver.transaction_analytics}
+SHARED = {
+    "customer_base": silver.customer_base,
+    "profile_core": silver.profile_core,
+    "transaction_analytics": silver.transaction_analytics,
+    "customer_health": customer_health,
+}
 ROLL_UPS = {
     "customer_financial_summary": customer_financial_summary,
     "channel_effectiveness": channel_effectiveness,
     "product_penetration_analysis": product_penetration_analysis,
     "comprehensive_risk_profile": comprehensive_risk_profile,
+    "customer_profile": customer_profile,
+    "customer_retention_analytics": customer_retention_analytics,
+}
+REPORTS = {
+    "executive_customer_dashboard": gold.executive_customer_dashboard,
+    "customer_segmentation_analysis": gold.customer_segmentation_analysis,
 }

@@ -35,7 +35,7 @@ class Bank:
         other = profile == "alt"
         self.cleaning = {**staging.MODELS, **(alternative.STAGING if other else {})}
         self.roll_ups = {**alternative.SHARED, **alternative.ROLL_UPS} if other else {**silver.MODELS, **silver.PARTS, **gold.PARTS}
-        self.reports = {} if other else gold.MODELS
+        self.reports = alternative.REPORTS if other else gold.MODELS
         self._tables: dict[str, DataFrame] = {}
 
     @classmethod

@@ -87,6 +87,7 @@ def bank_queries() -> dict[str, Query]:
     )
     named |= {f"alt_stg_{name}": bank_table(name, "alt") for name in ("customers_360", "loans", "customer_phones")}
     named |= {f"alt_int_{name}": bank_table(name, "alt") for name in alternative.ROLL_UPS}
+    named |= {f"alt_{name}": bank_table(name, "alt") for name in alternative.REPORTS}
     return named
 
 

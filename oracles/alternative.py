@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from oracles.fixed_inputs import ALTERNATIVE
 from oracles.fixed_rules import alternative as A
 from oracles.fixed_rules import silver as R
@@ -465,3 +467,57 @@ def build(book: Book, as_of: str = "2024-02-01") -> None:
             "stg_account_alerts",
         ),
     )
+
+    # Models with the main rules, over this profile's tables
+    book.add_text(
+        "_alt_risk_as_main",
+        "SELECT *, composite_risk_rating AS overall_risk_level,"
+        " coalesce(overall_risk_assessment = 'REQUIRES_MONITORING', FALSE) AS requires_enhanced_monitoring,"
+        " coalesce(overall_risk_assessment = 'REQUIRES_IMMEDIATE_REVIEW', FALSE) AS requires_immediate_review,"
+        " 'STABLE' AS risk_trend FROM alt_int_comprehensive_risk_profile",
+        [],
+        ("alt_int_comprehensive_risk_profile",),
+    )
+    book.add_text(
+        "_alt_finance_as_main",
+        "SELECT *, customer_value_segment AS wealth_tier, customer_risk_profile AS financial_risk_level"
+        " FROM alt_int_customer_financial_summary",
+        [],
+        ("alt_int_customer_financial_summary",),
+    )
+    book.add_text(
+        "_alt_phones_as_main",
+        "SELECT *, coalesce(phone_status = 'VERIFIED', FALSE) AS is_verified, communication_ready AS call_eligible,"
+        " sms_ready AS sms_eligible FROM alt_stg_customer_phones",
+        [],
+        ("alt_stg_customer_phones",),
+    )
+    instead = {
+        "stg_customers_360": "alt_stg_customers_360",
+        "stg_customer_phones": "_alt_phones_as_main",
+        "int_customer_profile": "alt_int_customer_profile",
+        "int_customer_retention_analytics": "alt_int_customer_retention_analytics",
+        "int_customer_financial_summary": "_alt_finance_as_main",
+        "int_comprehensive_risk_profile": "_alt_risk_as_main",
+        "int_channel_effectiveness": "alt_int_channel_effectiveness",
+        "int_product_penetration_analysis": "alt_int_product_penetration_analysis",
+    }
+    made = {}
+
+    def over_alternative(name: str) -> str:
+        """The main query ``name`` with this profile's tables put in for the main ones."""
+        if name in instead and not name.startswith("int_customer_profile") and name != "int_customer_retention_analytics":
+            return instead[name]
+        if name not in made:
+            text, reads = book.queries[name]
+            swapped = {read: over_alternative(read) for read in reads}
+            if all(old == new for old, new in swapped.items()):
+                return name
+            made[name] = instead.get(name, f"alt_{name}" if not name.startswith("_") else f"_alt{name}")
+            for old, new in sorted(swapped.items(), key=lambda pair: -len(pair[0])):
+                text = re.sub(rf"(?<![\w.]){old}(?!\w)", new, text)
+            book.add_text(made[name], text, book.columns[name], tuple(swapped.values()))
+        return made[name]
+
+    for name in ("int_customer_profile", "int_customer_retention_analytics", "executive_customer_dashboard", "customer_segmentation_analysis"):
+        over_alternative(name)

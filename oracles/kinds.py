@@ -107,6 +107,7 @@ REALS |= {"loan_amount"}
 
 SPECIAL = {
     ("int_customer_retention_analytics", "avg_churn_risk_score"): WHOLE,
+    ("alt_int_customer_retention_analytics", "avg_churn_risk_score"): WHOLE,
     ("alt_stg_loans", "percent_paid"): WHOLE,
     ("alt_int_customer_financial_summary", "total_annual_premiums"): WHOLE,
     ("alt_int_customer_financial_summary", "total_insurance_coverage"): WHOLE,
