@@ -364,6 +364,32 @@ def customer_retention_analytics(
     )
 
 
+def account_activity(
+    p: RunParams, accounts: DataFrame, account_balances: DataFrame, transaction_analytics: DataFrame
+) -> DataFrame:
+    age = calendar_years("opened_date", p.now)
+    return silver.activity_at_age(age, accounts, account_balances, transaction_analytics)
+
+
+def account_performance_dashboard(
+    p: RunParams,
+    account_activity: DataFrame,
+    customer_financial_summary: DataFrame,
+    profile_core: DataFrame,
+    comprehensive_risk_profile: DataFrame,
+    product_penetration_analysis: DataFrame,
+) -> DataFrame:
+    return silver.accounts_with_owners(
+        p,
+        silver.AccountRules(A.HEALTH_PARTS, A.ACCOUNT_OPPORTUNITY, A.ACCOUNT_SERVICE_TIER),
+        account_activity,
+        finance_in_main_terms(customer_financial_summary),
+        profile_core,
+        risk_in_main_terms(comprehensive_risk_profile),
+        product_penetration_analysis,
+    )
+
+
 def customer_health(
     profile_core: DataFrame,
     customer_financial_summary: DataFrame,
@@ -396,6 +422,7 @@ SHARED = {
     "profile_core": silver.profile_core,
     "transaction_analytics": silver.transaction_analytics,
     "customer_health": customer_health,
+    "account_activity": account_activity,
 }
 ROLL_UPS = {
     "customer_financial_summary": customer_financial_summary,
@@ -404,6 +431,7 @@ ROLL_UPS = {
     "comprehensive_risk_profile": comprehensive_risk_profile,
     "customer_profile": customer_profile,
     "customer_retention_analytics": customer_retention_analytics,
+    "account_performance_dashboard": account_performance_dashboard,
 }
 REPORTS = {
     "executive_customer_dashboard": gold.executive_customer_dashboard,

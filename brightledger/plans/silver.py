@@ -7,6 +7,8 @@ model costs one shuffle per source and none for putting them together.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F
@@ -32,6 +34,7 @@ from brightledger.functions.scoring import (
 from brightledger.operators.keyed import align, left_align, newest, newest_two, nulls_first, outer_join, recent_count
 from brightledger.params import RunParams
 from brightledger.rules import silver as R
+from brightledger.rules.base import Rules
 
 CUSTOMER = "customer_id"
 ACCOUNT = "account_id"
@@ -1005,6 +1008,12 @@ def account_activity(
     p: RunParams, accounts: DataFrame, account_balances: DataFrame, transaction_analytics: DataFrame
 ) -> DataFrame:
     """What an account shows on its own: balance, movements, profitability."""
+    return activity_at_age(age_years("opened_date", p.now), accounts, account_balances, transaction_analytics)
+
+
+def activity_at_age(
+    age: str, accounts: DataFrame, account_balances: DataFrame, transaction_analytics: DataFrame
+) -> DataFrame:
     base = accounts.select(
         ACCOUNT,
         CUSTOMER,
@@ -1015,7 +1024,7 @@ def account_activity(
         "annual_interest_rate",
         "monthly_fee",
         "current_balance",
-        *named(account_age_years=age_years("opened_date", p.now)),
+        *named(account_age_years=age),
     )
     movements = transaction_analytics.select(
         ACCOUNT,
@@ -1037,6 +1046,15 @@ def account_activity(
     )
 
 
+@dataclass(frozen=True)
+class AccountRules:
+    """The rules of the account dashboard that differ by profile."""
+
+    health: tuple
+    opportunity: Rules
+    service_tier: Rules
+
+
 def account_performance_dashboard(
     p: RunParams,
     account_activity: DataFrame,
@@ -1044,6 +1062,26 @@ def account_performance_dashboard(
     profile_core: DataFrame,
     comprehensive_risk_profile: DataFrame,
     product_penetration_analysis: DataFrame,
+) -> DataFrame:
+    return accounts_with_owners(
+        p,
+        AccountRules(R.HEALTH_PARTS, R.ACCOUNT_OPPORTUNITY, R.ACCOUNT_SERVICE_TIER),
+        account_activity,
+        customer_financial_summary,
+        profile_core,
+        comprehensive_risk_profile,
+        product_penetration_analysis,
+    )
+
+
+def accounts_with_owners(
+    p: RunParams,
+    account_rules: AccountRules,
+    account_activity: DataFrame,
+    customer_financial_summary: DataFrame,
+    profile_core: DataFrame,
+    comprehensive_risk_profile: DataFrame,
+    product_penetration_analysis: DataFrame,
 ) -> DataFrame:
     # All that is known about an owner is put together first, so accounts are moved to
     # their owners once, in the one join that a large owner can skew. The runtime splits
@@ -1153,11 +1191,11 @@ def account_performance_dashboard(
             current_balance="balance",
             customer_product_penetration="coalesce(product_penetration_score, 0)",
             customer_wealth_tier="wealth_tier",
-            account_health_score=clamped(*R.HEALTH_PARTS),
+            account_health_score=clamped(*account_rules.health),
             account_risk_flag=choice(R.ACCOUNT_RISK_FLAG),
-            account_opportunity=choice(R.ACCOUNT_OPPORTUNITY),
+            account_opportunity=choice(account_rules.opportunity),
             next_best_action=choice(R.ACCOUNT_ACTION),
-            account_service_tier=choice(R.ACCOUNT_SERVICE_TIER),
+            account_service_tier=choice(account_rules.service_tier),
             last_updated=p.stamp,
         ),
     )

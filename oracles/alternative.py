@@ -503,6 +503,24 @@ def build(book: Book, as_of: str = "2024-02-01") -> None:
         "int_product_penetration_analysis": "alt_int_product_penetration_analysis",
     }
     made = {}
+    # The account dashboard's own rules; ages there go by the calendar.
+    health = list(R.HEALTH_PARTS)
+    health[2] = "CASE WHEN overall_risk_level = 'LOW_RISK' THEN 20 WHEN overall_risk_level = 'MEDIUM_RISK' THEN 10 WHEN overall_risk_level = 'HIGH_RISK' THEN 5 ELSE 0 END"
+    health[4] = "CASE WHEN compliance_status = 'COMPLIANT' THEN 10 WHEN compliance_status = 'MINOR_CONCERNS' THEN 5 ELSE 0 END"
+    tier = {"'PRIVATE_BANKING', 'WEALTH_MANAGEMENT'": "'HIGH_VALUE', 'MEDIUM_VALUE'"}
+    services = {"wealth_tier = 'PRIVATE_BANKING'": "wealth_tier = 'HIGH_VALUE'", "wealth_tier = 'WEALTH_MANAGEMENT'": "wealth_tier = 'MEDIUM_VALUE'"}
+
+    def replaced(text: str, pairs: dict[str, str]) -> str:
+        for old, new in pairs.items():
+            text = text.replace(old, new)
+        return text
+
+    other_rules = {
+        score(*R.HEALTH_PARTS): score(*health),
+        case(R.ACCOUNT_OPPORTUNITY): replaced(case(R.ACCOUNT_OPPORTUNITY), tier),
+        case(R.ACCOUNT_SERVICE_TIER): replaced(case(R.ACCOUNT_SERVICE_TIER), services),
+        f"CAST(date_part('year', age({today}, opened_date)) AS INTEGER)": f"CAST(date_diff('year', opened_date, {today}) AS INTEGER)",
+    }
 
     def over_alternative(name: str) -> str:
         """The main query ``name`` with this profile's tables put in for the main ones."""
@@ -514,10 +532,12 @@ def build(book: Book, as_of: str = "2024-02-01") -> None:
             if all(old == new for old, new in swapped.items()):
                 return name
             made[name] = instead.get(name, f"alt_{name}" if not name.startswith("_") else f"_alt{name}")
+            for old, new in other_rules.items():
+                text = text.replace(old, new)
             for old, new in sorted(swapped.items(), key=lambda pair: -len(pair[0])):
                 text = re.sub(rf"(?<![\w.]){old}(?!\w)", new, text)
             book.add_text(made[name], text, book.columns[name], tuple(swapped.values()))
         return made[name]
 
-    for name in ("int_customer_profile", "int_customer_retention_analytics", "executive_customer_dashboard", "customer_segmentation_analysis"):
+    for name in ("int_customer_profile", "int_customer_retention_analytics", "int_account_performance_dashboard", "executive_customer_dashboard", "customer_segmentation_analysis"):
         over_alternative(name)
