@@ -24,8 +24,10 @@ BANDS, BAND_ROWS = 24, 5
 COORDINATES = BANDS * BAND_ROWS
 # Texts signed together, by their bytes.
 BATCH_BYTES = 1 << 20
-# Text bytes that one side of a comparison group holds.
-BLOCK_BYTES = 8 << 20
+# Text bytes, and texts, that one side of a comparison holds.
+BLOCK_BYTES, BLOCK_TEXTS = 8 << 20, 2048
+# Text bytes of the small groups that are compared in one call, on average.
+CALL_BYTES = 1 << 20
 # Pairs whose signatures agree this many standard deviations below the similarity, or more,
 # are compared exactly.
 DEVIATIONS = 4.5
@@ -149,8 +151,8 @@ def near_duplicates(documents: DataFrame, threshold: float = SIMILARITY, counted
     into candidate groups (the components of that relation), which need only hashes. Each
     group's texts are then compared where they meet: pairs are taken by falling agreement of
     their signatures, verified exactly, and skipped once both are in one class, so what a group
-    returns are at most as many links as it has texts. Groups over ``BLOCK_BYTES`` are cut into
-    blocks, and each pair of blocks is compared on its own.
+    returns are at most as many links as it has texts. Groups over ``BLOCK_BYTES`` or
+    ``BLOCK_TEXTS`` are cut into blocks, and each pair of blocks is compared on its own.
     """
     rows = documents.where("doc_id IS NOT NULL").select("doc_id", "text", F.md5(F.col("text").cast("binary")).alias("digest"))
     signed = rows.where("text IS NOT NULL").mapInArrow(
@@ -197,14 +199,16 @@ def _verified(documents: DataFrame, nodes: DataFrame, groups: DataFrame, thresho
     members = nodes.join(grouped.withColumnRenamed("id", "node"), "node").select(
         "node", "digest", "bytes", "signature", F.col("component").alias("group")
     )
-    sizes = members.groupBy("group").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
+    blocks = F.greatest(F.ceil(F.sum("bytes") / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK_TEXTS))
+    sizes = members.groupBy("group").agg(blocks.cast("int").alias("blocks"))
+    total = members.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     dealt = members.join(sizes, "group").withColumn("own", F.pmod(F.xxhash64("node"), F.greatest("blocks", F.lit(1))).cast("int"))
     texts = documents.select(F.col("doc_id").alias("node"), "text", F.md5(F.col("text").cast("binary")).alias("digest"))
     # The smallest doc_id of a text has that text; rows that repeat both give one.
     held = dealt.join(texts, ["node", "digest"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.greatest("blocks", F.lit(1)) - 1)))
     # Small groups share a call, by hash; a block pair of a large one is a call of its own.
     low, high = F.least("own", "other"), F.greatest("own", "other")
-    call = F.when(F.col("blocks") <= 1, F.pmod(F.xxhash64("group"), F.lit(1 << 12))).otherwise(F.xxhash64("group"))
+    call = F.when(F.col("blocks") <= 1, F.pmod(F.xxhash64("group"), F.lit(max(1, -(-total // CALL_BYTES))))).otherwise(F.xxhash64("group"))
     calls = held.select(call.alias("call"), low.alias("low"), high.alias("high"), "group", "node", "own", "signature", "text")
     spread = np.sqrt(threshold * (1 - threshold) / COORDINATES)
     least = threshold - DEVIATIONS * spread

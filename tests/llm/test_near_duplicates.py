@@ -1,6 +1,7 @@
 """Near-duplicate texts and vectors, and the components of links."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from brightledger.llm import minhash, vectors
@@ -112,11 +113,12 @@ def test_classes_of_awkward_and_planted_texts(spark):
     assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in kept.collect()) == sorted({*wanted.values(), -1})
 
 
-def test_groups_over_one_block_give_the_same_classes(spark, monkeypatch):
+@pytest.mark.parametrize("name, size", [("BLOCK_BYTES", 20_000), ("BLOCK_TEXTS", 9)])
+def test_groups_over_one_block_give_the_same_classes(spark, monkeypatch, name, size):
     base = prose(8, 200)
     rows = [(n, changed(base, 0.015, n)) for n in range(60)] + [(100 + n, prose(100 + n, 50)) for n in range(20)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    monkeypatch.setattr(minhash, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(minhash, name, size)
     found = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(df).collect()}
     assert found == true_classes(rows)
 
