@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from oracles.fixed_inputs import BANK, REFERENCES
 from oracles.fixed_rules import staging as R
-from oracles.text import Book, case, cases, pct, rounded, select, truth, truths
+from oracles.text import Book, case, cases, pct, select, truth, truths
 
 
 def build(book: Book, as_of: str = "2024-02-01") -> None:
