@@ -2,7 +2,7 @@
 
 Texts and benchmark items are cut into words, numbers and sentence breaks. Numbers, units
 after a number and names (capitalised words inside a sentence) become typed placeholders, the
-rest is lower case. Windows of the template are joined by hash; where enough windows of an
+rest is lower case. Windows of the template are joined by hash; where enough words of an
 item lie in a text in a row, the values in the slots are compared: a value of the item must
 stand for one value of the text throughout. So a question with other numbers or names is
 found, and texts that only share its form are not.
@@ -15,11 +15,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from brightledger.llm.common import let, stored
 
 WINDOW = 8
-# Words of a window that are no placeholder, at least.
+# Words of a run that are no placeholder, at least.
 LITERALS = 5
 # Words in a row that make a match; an item of fewer must be there as a whole.
 RUN = 10
-# Windows of the benchmark that are broadcast at most (about 32 MB); more are joined by shuffle.
+# Windows of the benchmark that are broadcast at most (about 50 MB); more are joined by shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
 _TOKEN = r"\p{L}[\p{L}\p{M}]*|[0-9]+(?:[.,][0-9]+)*|[.!?\n]"
@@ -71,9 +71,9 @@ def slots(text: Column) -> Column:
     return F.filter(_tokens(text, pair), lambda s: s["kind"] != BREAK)
 
 
-def windows(text: Column) -> Column:
-    """A hash of each window of the template, in order. Pairs, fours and eights are hashed in
-    turn, so a word is handled three times, not eight."""
+def windows(words: Column) -> Column:
+    """A hash of each window of the words of a template, in order. Pairs, fours and eights are
+    hashed in turn, so a word is handled three times, not eight."""
 
     def doubled(hashes: Column, step: int) -> Column:
         def paired(h: Column) -> Column:
@@ -82,20 +82,30 @@ def windows(text: Column) -> Column:
 
         return let(hashes, paired)
 
-    words = F.transform(template(text), lambda k: F.xxhash64(k))
-    return doubled(doubled(doubled(words, 1), 2), 4)
+    hashes = F.transform(words, lambda k: F.xxhash64(k))
+    return doubled(doubled(doubled(hashes, 1), 2), 4)
 
 
-def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(window, item_id, at, least): the windows with enough literal words and how many of
-    them in a row make a match of the item."""
-    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
-    placeholder = F.transform(template(F.col("text")), lambda k: k.startswith("<").cast("int"))
-    made = items.select("item_id", windows(F.col("text")).alias("windows"), placeholder.alias("placeholder"))
-    made = made.select("item_id", F.size("windows").alias("n"), F.posexplode("windows").alias("at", "window"), "placeholder")
-    literal = WINDOW - F.aggregate(F.slice("placeholder", F.col("at") + 1, WINDOW), F.lit(0), lambda a, b: a + b)
-    # An item counts once for each place of a window; repeated rows of an item are one.
-    return made.where(literal >= LITERALS).select("window", "item_id", "at", F.least(F.lit(RUN - WINDOW + 1), F.col("n")).alias("least")).distinct()
+def benchmark_items(benchmark: DataFrame) -> DataFrame:
+    """(item, item_id, slots, size) of each text of an item: ``item`` is a hash of both columns."""
+    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").distinct()
+    made = items.select(F.xxhash64("item_id", "text").alias("item"), "item_id", slots(F.col("text")).alias("slots"))
+    return made.select("*", F.size("slots").alias("size"))
+
+
+def benchmark_windows(items: DataFrame) -> DataFrame:
+    """(window, item, at, rank): the windows that hold a literal word, counted by ``rank``. A run
+    with literal words enough has such a window, so those of placeholders alone, which every
+    table of numbers is full of, need not be joined."""
+    made = windows(F.transform("slots", lambda s: s["kind"]))
+    literal = lambda w, at: F.when(_literals(at, at + WINDOW) > 0, F.struct(w.alias("window"), at.alias("at")))
+    made = items.select("item", F.array_compact(F.transform(made, literal)).alias("seeds"))
+    return made.select("item", F.posexplode("seeds").alias("rank", "seed")).select("seed.window", "item", "seed.at", "rank")
+
+
+def _literals(begin: Column, end: Column) -> Column:
+    """The number of literal words of an item from place ``begin`` to before ``end``."""
+    return F.size(F.filter(F.slice("slots", begin + 1, end - begin), lambda s: ~s["kind"].startswith("<")))
 
 
 def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -103,8 +113,8 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``benchmark`` (item_id, text): ``row`` is a hash of both columns, the items ascend.
 
     A document holds an item if at least ``RUN`` words of the item's template (or all of a
-    shorter item) lie in its template in a row, and the values in the slots there, and on as
-    far as the templates agree, map one to one.
+    shorter item) lie in its template in a row, at least ``LITERALS`` of them no placeholders,
+    and the values in the slots of the run, as far as the templates agree, map one to one.
     Items of fewer than ``WINDOW`` words are too unspecific and never found. Null and empty
     texts hold nothing; rows of the benchmark without id or text are ignored; an item_id with
     several texts is found if one of them is; a null doc_id is an id like any other and repeated rows
@@ -115,56 +125,71 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     count says they are few, and joined by shuffle otherwise; matches are reduced per document
     and item in the task that finds them. Values are compared only in the documents that match.
     """
-    looked_for = stored(benchmark_windows(benchmark), "benchmark-windows")
+    items = stored(benchmark_items(benchmark), "benchmark-items")
+    looked_for = stored(benchmark_windows(items), "benchmark-windows")
     if looked_for.count() <= BROADCAST_WINDOWS:
         looked_for = F.broadcast(looked_for)
     keyed = documents.select("doc_id", _row().alias("row"), "text")
-    exploded = keyed.where("text IS NOT NULL").select("doc_id", "row", F.posexplode(windows(F.col("text"))).alias("place", "window"))
+    exploded = keyed.where("text IS NOT NULL").select(
+        "doc_id", "row", F.posexplode(windows(template(F.col("text")))).alias("place", "window")
+    )
     runs = (
         exploded.join(looked_for, "window")
-        .groupBy("doc_id", "row", "item_id", (F.col("place") - F.col("at")).alias("shift"))
-        .agg(F.collect_set("place").alias("places"), F.max("least").alias("least"))
+        .groupBy("doc_id", "row", "item", (F.col("place") - F.col("at")).alias("shift"))
+        .agg(F.array_sort(F.collect_set(F.struct("rank", "at"))).alias("hits"))
     )
-    # Places in a row have one difference to their rank: cut the matches into runs.
-    ranked = runs.withColumn("places", F.array_sort("places"))
-    cut = ranked.select("doc_id", "row", "item_id", "shift", "least", F.posexplode("places").alias("rank", "place"))
-    found = (
-        cut.groupBy("doc_id", "row", "item_id", "shift", (F.col("place") - F.col("rank")).alias("run"))
-        .agg(F.min("place").alias("first"), F.count("*").alias("n"), F.max("least").alias("least"))
-        .where("n >= least")
-        .withColumn("end", F.col("first") + F.col("n") + (WINDOW - 1))
-        .groupBy("doc_id", "row", "item_id", "shift")
-        .agg(F.min("first").alias("first"), (F.max("end") - F.min("first")).cast("int").alias("words"))
+    # Windows in a row have one difference of their rank to their place in the list: cut the
+    # hits into runs.
+    cut = runs.select("doc_id", "row", "item", "shift", F.posexplode("hits").alias("n", "hit"))
+    cut = (
+        cut.groupBy("doc_id", "row", "item", "shift", (F.col("hit.rank") - F.col("n")).alias("run"))
+        .agg(F.min("hit.at").alias("first"), (F.max("hit.at") + WINDOW).alias("end"))
+        .join(items, "item")
     )
-    found = stored(found, "matches")
+    # Where a window of placeholders alone is next to the run, it may go on.
+    bare = lambda at: _literals(at, at + WINDOW) == 0
+    long = F.col("end") - F.col("first") >= F.least(F.lit(RUN), F.col("size"))
+    long = long | ((F.col("end") < F.col("size")) & bare(F.col("end") - (WINDOW - 1)))
+    long = long | ((F.col("first") > 0) & bare(F.greatest(F.col("first") - 1, F.lit(0))))
+    likely = cut.where(long & (_literals(F.col("first"), F.col("end")) >= LITERALS))
+    found = stored(likely.select("doc_id", "row", "item", "shift").distinct(), "matches")
 
     same_row = [F.col("d.row") == F.col("m.row"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))]
     held = found.alias("m").join(keyed.alias("d"), same_row).select("m.*", "d.text")
-    held = held.dropDuplicates(["doc_id", "row", "item_id", "shift"])
-    items = benchmark.select("item_id", slots(F.col("text")).alias("item")).distinct()
+    held = held.dropDuplicates(["doc_id", "row", "item", "shift"])
     pair = lambda d, i: F.struct(
         d["kind"].alias("kind"), i["kind"].alias("item_kind"), d["value"].alias("value"), i["value"].alias("item_value")
     )
     # The whole item laid over the text at its shift.
     begin = F.greatest("shift", F.lit(0))
-    held = held.withColumn("begin", begin).withColumn("in_text", slots(F.col("text"))).drop("text").join(items, "item_id")
-    size = F.least(F.size("item") + F.col("shift"), F.size("in_text")) - F.col("begin")
-    laid = F.zip_with(F.slice("in_text", F.col("begin") + 1, size), F.slice("item", F.col("begin") - F.col("shift") + 1, size), pair)
-    pairs = held.select("doc_id", "row", "item_id", (F.col("first") - F.col("begin")).alias("from"), "words", laid.alias("pairs"))
-
-    def consistent(pairs: Column) -> Column:
-        """Whether the slots map one to one, value by value, as far as the template agrees on
-        both sides of the run that was found."""
-        places = F.transform(pairs, lambda p, n: F.when(~p["kind"].eqNullSafe(p["item_kind"]), n))
-        low = lambda wrong: F.coalesce(F.array_max(F.filter(wrong, lambda n: n < F.col("from"))) + 1, F.lit(0))
-        high = lambda wrong: F.coalesce(F.array_min(F.filter(wrong, lambda n: n >= F.col("from") + F.col("words"))), F.size(pairs))
-        agreed = let(F.array_compact(places), lambda wrong: F.slice(pairs, low(wrong) + 1, high(wrong) - low(wrong)))
-        both = F.filter(agreed, lambda p: p["kind"].startswith("<") & p["kind"].eqNullSafe(p["item_kind"]))
+    held = held.withColumn("begin", begin).withColumn("in_text", slots(F.col("text"))).drop("text")
+    held = held.join(items.select("item", "item_id", "slots", "size"), "item")
+    size = F.least(F.col("size") + F.col("shift"), F.size("in_text")) - F.col("begin")
+    laid = F.zip_with(F.slice("in_text", F.col("begin") + 1, size), F.slice("slots", F.col("begin") - F.col("shift") + 1, size), pair)
+    pairs = held.select("doc_id", "row", "item_id", "size", laid.alias("pairs"))
+
+    def one_to_one(run: Column) -> Column:
+        both = F.filter(run, lambda p: p["kind"].startswith("<"))
         values = lambda f, name: F.size(F.array_distinct(F.transform(f, lambda p: F.struct(p["kind"], p[name]))))
         return let(F.array_distinct(both), lambda f: (values(f, "value") == F.size(f)) & (values(f, "item_value") == F.size(f)))
 
-    consistent = pairs.where(let(F.col("pairs"), consistent))
-    flagged = consistent.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
+    def enough(run: Column) -> Column:
+        words = F.size(F.filter(run, lambda p: ~p["kind"].startswith("<")))
+        return (F.size(run) >= F.least(F.lit(RUN), F.col("size"))) & (words >= LITERALS)
+
+    def holds(pairs: Column) -> Column:
+        """Whether one of the runs in which the templates agree is long enough and consistent."""
+        places = F.transform(pairs, lambda p, n: F.when(p["kind"] != p["item_kind"], n))
+        wrong = F.concat(F.array(F.lit(-1)), F.array_compact(places), F.array(F.size(pairs)))
+
+        def run_holds(low: Column, high: Column) -> Column:
+            return let(F.slice(pairs, low + 2, F.greatest(high - low - 1, F.lit(0))), lambda r: enough(r) & one_to_one(r))
+
+        each = lambda w: F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), run_holds)
+        return F.exists(let(wrong, each), lambda held: held)
+
+    flagged = pairs.where(let(F.col("pairs"), holds))
+    flagged = flagged.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
 
     return stored(flagged, "contaminated")
 

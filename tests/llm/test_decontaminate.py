@@ -90,3 +90,14 @@ def brute(spark, sf_dir):
 def test_no_python_in_the_plan(spark, sf_dir):
     df = QUERIES["op2_template_decontamination"](spark, sf_dir)
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+TRAIN = "A train travels 60 km in 2 hours and 90 km in 3 hours. What is its average speed?"
+
+
+def test_item_dense_in_slots(spark):
+    other = TRAIN.replace("60 km", "70 miles").replace("90 km", "80 miles").replace("3 hours", "4 hours")
+    bare = "7 8 9 10 11 12 13 14 15 16 17 18"
+    table = f"Of the years {bare} only the last was any good."
+    texts = [around(TRAIN), around(other), around("1 2 3 4 5 6 7 8 9 10 11 12"), around(table.replace("7 8", "5 6"))]
+    assert found(spark, texts, [(1, TRAIN), (2, table)]) == {0: [1], 1: [1], 3: [2]}
