@@ -19,6 +19,8 @@ WINDOW = 8
 LITERALS = 5
 # Words in a row that make a match; an item of fewer must be there as a whole.
 RUN = 10
+# Words in a row with the same values that make a match whatever the slots around them hold.
+VERBATIM = 13
 # Windows of the benchmark that are broadcast at most (about 50 MB); more are joined by shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
@@ -115,6 +117,9 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     A document holds an item if at least ``RUN`` words of the item's template (or all of a
     shorter item) lie in its template in a row, at least ``LITERALS`` of them no placeholders,
     and the values in the slots of the run, as far as the templates agree, map one to one.
+    Placeholders at an end of the run that is no end of the item may agree by chance: the run
+    may do without them. ``VERBATIM`` words in a row (or all of a shorter item) with the values
+    of the item are a match whatever the other slots hold.
     Items of fewer than ``WINDOW`` words are too unspecific and never found. Null and empty
     texts hold nothing; rows of the benchmark without id or text are ignored; an item_id with
     several texts is found if one of them is; a null doc_id is an id like any other and repeated rows
@@ -166,7 +171,7 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     held = held.join(items.select("item", "item_id", "slots", "size"), "item")
     size = F.least(F.col("size") + F.col("shift"), F.size("in_text")) - F.col("begin")
     laid = F.zip_with(F.slice("in_text", F.col("begin") + 1, size), F.slice("slots", F.col("begin") - F.col("shift") + 1, size), pair)
-    pairs = held.select("doc_id", "row", "item_id", "size", laid.alias("pairs"))
+    pairs = held.select("doc_id", "row", "item_id", "size", (F.col("begin") - F.col("shift")).alias("offset"), laid.alias("pairs"))
 
     def one_to_one(run: Column) -> Column:
         both = F.filter(run, lambda p: p["kind"].startswith("<"))
@@ -177,16 +182,33 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         words = F.size(F.filter(run, lambda p: ~p["kind"].startswith("<")))
         return (F.size(run) >= F.least(F.lit(RUN), F.col("size"))) & (words >= LITERALS)
 
-    def holds(pairs: Column) -> Column:
-        """Whether one of the runs in which the templates agree is long enough and consistent."""
-        places = F.transform(pairs, lambda p, n: F.when(p["kind"] != p["item_kind"], n))
-        wrong = F.concat(F.array(F.lit(-1)), F.array_compact(places), F.array(F.size(pairs)))
+    def core(run: Column, at: Column) -> Column:
+        """The run, from place ``at`` of the item, without the placeholders at its ends inside the item."""
+        literal = F.array_compact(F.transform(run, lambda p, n: F.when(~p["kind"].startswith("<"), n)))
+        low = F.when(at == 0, 0).otherwise(F.coalesce(F.array_min(literal), F.lit(0)))
+        high = F.when(at + F.size(run) == F.col("size"), F.size(run)).otherwise(F.coalesce(F.array_max(literal) + 1, F.lit(0)))
+        return F.slice(run, low + 1, F.greatest(high - low, F.lit(0)))
 
-        def run_holds(low: Column, high: Column) -> Column:
-            return let(F.slice(pairs, low + 2, F.greatest(high - low - 1, F.lit(0))), lambda r: enough(r) & one_to_one(r))
+    def between(places: Column, size: Column, use) -> Column:
+        """Whether ``use(first, words)`` holds for a stretch between two of the places."""
+        cuts = F.concat(F.array(F.lit(-1)), F.array_compact(places), F.array(size))
+        words = lambda low, high: F.greatest(high - low - 1, F.lit(0))
+        each = lambda c: F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c) - 1), lambda a, b: use(a + 1, words(a, b)))
+        return F.exists(let(cuts, each), lambda held: held)
 
-        each = lambda w: F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), run_holds)
-        return F.exists(let(wrong, each), lambda held: held)
+    def holds(pairs: Column) -> Column:
+        """Whether one of the runs in which the templates agree is long enough and consistent,
+        or one of those in which the values agree long enough."""
+        other = F.transform(pairs, lambda p, n: F.when(p["kind"] != p["item_kind"], n))
+        changed = F.transform(pairs, lambda p, n: F.when(p["value"] != p["item_value"], n))
+
+        def consistent(run: Column, at: Column) -> Column:
+            whole = enough(run) & one_to_one(run)
+            return whole | let(core(run, at), lambda r: enough(r) & one_to_one(r))
+
+        run_holds = lambda first, n: let(F.slice(pairs, first + 1, n), lambda r: consistent(r, F.col("offset") + first))
+        copied = between(changed, F.size(pairs), lambda first, n: n >= F.least(F.lit(VERBATIM), F.col("size")))
+        return copied | between(other, F.size(pairs), run_holds)
 
     flagged = pairs.where(let(F.col("pairs"), holds))
     flagged = flagged.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))

@@ -101,3 +101,12 @@ def test_item_dense_in_slots(spark):
     table = f"Of the years {bare} only the last was any good."
     texts = [around(TRAIN), around(other), around("1 2 3 4 5 6 7 8 9 10 11 12"), around(table.replace("7 8", "5 6"))]
     assert found(spark, texts, [(1, TRAIN), (2, table)]) == {0: [1], 1: [1], 3: [2]}
+
+
+def test_one_changed_value_and_chance_placeholder_after_a_passage(spark):
+    long = "In 2019 the small town built a new bridge over the wide river and opened it to everyone before the end of 2019 with music."
+    passage = "Anna told 12 of the older children to carry 7 wooden boxes up to the attic and found 30 keys there."
+    # The copy stops before the keys, and a number that stands for another value already follows by chance.
+    part = "Anna told 30 of the older children to carry 8 wooden boxes up to the attic and found 30 of them."
+    texts = [around(long), around(long.replace("of 2019", "of 2020")), around(part)]
+    assert found(spark, texts, [(1, long), (2, passage)]) == {0: [1], 1: [1], 2: [2]}
