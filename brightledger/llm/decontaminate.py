@@ -5,7 +5,8 @@ after a number and names (capitalised words inside a sentence) become typed plac
 rest is lower case. Windows of the template are joined by hash; where enough words of an
 item lie in a text in a row, the values in the slots are compared: a value of the item must
 stand for one value of the text throughout. So a question with other numbers or names is
-found, and texts that only share its form are not.
+found, and texts that only share its form are not. Windows of the plain words in lower case
+are joined as well, so copies in other case or broken into other lines are found.
 """
 
 from __future__ import annotations
@@ -96,13 +97,28 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """(window, item, at, rank): the windows that hold a literal word, counted by ``rank``. A run
-    with literal words enough has such a window, so those of placeholders alone, which every
-    table of numbers is full of, need not be joined."""
+    """(window, item, at, rank, plain): the windows of plain words and those of the template that
+    hold a literal word, counted by ``rank``. A run with literal words enough has such a window,
+    so those of placeholders alone, which every table of numbers is full of, need not be joined."""
     made = windows(F.transform("slots", lambda s: s["kind"]))
     literal = lambda w, at: F.when(_literals(at, at + WINDOW) > 0, F.struct(w.alias("window"), at.alias("at")))
-    made = items.select("item", F.array_compact(F.transform(made, literal)).alias("seeds"))
-    return made.select("item", F.posexplode("seeds").alias("rank", "seed")).select("seed.window", "item", "seed.at", "rank")
+    seeds = items.select("item", F.posexplode(F.array_compact(F.transform(made, literal))).alias("rank", "seed"))
+    plain = items.select("item", F.posexplode(windows(F.transform("slots", lambda s: s["value"]))).alias("at", "window"))
+    return seeds.select("seed.window", "item", "seed.at", "rank", F.lit(False).alias("plain")).union(
+        plain.select("window", "item", "at", F.col("at").alias("rank"), F.lit(True).alias("plain"))
+    )
+
+
+def document_windows(text: Column) -> Column:
+    """The windows of a text's template, and those of its plain words, null where they are equal."""
+
+    def both(words: Column) -> Column:
+        typed, plain = (windows(F.transform(words, lambda w: w[name])) for name in ("kind", "value"))
+        some = F.exists(words, lambda w: w["kind"].startswith("<"))
+        other = lambda t: F.when(some, F.zip_with(t, plain, lambda a, b: F.when(a != b, b)))
+        return let(typed, lambda t: F.array(t, other(t)))
+
+    return let(slots(text), both)
 
 
 def _literals(begin: Column, end: Column) -> Column:
@@ -119,7 +135,7 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     and the values in the slots of the run, as far as the templates agree, map one to one.
     Placeholders at an end of the run that is no end of the item may agree by chance: the run
     may do without them. ``VERBATIM`` words in a row (or all of a shorter item) with the values
-    of the item are a match whatever the other slots hold.
+    of the item are a match whatever the other slots hold, in any case and broken into any lines.
     Items of fewer than ``WINDOW`` words are too unspecific and never found. Null and empty
     texts hold nothing; rows of the benchmark without id or text are ignored; an item_id with
     several texts is found if one of them is; a null doc_id is an id like any other and repeated rows
@@ -128,26 +144,26 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Words are exploded only as hashes of windows. The benchmark's windows are broadcast if a
     count says they are few, and joined by shuffle otherwise; matches are reduced per document
-    and item in the task that finds them. Values are compared only in the documents that match.
+    and item in the task that finds them. Values are compared only in the documents that match
+    by template alone.
     """
     items = stored(benchmark_items(benchmark), "benchmark-items")
     looked_for = stored(benchmark_windows(items), "benchmark-windows")
     if looked_for.count() <= BROADCAST_WINDOWS:
         looked_for = F.broadcast(looked_for)
     keyed = documents.select("doc_id", _row().alias("row"), "text")
-    exploded = keyed.where("text IS NOT NULL").select(
-        "doc_id", "row", F.posexplode(windows(template(F.col("text")))).alias("place", "window")
-    )
+    exploded = keyed.where("text IS NOT NULL").select("doc_id", "row", F.explode(document_windows(F.col("text"))).alias("windows"))
+    exploded = exploded.select("doc_id", "row", F.posexplode("windows").alias("place", "window"))
     runs = (
         exploded.join(looked_for, "window")
         .groupBy("doc_id", "row", "item", (F.col("place") - F.col("at")).alias("shift"))
-        .agg(F.array_sort(F.collect_set(F.struct("rank", "at"))).alias("hits"))
+        .agg(F.array_sort(F.collect_set(F.struct("plain", "rank", "at"))).alias("hits"))
     )
     # Windows in a row have one difference of their rank to their place in the list: cut the
     # hits into runs.
     cut = runs.select("doc_id", "row", "item", "shift", F.posexplode("hits").alias("n", "hit"))
     cut = (
-        cut.groupBy("doc_id", "row", "item", "shift", (F.col("hit.rank") - F.col("n")).alias("run"))
+        cut.groupBy("doc_id", "row", "item", "shift", "hit.plain", (F.col("hit.rank") - F.col("n")).alias("run"))
         .agg(F.min("hit.at").alias("first"), (F.max("hit.at") + WINDOW).alias("end"))
         .join(items, "item")
     )
@@ -156,11 +172,13 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     long = F.col("end") - F.col("first") >= F.least(F.lit(RUN), F.col("size"))
     long = long | ((F.col("end") < F.col("size")) & bare(F.col("end") - (WINDOW - 1)))
     long = long | ((F.col("first") > 0) & bare(F.greatest(F.col("first") - 1, F.lit(0))))
-    likely = cut.where(long & (_literals(F.col("first"), F.col("end")) >= LITERALS))
-    found = stored(likely.select("doc_id", "row", "item", "shift").distinct(), "matches")
+    likely = long & (_literals(F.col("first"), F.col("end")) >= LITERALS)
+    copied = F.col("end") - F.col("first") >= F.least(F.lit(VERBATIM), F.col("size"))
+    found = cut.where((F.col("plain") & copied) | (~F.col("plain") & likely))
+    found = stored(found.groupBy("doc_id", "row", "item", "item_id", "shift").agg(F.max("plain").alias("plain")), "matches")
 
     same_row = [F.col("d.row") == F.col("m.row"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))]
-    held = found.alias("m").join(keyed.alias("d"), same_row).select("m.*", "d.text")
+    held = found.where("NOT plain").alias("m").join(keyed.alias("d"), same_row).select("m.*", "d.text")
     held = held.dropDuplicates(["doc_id", "row", "item", "shift"])
     pair = lambda d, i: F.struct(
         d["kind"].alias("kind"), i["kind"].alias("item_kind"), d["value"].alias("value"), i["value"].alias("item_value")
@@ -168,7 +186,7 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     # The whole item laid over the text at its shift.
     begin = F.greatest("shift", F.lit(0))
     held = held.withColumn("begin", begin).withColumn("in_text", slots(F.col("text"))).drop("text")
-    held = held.join(items.select("item", "item_id", "slots", "size"), "item")
+    held = held.join(items.select("item", "slots", "size"), "item")
     size = F.least(F.col("size") + F.col("shift"), F.size("in_text")) - F.col("begin")
     laid = F.zip_with(F.slice("in_text", F.col("begin") + 1, size), F.slice("slots", F.col("begin") - F.col("shift") + 1, size), pair)
     pairs = held.select("doc_id", "row", "item_id", "size", (F.col("begin") - F.col("shift")).alias("offset"), laid.alias("pairs"))
@@ -197,20 +215,18 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         return F.exists(let(cuts, each), lambda held: held)
 
     def holds(pairs: Column) -> Column:
-        """Whether one of the runs in which the templates agree is long enough and consistent,
-        or one of those in which the values agree long enough."""
+        """Whether one of the runs in which the templates agree is long enough and consistent."""
         other = F.transform(pairs, lambda p, n: F.when(p["kind"] != p["item_kind"], n))
-        changed = F.transform(pairs, lambda p, n: F.when(p["value"] != p["item_value"], n))
 
         def consistent(run: Column, at: Column) -> Column:
             whole = enough(run) & one_to_one(run)
             return whole | let(core(run, at), lambda r: enough(r) & one_to_one(r))
 
         run_holds = lambda first, n: let(F.slice(pairs, first + 1, n), lambda r: consistent(r, F.col("offset") + first))
-        copied = between(changed, F.size(pairs), lambda first, n: n >= F.least(F.lit(VERBATIM), F.col("size")))
-        return copied | between(other, F.size(pairs), run_holds)
+        return between(other, F.size(pairs), run_holds)
 
-    flagged = pairs.where(let(F.col("pairs"), holds))
+    flagged = pairs.where(let(F.col("pairs"), holds)).select("doc_id", "row", "item_id")
+    flagged = flagged.union(found.where("plain").select("doc_id", "row", "item_id"))
     flagged = flagged.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
 
     return stored(flagged, "contaminated")

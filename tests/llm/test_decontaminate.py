@@ -110,3 +110,9 @@ def test_one_changed_value_and_chance_placeholder_after_a_passage(spark):
     part = "Anna told 30 of the older children to carry 8 wooden boxes up to the attic and found 30 of them."
     texts = [around(long), around(long.replace("of 2019", "of 2020")), around(part)]
     assert found(spark, texts, [(1, long), (2, passage)]) == {0: [1], 1: [1], 2: [2]}
+
+
+def test_copies_in_other_case_and_other_lines(spark):
+    wrapped = QUESTION.replace("with Maria", "with\nMaria").replace("then Maria", "then\nMaria")
+    texts = [around(QUESTION.lower()), around(QUESTION.upper()), around(wrapped), around(QUESTION.lower().replace("noon", "dawn").replace("2", "3"))]
+    assert found(spark, texts, [(1, QUESTION)]) == {0: [1], 1: [1], 2: [1]}
