@@ -22,10 +22,19 @@ LITERALS = 5
 RUN = 10
 # Words in a row with the same values that make a match whatever the slots around them hold.
 VERBATIM = 13
+# Words of an item that is looked for, at least; those of fewer than a window must be there as
+# a whole with their values.
+SHORT = 4
 # Windows of the benchmark that are broadcast at most (about 50 MB); more are joined by shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
-_TOKEN = r"\p{L}[\p{L}\p{M}]*|[0-9]+(?:[.,][0-9]+)*|[.!?\n]"
+# Scripts without blanks between words (Thai, Lao, Burmese, Khmer, kana, Han): a letter is a word.
+_NO_BLANKS = (
+    r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3005-\u3006\u3031-\u3035\u3040-\u30FF\u31F0-\u31FF"
+    r"\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\x{1B000}-\x{1B16F}\x{20000}-\x{3FFFF}"
+)
+_LETTERS = rf"[a-zA-Z[\p{{L}}&&[^{_NO_BLANKS}]]][a-zA-Z[\p{{L}}\p{{M}}&&[^{_NO_BLANKS}]]]*|[\p{{L}}&&[{_NO_BLANKS}]]\p{{M}}*"
+_TOKEN = rf"{_LETTERS}|[0-9]+(?:[.,][0-9]+)*|[.!?\n]"
 BREAKS = (".", "!", "?", "\n")
 UNITS = (
     "mm", "cm", "m", "km", "inch", "inches", "foot", "feet", "yard", "yards", "mile", "miles",
@@ -63,13 +72,8 @@ def _tokens(text: Column, of_token) -> Column:
     return let(cut, lambda t: F.zip_with(t, shifted(t), of_token))
 
 
-def template(text: Column) -> Column:
-    """The words and placeholders of a text, without breaks."""
-    return F.filter(_tokens(text, _kind), lambda k: k != BREAK)
-
-
 def slots(text: Column) -> Column:
-    """The kind and the value of each word of the template."""
+    """The kind and the value of each word of the template, without breaks."""
     pair = lambda t, b: F.struct(_kind(t, b).alias("kind"), F.lower(t).alias("value"))
     return F.filter(_tokens(text, pair), lambda s: s["kind"] != BREAK)
 
@@ -89,34 +93,56 @@ def windows(words: Column) -> Column:
     return doubled(doubled(doubled(hashes, 1), 2), 4)
 
 
+def whole(words: Column, length: int) -> Column:
+    """A hash of each run of ``length`` words, for items that have no window."""
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+
+    def longer(h: Column, one: Column, n: int) -> Column:
+        if n == length:
+            return h
+        size = F.greatest(F.size(h) - 1, F.lit(0))
+        grown = F.zip_with(F.slice(h, 1, size), F.slice(one, n + 1, size), lambda a, b: F.xxhash64(a, b))
+        return let(grown, lambda g: longer(g, one, n + 1))
+
+    return let(hashes, lambda one: longer(one, one, 1))
+
+
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """(item, item_id, slots, size) of each text of an item: ``item`` is a hash of both columns."""
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").distinct()
     made = items.select(F.xxhash64("item_id", "text").alias("item"), "item_id", slots(F.col("text")).alias("slots"))
-    return made.select("*", F.size("slots").alias("size"))
+    return made.select("*", F.size("slots").alias("size")).where(F.col("size") >= SHORT)
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
     """(window, item, at, rank, plain): the windows of plain words and those of the template that
     hold a literal word, counted by ``rank``. A run with literal words enough has such a window,
-    so those of placeholders alone, which every table of numbers is full of, need not be joined."""
+    so those of placeholders alone, which every table of numbers is full of, need not be joined.
+    An item of fewer words is one window of its own length."""
     made = windows(F.transform("slots", lambda s: s["kind"]))
     literal = lambda w, at: F.when(_literals(at, at + WINDOW) > 0, F.struct(w.alias("window"), at.alias("at")))
     seeds = items.select("item", F.posexplode(F.array_compact(F.transform(made, literal))).alias("rank", "seed"))
     plain = items.select("item", F.posexplode(windows(F.transform("slots", lambda s: s["value"]))).alias("at", "window"))
-    return seeds.select("seed.window", "item", "seed.at", "rank", F.lit(False).alias("plain")).union(
-        plain.select("window", "item", "at", F.col("at").alias("rank"), F.lit(True).alias("plain"))
-    )
+    made = seeds.select("seed.window", "item", "seed.at", "rank", F.lit(False).alias("plain"))
+    made = made.union(plain.select("window", "item", "at", F.col("at").alias("rank"), F.lit(True).alias("plain")))
+    words = F.transform("slots", lambda s: s["value"])
+    for length in range(SHORT, WINDOW):
+        window = F.get(whole(words, length), F.lit(0)).alias("window")
+        few = items.where(F.col("size") == length)
+        made = made.union(few.select(window, "item", F.lit(0).alias("at"), F.lit(0).alias("rank"), F.lit(True).alias("plain")))
+    return made
 
 
-def document_windows(text: Column) -> Column:
-    """The windows of a text's template, and those of its plain words, null where they are equal."""
+def document_windows(text: Column, lengths: list[int]) -> Column:
+    """The windows of a text's template, those of its plain words, null where they are equal, and
+    its runs of as many plain words as ``lengths`` says."""
 
     def both(words: Column) -> Column:
         typed, plain = (windows(F.transform(words, lambda w: w[name])) for name in ("kind", "value"))
         some = F.exists(words, lambda w: w["kind"].startswith("<"))
         other = lambda t: F.when(some, F.zip_with(t, plain, lambda a, b: F.when(a != b, b)))
-        return let(typed, lambda t: F.array(t, other(t)))
+        short = [whole(F.transform(words, lambda w: w["value"]), length) for length in lengths]
+        return let(typed, lambda t: F.array(t, other(t), *short))
 
     return let(slots(text), both)
 
@@ -136,7 +162,9 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     Placeholders at an end of the run that is no end of the item may agree by chance: the run
     may do without them. ``VERBATIM`` words in a row (or all of a shorter item) with the values
     of the item are a match whatever the other slots hold, in any case and broken into any lines.
-    Items of fewer than ``WINDOW`` words are too unspecific and never found. Null and empty
+    Items of fewer than ``WINDOW`` words are found where all of them lie in a row with the same
+    values, those of fewer than ``SHORT`` are too unspecific and never found. A letter of a script
+    without blanks between words is a word. Null and empty
     texts hold nothing; rows of the benchmark without id or text are ignored; an item_id with
     several texts is found if one of them is; a null doc_id is an id like any other and repeated rows
     have one result; texts are read whole, of any length. Other columns are ignored; an empty table of
@@ -152,7 +180,9 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     if looked_for.count() <= BROADCAST_WINDOWS:
         looked_for = F.broadcast(looked_for)
     keyed = documents.select("doc_id", _row().alias("row"), "text")
-    exploded = keyed.where("text IS NOT NULL").select("doc_id", "row", F.explode(document_windows(F.col("text"))).alias("windows"))
+    lengths = sorted(r["size"] for r in items.where(F.col("size") < WINDOW).select("size").distinct().collect())
+    made = F.explode(document_windows(F.col("text"), lengths)).alias("windows")
+    exploded = keyed.where("text IS NOT NULL").select("doc_id", "row", made)
     exploded = exploded.select("doc_id", "row", F.posexplode("windows").alias("place", "window"))
     runs = (
         exploded.join(looked_for, "window")
@@ -164,8 +194,9 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     cut = runs.select("doc_id", "row", "item", "shift", F.posexplode("hits").alias("n", "hit"))
     cut = (
         cut.groupBy("doc_id", "row", "item", "shift", "hit.plain", (F.col("hit.rank") - F.col("n")).alias("run"))
-        .agg(F.min("hit.at").alias("first"), (F.max("hit.at") + WINDOW).alias("end"))
+        .agg(F.min("hit.at").alias("first"), F.max("hit.at").alias("last"))
         .join(items, "item")
+        .withColumn("end", F.col("last") + F.least(F.lit(WINDOW), F.col("size")))
     )
     # Where a window of placeholders alone is next to the run, it may go on.
     bare = lambda at: _literals(at, at + WINDOW) == 0

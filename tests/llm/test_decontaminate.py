@@ -116,3 +116,13 @@ def test_copies_in_other_case_and_other_lines(spark):
     wrapped = QUESTION.replace("with Maria", "with\nMaria").replace("then Maria", "then\nMaria")
     texts = [around(QUESTION.lower()), around(QUESTION.upper()), around(wrapped), around(QUESTION.lower().replace("noon", "dawn").replace("2", "3"))]
     assert found(spark, texts, [(1, QUESTION)]) == {0: [1], 1: [1], 2: [1]}
+
+
+def test_items_shorter_than_a_window_and_scripts_without_blanks(spark):
+    short, chinese, thai = "What is the capital city of France?", "小明有三个苹果和五个梨他一共有多少个水果", "กรุงเทพมหานครเป็นเมืองหลวงของประเทศไทย"
+    texts = [
+        around(short), around(short.lower()), around(short.replace("France", "Spain")),
+        "前面的话" * 5 + chinese + "后面的话" * 5, around("x" + thai + "x"), "别的故事讲的是一条河和一座山没有数字", around("Add 2 and 3"), around("Add 2 and 4"),
+    ]
+    items = [(1, short), (2, chinese), (3, thai), (4, "Add 2 and 3")]
+    assert found(spark, texts, items) == {0: [1], 1: [1], 3: [2], 4: [3], 6: [4]}
