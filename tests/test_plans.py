@@ -3,8 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from brightledger.plans import silver
 from brightledger.plans.bank import Bank
 
 
@@ -66,3 +68,13 @@ def test_reports_read_their_join_once(spark, sf_dir, large_tables):
     """Totals and groups come out of one aggregation over the customers."""
     plan = plan_of(Bank.over(spark, sf_dir)["risk_management_dashboard"])
     assert plan.count("Expand") == 1
+
+
+def test_versions_of_one_customer_are_dealt_by_all_columns(spark, sf_dir):
+    base = Bank.over(spark, sf_dir)["customers_360"]
+    one = base.limit(1).withColumn("customer_id", F.lit(None).cast(base.schema["customer_id"].dataType))
+    versions = one.crossJoin(spark.range(60)).withColumn("credit_score", F.col("id").cast(base.schema["credit_score"].dataType)).drop("id")
+    made = silver.customer_base(versions.union(versions).repartition(4))
+    assert "collect_set" not in plan_of(made)
+    assert made.columns == silver.PROFILE_COLUMNS and made.count() == 60
+    assert made.where("customer_id IS NULL").select("credit_score").distinct().count() == 60
