@@ -21,3 +21,49 @@ SELECT conv_id,
                   ELSE 11 END) AS BIGINT) AS formatted_chars
 FROM marked GROUP BY conv_id
 """
+
+# crc32 bit by bit; a stretch of places i with equal 16 words at i and at i + q is a run's first
+# occurrences, 16 words shorter than the run less one period.
+PERIODIC_RUNS = r"""
+WITH given AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           list_transform(range(length(CAST(doc_id AS VARCHAR))), lambda k: CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(k + 1 AS INTEGER), 1)) AS BIGINT)) AS signs
+    FROM documents
+), hashed AS (
+    SELECT r, doc_id, w, len(w) AS n,
+           xor(list_reduce(list_concat([4294967295], signs), lambda c, b:
+               list_reduce(list_concat([xor(c, b)], range(8)), lambda x, k:
+                   CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) AS h
+    FROM given
+), cut AS (
+    SELECT *, CASE WHEN n > 0 THEN (h // 10) % n END AS a FROM hashed
+), spaced AS (
+    SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM cut
+), texts AS (
+    SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+        THEN list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i + 1 ELSE a + (i - a) % p + 1 END]) ELSE w END AS w
+    FROM spaced
+), grams AS (
+    SELECT r, n, i, array_to_string(w[i + 1 : i + 16], ' ') AS g FROM (SELECT r, n, w, unnest(range(n - 15)) AS i FROM texts)
+), pairs AS (
+    SELECT x.r, y.i - x.i AS q, x.i FROM grams x JOIN grams y ON x.r = y.r AND x.g = y.g AND y.i > x.i AND 3 * (y.i - x.i) <= x.n
+), stretches AS (
+    SELECT r, q, min(i) AS start, count(*) + 15 + q AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS stretch FROM pairs) GROUP BY r, q, stretch
+), runs AS (
+    SELECT r, start, length, min(q) AS period FROM stretches WHERE length >= 24 AND length >= 3 * q GROUP BY r, start, length
+), listed AS (
+    SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+           arg_min({s: start, l: length, p: period}, {e: -(length / period), s: start, p: period}) AS best
+    FROM runs GROUP BY r
+), kept AS (
+    SELECT r, string_agg(word, ' ' ORDER BY i) AS text
+    FROM (SELECT r, unnest(w) AS word, unnest(range(n)) AS i FROM texts WHERE r IN (SELECT r FROM runs)) words
+    WHERE NOT EXISTS (SELECT 1 FROM runs WHERE runs.r = words.r AND words.i >= start + period AND words.i < start + length)
+    GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period,
+       (1000 * best.l) // best.p AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(CASE WHEN n_runs IS NULL THEN array_to_string(w, ' ') ELSE coalesce(kept.text, '') END) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+"""

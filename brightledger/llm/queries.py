@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from brightledger.llm import chat, contexttree, decontaminate, idfiles, langid, minhash, oracle, packing, pieces, sharding, vectors
-from brightledger.llm.common import fold, given
+from brightledger.llm import chat, contexttree, decontaminate, idfiles, langid, minhash, oracle, packing, periodic, pieces, sharding, vectors
+from brightledger.llm.common import fold, given, let
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,6 +136,39 @@ def op10_pivot_index(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(given(spark, folder, "embeddings"), COSINE)
 
 
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The periodic runs of every whole document, a tenth of which are made periodic first."""
+    documents = given(spark, folder, "documents").select("doc_id", "text")
+    found = periodic.periodic_runs(documents.select("doc_id", periodic_tail(F.col("doc_id"), F.col("text")).alias("text")))
+    line = lambda r: F.concat_ws("", F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "strongest_run.*",
+        F.expr("(1000 * strongest_run.length) div strongest_run.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def periodic_tail(doc_id: Column, text: Column) -> Column:
+    """The text, or with h = crc32(doc_id as text) divisible by ten its words with those from
+    place a on repeated with a period of p words: g = h div 10, a = g mod n and
+    p = 1 + (n - a) div (3 + g mod 8), n its words. A row without id stays as it is."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.greatest(F.size(words), F.lit(1))
+        a = g % n
+        return F.concat_ws(" ", let(F.struct(a.alias("a"), (1 + F.floor((n - a) / (3 + g % 8))).alias("p")), lambda k: F.transform(
+            words, lambda w, i: F.when(i < k["a"], w).otherwise(F.get(words, (k["a"] + (i - k["a"]) % k["p"]).cast("int")))
+        )))
+
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    return F.when((h % 10 == 0) & text.isNotNull(), let(words, repeated)).otherwise(text)
+
+
 QUERIES: dict[str, Query] = {
     "op1_two_pass_shuffle": op1_two_pass_shuffle,
     "op2_template_decontamination": op2_template_decontamination,
@@ -147,8 +180,10 @@ QUERIES: dict[str, Query] = {
     "op8_greedy_pieces": op8_greedy_pieces,
     "op9_chat_format": op9_chat_format,
     "op10_pivot_index": op10_pivot_index,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op9_chat_format": oracle.CHAT_FORMAT,
+    "op13_periodic_runs": oracle.PERIODIC_RUNS,
 }
