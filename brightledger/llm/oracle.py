@@ -22,6 +22,23 @@ SELECT conv_id,
 FROM marked GROUP BY conv_id
 """
 
+# Base32 takes five bits of the digest at a time.
+SALVAGE_READER = r"""
+WITH given AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload, row_number() OVER (ORDER BY page_id NULLS LAST, url) AS place FROM pages
+), placed AS (
+    SELECT *, row_number() OVER same AS n, first_value(page_id) OVER same AS first,
+           CAST(unhex(sha1(payload)) AS BIT)::VARCHAR AS bits
+    FROM given WINDOW same AS (PARTITION BY payload ORDER BY place)
+)
+SELECT page_id, octet_length(payload) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(1 + list_sum(list_transform(range(5), lambda b: CAST(substr(bits, CAST(5 * k + b + 1 AS INTEGER), 1) AS INTEGER) * (16 >> b))) AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN n = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN n > 1 THEN first END AS refers_to
+FROM placed
+"""
+
 # crc32 bit by bit; a stretch of places i with equal 16 words at i and at i + q is a run's first
 # occurrences, 16 words shorter than the run less one period.
 PERIODIC_RUNS = r"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from brightledger.llm import chat, contexttree, decontaminate, idfiles, langid, minhash, oracle, packing, periodic, pieces, sharding, vectors
+from brightledger.llm import chat, contexttree, decontaminate, idfiles, langid, minhash, oracle, packing, periodic, pieces, sharding, vectors, warc
 from brightledger.llm.common import fold, given, let
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +136,18 @@ def op10_pivot_index(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(given(spark, folder, "embeddings"), COSINE)
 
 
+def op11_salvage_reader(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages, written to web archives and read back from them."""
+    archives = warc.write_archives(given(spark, folder, "pages"), "page_id", "url", "html")
+    return archives.entries().where("record_type IN ('response', 'revisit')").select(
+        warc.key_of(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.key_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """The periodic runs of every whole document, a tenth of which are made periodic first."""
     documents = given(spark, folder, "documents").select("doc_id", "text")
@@ -180,10 +192,12 @@ QUERIES: dict[str, Query] = {
     "op8_greedy_pieces": op8_greedy_pieces,
     "op9_chat_format": op9_chat_format,
     "op10_pivot_index": op10_pivot_index,
+    "op11_salvage_reader": op11_salvage_reader,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op9_chat_format": oracle.CHAT_FORMAT,
+    "op11_salvage_reader": oracle.SALVAGE_READER,
     "op13_periodic_runs": oracle.PERIODIC_RUNS,
 }
