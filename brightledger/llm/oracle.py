@@ -39,6 +39,37 @@ SELECT page_id, octet_length(payload) AS payload_bytes,
 FROM placed
 """
 
+BALL_TREE = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), items AS (
+    SELECT row_number() OVER () AS i, item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), corpus AS (
+    SELECT count(*) AS n_all, sum(len(words)) AS l_all FROM texts WHERE len(words) > 0
+), normed AS (
+    SELECT r, doc_id, CAST(10 + (90 * len(words) * n_all) // l_all AS BIGINT) AS m FROM texts, corpus WHERE len(words) > 0
+), wanted AS (
+    SELECT DISTINCT i, unnest(words) AS term FROM items
+), counted AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM texts)
+    WHERE term IN (SELECT term FROM wanted) GROUP BY r, term
+), weighed AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n_all + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counted, corpus GROUP BY term, n_all
+), scored AS (
+    SELECT i, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM wanted JOIN weighed USING (term) JOIN counted USING (term) JOIN normed USING (r) GROUP BY i, r, doc_id
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN items USING (i) WHERE rank <= 10
+"""
+
 # crc32 bit by bit; a stretch of places i with equal 16 words at i and at i + q is a run's first
 # occurrences, 16 words shorter than the run less one period.
 PERIODIC_RUNS = r"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from brightledger.llm import chat, contexttree, decontaminate, idfiles, langid, minhash, oracle, packing, periodic, pieces, sharding, vectors, warc
+from brightledger.llm import balltree, chat, contexttree, decontaminate, idfiles, langid, minhash, oracle, packing, periodic, pieces, sharding, vectors, warc
 from brightledger.llm.common import fold, given, let
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,6 +148,12 @@ def op11_salvage_reader(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_ball_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten highest-scoring documents of every benchmark item."""
+    documents, items = given(spark, folder, "documents"), given(spark, folder, "benchmark")
+    return balltree.top_documents(documents.select("doc_id", "text"), items.select("item_id", "text"))
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """The periodic runs of every whole document, a tenth of which are made periodic first."""
     documents = given(spark, folder, "documents").select("doc_id", "text")
@@ -193,11 +199,13 @@ QUERIES: dict[str, Query] = {
     "op9_chat_format": op9_chat_format,
     "op10_pivot_index": op10_pivot_index,
     "op11_salvage_reader": op11_salvage_reader,
+    "op12_ball_tree": op12_ball_tree,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op9_chat_format": oracle.CHAT_FORMAT,
     "op11_salvage_reader": oracle.SALVAGE_READER,
+    "op12_ball_tree": oracle.BALL_TREE,
     "op13_periodic_runs": oracle.PERIODIC_RUNS,
 }
