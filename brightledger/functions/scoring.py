@@ -106,6 +106,17 @@ def mean_of_means(expr: str) -> str:
     return mean(f"CAST({expr} AS DECIMAL(24,9))")
 
 
+def spread(expr: str, kind: str = "DECIMAL(10,0)") -> str:
+    """Sample standard deviation of an exact number, NULL for fewer than two.
+
+    From its count, sum and sum of squares, which are merged without rounding, so the result
+    does not depend on which task has which rows; only the last quotient and root are doubles.
+    """
+    x, n = f"CAST({expr} AS {kind})", f"count({expr})"
+    apart = f"{n} * sum({x} * {x}) - sum({x}) * sum({x})"
+    return f"CASE WHEN {n} > 1 THEN sqrt(CAST({apart} AS DOUBLE) / (CAST({n} AS DOUBLE) * ({n} - 1))) END"
+
+
 def n_if(condition: str) -> str:
     return f"count_if({condition})"
 

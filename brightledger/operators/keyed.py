@@ -8,6 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+# Parts into which a heavy key's rows are dealt, for each task's even share of all rows.
+PARTS_A_TASK = 16
+
+
 def align(summaries: Sequence[DataFrame], key: str) -> DataFrame:
     """Full outer join of summaries that were each aggregated by ``key``, so that they hold at
     most one row per key; others go through ``outer_join``.
@@ -73,16 +77,69 @@ def latest_per_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFram
     return newest(df, key, order, {c: c for c in columns}).select(*df.columns)
 
 
+def total_of(groups: DataFrame, measure: str | Column) -> Column:
+    """The sum of a measure over a whole frame, as a value for expressions over other rows.
+
+    Summed in two phases into one row, which the plan reads as a scalar; the frame itself is
+    neither moved nor repeated, however many rows it has.
+    """
+    return groups.agg(F.sum(measure)).scalar()
+
+
 def share_of_total(groups: DataFrame, measure: str, share: str, digits: int = 1) -> DataFrame:
-    """Adds each group's percentage of the sum over all groups.
+    """Adds each group's percentage of the sum over all groups, of which there may be any
+    number. NULL where the sum is zero or missing."""
+    total = F.nullif(total_of(groups, measure).cast("double"), F.lit(0.0))
+    return groups.withColumn(share, F.round(F.col(measure).cast("double") * 100 / total, digits))
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, keys: DataFrame, by: str) -> DataFrame:
+    """Left join on a key that may own any share of the left rows.
 
-    Takes grouped rows, one per label of a small fixed set: the whole-frame window
-    puts them into one task.
+    ``keys`` has the key column of the left rows, from wherever it is cheapest to read. A key
+    with more than a quarter of one task's even share of them is heavy: its left rows are dealt
+    into parts of a sixteenth of that share by a hash of the column ``by``, and the rows of the
+    right side are copied once per part. All other keys have one part, so there is one join on
+    (key, part) with tasks of a like size. Left rows without a key match nothing and are dealt
+    out as well.
+
+    Fewer than four keys a task can be heavy and together they have at most twenty parts a
+    task, so the list of them is broadcast and the copies are few.
+    """
+    finest = PARTS_A_TASK * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = keys.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+    parts = F.col("_rows") * finest / total_of(counts, "_rows")
+    heavy = F.broadcast(counts.where(parts > PARTS_A_TASK / 4).select(key, F.ceil(parts).cast("int").alias("_parts")))
+    dealt = F.pmod(F.xxhash64(by), F.when(F.col(key).isNull(), finest).otherwise(F.coalesce("_parts", F.lit(1)))).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    spread = left.join(heavy, key, "left").withColumn("_part", dealt).drop("_parts")
+    repeated = right.join(heavy, key, "left").withColumn("_part", copies).drop("_parts")
+    return spread.join(repeated, [key, "_part"], "left").drop("_part")
+
+
+def with_most_common(df: DataFrame, key: str, measures: Sequence[Column], labels: Mapping[str, str]) -> DataFrame:
+    """One row per key: aggregates, and the most common value of each of the label columns (the
+    first in sort order on a tie; missing values do not count).
+
+    Rows are counted by (key, value) first, beside the aggregates by key, in one pass and with
+    partial sums before the shuffle; then the best value of a key is a minimum over a struct. So
+    no table of all values of a key is ever held, and a key with many rows is reduced where
+    they are read.
     """
-    total = F.sum(measure).over(Window.partitionBy())
-    return groups.withColumn(
-        share, F.round(F.col(measure).cast("double") * 100 / F.nullif(total.cast("double"), F.lit(0.0)), digits)
+    columns = list(dict.fromkeys(labels.values()))
+    counted = df.groupingSets([[key], *[[key, c] for c in columns]], key, *columns).agg(
+        *measures, F.count("*").alias("_times"), F.grouping_id(key, *columns).alias("_level")
     )
+    # The bits of the level tell which columns were rolled up; the key never is.
+    whole = (1 << len(columns)) - 1
+    names = [c for c in counted.columns if c not in (key, *columns, "_times", "_level")]
+    at_key = [F.max(F.when(F.col("_level") == whole, F.col(name))).alias(name) for name in names]
+    best = []
+    for name, column in labels.items():
+        level = whole - (1 << (len(columns) - 1 - columns.index(column)))
+        here = (F.col("_level") == level) & F.col(column).isNotNull()
+        best.append(F.min(F.when(here, F.struct((-F.col("_times")).alias("rank"), F.col(column).alias("value"))))["value"].alias(name))
+    return counted.groupBy(key).agg(*at_key, *best)
 
 
 def recent_count(moment: str, since: str, condition: str = "TRUE") -> str:

@@ -373,6 +373,7 @@ def account_activity(
 
 def account_performance_dashboard(
     p: RunParams,
+    accounts: DataFrame,
     account_activity: DataFrame,
     customer_financial_summary: DataFrame,
     profile_core: DataFrame,
@@ -382,6 +383,7 @@ def account_performance_dashboard(
     return silver.accounts_with_owners(
         p,
         silver.AccountRules(A.HEALTH_PARTS, A.ACCOUNT_OPPORTUNITY, A.ACCOUNT_SERVICE_TIER),
+        accounts,
         account_activity,
         finance_in_main_terms(customer_financial_summary),
         profile_core,

@@ -23,7 +23,7 @@ from brightledger.functions.scoring import (
     sum_if,
     truncated_pct,
 )
-from brightledger.operators.keyed import left_align
+from brightledger.operators.keyed import left_align, total_of
 from brightledger.operators.sections import one_row, totals_and_groups
 from brightledger.params import RunParams
 from brightledger.rules import gold as R
@@ -49,9 +49,9 @@ def _both(section: str, **texts: tuple[str, str]) -> list[Column]:
     )
 
 
-def _over_report(section: str, measure: str) -> str:
-    """Sum over a section's rows; a report has a handful of rows, so one task sees them all."""
-    return f"sum(CASE WHEN {_is(section)} THEN {measure} END) OVER ()"
+def _over_report(facts: DataFrame, section: str, measure: str) -> Column:
+    """Sum over a section's rows, however many labels it has."""
+    return total_of(facts.where(_is(section)), measure)
 
 
 # --- executive dashboard -----------------------------------------------------
@@ -141,7 +141,7 @@ def executive_customer_dashboard(p: RunParams, customer_health: DataFrame) -> Da
         ),
     )
     # The segments add up to the customers that have one, which may be fewer than all.
-    facts = facts.select("*", *named(in_segments=_over_report(segment, "total_customers")))
+    facts = facts.select("*", *named(in_segments=_over_report(facts, segment, "total_customers")))
     return facts.select(
         F.col("section").alias("dashboard_section"),
         p.today.alias("report_date"),
@@ -289,8 +289,8 @@ def customer_segmentation_analysis(p: RunParams, customer_health: DataFrame) ->
     facts = facts.select(
         "*",
         *named(
-            all_customers=_over_report(overview, "segment_customer_count"),
-            all_value=_over_report(overview, "segment_total_value"),
+            all_customers=_over_report(facts, overview, "segment_customer_count"),
+            all_value=_over_report(facts, overview, "segment_total_value"),
             marketing_response_rate_pct=share_pct(
                 "highly_responsive_customers + moderately_responsive_customers", "segment_customer_count"
             ),

@@ -7,8 +7,16 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from brightledger.functions.dates import moment
-from brightledger.functions.scoring import choice, clamped, mean, n_if, named, rate_pct
-from brightledger.operators.keyed import align, latest_per_key, newest_two, outer_join, recent_count, share_of_total
+from brightledger.functions.scoring import choice, clamped, mean, n_if, named, rate_pct, spread
+from brightledger.operators.keyed import (
+    align,
+    latest_per_key,
+    newest_two,
+    outer_join,
+    recent_count,
+    share_of_total,
+    with_most_common,
+)
 from brightledger.operators.sections import totals_and_groups, union_sections
 from brightledger.rules.base import band, lookup, rules
 
@@ -162,13 +170,15 @@ def supplier_scores(supplier: DataFrame, lineitem: DataFrame) -> DataFrame:
 def customer_order_habits(orders: DataFrame) -> DataFrame:
     """Usual priority (the first in sort order on a tie), its weight, and the spread of values."""
     weight = f"CAST({choice(PRIORITY_WEIGHT)} AS DECIMAL(4,2))"
-    return orders.groupBy("o_custkey").agg(
-        F.mode("o_orderpriority", True).alias("usual_priority"),
-        *named(
+    return with_most_common(
+        orders,
+        "o_custkey",
+        named(
             urgency=mean(weight),
             statuses="count(DISTINCT o_orderstatus)",
-            value_spread="round(stddev_samp(o_totalprice), 2)",
+            value_spread=f"round({spread('o_totalprice', 'DECIMAL(14,2)')}, 2)",
         ),
+        {"usual_priority": "o_orderpriority"},
     )
 
 

@@ -27,11 +27,22 @@ from brightledger.functions.scoring import (
     or_zero,
     points,
     rate_pct,
+    spread,
     sum_if,
     truth,
     weighted,
 )
-from brightledger.operators.keyed import align, left_align, newest, newest_two, nulls_first, outer_join, recent_count
+from brightledger.operators.keyed import (
+    align,
+    left_align,
+    newest,
+    newest_two,
+    nulls_first,
+    outer_join,
+    recent_count,
+    spread_join,
+    with_most_common,
+)
 from brightledger.params import RunParams
 from brightledger.rules import silver as R
 from brightledger.rules.base import Rules
@@ -707,7 +718,7 @@ def credit_summary(scores: DataFrame) -> DataFrame:
             latest_experian_score=best("EXPERIAN"),
             latest_equifax_score=best("EQUIFAX"),
             latest_transunion_score=best("TRANSUNION"),
-            credit_score_volatility="round(stddev_samp(credit_score), 6)",
+            credit_score_volatility=spread("credit_score"),
             last_credit_score_date="max(score_date)",
         )
     )
@@ -1055,6 +1066,7 @@ class AccountRules:
 
 def account_performance_dashboard(
     p: RunParams,
+    accounts: DataFrame,
     account_activity: DataFrame,
     customer_financial_summary: DataFrame,
     profile_core: DataFrame,
@@ -1064,6 +1076,7 @@ def account_performance_dashboard(
     return accounts_with_owners(
         p,
         AccountRules(R.HEALTH_PARTS, R.ACCOUNT_OPPORTUNITY, R.ACCOUNT_SERVICE_TIER),
+        accounts,
         account_activity,
         customer_financial_summary,
         profile_core,
@@ -1075,6 +1088,7 @@ def account_performance_dashboard(
 def accounts_with_owners(
     p: RunParams,
     account_rules: AccountRules,
+    accounts: DataFrame,
     account_activity: DataFrame,
     customer_financial_summary: DataFrame,
     profile_core: DataFrame,
@@ -1082,9 +1096,8 @@ def accounts_with_owners(
     product_penetration_analysis: DataFrame,
 ) -> DataFrame:
     # All that is known about an owner is put together first, so accounts are moved to
-    # their owners once, in the one join that a large owner can skew. The runtime splits
-    # a large owner's accounts where both sides of that join are shuffled for it, as they
-    # are when the roll-ups below come from stored files.
+    # their owners once, in the one join that a large owner could skew; there the accounts
+    # of such an owner are dealt over several tasks.
     summaries = align(
         [
             customer_financial_summary.select(
@@ -1131,7 +1144,7 @@ def accounts_with_owners(
         "avg_satisfaction_score",
     )
     owner = outer_join(summaries, profile, CUSTOMER)
-    return account_activity.join(owner, CUSTOMER, "left").select(
+    return spread_join(account_activity, owner, CUSTOMER, accounts.select(CUSTOMER), ACCOUNT).select(
         ACCOUNT,
         CUSTOMER,
         "account_number",
@@ -1204,24 +1217,20 @@ def owner_transactions(accounts: DataFrame, transaction_analytics: DataFrame) ->
     """Account analytics added up per owner, with the most common labels (the first
     in sort order on a tie)."""
     per_account = transaction_analytics.drop("last_updated")
-    return (
-        accounts.select(ACCOUNT, CUSTOMER)
-        .join(per_account, ACCOUNT, "left")
-        .groupBy(CUSTOMER)
-        .agg(
-            *named(
-                total_transactions="sum(total_transactions)",
-                total_transaction_volume="sum(total_transaction_volume)",
-                net_cash_flow="sum(net_cash_flow)",
-                total_deposits_amount="sum(total_deposit_amount)",
-                total_payments_amount="sum(total_payment_amount)",
-                total_fees_paid="sum(total_fee_amount)",
-                digital_transaction_percentage=mean("CAST(digital_transaction_percentage AS DECIMAL(7,2))"),
-                last_transaction_date="max(last_transaction_date)",
-                primary_spending_category=F.mode("spending_category", True),
-                primary_activity_level=F.mode("activity_level", True),
-            )
-        )
+    return with_most_common(
+        accounts.select(ACCOUNT, CUSTOMER).join(per_account, ACCOUNT, "left"),
+        CUSTOMER,
+        named(
+            total_transactions="sum(total_transactions)",
+            total_transaction_volume="sum(total_transaction_volume)",
+            net_cash_flow="sum(net_cash_flow)",
+            total_deposits_amount="sum(total_deposit_amount)",
+            total_payments_amount="sum(total_payment_amount)",
+            total_fees_paid="sum(total_fee_amount)",
+            digital_transaction_percentage=mean("CAST(digital_transaction_percentage AS DECIMAL(7,2))"),
+            last_transaction_date="max(last_transaction_date)",
+        ),
+        {"primary_spending_category": "spending_category", "primary_activity_level": "activity_level"},
     )
 
 

@@ -8,7 +8,7 @@ from oracles.fixed_inputs import ALTERNATIVE
 from oracles.fixed_rules import alternative as A
 from oracles.fixed_rules import silver as R
 from oracles.silver import full_joined, grouped, or_else, ranked
-from oracles.text import Book, case, cases, mean, mean_of_means, n, pct, real, rounded, same, score, total, truths, zero
+from oracles.text import Book, case, cases, mean, mean_of_means, n, pct, real, rounded, same, score, spread, total, truths, zero
 
 
 def build(book: Book, as_of: str = "2024-02-01") -> None:
@@ -394,7 +394,7 @@ def build(book: Book, as_of: str = "2024-02-01") -> None:
                         f"latest_{bureau}_score": f"max(score_value) FILTER (WHERE bureau = '{bureau.upper()}')"
                         for bureau in ("experian", "equifax", "transunion")
                     },
-                    "credit_score_volatility": rounded("stddev_samp(score_value)", 6),
+                    "credit_score_volatility": spread("score_value"),
                     "last_credit_score_date": "max(score_date)",
                 },
             ),

@@ -16,6 +16,7 @@ from oracles.text import (
     same,
     score,
     select,
+    spread,
     total,
     truth,
     zero,
@@ -655,7 +656,7 @@ def build(book: Book, as_of: str = "2024-02-01") -> None:
                         f"latest_{bureau}_score": f"max(credit_score) FILTER (WHERE bureau = '{bureau.upper()}')"
                         for bureau in ("experian", "equifax", "transunion")
                     },
-                    "credit_score_volatility": rounded("stddev_samp(credit_score)", 6),
+                    "credit_score_volatility": spread("credit_score"),
                     "last_credit_score_date": "max(score_date)",
                 },
             ),

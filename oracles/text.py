@@ -66,6 +66,13 @@ def mean(expr: str) -> str:
     return f"CAST(sum({expr}) AS DOUBLE) / count({expr})"
 
 
+def spread(expr: str) -> str:
+    """Sample standard deviation of whole numbers, from sums without rounding."""
+    x = f"CAST({expr} AS HUGEINT)"
+    apart = f"CAST(count({expr}) * sum({x} * {x}) - sum({x}) * sum({x}) AS DOUBLE)"
+    return f"CASE WHEN count({expr}) > 1 THEN sqrt({apart} / (CAST(count({expr}) AS DOUBLE) * (count({expr}) - 1))) END"
+
+
 def mean_of_means(expr: str) -> str:
     return mean(f"CAST({expr} AS DECIMAL(24,9))")
 

@@ -4,14 +4,17 @@ import datetime as dt
 import re
 from decimal import Decimal
 
+import duckdb
 import pytest
+from compare import differences
 from conftest import rows
+from oracles import catalogue
 from pyspark.sql import functions as F
 
 from brightledger.params import RunParams
 from brightledger.plans import gold, silver, staging
 from brightledger.plans.bank import Bank
-from brightledger.sources.published import write_table
+from brightledger.registry import all_queries
 from brightledger.sources.reference import builtin_reference
 
 P = RunParams(dt.date(2024, 2, 1))
@@ -272,33 +275,48 @@ def test_another_day_moves_ages_and_windows(spark, sf_dir):
     assert recent == 0
 
 
-def test_a_large_owner_is_split_once_roll_ups_are_stored(spark, tmp_path):
-    """Half of the accounts have one owner; with both sides of the owner join shuffled for
-    it, the final plan splits that owner's partition."""
+@pytest.fixture
+def large_owner(spark, sf_dir, tmp_path):
+    """The given tables with half of all orders placed by one customer, and a tenth by none."""
+    for table in ("customer", "part", "lineitem", "events"):
+        (tmp_path / f"{table}.parquet").symlink_to(f"{sf_dir}/{table}.parquet")
+    owner = F.expr("CASE WHEN o_orderkey % 2 = 0 THEN 1 WHEN o_orderkey % 10 = 1 THEN NULL ELSE o_custkey END")
+    spark.read.parquet(f"{sf_dir}/orders.parquet").withColumn("o_custkey", owner).write.parquet(str(tmp_path / "orders.parquet"))
+    return str(tmp_path)
+
+
+def test_a_large_owner_is_dealt_over_tasks_in_the_registered_query(spark, large_owner):
+    """Without any help of the runtime, no task of the owner join has many more rows than the
+    others, and the rows are those of a plain join."""
     settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
-    before = {key: spark.conf.getAll.get(key) for key in settings}
+    before = {key: spark.conf.get(key) for key in settings}
     try:
-        bank = Bank.over(spark, "/root/testdata/sf0.01", store=str(tmp_path / "store"))
-        owned = F.expr("CASE WHEN account_id % 2 = 0 THEN 1 ELSE customer_id END").alias("customer_id")
-        skewed = bank["account_activity"].select(owned, *[c for c in bank["account_activity"].columns if c != "customer_id"])
-        bank._tables["account_activity"] = write_table(skewed.repartition(4), str(tmp_path / "skewed"))
-        names = ("customer_financial_summary", "profile_core", "comprehensive_risk_profile", "product_penetration_analysis")
-        made = [bank[n] for n in names]
         for key, value in settings.items():
             spark.conf.set(key, value)
-        df = silver.account_performance_dashboard(bank.params, bank["account_activity"], *made)
-        df.write.mode("overwrite").format("noop").save()
-        rows_out = df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert len(rows_out) == skewed.count()
-        assert "skew=true" in plan
+        df = all_queries()["int_account_performance_dashboard"](spark, large_owner)
+        sizes = sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2] and len(sizes) == 16, sizes
+        # Accounts are given in one order, so that 1500 of them had one owner in one task.
+        assert df.count() == df.select("account_id").distinct().count() == sum(sizes)
+        assert df.where("customer_id = 1").count() > sum(sizes) * 0.49
+        known = df.where("customer_id = 1").select("customer_name", "customer_total_balances").distinct()
+        assert known.count() == 1 and known.first()["customer_name"] is not None
+        assert df.where("customer_id IS NULL AND customer_name IS NOT NULL").count() == 0
     finally:
         for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+            spark.conf.set(key, value)
+
+
+def test_large_owner_query_equals_its_check_query(spark, large_owner):
+    name = "int_account_performance_dashboard"
+    df = all_queries()[name](spark, large_owner)
+    con = duckdb.connect()
+    for table in ("customer", "part", "lineitem", "events", "orders"):
+        place = f"{large_owner}/{table}.parquet" + ("/*.parquet" if table == "orders" else "")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{place}'")
+    result = con.execute(catalogue.statements()[name])
+    assert differences(df.columns, [tuple(r) for r in df.collect()], [d[0] for d in result.description], result.fetchall()) == []
