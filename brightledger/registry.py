@@ -7,6 +7,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from brightledger.functions.scoring import named
 from brightledger.operators import checks
 from brightledger.operators.sections import union_sections
 from brightledger.plans import alternative, gold, insights, orders, silver, staging
@@ -14,7 +15,7 @@ from brightledger.plans.bank import Bank
 from brightledger.rules import contracts
 from brightledger.session import prepared, shared_folder
 from brightledger.sources.driver_tables import bank_frames, read_table, shop_frames
-from brightledger.sources.published import passthrough, read_published, write_table
+from brightledger.sources.published import as_view, content_mark, passthrough, read_published, write_table
 from brightledger.sources.reference import SCHEMAS, BuiltinReferences, load_orders_demo, load_reference
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,17 +38,21 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[cast(field) for field in df.schema.fields])
 
 
-# By session and folder of tables, for as long as the session lasts.
-_BANKS: dict[tuple[str, str], Bank] = {}
+# By session and folder of tables: the mark of the tables when the bank was made, and the bank.
+_BANKS: dict[tuple[str, str], tuple[str, Bank]] = {}
 
 
 def reporting_bank(spark: SparkSession, folder: str) -> Bank:
-    """The bank that reports read: its roll-ups are written once per session to the shared
-    folder, and every report over the same tables starts at those files."""
+    """The bank that reports read: its roll-ups lie in the shared folder, and every report over
+    the same tables starts at those files. When a given table has changed since, the bank is
+    made anew over the same store, which replaces the roll-ups that follow from that table and
+    no others."""
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _BANKS:
-        _BANKS[key] = Bank.over(spark, folder, store=f"{shared_folder(spark)}/bank-{uuid4().hex}")
-    return _BANKS[key]
+    mark = content_mark(spark, bank_frames(spark, folder).sources())
+    if key not in _BANKS or _BANKS[key][0] != mark:
+        store = _BANKS[key][1].store if key in _BANKS else f"{shared_folder(spark)}/bank-{uuid4().hex}"
+        _BANKS[key] = (mark, Bank.over(spark, folder, store=store))
+    return _BANKS[key][1]
 
 
 def bank_table(name: str, profile: str = "main") -> Query:
@@ -137,7 +142,9 @@ def shop_queries() -> dict[str, Query]:
     return {
         **{registered: over(name) for registered, name in SHOP_TABLES.items()},
         "stored_customer_summary": stored_customer_summary,
+        "named_customer_summary": named_customer_summary,
         "csv_order_customers": csv_order_customers,
+        "csv_reference_tables": csv_reference_tables,
         **{f"csv_stg_{name}": csv_referenced(name) for name in ("accounts", "customers_360", "customer_addresses")},
     }
 
@@ -152,6 +159,16 @@ def stored_customer_summary(spark: SparkSession, folder: str) -> DataFrame:
     return portable(orders.customer_summary(orders.customer_orders(customers, placed)))
 
 
+def named_customer_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The order demo's customers and orders under public names, and the summary by a reader
+    that knows nothing but the names."""
+    frames = shop_frames(spark, folder)
+    for name in contracts.PUBLIC:
+        as_view(shop_table(name, frames), name, contracts.PUBLIC)
+    customers, placed = (read_published(spark, name) for name in contracts.PUBLIC)
+    return portable(orders.customer_summary(orders.customer_orders(customers, placed)))
+
+
 def csv_order_customers(spark: SparkSession, folder: str) -> DataFrame:
     """The order demo from typed CSV files."""
     frames, place = shop_frames(spark, folder), f"{shared_folder(spark)}/csv-{uuid4().hex}"
@@ -179,6 +196,54 @@ def csv_referenced(name: str) -> Query:
     return query
 
 
+def part_as_reference(part: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of a reference table's shape, one per part, its columns from last to first."""
+
+    def value(at: int, kind: T.DataType) -> str:
+        if isinstance(kind, T.StringType):
+            return f"concat(p_type, ' {at}')" if at else "concat('K', CAST(p_partkey AS STRING))"
+        if isinstance(kind, T.BooleanType):
+            return f"p_size % 3 = {at % 3}"
+        if isinstance(kind, T.DateType):
+            return "date_add(DATE '2024-01-01', p_size)"
+        return f"CAST(p_size * {'1.25' if isinstance(kind, T.DecimalType) else at} AS {kind.simpleString()})"
+
+    return part.selectExpr(*[f"{value(at, f.dataType)} AS {f.name}" for at, f in reversed(list(enumerate(schema)))])
+
+
+def reference_totals(name: str, df: DataFrame) -> DataFrame:
+    """One row on a reference table: its rows and keys, and totals by type."""
+
+    def of(kind: type, text: str) -> str:
+        found = [text.format(f.name) for f in df.schema if isinstance(f.dataType, kind)]
+        return " + ".join(found)
+
+    flags, dates = of(T.BooleanType, "count_if({})"), [f.name for f in df.schema if isinstance(f.dataType, T.DateType)]
+    return df.agg(
+        F.lit(name).alias("table_name"),
+        *named(
+            entries="count(*)",
+            keys=f"count(DISTINCT {df.columns[0]})",
+            signs=of(T.StringType, "sum(length({}))"),
+            whole_total=of(T.IntegerType, "sum({})") or "CAST(NULL AS BIGINT)",
+            exact_total=of(T.DecimalType, "sum({})") or "CAST(NULL AS DOUBLE)",
+            flags=flags or "CAST(NULL AS BIGINT)",
+            last_day=f"max({dates[0]})" if dates else "CAST(NULL AS DATE)",
+        ),
+    )
+
+
+def csv_reference_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """All reference schemas: every table is written as CSV with its columns in another order,
+    loaded under its declared schema, and summed up."""
+    part, place = read_table(spark, folder, "part"), f"{shared_folder(spark)}/references-{uuid4().hex}"
+    totals = []
+    for name in contracts.REFERENCE_KEYS:
+        part_as_reference(part, T.StructType.fromDDL(SCHEMAS[name])).write.option("header", True).csv(f"{place}/{name}.csv")
+        totals.append(reference_totals(name, load_reference(spark, place, name)))
+    return portable(union_sections(*totals))
+
+
 def over_tables(step, *tables: str) -> Query:
     """A step applied to given tables as they are."""
     return lambda spark, folder: portable(step(*[read_table(spark, folder, table) for table in tables]))

@@ -231,3 +231,6 @@ REFERENCE_KEYS = {
     "economic_indicators": "indicator_id",
 }
 REFERENCES = {table: _key(key) for table, key in REFERENCE_KEYS.items()}
+
+# Tables of the order demo that other readers may use by name.
+PUBLIC = ("published_customers", "published_orders")

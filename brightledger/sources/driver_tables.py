@@ -612,8 +612,12 @@ def shop_inputs(d=SparkText) -> dict[str, tuple[str, dict[str, str]]]:
     }
 
 
+def table_path(folder: str, name: str) -> str:
+    return f"{folder}/{name}.parquet"
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.parquet(table_path(folder, name))
 
 
 class TableFrames(Mapping[str, DataFrame]):
@@ -630,6 +634,13 @@ class TableFrames(Mapping[str, DataFrame]):
             self._tables[table] = read_table(self._spark, self._folder, table)
         return self._tables[table].selectExpr(*[f"{text} AS {column}" for column, text in columns.items()])
 
+    def source(self, name: str) -> str:
+        """Where the given table of an input lies."""
+        return table_path(self._folder, self._inputs[name][0])
+
+    def sources(self) -> set[str]:
+        return {self.source(name) for name in self._inputs}
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._inputs)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Schemas of the reference CSVs, by table.
 SCHEMAS = {
@@ -200,13 +200,23 @@ class BuiltinReferences(Mapping[str, DataFrame]):
         return len(FIXED_VALUES)
 
 
+class HeaderMismatch(ValueError):
+    """A file whose header does not name the declared columns."""
+
+
 def load_reference(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Read ``folder/name.csv`` under its declared schema; a malformed row fails the read."""
-    return (
-        spark.read.schema(SCHEMAS[name])
-        .options(header=True, mode="FAILFAST", ignoreTrailingWhiteSpace=True, ignoreLeadingWhiteSpace=True)
-        .csv(f"{folder.rstrip('/')}/{name}.csv")
-    )
+    """Read ``folder/name.csv`` under its declared schema. The header decides which column is
+    which: columns in another order are put right, a header with other names fails at once,
+    and a malformed row, or a further file of the folder with another header, fails the read."""
+    declared = T.StructType.fromDDL(SCHEMAS[name])
+    place = f"{folder.rstrip('/')}/{name}.csv"
+    trimmed = dict(header=True, ignoreTrailingWhiteSpace=True, ignoreLeadingWhiteSpace=True)
+    header = [column.strip().lower() for column in spark.read.options(**trimmed).csv(place).columns]
+    if sorted(header) != sorted(declared.names):
+        raise HeaderMismatch(f"{place} has columns {header}, not {declared.names}")
+    in_file = T.StructType([declared[column] for column in header])
+    rows = spark.read.schema(in_file).options(**trimmed, mode="FAILFAST", enforceSchema=False).csv(place)
+    return rows.select(declared.names)
 
 
 def load_orders_demo(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -9,6 +9,52 @@ from oracles.fixed_rules import insights as I
 from oracles.fixed_rules import orders as O
 from oracles.text import Book, case, literal, mean, n, pct, real, rounded, score, select, share, total
 
+# Column kinds of the reference tables, in order; a number tells the decimal places.
+TEXT, WHOLE, FLAG, DAY = "text", "whole", "flag", "day"
+REFERENCE_COLUMNS = {
+    "product_catalog": (TEXT, TEXT, TEXT, TEXT, WHOLE, 2, 2, TEXT),
+    "risk_categories": (TEXT, WHOLE, TEXT, WHOLE, WHOLE, TEXT, TEXT, FLAG),
+    "credit_score_ranges": (TEXT, TEXT, WHOLE, WHOLE, TEXT, TEXT, TEXT, 2),
+    "transaction_types": (TEXT, TEXT, TEXT, TEXT, FLAG, 2, FLAG),
+    "channel_definitions": (TEXT, TEXT, TEXT, TEXT, FLAG, 2, TEXT),
+    "geographic_regions": (TEXT, TEXT, TEXT, TEXT, TEXT, 1, TEXT),
+    "income_brackets": (TEXT, TEXT, WHOLE, WHOLE, TEXT, TEXT, TEXT),
+    "age_cohorts": (TEXT, TEXT, WHOLE, WHOLE, TEXT, TEXT, TEXT),
+    "occupation_categories": (TEXT, TEXT, TEXT, TEXT, TEXT, 2),
+    "regulatory_requirements": (TEXT, TEXT, TEXT, WHOLE, TEXT, TEXT),
+    "compliance_rules": (TEXT, TEXT, TEXT, WHOLE, TEXT, TEXT),
+    "currency_codes": (TEXT, TEXT, TEXT, WHOLE, 4, FLAG),
+    "country_risk_ratings": (TEXT, TEXT, TEXT, TEXT, TEXT, TEXT),
+    "fee_structures": (TEXT, TEXT, TEXT, 2, TEXT, TEXT),
+    "interest_rate_tiers": (TEXT, TEXT, WHOLE, WHOLE, 2, TEXT),
+    "marketing_segments": (TEXT, TEXT, TEXT, TEXT, TEXT, TEXT),
+    "lifecycle_stages": (TEXT, TEXT, WHOLE, TEXT, TEXT),
+    "service_level_agreements": (TEXT, TEXT, 1, WHOLE, 2, FLAG),
+    "holiday_calendars": (TEXT, TEXT, DAY, FLAG, FLAG, TEXT),
+    "economic_indicators": (TEXT, TEXT, 2, TEXT, TEXT, TEXT),
+}
+
+
+def reference_totals(table: str, kinds: tuple) -> str:
+    """What a reference table made of the parts adds up to, by kind of column."""
+
+    def added(texts: list[str], kind: str) -> str:
+        return f"CAST({' + '.join(texts)} AS {kind})" if texts else f"CAST(NULL AS {kind})"
+
+    at = list(enumerate(kinds))
+    signs = ["sum(length('K' || p_partkey))", *[f"sum(length(p_type || ' {i}'))" for i, kind in at if i and kind == TEXT]]
+    exact = [f"sum(CAST(p_size * 1.25 AS DECIMAL(18,{kind})))" for _, kind in at if isinstance(kind, int)]
+    last = "CAST(max(DATE '2024-01-01' + p_size) AS VARCHAR)" if DAY in kinds else "CAST(NULL AS VARCHAR)"
+    return (
+        f"SELECT '{table}' AS table_name, count(*) AS entries, count(DISTINCT p_partkey) AS keys,"
+        f" {added(signs, 'BIGINT')} AS signs,"
+        f" {added([f'sum(p_size * {i})' for i, kind in at if kind == WHOLE], 'BIGINT')} AS whole_total,"
+        f" {added(exact, 'DOUBLE')} AS exact_total,"
+        f" {added([f'count(*) FILTER (p_size % 3 = {i % 3})' for i, kind in at if kind == FLAG], 'BIGINT')} AS flags,"
+        f" {last} AS last_day FROM part"
+    )
+
+
 
 def build(book: Book) -> None:
     for name, (table, columns) in SHOP.items():
@@ -123,8 +169,13 @@ def build(book: Book) -> None:
         "",
         ("customer_orders",),
     )
-    for stored, source in {"stored_customer_summary": "customer_summary", "csv_order_customers": "order_customers"}.items():
+    for stored, source in {"stored_customer_summary": "customer_summary", "named_customer_summary": "customer_summary", "csv_order_customers": "order_customers"}.items():
         book.add_text(stored, f"SELECT * FROM {source}", book.columns[source], (source,))
+    book.add_text(
+        "csv_reference_tables",
+        " UNION ALL ".join(reference_totals(table, kinds) for table, kinds in REFERENCE_COLUMNS.items()),
+        ["table_name", "entries", "keys", "signs", "whole_total", "exact_total", "flags", "last_day"],
+    )
     for name, kept in (("numeric_grid_summary", ""), ("numeric_grid_filtered", "WHERE (i + j) % 100 = 0")):
         book.add(
             name,

@@ -2,7 +2,9 @@
 
 import datetime as dt
 import re
+import shutil
 from decimal import Decimal
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from brightledger.params import RunParams
 from brightledger.plans import gold, silver, staging
 from brightledger.plans.bank import Bank
-from brightledger.registry import all_queries
+from brightledger.registry import all_queries, portable, reporting_bank
 from brightledger.sources.reference import builtin_reference
 
 P = RunParams(dt.date(2024, 2, 1))
@@ -320,3 +322,44 @@ def test_large_owner_query_equals_its_check_query(spark, large_owner):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{place}'")
     result = con.execute(catalogue.statements()[name])
     assert differences(df.columns, [tuple(r) for r in df.collect()], [d[0] for d in result.description], result.fetchall()) == []
+
+
+# --- stored roll-ups ---------------------------------------------------------
+def test_reports_follow_changed_tables_and_nothing_else_is_rebuilt(spark, sf_dir, tmp_path):
+    tables = ("customer", "orders", "part", "lineitem", "events")
+    for table in tables:
+        shutil.copy(f"{sf_dir}/{table}.parquet", tmp_path / f"{table}.parquet")
+    report, folder = all_queries()["executive_customer_dashboard"], str(tmp_path)
+    before = rows(report(spark, folder))
+    store = reporting_bank(spark, folder).store
+    versions = {p.name: sorted(v.name for v in p.glob("v-*")) for p in Path(store).iterdir()}
+    # Unchanged tables: the same bank, and another bank over the same store builds nothing.
+    assert reporting_bank(spark, folder) is reporting_bank(spark, folder)
+    assert rows(Bank.over(spark, folder, store=store)["executive_customer_dashboard"].drop("last_updated")) is not None
+    assert {p.name: sorted(v.name for v in p.glob("v-*")) for p in Path(store).iterdir()} == versions
+    # Half of the events are gone.
+    spark.read.parquet(f"{sf_dir}/events.parquet").where("event_id % 2 = 0").write.parquet(str(tmp_path / "half"))
+    (tmp_path / "events.parquet").unlink()
+    (tmp_path / "half").rename(tmp_path / "events.parquet")
+    after = rows(report(spark, folder))
+    assert after != before and after == rows(all_queries()["executive_customer_dashboard"](spark, folder))
+    lazy = Bank.over(spark, folder)["executive_customer_dashboard"]
+    assert after == rows(portable(lazy))
+    now = {p.name: sorted(v.name for v in p.glob("v-*")) for p in Path(store).iterdir()}
+    bank = Bank.over(spark, folder)
+    for name in versions:
+        from_events = any(bank.raw.source(i).endswith("events.parquet") for i in bank.inputs_of(name))
+        assert (now[name] != versions[name]) == from_events, name
+    assert any(now[name] == versions[name] for name in versions)
+
+
+def test_marks_tell_inputs_parameters_and_profiles_apart(spark, sf_dir):
+    bank, later = Bank.over(spark, sf_dir), Bank.over(spark, sf_dir, RunParams(dt.date(2034, 2, 1)))
+    assert bank.mark("customer_health") == Bank.over(spark, sf_dir).mark("customer_health")
+    marks = {bank.mark("customer_health"), bank.mark("profile_core"), later.mark("customer_health"), Bank.over(spark, sf_dir, profile="alt").mark("customer_health")}
+    assert len(marks) == 4
+    assert bank.inputs_of("customer_financial_summary") == {"accounts", "cards", "loans", "investments", "insurance_policies"}
+    # Rows that lie in no file cannot be told to be the same, so they are built anew.
+    held = {name: spark.createDataFrame([], bank.raw[name].schema) for name in bank.raw}
+    memory = [Bank(held, bank.references, store="unused").mark("customer_financial_summary") for _ in range(2)]
+    assert memory[0] != memory[1]
