@@ -1,17 +1,16 @@
 """Data checks as Spark jobs.
 
-Checks report how many findings there are and keep none of the rows. Missing and
-disallowed values and the first uniqueness check of a table are counted in one pass,
-with map-side partial counts; every further uniqueness check is one aggregation.
+Checks report how many findings there are and keep none of the rows. All checks of all
+tables are counted in one pass over each table and one shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from brightledger.functions.scoring import literal
 
@@ -53,50 +52,92 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
     return child.where(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_parent_key"), "left_anti")
 
 
-def _row(table: str, check: Check, counted: DataFrame) -> DataFrame:
-    return counted.select(
-        F.lit(table).alias("table_name"),
-        F.lit(check.kind).alias("check_name"),
-        F.lit(check.column).alias("column_name"),
-        F.col("failures"),
-    )
+def _comparable(df: DataFrame, column: str, mixed: bool) -> Column:
+    """A column as text that is equal where the values are equal; ``mixed`` if it is compared
+    with numbers of another type."""
+    kind, value = df.schema[column].dataType, F.col(column)
+    if mixed and isinstance(kind, T.NumericType):
+        value = value.cast("decimal(38,10)")
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = value + F.lit(0.0)  # one zero
+    return value.cast("string")
 
 
 def _fails(check: Check) -> str:
     return f"{check.column} IS NULL" if check.kind == "not_null" else _outside(check.column, check.values)
 
 
-def _counted_together(df: DataFrame, key: Check | None, row_checks: Sequence[Check]) -> DataFrame:
-    """One row with the findings of all row checks and of one uniqueness check.
+def run_all_checks(tables: Mapping[str, DataFrame], listed: Mapping[str, Sequence[Check]]) -> DataFrame:
+    """One result row per check on any of the tables: table_name, check_name, column_name and
+    failures. Tables that are only parents of others are given without checks of their own.
 
-    The rows are grouped by the key that must be unique, so one reading of the table
-    (which may be a long plan) answers both.
+    Each table is read once. A row gives one entry per key column, of the column's number and
+    the value, and one per failed row check; entries of all tables are counted by (number,
+    value) in one shuffle, after partial counts where they are read. A key column and the
+    columns that refer to it share a number, so the counts also tell which references have no
+    parent. From there one row of sums is left.
     """
-    found = [F.expr(f"count_if({_fails(check)}) AS c{i}") for i, check in enumerate(row_checks)]
-    if key is None:
-        return df.agg(*found)
-    per_value = df.groupBy(F.col(key.column).alias("_value")).agg(F.count("*").alias("_times"), *found)
-    return per_value.agg(
-        F.expr("count_if(_value IS NOT NULL AND _times > 1) AS c_key"),
-        *[F.expr(f"coalesce(sum(c{i}), 0) AS c{i}") for i in range(len(row_checks))],
-    )
-
-
-def run_checks(table: str, df: DataFrame, checks: Sequence[Check], parents: dict[str, DataFrame] = {}) -> DataFrame:
-    """One result row per check on a table."""
-    row_checks = [check for check in checks if check.kind in ("not_null", "accepted_values")]
-    key, *other_keys = [check for check in checks if check.kind == "unique"] or [None]
-    together = [(check, f"c{i}") for i, check in enumerate(row_checks)] + ([(key, "c_key")] if key else [])
-    rows = ", ".join(f"{literal(check.kind)}, {literal(check.column)}, {count}" for check, count in together)
-    results = [
-        _counted_together(df, key, row_checks)
-        .selectExpr(f"stack({len(together)}, {rows}) AS (check_name, column_name, failures)")
-        .select(F.lit(table).alias("table_name"), "check_name", "column_name", "failures")
-    ]
-    for check in other_keys:
-        results.append(_row(table, check, unique_values(df, check.column).agg(F.count("*").alias("failures"))))
-    for check in checks:
-        if check.kind == "relationships":
-            lost = orphans(df, check.column, parents[check.parent], check.parent_column)
-            results.append(_row(table, check, lost.agg(F.count("*").alias("failures"))))
-    return reduce(DataFrame.unionAll, results)
+    numbers: dict[tuple[str, str], int] = {}
+    referring: list[tuple[str, Check]] = []
+    kinds: dict[tuple[str, str], set[str]] = {}
+    for table, checks in listed.items():
+        for check in checks:
+            if check.kind == "unique":
+                numbers.setdefault((table, check.column), len(numbers))
+            elif check.kind == "relationships":
+                parent = (check.parent, check.parent_column)
+                numbers.setdefault(parent, len(numbers))
+                referring.append((table, check))
+                for held, column in (parent, (table, check.column)):
+                    kinds.setdefault(parent, set()).add(tables[held].schema[column].dataType.simpleString())
+    failing = [(table, check) for table, checks in listed.items() for check in checks if check.kind in ("not_null", "accepted_values")]
+
+    def entry(number: int, value: Column, role: int, present: Column) -> Column:
+        made = F.struct(F.lit(number).alias("number"), value.alias("value"), F.lit(role).alias("role"))
+        return F.when(present, made)
+
+    stacked = []
+    for table, df in tables.items():
+        entries = []
+        for (owner, column), number in numbers.items():
+            if owner == table:
+                mixed = len(kinds.get((owner, column), ())) > 1
+                entries.append(entry(number, _comparable(df, column, mixed), 0, F.col(column).isNotNull()))
+        for role, (child, check) in enumerate(referring, 1):
+            if child == table:
+                parent = (check.parent, check.parent_column)
+                value = _comparable(df, check.column, len(kinds[parent]) > 1)
+                entries.append(entry(numbers[parent], value, role, F.col(check.column).isNotNull()))
+        for at, (checked, check) in enumerate(failing):
+            if checked == table:
+                entries.append(entry(len(numbers) + at, F.lit(None).cast("string"), 0, F.expr(_fails(check))))
+        if entries:
+            stacked.append(df.select(F.explode(F.array_compact(F.array(*entries))).alias("entry")).select("entry.*"))
+
+    if not stacked:
+        spark = next(iter(tables.values())).sparkSession
+        return spark.createDataFrame([], "table_name string, check_name string, column_name string, failures long")
+    roles = [F.count_if(F.col("role") == role).alias(f"role_{role}") for role in range(len(referring) + 1)]
+    counted = reduce(DataFrame.unionAll, stacked).groupBy("number", "value").agg(*roles)
+    results = []
+    for table, checks in listed.items():
+        for check in checks:
+            if check.kind == "unique":
+                found = f"count_if(number = {numbers[table, check.column]} AND role_0 > 1)"
+            elif check.kind == "relationships":
+                role = next(at for at, (child, other) in enumerate(referring, 1) if child == table and other is check)
+                number = numbers[check.parent, check.parent_column]
+                found = f"coalesce(sum(CASE WHEN number = {number} AND role_0 = 0 THEN role_{role} END), 0)"
+            else:
+                number = len(numbers) + next(at for at, (owner, other) in enumerate(failing) if owner == table and other is check)
+                found = f"coalesce(sum(CASE WHEN number = {number} THEN role_0 END), 0)"
+            results.append((table, check, found))
+    sums = counted.agg(*[F.expr(found).alias(f"c{at}") for at, (_, _, found) in enumerate(results)])
+    lines = ", ".join(f"{literal(t)}, {literal(c.kind)}, {literal(c.column)}, c{at}" for at, (t, c, _) in enumerate(results))
+    return sums.selectExpr(f"stack({len(results)}, {lines}) AS (table_name, check_name, column_name, failures)")
+
+
+def run_checks(table: str, df: DataFrame, checks: Sequence[Check], parents: Mapping[str, DataFrame] = {}) -> DataFrame:
+    """The checks of one table; ``parents`` has the tables that it refers to."""
+    needed = {check.parent: parents[check.parent] for check in checks if check.kind == "relationships" and check.parent != table}
+    return run_all_checks({table: df, **needed}, {table: checks})

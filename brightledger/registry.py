@@ -270,16 +270,14 @@ def check_queries() -> dict[str, Query]:
     def bank(tables: dict) -> Query:
         def query(spark: SparkSession, folder: str) -> DataFrame:
             made = reporting_bank(spark, folder)
-            return union_sections(*[checks.run_checks(name, made[name], listed) for name, listed in tables.items()])
+            return checks.run_all_checks({name: made[name] for name in tables}, tables)
 
         return query
 
     def demo(spark: SparkSession, folder: str) -> DataFrame:
         frames = shop_frames(spark, folder)
         tables = {name: shop_table(name, frames) for name in contracts.ORDER_DEMO}
-        return union_sections(
-            *[checks.run_checks(name, tables[name], listed, tables) for name, listed in contracts.ORDER_DEMO.items()]
-        )
+        return checks.run_all_checks(tables, contracts.ORDER_DEMO)
 
     def line_ids(lineitem: DataFrame) -> DataFrame:
         return checks.unique_values(lineitem.selectExpr("l_orderkey * 10 + l_linenumber AS line_id"), "line_id")

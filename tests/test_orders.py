@@ -2,8 +2,10 @@
 
 import datetime as dt
 import math
+import random
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from brightledger.operators import checks
 from brightledger.operators.checks import Check
@@ -123,3 +125,45 @@ def test_checks_of_an_empty_table_find_nothing(spark):
     df = spark.createDataFrame([], "id int, label string")
     listed = [Check("unique", "id"), Check("not_null", "label")]
     assert {r["failures"] for r in rows(checks.run_checks("t", df, listed))} == {0}
+
+
+def test_all_checks_in_one_pass_against_the_single_ones(spark):
+    rng = random.Random(8)
+    parent = spark.createDataFrame([(k, name) for k, name in [(1, "a"), (2, "b"), (2, "a"), (3, None), (4, "d"), (None, "e"), (9, "f")]], "k long, name string")
+    data = [(rng.choice([None, *range(6)]), rng.choice(["a", "b", None, "c"]), rng.choice([1.5, 0.0, -0.0, 7.0, None])) for _ in range(200)]
+    child = spark.createDataFrame(data, "ref int, label string, price double").withColumn("id", F.monotonically_increasing_id()).repartition(3)
+    listed = {
+        "child": [Check("unique", "id"), Check("unique", "price"), Check("unique", "label"), Check("not_null", "label"), Check("not_null", "id"),
+                  Check("accepted_values", "label", ("a", "b")), Check("relationships", "ref", parent="parent", parent_column="k"),
+                  Check("relationships", "label", parent="parent", parent_column="name")],
+        "parent": [Check("unique", "k"), Check("not_null", "k"), Check("relationships", "k", parent="parent", parent_column="k")],
+        "empty": [Check("unique", "k"), Check("not_null", "k")],
+    }
+    tables = {"child": child, "parent": parent, "empty": parent.where("k > 100")}
+    expected = []
+    for table, held in listed.items():
+        df = tables[table]
+        for check in held:
+            if check.kind == "unique":
+                count = checks.unique_values(df, check.column).count()
+            elif check.kind == "not_null":
+                count = checks.missing(df, check.column).count()
+            elif check.kind == "accepted_values":
+                count = checks.disallowed(df, check.column, check.values).count()
+            else:
+                count = checks.orphans(df, check.column, tables[check.parent], check.parent_column).count()
+            expected.append({"table_name": table, "check_name": check.kind, "column_name": check.column, "failures": count})
+    found = checks.run_all_checks(tables, listed)
+    assert rows(found) == sorted(expected, key=lambda r: tuple(repr(r[c]) for c in sorted(r)))
+    assert any(r["failures"] for r in expected if r["check_name"] == "relationships")
+    assert checks.run_all_checks({"parent": parent}, {"parent": []}).collect() == []
+
+
+def test_checks_read_each_table_once_and_shuffle_once(spark, sf_dir):
+    places = [spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("customer", "orders")]
+    listed = {
+        "customer": [Check("unique", "c_custkey"), Check("unique", "c_name"), Check("not_null", "c_name"), Check("not_null", "c_acctbal")],
+        "orders": [Check("unique", "o_orderkey"), Check("relationships", "o_custkey", parent="customer", parent_column="c_custkey")],
+    }
+    plan = checks.run_all_checks(dict(zip(listed, places)), listed)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
