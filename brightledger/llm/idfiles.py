@@ -212,6 +212,7 @@ def write_id_files(
                 {"doc_id": batch.column("doc_id"), "shard": batch.column("shard"), "offset": ends - lengths, "length": np.array(lengths, "int64")}
             )
             offset = int(ends[-1]) if len(ends) else offset
+        encoder(tokenizer).forget()
         if file is not None:
             file.close()
 

@@ -15,9 +15,10 @@ import numpy as np
 _OTHER = re.compile(r"[^\t-\r -~À-ÖØ-öø-ÿ]")
 _PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-zß-öø-ÿ0-9\s]+")
 _BLANKS = re.compile(r"[ \t\n\r\f\v]+")
-# Words, and parts of words, kept per generation and process: when a generation is full, the
-# one before it is forgotten, so words that recur stay. This changes no result.
-WORDS_KEPT = 200_000
+# Bytes of words, and of parts of words, kept per generation and process: when a generation is
+# full, the one before it is forgotten, so words that recur stay. This changes no result.
+KEPT_BYTES = 8 << 20
+ENTRY_BYTES = 200  # of a word, besides its letters
 # A word longer than this is encoded each time.
 LONG_WORD = 64
 
@@ -50,6 +51,12 @@ class WordEncoder:
         # Ids as they lie in memory, so that those of a text are put together by one join.
         self.known, self.parts = Kept(), Kept()
 
+    def forget(self) -> None:
+        """Gives back what was kept for words, at the end of a task: its process may go on to
+        quite other work."""
+        self.known.forget()
+        self.parts.forget()
+
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -83,13 +90,17 @@ class WordEncoder:
 
 
 class Kept:
-    """Results by word, in two generations."""
+    """Results by word, in two generations of bounded size."""
 
     def __init__(self):
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.new: dict = {}
+        self.old: dict = {}
+        self.bytes = 0
 
-    def find(self, word: str, make) -> bytes:
+    def find(self, word: str, make):
         ids = self.new.get(word)
         if ids is not None:
             return ids
@@ -97,7 +108,8 @@ class Kept:
         if ids is None:
             ids = make(word)
         if len(word) <= LONG_WORD:
-            if len(self.new) >= WORDS_KEPT:
-                self.new, self.old = {}, self.new
+            if self.bytes >= KEPT_BYTES:
+                self.new, self.old, self.bytes = {}, self.new, 0
             self.new[word] = ids
+            self.bytes += ENTRY_BYTES + 3 * len(word)
         return ids

@@ -17,9 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from brightledger.llm.common import fold
 
 HASH_BITS = 16
-# Languages a model may hold; the broadcast model has this many rows of 2**HASH_BITS doubles
-# at most (32 MB), and learning fails beyond it.
-MOST_LANGUAGES = 64
+# Languages that a task counts before it hands its counts on.
+COUNTED_TOGETHER = 64
 SMOOTHING = 0.5
 STEPS = 30
 CONVERGED = 1e-4
@@ -37,22 +36,53 @@ _CLASSES = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(25
 
 def trigram_counts(text: str) -> np.ndarray:
     """Counts of the hashed trigrams of the lower-case UTF-8 bytes of a whole text, with
-    runs of non-letters as one blank; read in slices, so that memory stays bounded."""
+    runs of non-letters as one blank. The bytes are taken in slices, each of which begins with
+    the last two signs of the one before, so the counts are those of the text in one piece."""
     counts = np.zeros(1 << HASH_BITS, np.int64)
-    for at in range(0, len(text), SLICE):
-        raw = np.frombuffer(text[max(0, at - 2) : at + SLICE].lower().encode("utf-8", "surrogatepass"), np.uint8)
-        classes = np.concatenate([[np.uint32(32)], _CLASSES[raw], [np.uint32(32)]])
+    raw = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
+    held, end = np.full(1, 32, np.uint32), np.full(1, 32, np.uint32)
+    for at in range(0, len(raw) + 1, SLICE):
+        last = at + SLICE > len(raw)
+        classes = np.concatenate([held, _CLASSES[raw[at : at + SLICE]], end[:last]])
         classes = classes[np.concatenate([[True], (classes[1:] != 32) | (classes[:-1] != 32)])]
         grams = (classes[:-2] << np.uint32(16)) | (classes[1:-1] << np.uint32(8)) | classes[2:]
         hashed = (grams * np.uint32(0x9E3779B1)) >> np.uint32(32 - HASH_BITS)
         counts += np.bincount(hashed, minlength=1 << HASH_BITS)
+        held = classes[-2:]
     return counts
 
 
 @dataclass(frozen=True)
 class LanguageModel:
+    """Likelihoods of hashed trigrams by language, as far as a language has them: those of
+    gram g are the entries from ``first[g]`` to ``first[g + 1]``; all others of a language have
+    its ``least``. So a model grows with the grams that labels really have, and there may be
+    any number of labels."""
+
     languages: tuple[str, ...]
-    likelihoods: np.ndarray  # languages x hashed trigrams
+    least: np.ndarray
+    first: np.ndarray
+    language: np.ndarray
+    likelihood: np.ndarray
+
+    @classmethod
+    def over(cls, languages: list[str], grams: list[np.ndarray], counts: list[np.ndarray]) -> "LanguageModel":
+        totals = np.array([c.sum() + SMOOTHING * (1 << HASH_BITS) for c in counts])
+        gram = np.concatenate([*grams, np.zeros(0, np.int64)]).astype(np.int64)
+        owner = np.repeat(np.arange(len(languages)), [len(g) for g in grams]).astype(np.int32)
+        value = (np.concatenate([*counts, np.zeros(0)]) + SMOOTHING) / totals[owner]
+        order = np.argsort(gram, kind="stable")
+        first = np.concatenate([[0], np.cumsum(np.bincount(gram, minlength=1 << HASH_BITS))])
+        return cls(tuple(languages), SMOOTHING / totals, first, owner[order], value[order])
+
+    def likelihoods(self, seen: np.ndarray) -> np.ndarray:
+        """Languages x the grams asked for."""
+        low, high = self.first[seen], self.first[seen + 1]
+        sizes = high - low
+        at = np.repeat(high - np.cumsum(sizes), sizes) + np.arange(sizes.sum())
+        given = np.repeat(self.least[:, None], len(seen), axis=1)
+        given[self.language[at], np.repeat(np.arange(len(seen)), sizes)] = self.likelihood[at]
+        return given
 
     def mixture(self, counts: np.ndarray) -> tuple[list[str], np.ndarray]:
         """The chosen languages of a text, by falling share, and their shares.
@@ -63,7 +93,7 @@ class LanguageModel:
         """
         seen = np.flatnonzero(counts)
         weights = counts[seen] / OVERLAP
-        total, given = weights.sum(), self.likelihoods[:, seen]
+        total, given = weights.sum(), self.likelihoods(seen)
         charge = PENALTY * np.log(max(2.0, total))
         shares, limit = expectation_maximisation(given, weights)
         alone = np.log(given) @ weights
@@ -97,23 +127,28 @@ def expectation_maximisation(given: np.ndarray, weights: np.ndarray) -> tuple[np
 def learn(documents: DataFrame, text: Column, lang: Column) -> LanguageModel:
     """A model of every language of the rows whose text and language are not null.
 
-    Counts cover whole texts of all those rows. A task counts into one table per language, so
-    what is shuffled and gathered is bounded by languages x 2**HASH_BITS, whatever the input.
+    Counts cover whole texts of all those rows. A task counts into one table per language and
+    hands the tables on when there are ``COUNTED_TOGETHER`` of them, so its memory is bounded;
+    what is shuffled and gathered are the grams that a language really has, 2**HASH_BITS of
+    each at most, whatever the size of the input.
     """
 
+    def handed_on(tables: dict[str, np.ndarray]):
+        for name, table in tables.items():
+            seen = np.flatnonzero(table)
+            yield pa.RecordBatch.from_pydict({"lang": [name] * len(seen), "gram": seen.astype("int32"), "n": table[seen]})
+
     def counted(batches):
         tables: dict[str, np.ndarray] = {}
         for batch in batches:
             for value, name in zip(batch.column("text"), batch.column("lang").to_pylist()):
-                table = tables.get(name)
-                if table is None:
-                    if len(tables) == MOST_LANGUAGES:
-                        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
-                    table = tables[name] = np.zeros(1 << HASH_BITS, np.int64)
-                table += trigram_counts(value.as_py())
-        for name, table in tables.items():
-            seen = np.flatnonzero(table)
-            yield pa.RecordBatch.from_pydict({"lang": [name] * len(seen), "gram": seen.astype("int32"), "n": table[seen]})
+                if name not in tables:
+                    if len(tables) == COUNTED_TOGETHER:
+                        yield from handed_on(tables)
+                        tables = {}
+                    tables[name] = np.zeros(1 << HASH_BITS, np.int64)
+                tables[name] += trigram_counts(value.as_py())
+        yield from handed_on(tables)
 
     rows = documents.select(text.alias("text"), lang.alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
     sums = (
@@ -124,13 +159,8 @@ def learn(documents: DataFrame, text: Column, lang: Column) -> LanguageModel:
         .agg(F.collect_list("gram").alias("grams"), F.collect_list("n").alias("ns"))
     )
     found = sums.orderBy("lang").toArrow()
-    if found.num_rows > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
-    table = np.full((found.num_rows, 1 << HASH_BITS), SMOOTHING)
-    for row, (grams, ns) in enumerate(zip(found.column("grams"), found.column("ns"))):
-        table[row, grams.values.to_numpy()] += ns.values.to_numpy()
-    table /= table.sum(axis=1, keepdims=True)
-    return LanguageModel(tuple(found.column("lang").to_pylist()), table)
+    grams, counts = ([list_.values.to_numpy() for list_ in found.column(name)] for name in ("grams", "ns"))
+    return LanguageModel.over(found.column("lang").to_pylist(), grams, counts)
 
 
 def identify(documents: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:

@@ -142,10 +142,12 @@ def near_duplicates(documents: DataFrame, threshold: float = SIMILARITY, counted
     Texts belong to one class if they are equal or linked by a chain of pairs whose shingle
     sets (five words, lower case) have a similarity of at least ``threshold``; with ``counted``
     a shingle weighs as often as it occurs, otherwise one. A text of one to four words is a
-    single shingle. Empty texts and texts without words are only equal to themselves. A null
-    text is in no class but its own; a null doc_id has a null class and is kept; rows that
-    repeat a doc_id share its class. Other columns are ignored and an empty table gives no
-    rows; texts are read whole.
+    single shingle; words are what white space parts, so a text in a script without blanks is
+    one, too. Empty texts and texts without words are only equal to themselves. A null text is
+    in no class but its own. The class of a row is that of its text: rows that repeat a doc_id
+    with other texts have a class each, and a row without doc_id has the class of its text,
+    whose id is null, and which it keeps, if no row of it has one. Other columns are ignored
+    and an empty table gives no rows; texts are read whole.
 
     Equal texts are one node from the start. Nodes that share a band of the signature are put
     into candidate groups (the components of that relation), which need only hashes. Each
@@ -154,58 +156,77 @@ def near_duplicates(documents: DataFrame, threshold: float = SIMILARITY, counted
     returns are at most as many links as it has texts. Groups over ``BLOCK_BYTES`` or
     ``BLOCK_TEXTS`` are cut into blocks, and each pair of blocks is compared on its own.
     """
-    rows = documents.where("doc_id IS NOT NULL").select("doc_id", "text", F.md5(F.col("text").cast("binary")).alias("digest"))
-    signed = rows.where("text IS NOT NULL").mapInArrow(
-        _signed(counted), "doc_id long, digest string, bytes long, buckets array<long>, signature binary"
-    )
+    classes = _classes(documents, threshold, counted)
+    rows = documents.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), F.col("text").isNull().alias("alone"))
+    found = rows.join(classes.select("digest", "class_id"), "digest", "left")
+    found = found.select("doc_id", F.when(F.col("alone"), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    return found.select("doc_id", "class_id", F.col("class_id").eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def keep_one(documents: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+    """The rows of ``documents``, all columns, that stay: one of each class of texts, and every
+    row without text.
+
+    Of a class it is the row with the smallest doc_id (null last), then the smallest digest of
+    its text, then the smallest hash of its columns; of rows equal in all that, any one. Texts
+    alone make the classes, so another text under a repeated doc_id is never dropped with it,
+    and copies without doc_id are dropped like others.
+    """
+    classes = _classes(documents, threshold, False).select("digest", "component")
+    hashed = [F.col(f"`{f.name}`") for f in documents.schema.fields if "map<" not in f.dataType.simpleString()]
+    keys = [F.col("doc_id"), F.md5(F.col("text").cast("binary")).alias("digest"), F.xxhash64(*hashed).alias("hash")]
+    texts = documents.where("text IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "hash")).alias("first")
+    best = texts.select(*keys).join(classes, "digest").groupBy("component").agg(first).select("first.*")
+    best = best.select(F.coalesce("doc_id", F.lit(0)).alias("key"), "last", "digest", "hash")
+    record = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("record")
+    rows = texts.select(*keys, record).select(F.coalesce("doc_id", F.lit(0)).alias("key"), F.col("doc_id").isNull().alias("last"), "digest", "hash", "record")
+    same = ["key", "last", "digest", "hash"]
+    one = rows.join(best, same).dropDuplicates(same)
+    return one.select("record.*").union(documents.where("text IS NULL"))
+
+
+def _classes(documents: DataFrame, threshold: float, counted: bool) -> DataFrame:
+    """Per distinct text its ``digest``, the ``component`` of its class and the ``class_id``."""
+    rows = documents.select("doc_id", "text", F.md5(F.col("text").cast("binary")).alias("digest")).where("text IS NOT NULL")
+    signed = rows.mapInArrow(_signed(counted), "doc_id long, digest string, bytes long, buckets array<long>, signature binary")
     signed = stored(signed, "signatures")
     nodes = signed.groupBy("digest").agg(
-        F.min("doc_id").alias("node"),
+        F.min("doc_id").alias("doc_id"),
         F.first("bytes").alias("bytes"),
         F.first("buckets").alias("buckets"),
         F.first("signature").alias("signature"),
     )
-    nodes = stored(nodes, "nodes")
+    # Numbers of distinct texts, which hold from here on because they are stored.
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     banded = nodes.select("node", F.explode("buckets").alias("bucket"))
     hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("top <> hub").drop("top")
     groups = components(banded.join(hubs, "bucket").select(F.col("node").alias("a"), F.col("hub").alias("b")))
     links = stored(_verified(documents, nodes, groups, threshold, counted), "near-links")
-    classes = components(links)
-
-    by_digest = nodes.join(classes.withColumnRenamed("id", "node"), "node", "left").select(
-        "digest", F.coalesce("component", "node").alias("class_id")
-    )
-    found = rows.select("doc_id", "digest").join(by_digest, "digest", "left")
-    found = found.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
-    # A doc_id with several texts takes the smallest of their classes.
-    own = found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count("*").alias("rows"))
-    own = own.select("doc_id", "class_id", F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("n")).drop("n")
-    missing = documents.where("doc_id IS NULL").select(F.col("doc_id"), F.lit(None).cast("long").alias("class_id"))
-    return own.union(missing).select("doc_id", "class_id", F.coalesce(F.col("class_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
-
-
-def keep_one(documents: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """The rows of ``documents``, all columns, that stay: of each class the row with the
-    smallest doc_id, of rows that repeat it any one, and rows without doc_id."""
-    kept = near_duplicates(documents.select("doc_id", "text"), threshold).where("kept AND doc_id IS NOT NULL")
-    one = documents.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(documents.columns).union(documents.where("doc_id IS NULL"))
+    joined = nodes.select("digest", "doc_id", "node").join(components(links).withColumnRenamed("id", "node"), "node", "left")
+    joined = joined.select("digest", "doc_id", F.coalesce("component", "node").alias("component"))
+    smallest = joined.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    return joined.select("digest", "component").join(smallest, "component")
 
 
 def _verified(documents: DataFrame, nodes: DataFrame, groups: DataFrame, threshold: float, counted: bool) -> DataFrame:
     """Links (a, b) that join the texts of each candidate group into their classes."""
     grouped = groups.union(groups.select(F.col("component").alias("id"), "component").distinct())
     members = nodes.join(grouped.withColumnRenamed("id", "node"), "node").select(
-        "node", "digest", "bytes", "signature", F.col("component").alias("group")
+        "node", "doc_id", "digest", "bytes", "signature", F.col("component").alias("group")
     )
     blocks = F.greatest(F.ceil(F.sum("bytes") / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK_TEXTS))
     sizes = members.groupBy("group").agg(blocks.cast("int").alias("blocks"))
     total = members.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     dealt = members.join(sizes, "group").withColumn("own", F.pmod(F.xxhash64("node"), F.greatest("blocks", F.lit(1))).cast("int"))
-    texts = documents.select(F.col("doc_id").alias("node"), "text", F.md5(F.col("text").cast("binary")).alias("digest"))
     # The smallest doc_id of a text has that text; rows that repeat both give one.
-    held = dealt.join(texts, ["node", "digest"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.greatest("blocks", F.lit(1)) - 1)))
+    texts = documents.select(
+        F.coalesce("doc_id", F.lit(0)).alias("key"), F.col("doc_id").isNull().alias("last"), "text", F.md5(F.col("text").cast("binary")).alias("digest")
+    )
+    keyed = dealt.withColumns({"key": F.coalesce("doc_id", F.lit(0)), "last": F.col("doc_id").isNull()}).drop("doc_id")
+    held = keyed.join(texts, ["key", "last", "digest"]).dropDuplicates(["node"])
+    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.greatest("blocks", F.lit(1)) - 1)))
     # Small groups share a call, by hash; a block pair of a large one is a call of its own.
     low, high = F.least("own", "other"), F.greatest("own", "other")
     call = F.when(F.col("blocks") <= 1, F.pmod(F.xxhash64("group"), F.lit(max(1, -(-total // CALL_BYTES))))).otherwise(F.xxhash64("group"))
@@ -221,8 +242,7 @@ def _verified(documents: DataFrame, nodes: DataFrame, groups: DataFrame, thresho
         cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
         left, right = [], []
         for begin, end in zip(cuts[:-1], cuts[1:]):
-            first = np.concatenate([[True], node[begin + 1 : end] != node[begin : end - 1]])
-            at = begin + np.flatnonzero(first)
+            at = np.arange(begin, end)
             sets = [weighted_set(table["text"][int(i)].as_py(), counted) for i in at]
             for a, b in _links(sets, signature[at], own[at] == low, own[at] == high, threshold, least):
                 left.append(node[at[a]])

@@ -109,6 +109,7 @@ def pack(
             number_column = batch.column("packing_number").take(taken)
             columns = [*outer_columns, *made, number_column, pa.array(block, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, cut_schema.names)
+        encoder(tokenizer).forget()
 
     def place(block: tuple, table: pa.Table) -> pa.Table:
         first = [(n, "ascending") for n in names if n == "doc_id"]

@@ -14,11 +14,9 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from brightledger.llm.ids import byte_letters
+from brightledger.llm.ids import Kept, byte_letters
 
 _BLANKS = re.compile(r"[ \t\n\r\f\v]+")
-WORDS_KEPT = 400_000
-LONG_WORD = 64
 
 
 class PieceCounter:
@@ -60,7 +58,7 @@ class PieceCounter:
                 if back >= 0:
                     self.fail[node], self.pops[node] = self.follow[back][letter[node]], popped
             level = [child for node in level for child in self.follow[node].values()]
-        self.known: dict[str, int | None] = {}
+        self.kept = Kept()
 
     def count(self, symbols: str) -> int | None:
         """Pieces of one word; None if greedy matching gets stuck."""
@@ -109,19 +107,20 @@ def count_tokens(texts: DataFrame, text: str, path: str) -> DataFrame:
 
     def of_text(value: str | None) -> dict[str, int]:
         pieces, letters = counter(path)
-        known, words, tokens, unknown = pieces.known, 0, 0, 0
+        new, words, tokens, unknown = pieces.kept.new, 0, 0, 0
+
+        def counted(word: str) -> int | None:
+            lower = word.lower()
+            return pieces.count(lower if lower.isascii() and lower.isprintable() else "".join([letters[b] for b in lower.encode("utf-8", "surrogatepass")]))
+
         for word in _BLANKS.split(value or ""):
             if not word:
                 continue
             words += 1
-            n = known.get(word, -1)
+            n = new.get(word, -1)
             if n == -1:
-                lower = word.lower()
-                n = pieces.count(lower if lower.isascii() and lower.isprintable() else "".join([letters[b] for b in lower.encode("utf-8", "surrogatepass")]))
-                if len(word) <= LONG_WORD:
-                    if len(known) >= WORDS_KEPT:
-                        known.clear()
-                    known[word] = n
+                n = pieces.kept.find(word, counted)
+                new = pieces.kept.new
             if n is None:
                 unknown += 1
                 tokens += 1
@@ -137,5 +136,6 @@ def count_tokens(texts: DataFrame, text: str, path: str) -> DataFrame:
             found = pa.array([of_text(value.as_py()) for value in column], kind)
             kept = [n for n in batch.schema.names if n.lower() != "counts"]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], found], [*kept, "counts"])
+        counter(path)[0].kept.forget()
 
     return texts.mapInArrow(counted, schema)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brightledger.llm import balltree, chat, contexttree, decontaminate, idfiles, langid, minhash, oracle, packing, periodic, pieces, sharding, vectors, warc
 from brightledger.llm.common import fold, given, let
+from brightledger.session import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -187,7 +188,11 @@ def periodic_tail(doc_id: Column, text: Column) -> Column:
     return F.when((h % 10 == 0) & text.isNotNull(), let(words, repeated)).otherwise(text)
 
 
-QUERIES: dict[str, Query] = {
+def with_settings(query: Query) -> Query:
+    return lambda spark, folder: query(prepared(spark), folder)
+
+
+NAMED: dict[str, Query] = {
     "op1_two_pass_shuffle": op1_two_pass_shuffle,
     "op2_template_decontamination": op2_template_decontamination,
     "op3_context_tree": op3_context_tree,
@@ -203,6 +208,8 @@ QUERIES: dict[str, Query] = {
     "op13_periodic_runs": op13_periodic_runs,
 }
 
+QUERIES = {name: with_settings(query) for name, query in NAMED.items()}
+
 ORACLE_SQL: dict[str, str] = {
     "op9_chat_format": oracle.CHAT_FORMAT,
     "op11_salvage_reader": oracle.SALVAGE_READER,

@@ -113,6 +113,19 @@ def test_classes_of_awkward_and_planted_texts(spark):
     assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in kept.collect()) == sorted({*wanted.values(), -1})
 
 
+def test_no_text_is_lost_under_repeated_or_missing_ids(spark):
+    a, b, c, d = (prose(900 + n, 60) for n in range(4))
+    given = [(1, a, "x"), (5, a, "x"), (5, b, "x"), (7, b, "x"), (None, c, "x"), (None, c, "x"), (None, c, "y"), (None, d, "x"), (9, d, "x"), (9, d, "x"), (None, None, "x"), (3, None, "x"), (3, None, "x")]
+    df = spark.createDataFrame(given, "doc_id long, text string, other string").repartition(3)
+    found = sorted(tuple(r) for r in minhash.near_duplicates(df).where("doc_id IS NOT NULL").collect())
+    assert found == [(1, 1, True), (3, 3, True), (3, 3, True), (5, 1, False), (5, 5, True), (7, 5, False), (9, 9, True), (9, 9, True)]
+    none_ids = sorted(((r["class_id"], r["kept"]) for r in minhash.near_duplicates(df).where("doc_id IS NULL").collect()), key=repr)
+    assert none_ids == [(9, False), *[(None, True)] * 4]
+    kept = [tuple(r)[:2] for r in minhash.keep_one(df).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, a), (5, b), (None, c), (9, d), (None, None), (3, None), (3, None)], key=repr)
+    assert {tuple(r) for r in minhash.keep_one(df.repartition(7)).collect()} == {tuple(r) for r in minhash.keep_one(df).collect()}
+
+
 @pytest.mark.parametrize("name, size", [("BLOCK_BYTES", 20_000), ("BLOCK_TEXTS", 9)])
 def test_groups_over_one_block_give_the_same_classes(spark, monkeypatch, name, size):
     base = prose(8, 200)

@@ -31,10 +31,13 @@ def test_words_encode_like_whole_texts(tokenizer, spark, sf_dir, monkeypatch):
     encoder = ids.WordEncoder(vocabulary())
     for text in texts:
         assert (encoder.encode(text, 7) == encoded(tokenizer, text, 7)).all(), text
-    monkeypatch.setattr(ids, "WORDS_KEPT", 3)
+    monkeypatch.setattr(ids, "KEPT_BYTES", 3 * ids.ENTRY_BYTES)
     small = ids.WordEncoder(vocabulary())
     for text in texts[:20]:
         assert (small.encode(text, 7) == encoded(tokenizer, text, 7)).all()
+    assert len(small.known.new) <= 4 and len(small.parts.old) <= 4
+    small.forget()
+    assert not small.known.new and not small.parts.old and (small.encode(texts[0], 7) == encoded(tokenizer, texts[0], 7)).all()
     assert ids.byte_letters()[ord("A")] == "A" and len(set(ids.byte_letters().values())) == 256
 
 
