@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Batches that go to Python tasks are bounded by bytes, whatever the length of the rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
