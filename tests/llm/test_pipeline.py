@@ -67,7 +67,24 @@ def test_no_documents(spark, sf_dir, tmp_path):
     assert [made.count() for _, made in staged(spark, none(spark), sf_dir, tmp_path)] == [0] * 4
 
 
-@pytest.mark.parametrize("name", ["pipeline", *[f"op{n}" for n in range(1, 11)]])
+def test_a_corpus_without_labels_is_kept(spark, sf_dir):
+    docs = documents(spark).withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.STAGES[0][1](spark, docs, sf_dir)
+    lettered = docs.where("text IS NOT NULL").rdd.filter(lambda r: any(c.isalpha() for c in r["text"])).count()
+    assert kept.count() == lettered > 12 and kept.columns == docs.columns
+    assert kept.where("lang IS NOT NULL").count() == 0
+
+
+def test_missing_labels_are_filled_in_and_given_ones_stay(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("lang", F.expr("CASE WHEN doc_id % 3 <> 0 THEN lang END"))
+    kept = {r["doc_id"]: r["lang"] for r in corpus_pipeline.STAGES[0][1](spark, docs, sf_dir).collect()}
+    given = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    assert all(kept[d] == given[d] for d in kept if d % 3)
+    told = [kept[d] == given[d] for d in kept if d % 3 == 0]
+    assert len(told) > 50 and np.mean(told) > 0.97 and None not in kept.values()
+
+
+@pytest.mark.parametrize("name", ["pipeline", *[f"op{n}" for n in range(1, 14)]])
 def test_registered(name):
     import __spark_entry__
 
