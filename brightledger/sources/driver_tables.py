@@ -5,8 +5,7 @@ table: an order plays an account, a card, an address and a phone; an order line
 plays the events on that account; an event plays the customer-level activity; a
 part plays a loan and a policy. One input row gives one output row.
 
-The mapping is plain SQL text so that the check queries can start from the very
-same inputs; only calendar steps are spelled differently per engine.
+Codes, such as statuses, kinds and regions, follow from measures of the given row.
 """
 
 from __future__ import annotations
@@ -33,22 +32,25 @@ class SparkText:
         return f"CAST(floor({expr}) AS BIGINT)"
 
 
-class CheckText(SparkText):
-    @staticmethod
-    def day(base: str, days: str) -> str:
-        return f"CAST(DATE '{base}' + CAST({days} AS INTEGER) AS TIMESTAMP)"
-
-    @staticmethod
-    def plus(moment: str, days: str = "0", minutes: str = "0") -> str:
-        return (
-            f"CAST({moment} AS TIMESTAMP) + to_days(CAST({days} AS INTEGER)) + to_minutes(CAST({minutes} AS BIGINT))"
-        )
+# Whole numbers from 0 to 99 that columns of a given row have, by table.
+customer_share = "(c_nationkey * 4)"
+order_share = "(CAST(floor(o_totalprice) AS BIGINT) % 100)"
+price_share = "(CAST(floor(o_totalprice / 100) AS BIGINT) % 100)"
+part_share = "(CAST(substr(p_brand, 7) AS INT) * 4 - 4)"
+line_share = "(CAST(floor(l_extendedprice) AS BIGINT) % 100)"
+cost_share = "(CAST(floor(l_extendedprice / 100) AS BIGINT) % 100)"
+unit_share = "(CAST(l_quantity AS BIGINT) * 2 - 2)"
+event_share = "CAST(regexp_extract(props, '[0-9]+', 0) AS INT)"
+value_share = "(CAST(floor(value) AS BIGINT) % 100)"
 
 
-def pick(number: str, *values) -> str:
-    """The value at position ``number`` modulo the list length."""
-    arms = " ".join(f"WHEN {i} THEN {_literal(v)}" for i, v in enumerate(values))
-    return f"CASE ({number}) % {len(values)} {arms} END"
+def labelled(share: str, *labels) -> str:
+    """The label in whose part of 0..99 the share lies; the parts are as even as whole numbers
+    allow. The labels, wherever this is used, are fixed values: those that the rules and
+    reports tell apart."""
+    parts = len(labels)
+    arms = " ".join(f"WHEN {share} < {-(-100 * at // parts)} THEN {_literal(label)}" for at, label in enumerate(labels[:-1], 1))
+    return f"CASE {arms} ELSE {_literal(labels[-1])} END"
 
 
 def _literal(value) -> str:
@@ -84,10 +86,10 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
     customers = {
         "customer_id": "c_custkey",
         "customer_number": _padded("CUST", "c_custkey", 6),
-        "first_name": pick("c_custkey", "john", "JANE", "mary-ann", "o'neil"),
+        "first_name": labelled(customer_share, "JANE", "mary-ann", "o'neil", "john"),
         "last_name": "c_mktsegment",
         "date_of_birth": d.day("1944-01-01", "c_custkey * 97 % 22000"),
-        "gender": pick("c_nationkey", "m", "f"),
+        "gender": labelled(customer_share, "f", "m"),
         "email_address": "concat('Customer', CAST(c_custkey AS STRING), '@Email.com')",
         "phone_number": _padded("555-", "c_custkey % 10000", 4),
         "annual_income": "CAST(20000 + c_custkey * 7919 % 300000 AS INT)",
@@ -121,13 +123,13 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "card_id": "o_orderkey",
         "card_number_masked": _padded("CARD", "o_orderkey", 8),
         "customer_id": "o_custkey",
-        "linked_account_id": "CASE WHEN o_orderkey % 3 = 1 THEN o_orderkey END",
-        "card_type": pick("o_orderkey", "prepaid", "debit", "credit"),
-        "card_brand": pick("o_orderkey", "discover", "visa", "mastercard", "amex"),
+        "linked_account_id": f"CASE WHEN {order_share} < 34 THEN o_orderkey END",
+        "card_type": labelled(order_share, "debit", "credit", "prepaid"),
+        "card_brand": labelled(order_share, "visa", "mastercard", "amex", "discover"),
         "card_status": f"CASE WHEN o_orderstatus <> 'P' THEN 'active' WHEN {quiet} THEN 'blocked'"
         f" WHEN {urgent} THEN 'expired' ELSE 'inactive' END",
-        "credit_limit": "CASE WHEN o_orderkey % 3 = 2 THEN " + pick("o_orderkey", 5000, 50000, 25000, 10000, 0) + " END",
-        "current_balance": f"CASE WHEN o_orderkey % 3 = 1 THEN {_money('0')}"
+        "credit_limit": f"CASE WHEN {order_share} BETWEEN 34 AND 66 THEN {labelled(price_share, 50000, 25000, 10000, 5000, 0)} END",
+        "current_balance": f"CASE WHEN {order_share} < 34 THEN {_money('0')}"
         f" ELSE {_money(d.whole('o_totalprice') + ' % 9973')} END",
         "issue_date": order_day,
         "expiry_date": f"{order_day} + INTERVAL 4 YEAR",
@@ -141,13 +143,13 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "loan_id": "p_partkey",
         "loan_number": _padded("LOAN", "p_partkey", 8),
         "customer_id": d.whole("p_partkey / 3.0"),
-        "loan_type": pick("p_partkey", "home_equity", "mortgage", "personal", "auto"),
+        "loan_type": labelled(part_share, "mortgage", "personal", "auto", "home_equity"),
         "original_amount": principal,
         "current_balance": f"CASE WHEN p_partkey % 9 = 0 THEN {_money('0')} ELSE "
         + _money(f"{principal} - (CAST(p_retailprice AS DECIMAL(12,2)) * (p_partkey % 6))")
         + " END",
         "interest_rate": "CAST(CAST(350 + p_partkey % 120 * 10 AS DOUBLE) / 100 AS DECIMAL(6,2))",
-        "term_months": pick("p_partkey", 180, 360, 60, 72),
+        "term_months": labelled(part_share, 360, 60, 72, 180),
         "loan_status": "CASE WHEN p_size <= 4 THEN 'charged_off' WHEN p_size <= 8 THEN 'default'"
         " WHEN p_size <= 12 THEN 'delinquent' WHEN p_size <= 18 THEN 'paid_off' ELSE 'current' END",
         "origination_date": d.day("2013-01-01", "p_partkey * 37 % 3900"),
@@ -160,20 +162,20 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "holding_id": line_ref,
         "holding_number": _padded("INV", line_ref, 10),
         "customer_id": "l_partkey",
-        "investment_type": pick("l_orderkey", "money_market", "stock", "bond", "mutual_fund", "etf", "cd"),
-        "symbol": pick("l_orderkey", "cash", "aapl", "us_treasury_10yr", "fund_500", "vti", "bank_cd_5yr"),
+        "investment_type": labelled(line_share, "stock", "bond", "mutual_fund", "etf", "cd", "money_market"),
+        "symbol": labelled(line_share, "aapl", "us_treasury_10yr", "fund_500", "vti", "bank_cd_5yr", "cash"),
         "quantity": _money("l_quantity"),
         "purchase_price": _money(f"1 + {d.whole('l_extendedprice / 5')} * 0.01", 12),
         "current_price": _money(f"{units} % 31 - 10 + {d.whole('l_extendedprice / 5')} * 0.01", 12),
         "purchase_date": ship_day,
-        "account_type": pick("l_suppkey", "401k", "taxable", "ira", "roth_ira"),
-        "risk_rating": pick("l_suppkey", "high", "medium", "low"),
+        "account_type": labelled(cost_share, "taxable", "ira", "roth_ira", "401k"),
+        "risk_rating": labelled(cost_share, "medium", "low", "high"),
     }
     policies = {
         "policy_id": "p_partkey",
         "policy_number": _padded("POL", "p_partkey", 8),
         "customer_id": d.whole("p_partkey / 2.0"),
-        "policy_type": pick("p_partkey", "HEALTH", "LIFE", "AUTO", "HOME"),
+        "policy_type": labelled(part_share, "LIFE", "AUTO", "HOME", "HEALTH"),
         "coverage_amount": _money("CAST(p_retailprice AS DECIMAL(12,2)) * p_size"),
         "annual_premium": _money("p_retailprice", 10),
         "policy_start_date": d.day("2018-01-01", "p_partkey * 29 % 2100"),
@@ -181,17 +183,17 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         " WHEN p_size > 41 THEN 'SUSPENDED' ELSE 'ACTIVE' END",
         "claims_count": "CAST(p_partkey % 7 AS INT)",
     }
-    places = ["new york", "los angeles", "CHICAGO", "houston", "phoenix", "philadelphia", "san antonio", "winston-salem", "seattle", "denver"]
+    places = ["los angeles", "CHICAGO", "houston", "phoenix", "philadelphia", "san antonio", "winston-salem", "seattle", "denver", "new york"]
     addresses = {
         "address_id": "o_orderkey",
         "customer_id": "o_custkey",
-        "address_type": pick("o_orderkey", "mailing", "primary", "business", "previous"),
+        "address_type": labelled(order_share, "primary", "business", "previous", "mailing"),
         "street_address": "concat(CAST(100 + o_orderkey % 9900 AS STRING), "
-        + pick("o_orderkey", " main street", " oak avenue", " pine road", " elm drive", " maple lane")
+        + labelled(order_share, " oak avenue", " pine road", " elm drive", " maple lane", " main street")
         + ")",
-        "unit_number": "CASE WHEN o_orderkey % 3 = 1 THEN concat('apt ', CAST(o_orderkey % 50 + 1 AS STRING)) END",
-        "city": pick("o_orderkey", *places),
-        "state_code": pick("o_orderkey", "ny", "ca", "il", "tx", "az", "pa", "tx", "nc", "wa", "co"),
+        "unit_number": f"CASE WHEN {order_share} < 34 THEN concat('apt ', CAST(o_orderkey % 50 + 1 AS STRING)) END",
+        "city": labelled(order_share, *places),
+        "state_code": labelled(order_share, "ca", "il", "tx", "az", "pa", "tx", "nc", "wa", "co", "ny"),
         "postal_code": "CAST(10000 + o_orderkey % 89999 AS STRING)",
         "address_status": "CASE WHEN o_totalprice < 20000 THEN 'INVALID' WHEN o_totalprice < 30000 THEN NULL"
         " WHEN o_orderstatus = 'P' THEN 'UNVERIFIED' ELSE 'VERIFIED' END",
@@ -202,8 +204,8 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
     phones = {
         "phone_id": "o_orderkey",
         "customer_id": "o_custkey",
-        "phone_type": pick("o_orderkey", "fax", "mobile", "home", "work"),
-        "area_code": pick("o_orderkey", "555", "444", "333", "000", "800"),
+        "phone_type": labelled(order_share, "mobile", "home", "work", "fax"),
+        "area_code": labelled(order_share, "444", "333", "000", "800", "555"),
         "exchange": "lpad(CAST(o_orderkey % 1000 AS STRING), 3, '0')",
         "line_number": "lpad(CAST(o_orderkey % 10000 AS STRING), 4, '0')",
         "is_verified": "o_orderstatus <> 'P'",
@@ -212,25 +214,22 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "do_not_call": "o_totalprice < 25000",
         "phone_status": "CASE WHEN o_totalprice < 30000 THEN 'inactive' WHEN o_totalprice < 60000 THEN 'unverified' ELSE 'active' END",
         "is_primary": urgent,
-        "preferred_contact_start": pick("o_orderkey", "08:00:00", "09:30:00", "10:00:00"),
-        "preferred_contact_end": pick("o_orderkey", "20:00:00", "18:00:00", "19:15:00"),
+        "preferred_contact_start": labelled(order_share, "09:30:00", "10:00:00", "08:00:00"),
+        "preferred_contact_end": labelled(order_share, "18:00:00", "19:15:00", "20:00:00"),
     }
     interactions = {
         "interaction_id": "event_id",
         "interaction_number": _padded("INT", "event_id", 10),
         "customer_id": spread[11],
-        "interaction_type": pick("event_id", "social_media", "phone_call", "email", "chat", "branch_visit"),
-        "reason_code": pick(
-            "event_id", "general_inquiry", "account_inquiry", "transaction_dispute", "card_issue",
-            "loan_question", "fees_complaint", "technical_support", "product_information",
-        ),
+        "interaction_type": labelled(event_share, "phone_call", "email", "chat", "branch_visit", "social_media"),
+        "reason_code": labelled(event_share, "account_inquiry", "transaction_dispute", "card_issue", "loan_question", "fees_complaint", "technical_support", "product_information", "general_inquiry"),
         "status": "CASE WHEN event_type = 'error' THEN 'escalated' WHEN value < 5 THEN 'pending'"
         " WHEN value < 10 THEN 'reopened' ELSE 'resolved' END",
-        "priority": pick("event_id", "low", "urgent", "high", "medium"),
+        "priority": labelled(event_share, "urgent", "high", "medium", "low"),
         "interaction_datetime": d.plus("ts", "-(event_id % 120)"),
         "duration_minutes": "CAST(event_id * 7 % 150 + 5 AS INT)",
         "agent_id": _padded("AGENT", "event_id % 50", 3),
-        "agent_tier": pick("event_id", "supervisor", "tier_1", "tier_2", "specialist"),
+        "agent_tier": labelled(event_share, "tier_1", "tier_2", "specialist", "supervisor"),
         "contact_count": "CAST(event_id % 5 + 1 AS INT)",
         "satisfaction_score": f"CASE WHEN event_id % 4 <> 0 THEN CAST({d.whole('value')} % 5 + 1 AS INT) END",
         "was_escalated": "event_type = 'error'",
@@ -242,7 +241,7 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "customer_id": "user_id",
         "activity_type": "CASE event_type WHEN 'signup' THEN 'LOGIN' WHEN 'view' THEN 'BALANCE_CHECK'"
         " WHEN 'click' THEN 'TRANSFER' WHEN 'purchase' THEN 'BILL_PAY' ELSE 'ACCOUNT_SETTINGS' END",
-        "platform": pick("event_id", "WEB_PORTAL", "MOBILE_APP", "MOBILE_APP"),
+        "platform": labelled(event_share, "MOBILE_APP", "MOBILE_APP", "WEB_PORTAL"),
         "activity_timestamp": d.plus("ts", "-(event_id % 100)"),
     }
     lines = {"account_id": "l_orderkey"}
@@ -254,17 +253,14 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "transaction_id": line_ref,
         "transaction_number": _padded("TXN", line_ref, 10),
         **lines,
-        "transaction_type": pick(
-            "l_partkey", "refund", "deposit", "withdrawal", "transfer_in", "transfer_out",
-            "payment", "purchase", "fee", "interest", "dividend",
-        ),
+        "transaction_type": labelled(line_share, "deposit", "withdrawal", "transfer_in", "transfer_out", "payment", "purchase", "fee", "interest", "dividend", "refund"),
         "transaction_amount": line_amount,
         "transaction_status": "CASE WHEN l_quantity <= 2 THEN 'failed' WHEN l_quantity <= 4 THEN 'pending'"
         " WHEN l_quantity <= 6 THEN 'cancelled' ELSE 'completed' END",
-        "channel": pick(units, "card", "atm", "online", "mobile", "branch", "phone"),
+        "channel": labelled(unit_share, "atm", "online", "mobile", "branch", "phone", "card"),
         "transaction_datetime": ship_time,
-        "transaction_location": pick("l_partkey", "New York, NY", "Chicago, IL", "Online"),
-        "merchant_name": pick("l_partkey", None, "Grocer", None, "Fuel"),
+        "transaction_location": labelled(line_share, "Chicago, IL", "Online", "New York, NY"),
+        "merchant_name": labelled(line_share, "Grocer", None, "Fuel", None),
         "is_high_risk": "l_returnflag = 'R' AND l_discount >= 0.1",
         "requires_approval": "l_returnflag = 'R'",
     }
@@ -272,7 +268,7 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "deposit_id": line_ref,
         "deposit_number": _padded("DEP", line_ref, 10),
         **lines,
-        "deposit_type": pick("l_partkey", "MOBILE_DEPOSIT", "PAYROLL", "CASH", "CHECK", "WIRE_TRANSFER", "ACH"),
+        "deposit_type": labelled(line_share, "PAYROLL", "CASH", "CHECK", "WIRE_TRANSFER", "ACH", "MOBILE_DEPOSIT"),
         "deposit_amount": line_amount,
         "deposit_datetime": ship_time,
         "deposit_status": "CASE WHEN l_quantity <= 4 THEN 'PENDING' WHEN l_quantity <= 8 THEN 'HELD' ELSE 'CLEARED' END",
@@ -281,7 +277,7 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "withdrawal_id": line_ref,
         "withdrawal_number": _padded("WDL", line_ref, 10),
         **lines,
-        "withdrawal_type": pick("l_partkey", "CHECK", "ATM", "TELLER", "ONLINE", "WIRE_TRANSFER"),
+        "withdrawal_type": labelled(line_share, "ATM", "TELLER", "ONLINE", "WIRE_TRANSFER", "CHECK"),
         "withdrawal_amount": _money("l_quantity * 137", 12),
         "withdrawal_datetime": ship_time,
         "withdrawal_status": "CASE WHEN l_quantity <= 4 THEN 'FAILED' WHEN l_quantity <= 8 THEN 'PENDING' ELSE 'COMPLETED' END",
@@ -298,7 +294,7 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "payment_id": line_ref,
         "payment_number": _padded("PAY", line_ref, 10),
         **lines,
-        "payment_type": pick("l_partkey", "TAX_PAYMENT", "BILL_PAY", "PERSON_TO_PERSON", "MERCHANT_PAYMENT", "LOAN_PAYMENT"),
+        "payment_type": labelled(line_share, "BILL_PAY", "PERSON_TO_PERSON", "MERCHANT_PAYMENT", "LOAN_PAYMENT", "TAX_PAYMENT"),
         "payment_amount": _money("l_quantity * 23", 12),
         "payment_date": ship_day,
         "payment_status": "CASE WHEN l_quantity <= 3 THEN 'FAILED' WHEN l_quantity <= 7 THEN 'PENDING' ELSE 'COMPLETED' END",
@@ -307,9 +303,7 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "fee_id": line_ref,
         "fee_number": _padded("FEE", line_ref, 8),
         **lines,
-        "fee_type": pick(
-            "l_partkey", "LATE_PAYMENT", "MONTHLY_MAINTENANCE", "OVERDRAFT", "ATM_FEE", "WIRE_TRANSFER", "FOREIGN_TRANSACTION"
-        ),
+        "fee_type": labelled(line_share, "MONTHLY_MAINTENANCE", "OVERDRAFT", "ATM_FEE", "WIRE_TRANSFER", "FOREIGN_TRANSACTION", "LATE_PAYMENT"),
         "fee_amount": _money("l_tax * 500", 10),
         "fee_date": ship_day,
         "fee_status": "CASE WHEN l_returnflag = 'R' THEN 'REFUNDED' WHEN l_discount = 0 THEN 'WAIVED' ELSE 'CHARGED' END",
@@ -331,43 +325,36 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
     account_alerts = {
         "alert_id": line_ref,
         **lines,
-        "alert_type": pick("l_partkey", "RATE_CHANGE", "LOW_BALANCE", "LARGE_DEPOSIT", "UNUSUAL_ACTIVITY", "PAYMENT_DUE"),
+        "alert_type": labelled(line_share, "LOW_BALANCE", "LARGE_DEPOSIT", "UNUSUAL_ACTIVITY", "PAYMENT_DUE", "RATE_CHANGE"),
         "alert_timestamp": ship_time,
         "alert_status": "CASE WHEN l_quantity > 49 AND l_discount = 0 THEN 'PENDING' WHEN l_linestatus = 'F' THEN 'ACTIONED' ELSE 'DISMISSED' END",
     }
     channel_usage = {
         "usage_id": "event_id",
         "customer_id": spread[11],
-        "channel_type": pick("event_id", "PHONE", "ONLINE", "MOBILE", "ATM", "BRANCH", "MOBILE"),
+        "channel_type": labelled(event_share, "ONLINE", "MOBILE", "ATM", "BRANCH", "MOBILE", "PHONE"),
         "usage_count": f"CAST({d.whole('value')} % 20 + 1 AS INT)",
         "usage_date": event_day,
     }
     product_usage = {
         "usage_id": "event_id",
         "customer_id": spread[9],
-        "product_type": pick(
-            "event_id", "MOBILE_BANKING", "CHECKING", "SAVINGS", "CREDIT_CARD", "MORTGAGE", "INVESTMENTS", "INSURANCE", "LOANS"
-        ),
+        "product_type": labelled(event_share, "CHECKING", "SAVINGS", "CREDIT_CARD", "MORTGAGE", "INVESTMENTS", "INSURANCE", "LOANS", "MOBILE_BANKING"),
         "usage_frequency": f"CAST({d.whole('value')} % 10 + 1 AS INT)",
         "usage_date": d.plus("ts", "-(event_id % 200)"),
     }
     segments = {
         "segment_id": "event_id",
         "customer_id": spread[10],
-        "segment_name": pick(
-            "event_id", "STUDENT", "PREMIUM", "MASS_AFFLUENT", "EMERGING_AFFLUENT", "MASS_MARKET", "YOUNG_PROFESSIONAL", "PREMIUM"
-        ),
+        "segment_name": labelled(event_share, "PREMIUM", "MASS_AFFLUENT", "EMERGING_AFFLUENT", "MASS_MARKET", "YOUNG_PROFESSIONAL", "PREMIUM", "STUDENT"),
         "segment_date": event_day,
     }
     campaigns = {
         "campaign_response_id": "event_id",
         "campaign_id": _padded("CAMP", "event_id % 50", 6),
         "customer_id": spread[8],
-        "campaign_type": pick(
-            "event_id", "CREDIT_CARD_OFFER", "SAVINGS_PROMOTION", "LOAN_OFFER", "INVESTMENT_SEMINAR",
-            "INSURANCE_QUOTE", "DIGITAL_BANKING", "REFERRAL",
-        ),
-        "channel": pick("event_id * 3 + user_id", "DIGITAL_AD", "EMAIL", "DIRECT_MAIL", "PHONE"),
+        "campaign_type": labelled(event_share, "SAVINGS_PROMOTION", "LOAN_OFFER", "INVESTMENT_SEMINAR", "INSURANCE_QUOTE", "DIGITAL_BANKING", "REFERRAL", "CREDIT_CARD_OFFER"),
+        "channel": labelled(value_share, "EMAIL", "DIRECT_MAIL", "PHONE", "DIGITAL_AD"),
         "sent_date": event_day,
         "response_type": "CASE event_type WHEN 'purchase' THEN 'CONVERTED' WHEN 'click' THEN 'CLICKED' WHEN 'view' THEN 'OPENED' ELSE 'NO_RESPONSE' END",
         "resulted_in_sale": "event_type IN ('purchase', 'signup')",
@@ -379,14 +366,14 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         " WHEN 'click' THEN 'WIN_BACK_CAMPAIGN' WHEN 'signup' THEN 'LOYALTY_PROGRAM_ENROLLED'"
         " ELSE CASE WHEN value > 100 THEN 'ACCOUNT_CLOSED' ELSE 'CHURN_RISK_IDENTIFIED' END END",
         "event_date": event_day,
-        "event_outcome": pick("event_id", "SUCCESSFUL", "FAILED", "PENDING"),
+        "event_outcome": labelled(event_share, "FAILED", "PENDING", "SUCCESSFUL"),
     }
     assessment_score = "CAST(400 + event_id * 37 % 450 AS INT)"
     assessments = {
         "assessment_id": "event_id",
         "assessment_number": _padded("RISK", "event_id", 8),
         "customer_id": spread[11],
-        "risk_type": pick("event_id", "MARKET_RISK", "CREDIT_RISK", "FRAUD_RISK", "OPERATIONAL_RISK"),
+        "risk_type": labelled(event_share, "CREDIT_RISK", "FRAUD_RISK", "OPERATIONAL_RISK", "MARKET_RISK"),
         "risk_score": assessment_score,
         "risk_rating": f"CASE WHEN {assessment_score} >= 750 THEN 'LOW' WHEN {assessment_score} >= 650 THEN 'MEDIUM'"
         f" WHEN {assessment_score} >= 550 THEN 'HIGH' ELSE 'VERY_HIGH' END",
@@ -396,9 +383,7 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
     fraud = {
         "alert_id": "event_id",
         "customer_id": spread[9],
-        "alert_type": pick(
-            "event_id", "BEHAVIORAL_PATTERN", "UNUSUAL_TRANSACTION", "LOCATION_ANOMALY", "VELOCITY_CHECK", "MERCHANT_RISK"
-        ),
+        "alert_type": labelled(event_share, "UNUSUAL_TRANSACTION", "LOCATION_ANOMALY", "VELOCITY_CHECK", "MERCHANT_RISK", "BEHAVIORAL_PATTERN"),
         "risk_score": "CAST(event_id * 13 % 100 AS INT)",
         "alert_timestamp": d.plus("ts", "-(event_id % 60)"),
         "alert_status": "CASE WHEN value > 150 THEN 'CONFIRMED_FRAUD' WHEN value > 120 THEN 'UNDER_REVIEW' ELSE 'FALSE_POSITIVE' END",
@@ -406,7 +391,7 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
     compliance = {
         "compliance_id": "event_id",
         "customer_id": spread[8],
-        "compliance_type": pick("event_id", "ADVERSE_MEDIA", "AML_SCREENING", "SANCTIONS_CHECK", "PEP_SCREENING"),
+        "compliance_type": labelled(event_share, "AML_SCREENING", "SANCTIONS_CHECK", "PEP_SCREENING", "ADVERSE_MEDIA"),
         "check_date": event_day,
         "compliance_status": "CASE WHEN value > 160 THEN 'FLAGGED' ELSE 'CLEAR' END",
     }
@@ -415,12 +400,12 @@ def bank_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tuple[str,
         "customer_id": spread[11],
         "credit_score": "CAST(600 + event_id * 41 % 250 - 3 * (user_id % 40) AS INT)",
         "score_date": event_day,
-        "bureau": pick("event_id", "TRANSUNION", "EXPERIAN", "EQUIFAX"),
+        "bureau": labelled(event_share, "EXPERIAN", "EQUIFAX", "TRANSUNION"),
     }
     kyc = {
         "kyc_id": "event_id",
         "customer_id": spread[10],
-        "kyc_type": pick("event_id", "ENHANCED_DD", "INITIAL", "PERIODIC_REVIEW"),
+        "kyc_type": labelled(event_share, "INITIAL", "PERIODIC_REVIEW", "ENHANCED_DD"),
         "review_date": event_day,
         "status": "CASE WHEN value > 160 THEN 'FAILED' ELSE 'PASSED' END",
     }
@@ -466,14 +451,14 @@ def alternative_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tupl
     def of(name: str, *columns: str) -> dict[str, str]:
         return {column: shared[name][1][column] for column in columns}
 
-    level = pick("event_id", "LOW", "HIGH", "MEDIUM")
+    level = labelled(event_share, "HIGH", "MEDIUM", "LOW")
     own = {
         "loans": (
             "part",
             {
                 "loan_id": "p_partkey",
                 "customer_id": d.whole("p_partkey / 3.0"),
-                "loan_type": pick("p_partkey", "student", "personal", "auto", "mortgage"),
+                "loan_type": labelled(part_share, "personal", "auto", "mortgage", "student"),
                 "loan_date": d.day("2013-01-01", "p_partkey * 37 % 3900"),
                 "loan_amount": shared["loans"][1]["original_amount"],
                 "loan_status": "CASE WHEN p_size <= 4 THEN 'defaulted' WHEN p_size <= 8 THEN 'paid_off'"
@@ -484,9 +469,9 @@ def alternative_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tupl
             "orders",
             {
                 **of("customer_phones", "phone_id", "customer_id", "sms_enabled", "is_primary"),
-                "phone_type": pick("o_orderkey", "emergency", "mobile", "home", "work", "primary"),
+                "phone_type": labelled(order_share, "mobile", "home", "work", "primary", "emergency"),
                 "phone_number": "concat("
-                + pick("o_orderkey", "555-0", "555-1", "(212) 555-")
+                + labelled(order_share, "555-1", "(212) 555-", "555-0")
                 + ", lpad(CAST(o_orderkey % 9000 + 1000 AS STRING), 4, '0'))",
                 "phone_status": "CASE WHEN o_totalprice < 30000 THEN 'INVALID' WHEN o_orderstatus = 'P'"
                 " THEN 'unverified' ELSE 'verified' END",
@@ -498,7 +483,7 @@ def alternative_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tupl
             {
                 "investment_id": "l_orderkey * 10 + l_linenumber",
                 "customer_id": "l_partkey",
-                "investment_type": pick("l_orderkey", "REAL_ESTATE", "STOCKS", "BONDS", "MUTUAL_FUNDS", "ETF"),
+                "investment_type": labelled(line_share, "STOCKS", "BONDS", "MUTUAL_FUNDS", "ETF", "REAL_ESTATE"),
                 "investment_amount": _money("l_extendedprice", 12),
                 "current_price": _money(f"1 + {d.whole('l_quantity')} % 20 * 0.05 - 0.3", 8),
             },
@@ -508,7 +493,7 @@ def alternative_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tupl
             {
                 "usage_id": "event_id",
                 "customer_id": "user_id * 10 + event_id % 9",
-                "product_id": pick("event_id", "CHCK001", "SAVE001", "LOAN001", "INVT001", "CD001", "CHCK001", "SAVE001"),
+                "product_id": labelled(event_share, "SAVE001", "LOAN001", "INVT001", "CD001", "CHCK001", "SAVE001", "CHCK001"),
                 "usage_count": f"CAST({d.whole('value')} % 10 + 1 AS INT)",
                 "usage_date": d.plus("ts", "-(event_id % 200)"),
             },
@@ -518,9 +503,7 @@ def alternative_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tupl
             {
                 "campaign_id": "event_id",
                 "customer_id": "user_id * 10 + event_id % 8",
-                "campaign_type": pick(
-                    "event_id", "EMAIL_PROMOTION", "DIRECT_MAIL", "DIGITAL_ADS", "SOCIAL_MEDIA", "PHONE_CALL", "EVENT"
-                ),
+                "campaign_type": labelled(event_share, "DIRECT_MAIL", "DIGITAL_ADS", "SOCIAL_MEDIA", "PHONE_CALL", "EVENT", "EMAIL_PROMOTION"),
                 "campaign_date": shared["marketing_campaigns"][1]["sent_date"],
                 "response_status": "CASE event_type WHEN 'purchase' THEN 'CONVERTED' WHEN 'click' THEN 'ENGAGED' ELSE 'NO_RESPONSE' END",
             },
@@ -529,7 +512,7 @@ def alternative_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tupl
             "events",
             {
                 **of("risk_assessments", "assessment_id", "customer_id", "risk_score", "assessment_date"),
-                "risk_type": pick("event_id", "COMPLIANCE_RISK", "CREDIT_RISK", "FRAUD_RISK", "OPERATIONAL_RISK"),
+                "risk_type": labelled(event_share, "CREDIT_RISK", "FRAUD_RISK", "OPERATIONAL_RISK", "COMPLIANCE_RISK"),
                 "risk_level": level,
             },
         ),
@@ -561,12 +544,12 @@ def alternative_inputs(d=SparkText, as_of: str = "2024-02-01") -> dict[str, tupl
 
 def shop_inputs(d=SparkText) -> dict[str, tuple[str, dict[str, str]]]:
     """Per input of the order demo: the given table it comes from, and its columns."""
-    first, last = pick("c_custkey", "Ann", "Bo", "Cy", None), "c_mktsegment"
+    first, last = labelled(customer_share, "Bo", "Cy", None, "Ann"), "c_mktsegment"
     status = (
         "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN "
-        + pick("o_orderkey", "placed", "shipped")
+        + labelled(order_share, "shipped", "placed")
         + " ELSE "
-        + pick("o_orderkey", "return_pending", "returned")
+        + labelled(order_share, "returned", "return_pending")
         + " END"
     )
     return {
@@ -585,7 +568,7 @@ def shop_inputs(d=SparkText) -> dict[str, tuple[str, dict[str, str]]]:
             {
                 "id": "l_orderkey * 10 + l_linenumber",
                 "order_id": "CASE WHEN l_partkey % 50 = 0 THEN -1 ELSE l_orderkey END",
-                "payment_method": pick("l_suppkey", "credit_card", "coupon", "bank_transfer", "gift_card"),
+                "payment_method": labelled(cost_share, "coupon", "bank_transfer", "gift_card", "credit_card"),
                 "amount": d.whole("l_extendedprice * 100"),
             },
         ),

@@ -1,583 +1,615 @@
 """The bank and shop inputs as the check queries read them: per input the given table and its
-columns in SQL, and the fixed rows of the joined reference tables."""
+columns in DuckDB's SQL, and the fixed rows of the joined reference tables."""
+
+LOADED = "TIMESTAMP '2024-02-01'"
+
+# Whole numbers from 0 to 99 by which labels are dealt, from columns of the given tables.
+HOME = "4 * c_nationkey"
+ORDER = "(CAST(floor(o_totalprice) AS BIGINT) % 100)"
+PRICE = "(CAST(floor(o_totalprice / 100) AS BIGINT) % 100)"
+BRAND = "4 * (CAST(split_part(p_brand, '#', 2) AS INTEGER) - 1)"
+LINE = "(CAST(floor(l_extendedprice) AS BIGINT) % 100)"
+COST = "(CAST(floor(l_extendedprice / 100) AS BIGINT) % 100)"
+UNITS = "(2 * (CAST(l_quantity AS BIGINT) - 1))"
+EVENT = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+VALUE = "(CAST(floor(value) AS BIGINT) % 100)"
+
+
+def label(share: str, *labels) -> str:
+    """The label at the share's place in an even cut of 0..99."""
+    listed = ", ".join("NULL" if v is None else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v) for v in labels)
+    return f"([{listed}])[1 + CAST({share} AS BIGINT) * {len(labels)} // 100]"
+
+
+def number(prefix: str, expr: str, width: int) -> str:
+    return f"printf('{prefix}%0{width}d', CAST({expr} AS BIGINT))"
+
+
+def moved(column: str, days: str, minutes: str = "0") -> str:
+    return f"(CAST({column} AS TIMESTAMP) + INTERVAL 1 DAY * ({days}) + INTERVAL 1 MINUTE * ({minutes}))"
+
+
+def since(start: str, days: str) -> str:
+    return f"(TIMESTAMP '{start}' + INTERVAL 1 DAY * ({days}))"
+
 
 BANK: dict[str, tuple[str, dict[str, str]]] = {
-    'customers_360': (
-        'customer',
-        {
-            'customer_id': "c_custkey",
-            'customer_number': "concat('CUST', lpad(CAST(c_custkey AS STRING), CAST(greatest(6, length(CAST(c_custkey AS STRING))) AS INT), '0'))",
-            'first_name': "CASE (c_custkey) % 4 WHEN 0 THEN 'john' WHEN 1 THEN 'JANE' WHEN 2 THEN 'mary-ann' WHEN 3 THEN 'o''neil' END",
-            'last_name': "c_mktsegment",
-            'date_of_birth': "CAST(DATE '1944-01-01' + CAST(c_custkey * 97 % 22000 AS INTEGER) AS TIMESTAMP)",
-            'gender': "CASE (c_nationkey) % 2 WHEN 0 THEN 'm' WHEN 1 THEN 'f' END",
-            'email_address': "concat('Customer', CAST(c_custkey AS STRING), '@Email.com')",
-            'phone_number': "concat('555-', lpad(CAST(c_custkey % 10000 AS STRING), CAST(greatest(4, length(CAST(c_custkey % 10000 AS STRING))) AS INT), '0'))",
-            'annual_income': "CAST(20000 + c_custkey * 7919 % 300000 AS INT)",
-            'credit_score': "CAST(450 + c_custkey * 131 % 400 AS INT)",
-            'customer_status': "CASE WHEN c_acctbal < -900 THEN 'closed' WHEN c_acctbal < -500 THEN 'suspended' ELSE 'active' END",
-            'customer_since_date': "CAST(DATE '2012-01-01' + CAST(c_custkey * 53 % 4400 AS INTEGER) AS TIMESTAMP)",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'accounts': (
-        'orders',
-        {
-            'account_id': "o_orderkey",
-            'account_number': "concat('ACC', lpad(CAST(o_orderkey AS STRING), CAST(greatest(8, length(CAST(o_orderkey AS STRING))) AS INT), '0'))",
-            'customer_id': "o_custkey",
-            'product_id': "CASE WHEN o_orderkey % 97 = 0 THEN 'NEW001' WHEN o_orderpriority = '1-URGENT' THEN 'CHCK001' WHEN o_orderpriority = '2-HIGH' THEN 'SAVE001' WHEN o_orderpriority = '3-MEDIUM' THEN 'CD001' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'INVT001' ELSE 'BUSI001' END",
-            'current_balance': "CAST(CAST(o_totalprice AS DECIMAL(14,2)) - 100000 * (o_orderkey % 4) AS DECIMAL(14,2))",
-            'average_balance': "CAST(o_totalprice AS DECIMAL(14,2))",
-            'account_status': "CASE WHEN o_orderstatus <> 'P' THEN 'active' WHEN o_totalprice < 50000 THEN 'closed' WHEN o_totalprice < 100000 THEN 'dormant' WHEN o_totalprice < 150000 THEN 'restricted' ELSE 'active' END",
-            'opened_date': "CAST(o_orderdate AS TIMESTAMP) + to_days(CAST(8036 AS INTEGER)) + to_minutes(CAST(0 AS BIGINT))",
-            'closed_date': "CASE WHEN o_orderstatus = 'P' AND o_totalprice < 50000 THEN CAST(o_orderdate AS TIMESTAMP) + to_days(CAST(8436 AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) END",
-            'interest_rate': "CAST(CAST(o_orderkey % 500 AS DOUBLE) / 100 AS DECIMAL(6,2))",
-            'monthly_fee': "CAST(5 * (o_orderkey % 4) AS DECIMAL(8,2))",
-            'online_banking_enabled': "NOT (o_orderpriority = '5-LOW')",
-            'mobile_banking_enabled': "o_orderpriority IN ('1-URGENT', '2-HIGH') OR o_orderstatus = 'O'",
-            'overdraft_protection': "o_totalprice >= 200000",
-            'is_joint_account': "o_orderstatus = 'F' AND o_totalprice >= 400000",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'cards': (
-        'orders',
-        {
-            'card_id': "o_orderkey",
-            'card_number_masked': "concat('CARD', lpad(CAST(o_orderkey AS STRING), CAST(greatest(8, length(CAST(o_orderkey AS STRING))) AS INT), '0'))",
-            'customer_id': "o_custkey",
-            'linked_account_id': "CASE WHEN o_orderkey % 3 = 1 THEN o_orderkey END",
-            'card_type': "CASE (o_orderkey) % 3 WHEN 0 THEN 'prepaid' WHEN 1 THEN 'debit' WHEN 2 THEN 'credit' END",
-            'card_brand': "CASE (o_orderkey) % 4 WHEN 0 THEN 'discover' WHEN 1 THEN 'visa' WHEN 2 THEN 'mastercard' WHEN 3 THEN 'amex' END",
-            'card_status': "CASE WHEN o_orderstatus <> 'P' THEN 'active' WHEN o_orderpriority = '5-LOW' THEN 'blocked' WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'expired' ELSE 'inactive' END",
-            'credit_limit': "CASE WHEN o_orderkey % 3 = 2 THEN CASE (o_orderkey) % 5 WHEN 0 THEN 5000 WHEN 1 THEN 50000 WHEN 2 THEN 25000 WHEN 3 THEN 10000 WHEN 4 THEN 0 END END",
-            'current_balance': "CASE WHEN o_orderkey % 3 = 1 THEN CAST(0 AS DECIMAL(14,2)) ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) % 9973 AS DECIMAL(14,2)) END",
-            'issue_date': "CAST(o_orderdate AS TIMESTAMP) + to_days(CAST(8036 AS INTEGER)) + to_minutes(CAST(0 AS BIGINT))",
-            'expiry_date': "CAST(o_orderdate AS TIMESTAMP) + to_days(CAST(8036 AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) + INTERVAL 4 YEAR",
-            'contactless_enabled': "o_orderstatus <> 'P'",
-            'online_enabled': "NOT (o_orderpriority = '5-LOW')",
-            'international_enabled': "o_orderpriority IN ('1-URGENT', '2-HIGH')",
-            'is_business_card': "o_totalprice >= 400000",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'loans': (
-        'part',
-        {
-            'loan_id': "p_partkey",
-            'loan_number': "concat('LOAN', lpad(CAST(p_partkey AS STRING), CAST(greatest(8, length(CAST(p_partkey AS STRING))) AS INT), '0'))",
-            'customer_id': "CAST(floor(p_partkey / 3.0) AS BIGINT)",
-            'loan_type': "CASE (p_partkey) % 4 WHEN 0 THEN 'home_equity' WHEN 1 THEN 'mortgage' WHEN 2 THEN 'personal' WHEN 3 THEN 'auto' END",
-            'original_amount': "CAST(CAST(p_retailprice AS DECIMAL(12,2)) * (1 + 5 * p_size) AS DECIMAL(14,2))",
-            'current_balance': "CASE WHEN p_partkey % 9 = 0 THEN CAST(0 AS DECIMAL(14,2)) ELSE CAST(CAST(CAST(p_retailprice AS DECIMAL(12,2)) * (1 + 5 * p_size) AS DECIMAL(14,2)) - (CAST(p_retailprice AS DECIMAL(12,2)) * (p_partkey % 6)) AS DECIMAL(14,2)) END",
-            'interest_rate': "CAST(CAST(350 + p_partkey % 120 * 10 AS DOUBLE) / 100 AS DECIMAL(6,2))",
-            'term_months': "CASE (p_partkey) % 4 WHEN 0 THEN 180 WHEN 1 THEN 360 WHEN 2 THEN 60 WHEN 3 THEN 72 END",
-            'loan_status': "CASE WHEN p_size <= 4 THEN 'charged_off' WHEN p_size <= 8 THEN 'default' WHEN p_size <= 12 THEN 'delinquent' WHEN p_size <= 18 THEN 'paid_off' ELSE 'current' END",
-            'origination_date': "CAST(DATE '2013-01-01' + CAST(p_partkey * 37 % 3900 AS INTEGER) AS TIMESTAMP)",
-            'maturity_date': "CASE WHEN p_size BETWEEN 13 AND 18 THEN CAST(DATE '2013-01-01' + CAST(p_partkey * 37 % 3900 AS INTEGER) AS TIMESTAMP) + INTERVAL 9 YEAR END",
-            'days_past_due': "CASE WHEN p_size <= 14 THEN CAST(9 * (14 - p_size) AS INT) ELSE 0 END",
-            'has_collateral': "p_size > 40",
-            'is_secured': "p_size > 30",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'investments': (
-        'lineitem',
-        {
-            'holding_id': "l_orderkey * 10 + l_linenumber",
-            'holding_number': "concat('INV', lpad(CAST(l_orderkey * 10 + l_linenumber AS STRING), CAST(greatest(10, length(CAST(l_orderkey * 10 + l_linenumber AS STRING))) AS INT), '0'))",
-            'customer_id': "l_partkey",
-            'investment_type': "CASE (l_orderkey) % 6 WHEN 0 THEN 'money_market' WHEN 1 THEN 'stock' WHEN 2 THEN 'bond' WHEN 3 THEN 'mutual_fund' WHEN 4 THEN 'etf' WHEN 5 THEN 'cd' END",
-            'symbol': "CASE (l_orderkey) % 6 WHEN 0 THEN 'cash' WHEN 1 THEN 'aapl' WHEN 2 THEN 'us_treasury_10yr' WHEN 3 THEN 'fund_500' WHEN 4 THEN 'vti' WHEN 5 THEN 'bank_cd_5yr' END",
-            'quantity': "CAST(l_quantity AS DECIMAL(14,2))",
-            'purchase_price': "CAST(1 + CAST(floor(l_extendedprice / 5) AS BIGINT) * 0.01 AS DECIMAL(12,2))",
-            'current_price': "CAST(CAST(floor(l_quantity) AS BIGINT) % 31 - 10 + CAST(floor(l_extendedprice / 5) AS BIGINT) * 0.01 AS DECIMAL(12,2))",
-            'purchase_date': "CAST(l_shipdate AS TIMESTAMP) + to_days(CAST(8036 AS INTEGER)) + to_minutes(CAST(0 AS BIGINT))",
-            'account_type': "CASE (l_suppkey) % 4 WHEN 0 THEN '401k' WHEN 1 THEN 'taxable' WHEN 2 THEN 'ira' WHEN 3 THEN 'roth_ira' END",
-            'risk_rating': "CASE (l_suppkey) % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' WHEN 2 THEN 'low' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'insurance_policies': (
-        'part',
-        {
-            'policy_id': "p_partkey",
-            'policy_number': "concat('POL', lpad(CAST(p_partkey AS STRING), CAST(greatest(8, length(CAST(p_partkey AS STRING))) AS INT), '0'))",
-            'customer_id': "CAST(floor(p_partkey / 2.0) AS BIGINT)",
-            'policy_type': "CASE (p_partkey) % 4 WHEN 0 THEN 'HEALTH' WHEN 1 THEN 'LIFE' WHEN 2 THEN 'AUTO' WHEN 3 THEN 'HOME' END",
-            'coverage_amount': "CAST(CAST(p_retailprice AS DECIMAL(12,2)) * p_size AS DECIMAL(14,2))",
-            'annual_premium': "CAST(p_retailprice AS DECIMAL(10,2))",
-            'policy_start_date': "CAST(DATE '2018-01-01' + CAST(p_partkey * 29 % 2100 AS INTEGER) AS TIMESTAMP)",
-            'policy_status': "CASE WHEN p_size > 47 THEN 'CANCELLED' WHEN p_size > 44 THEN 'LAPSED' WHEN p_size > 41 THEN 'SUSPENDED' ELSE 'ACTIVE' END",
-            'claims_count': "CAST(p_partkey % 7 AS INT)",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'customer_addresses': (
-        'orders',
-        {
-            'address_id': "o_orderkey",
-            'customer_id': "o_custkey",
-            'address_type': "CASE (o_orderkey) % 4 WHEN 0 THEN 'mailing' WHEN 1 THEN 'primary' WHEN 2 THEN 'business' WHEN 3 THEN 'previous' END",
-            'street_address': "concat(CAST(100 + o_orderkey % 9900 AS STRING), CASE (o_orderkey) % 5 WHEN 0 THEN ' main street' WHEN 1 THEN ' oak avenue' WHEN 2 THEN ' pine road' WHEN 3 THEN ' elm drive' WHEN 4 THEN ' maple lane' END)",
-            'unit_number': "CASE WHEN o_orderkey % 3 = 1 THEN concat('apt ', CAST(o_orderkey % 50 + 1 AS STRING)) END",
-            'city': "CASE (o_orderkey) % 10 WHEN 0 THEN 'new york' WHEN 1 THEN 'los angeles' WHEN 2 THEN 'CHICAGO' WHEN 3 THEN 'houston' WHEN 4 THEN 'phoenix' WHEN 5 THEN 'philadelphia' WHEN 6 THEN 'san antonio' WHEN 7 THEN 'winston-salem' WHEN 8 THEN 'seattle' WHEN 9 THEN 'denver' END",
-            'state_code': "CASE (o_orderkey) % 10 WHEN 0 THEN 'ny' WHEN 1 THEN 'ca' WHEN 2 THEN 'il' WHEN 3 THEN 'tx' WHEN 4 THEN 'az' WHEN 5 THEN 'pa' WHEN 6 THEN 'tx' WHEN 7 THEN 'nc' WHEN 8 THEN 'wa' WHEN 9 THEN 'co' END",
-            'postal_code': "CAST(10000 + o_orderkey % 89999 AS STRING)",
-            'address_status': "CASE WHEN o_totalprice < 20000 THEN 'INVALID' WHEN o_totalprice < 30000 THEN NULL WHEN o_orderstatus = 'P' THEN 'UNVERIFIED' ELSE 'VERIFIED' END",
-            'address_since': "CASE WHEN o_totalprice < 480000 THEN CAST(o_orderdate AS TIMESTAMP) + to_days(CAST(8036 AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) END",
-            'address_until': "CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS TIMESTAMP) + to_days(CAST(8936 AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) END",
-            'is_deliverable': "NOT (o_orderpriority = '5-LOW')",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'customer_phones': (
-        'orders',
-        {
-            'phone_id': "o_orderkey",
-            'customer_id': "o_custkey",
-            'phone_type': "CASE (o_orderkey) % 4 WHEN 0 THEN 'fax' WHEN 1 THEN 'mobile' WHEN 2 THEN 'home' WHEN 3 THEN 'work' END",
-            'area_code': "CASE (o_orderkey) % 5 WHEN 0 THEN '555' WHEN 1 THEN '444' WHEN 2 THEN '333' WHEN 3 THEN '000' WHEN 4 THEN '800' END",
-            'exchange': "lpad(CAST(o_orderkey % 1000 AS STRING), 3, '0')",
-            'line_number': "lpad(CAST(o_orderkey % 10000 AS STRING), 4, '0')",
-            'is_verified': "o_orderstatus <> 'P'",
-            'sms_enabled': "NOT (o_orderpriority = '5-LOW')",
-            'marketing_opt_in': "o_totalprice >= 150000",
-            'do_not_call': "o_totalprice < 25000",
-            'phone_status': "CASE WHEN o_totalprice < 30000 THEN 'inactive' WHEN o_totalprice < 60000 THEN 'unverified' ELSE 'active' END",
-            'is_primary': "o_orderpriority IN ('1-URGENT', '2-HIGH')",
-            'preferred_contact_start': "CASE (o_orderkey) % 3 WHEN 0 THEN '08:00:00' WHEN 1 THEN '09:30:00' WHEN 2 THEN '10:00:00' END",
-            'preferred_contact_end': "CASE (o_orderkey) % 3 WHEN 0 THEN '20:00:00' WHEN 1 THEN '18:00:00' WHEN 2 THEN '19:15:00' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'customer_interactions': (
-        'events',
-        {
-            'interaction_id': "event_id",
-            'interaction_number': "concat('INT', lpad(CAST(event_id AS STRING), CAST(greatest(10, length(CAST(event_id AS STRING))) AS INT), '0'))",
-            'customer_id': "user_id * 10 + event_id % 11",
-            'interaction_type': "CASE (event_id) % 5 WHEN 0 THEN 'social_media' WHEN 1 THEN 'phone_call' WHEN 2 THEN 'email' WHEN 3 THEN 'chat' WHEN 4 THEN 'branch_visit' END",
-            'reason_code': "CASE (event_id) % 8 WHEN 0 THEN 'general_inquiry' WHEN 1 THEN 'account_inquiry' WHEN 2 THEN 'transaction_dispute' WHEN 3 THEN 'card_issue' WHEN 4 THEN 'loan_question' WHEN 5 THEN 'fees_complaint' WHEN 6 THEN 'technical_support' WHEN 7 THEN 'product_information' END",
-            'status': "CASE WHEN event_type = 'error' THEN 'escalated' WHEN value < 5 THEN 'pending' WHEN value < 10 THEN 'reopened' ELSE 'resolved' END",
-            'priority': "CASE (event_id) % 4 WHEN 0 THEN 'low' WHEN 1 THEN 'urgent' WHEN 2 THEN 'high' WHEN 3 THEN 'medium' END",
-            'interaction_datetime': "CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 120) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT))",
-            'duration_minutes': "CAST(event_id * 7 % 150 + 5 AS INT)",
-            'agent_id': "concat('AGENT', lpad(CAST(event_id % 50 AS STRING), CAST(greatest(3, length(CAST(event_id % 50 AS STRING))) AS INT), '0'))",
-            'agent_tier': "CASE (event_id) % 4 WHEN 0 THEN 'supervisor' WHEN 1 THEN 'tier_1' WHEN 2 THEN 'tier_2' WHEN 3 THEN 'specialist' END",
-            'contact_count': "CAST(event_id % 5 + 1 AS INT)",
-            'satisfaction_score': "CASE WHEN event_id % 4 <> 0 THEN CAST(CAST(floor(value) AS BIGINT) % 5 + 1 AS INT) END",
-            'was_escalated': "event_type = 'error'",
-            'required_followup': "event_type = 'view'",
-            'resulted_in_retention': "event_type = 'signup'",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'digital_activity': (
-        'events',
-        {
-            'activity_id': "event_id",
-            'customer_id': "user_id",
-            'activity_type': "CASE event_type WHEN 'signup' THEN 'LOGIN' WHEN 'view' THEN 'BALANCE_CHECK' WHEN 'click' THEN 'TRANSFER' WHEN 'purchase' THEN 'BILL_PAY' ELSE 'ACCOUNT_SETTINGS' END",
-            'platform': "CASE (event_id) % 3 WHEN 0 THEN 'WEB_PORTAL' WHEN 1 THEN 'MOBILE_APP' WHEN 2 THEN 'MOBILE_APP' END",
-            'activity_timestamp': "CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 100) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT))",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'transactions': (
-        'lineitem',
-        {
-            'transaction_id': "l_orderkey * 10 + l_linenumber",
-            'transaction_number': "concat('TXN', lpad(CAST(l_orderkey * 10 + l_linenumber AS STRING), CAST(greatest(10, length(CAST(l_orderkey * 10 + l_linenumber AS STRING))) AS INT), '0'))",
-            'account_id': "l_orderkey",
-            'transaction_type': "CASE (l_partkey) % 10 WHEN 0 THEN 'refund' WHEN 1 THEN 'deposit' WHEN 2 THEN 'withdrawal' WHEN 3 THEN 'transfer_in' WHEN 4 THEN 'transfer_out' WHEN 5 THEN 'payment' WHEN 6 THEN 'purchase' WHEN 7 THEN 'fee' WHEN 8 THEN 'interest' WHEN 9 THEN 'dividend' END",
-            'transaction_amount': "CASE WHEN l_linenumber % 2 = 1 THEN CAST(l_extendedprice AS DECIMAL(12,2)) WHEN l_linenumber = 2 THEN CAST(l_quantity AS DECIMAL(12,2)) ELSE CAST(l_quantity * 50 AS DECIMAL(12,2)) END",
-            'transaction_status': "CASE WHEN l_quantity <= 2 THEN 'failed' WHEN l_quantity <= 4 THEN 'pending' WHEN l_quantity <= 6 THEN 'cancelled' ELSE 'completed' END",
-            'channel': "CASE (CAST(floor(l_quantity) AS BIGINT)) % 6 WHEN 0 THEN 'card' WHEN 1 THEN 'atm' WHEN 2 THEN 'online' WHEN 3 THEN 'mobile' WHEN 4 THEN 'branch' WHEN 5 THEN 'phone' END",
-            'transaction_datetime': "CAST(l_shipdate AS TIMESTAMP) + to_days(CAST(8036 AS INTEGER)) + to_minutes(CAST(l_partkey % 1440 AS BIGINT))",
-            'transaction_location': "CASE (l_partkey) % 3 WHEN 0 THEN 'New York, NY' WHEN 1 THEN 'Chicago, IL' WHEN 2 THEN 'Online' END",
-            'merchant_name': "CASE (l_partkey) % 4 WHEN 0 THEN NULL WHEN 1 THEN 'Grocer' WHEN 2 THEN NULL WHEN 3 THEN 'Fuel' END",
-            'is_high_risk': "l_returnflag = 'R' AND l_discount >= 0.1",
-            'requires_approval': "l_returnflag = 'R'",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'deposits': (
-        'lineitem',
-        {
-            'deposit_id': "l_orderkey * 10 + l_linenumber",
-            'deposit_number': "concat('DEP', lpad(CAST(l_orderkey * 10 + l_linenumber AS STRING), CAST(greatest(10, length(CAST(l_orderkey * 10 + l_linenumber AS STRING))) AS INT), '0'))",
-            'account_id': "l_orderkey",
-            'deposit_type': "CASE (l_partkey) % 6 WHEN 0 THEN 'MOBILE_DEPOSIT' WHEN 1 THEN 'PAYROLL' WHEN 2 THEN 'CASH' WHEN 3 THEN 'CHECK' WHEN 4 THEN 'WIRE_TRANSFER' WHEN 5 THEN 'ACH' END",
-            'deposit_amount': "CASE WHEN l_linenumber % 2 = 1 THEN CAST(l_extendedprice AS DECIMAL(12,2)) WHEN l_linenumber = 2 THEN CAST(l_quantity AS DECIMAL(12,2)) ELSE CAST(l_quantity * 50 AS DECIMAL(12,2)) END",
-            'deposit_datetime': "CAST(l_shipdate AS TIMESTAMP) + to_days(CAST(8036 AS INTEGER)) + to_minutes(CAST(l_partkey % 1440 AS BIGINT))",
-            'deposit_status': "CASE WHEN l_quantity <= 4 THEN 'PENDING' WHEN l_quantity <= 8 THEN 'HELD' ELSE 'CLEARED' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'withdrawals': (
-        'lineitem',
-        {
-            'withdrawal_id': "l_orderkey * 10 + l_linenumber",
-            'withdrawal_number': "concat('WDL', lpad(CAST(l_orderkey * 10 + l_linenumber AS STRING), CAST(greatest(10, length(CAST(l_orderkey * 10 + l_linenumber AS STRING))) AS INT), '0'))",
-            'account_id': "l_orderkey",
-            'withdrawal_type': "CASE (l_partkey) % 5 WHEN 0 THEN 'CHECK' WHEN 1 THEN 'ATM' WHEN 2 THEN 'TELLER' WHEN 3 THEN 'ONLINE' WHEN 4 THEN 'WIRE_TRANSFER' END",
-            'withdrawal_amount': "CAST(l_quantity * 137 AS DECIMAL(12,2))",
-            'withdrawal_datetime': "CAST(l_shipdate AS TIMESTAMP) + to_days(CAST(8036 AS INTEGER)) + to_minutes(CAST(l_partkey % 1440 AS BIGINT))",
-            'withdrawal_status': "CASE WHEN l_quantity <= 4 THEN 'FAILED' WHEN l_quantity <= 8 THEN 'PENDING' ELSE 'COMPLETED' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'transfers': (
-        'lineitem',
-        {
-            'transfer_id': "l_orderkey * 10 + l_linenumber",
-            'from_account_id': "l_orderkey",
-            'to_account_id': "l_partkey * 8",
-            'transfer_amount': "CAST(l_quantity * 11 AS DECIMAL(12,2))",
-            'transfer_date': "CAST(l_shipdate AS TIMESTAMP) + to_days(CAST(8036 AS INTEGER)) + to_minutes(CAST(0 AS BIGINT))",
-            'transfer_status': "CASE WHEN l_quantity <= 5 THEN 'FAILED' ELSE 'COMPLETED' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'payments': (
-        'lineitem',
-        {
-            'payment_id': "l_orderkey * 10 + l_linenumber",
-            'payment_number': "concat('PAY', lpad(CAST(l_orderkey * 10 + l_linenumber AS STRING), CAST(greatest(10, length(CAST(l_orderkey * 10 + l_linenumber AS STRING))) AS INT), '0'))",
-            'account_id': "l_orderkey",
-            'payment_type': "CASE (l_partkey) % 5 WHEN 0 THEN 'TAX_PAYMENT' WHEN 1 THEN 'BILL_PAY' WHEN 2 THEN 'PERSON_TO_PERSON' WHEN 3 THEN 'MERCHANT_PAYMENT' WHEN 4 THEN 'LOAN_PAYMENT' END",
-            'payment_amount': "CAST(l_quantity * 23 AS DECIMAL(12,2))",
-            'payment_date': "CAST(l_shipdate AS TIMESTAMP) + to_days(CAST(8036 AS INTEGER)) + to_minutes(CAST(0 AS BIGINT))",
-            'payment_status': "CASE WHEN l_quantity <= 3 THEN 'FAILED' WHEN l_quantity <= 7 THEN 'PENDING' ELSE 'COMPLETED' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'fees': (
-        'lineitem',
-        {
-            'fee_id': "l_orderkey * 10 + l_linenumber",
-            'fee_number': "concat('FEE', lpad(CAST(l_orderkey * 10 + l_linenumber AS STRING), CAST(greatest(8, length(CAST(l_orderkey * 10 + l_linenumber AS STRING))) AS INT), '0'))",
-            'account_id': "l_orderkey",
-            'fee_type': "CASE (l_partkey) % 6 WHEN 0 THEN 'LATE_PAYMENT' WHEN 1 THEN 'MONTHLY_MAINTENANCE' WHEN 2 THEN 'OVERDRAFT' WHEN 3 THEN 'ATM_FEE' WHEN 4 THEN 'WIRE_TRANSFER' WHEN 5 THEN 'FOREIGN_TRANSACTION' END",
-            'fee_amount': "CAST(l_tax * 500 AS DECIMAL(10,2))",
-            'fee_date': "CAST(l_shipdate AS TIMESTAMP) + to_days(CAST(8036 AS INTEGER)) + to_minutes(CAST(0 AS BIGINT))",
-            'fee_status': "CASE WHEN l_returnflag = 'R' THEN 'REFUNDED' WHEN l_discount = 0 THEN 'WAIVED' ELSE 'CHARGED' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'account_balances': (
-        'lineitem',
-        {
-            'balance_id': "l_orderkey * 10 + l_linenumber",
-            'account_id': "l_orderkey",
-            'balance_amount': "CAST(l_extendedprice - 5000 AS DECIMAL(12,2))",
-            'available_balance': "CAST(l_extendedprice - 5100 AS DECIMAL(12,2))",
-            'balance_date': "CAST(l_shipdate AS TIMESTAMP) + to_days(CAST(8036 AS INTEGER)) + to_minutes(CAST(0 AS BIGINT))",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'interest_accruals': (
-        'lineitem',
-        {
-            'accrual_id': "l_orderkey * 10 + l_linenumber",
-            'account_id': "l_orderkey",
-            'interest_amount': "CAST(l_discount * 100 AS DECIMAL(10,2))",
-            'interest_rate': "CAST(l_discount * 50 AS DECIMAL(6,2))",
-            'accrual_date': "CAST(l_shipdate AS TIMESTAMP) + to_days(CAST(8036 AS INTEGER)) + to_minutes(CAST(0 AS BIGINT))",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
-        },
-    ),
-    'account_alerts': (
-        'lineitem',
-        {
-            'alert_id': "l_orderkey * 10 + l_linenumber",
-            'account_id': "l_orderkey",
-            'alert_type': "CASE (l_partkey) % 5 WHEN 0 THEN 'RATE_CHANGE' WHEN 1 THEN 'LOW_BALANCE' WHEN 2 THEN 'LARGE_DEPOSIT' WHEN 3 THEN 'UNUSUAL_ACTIVITY' WHEN 4 THEN 'PAYMENT_DUE' END",
-            'alert_timestamp': "CAST(l_shipdate AS TIMESTAMP) + to_days(CAST(8036 AS INTEGER)) + to_minutes(CAST(l_partkey % 1440 AS BIGINT))",
-            'alert_status': "CASE WHEN l_quantity > 49 AND l_discount = 0 THEN 'PENDING' WHEN l_linestatus = 'F' THEN 'ACTIONED' ELSE 'DISMISSED' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+    "customers_360": (
+        "customer",
+        {
+            "customer_id": "c_custkey",
+            "customer_number": number("CUST", "c_custkey", 6),
+            "first_name": label(HOME, 'JANE', 'mary-ann', "o'neil", 'john'),
+            "last_name": "c_mktsegment",
+            "date_of_birth": since("1944-01-01", "c_custkey * 97 % 22000"),
+            "gender": label(HOME, 'f', 'm'),
+            "email_address": "concat('Customer', CAST(c_custkey AS STRING), '@Email.com')",
+            "phone_number": number("555-", "c_custkey % 10000", 4),
+            "annual_income": "CAST(20000 + c_custkey * 7919 % 300000 AS INT)",
+            "credit_score": "CAST(450 + c_custkey * 131 % 400 AS INT)",
+            "customer_status": "CASE WHEN c_acctbal < -900 THEN 'closed' WHEN c_acctbal < -500 THEN 'suspended' ELSE 'active' END",
+            "customer_since_date": since("2012-01-01", "c_custkey * 53 % 4400"),
+            "last_updated": LOADED,
+        },
+    ),
+    "accounts": (
+        "orders",
+        {
+            "account_id": "o_orderkey",
+            "account_number": number("ACC", "o_orderkey", 8),
+            "customer_id": "o_custkey",
+            "product_id": "CASE WHEN o_orderkey % 97 = 0 THEN 'NEW001' WHEN o_orderpriority = '1-URGENT' THEN 'CHCK001' WHEN o_orderpriority = '2-HIGH' THEN 'SAVE001' WHEN o_orderpriority = '3-MEDIUM' THEN 'CD001' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'INVT001' ELSE 'BUSI001' END",
+            "current_balance": "CAST(CAST(o_totalprice AS DECIMAL(14,2)) - 100000 * (o_orderkey % 4) AS DECIMAL(14,2))",
+            "average_balance": "CAST(o_totalprice AS DECIMAL(14,2))",
+            "account_status": "CASE WHEN o_orderstatus <> 'P' THEN 'active' WHEN o_totalprice < 50000 THEN 'closed' WHEN o_totalprice < 100000 THEN 'dormant' WHEN o_totalprice < 150000 THEN 'restricted' ELSE 'active' END",
+            "opened_date": moved("o_orderdate", "8036"),
+            "closed_date": "CASE WHEN o_orderstatus = 'P' AND o_totalprice < 50000 THEN " + moved("o_orderdate", "8436") + " END",
+            "interest_rate": "CAST(CAST(o_orderkey % 500 AS DOUBLE) / 100 AS DECIMAL(6,2))",
+            "monthly_fee": "CAST(5 * (o_orderkey % 4) AS DECIMAL(8,2))",
+            "online_banking_enabled": "NOT (o_orderpriority = '5-LOW')",
+            "mobile_banking_enabled": "o_orderpriority IN ('1-URGENT', '2-HIGH') OR o_orderstatus = 'O'",
+            "overdraft_protection": "o_totalprice >= 200000",
+            "is_joint_account": "o_orderstatus = 'F' AND o_totalprice >= 400000",
+            "last_updated": LOADED,
+        },
+    ),
+    "cards": (
+        "orders",
+        {
+            "card_id": "o_orderkey",
+            "card_number_masked": number("CARD", "o_orderkey", 8),
+            "customer_id": "o_custkey",
+            "linked_account_id": "CASE WHEN " + ORDER + " < 34 THEN o_orderkey END",
+            "card_type": label(ORDER, 'debit', 'credit', 'prepaid'),
+            "card_brand": label(ORDER, 'visa', 'mastercard', 'amex', 'discover'),
+            "card_status": "CASE WHEN o_orderstatus <> 'P' THEN 'active' WHEN o_orderpriority = '5-LOW' THEN 'blocked' WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'expired' ELSE 'inactive' END",
+            "credit_limit": "CASE WHEN " + ORDER + " BETWEEN 34 AND 66 THEN " + label(PRICE, 50000, 25000, 10000, 5000, 0) + " END",
+            "current_balance": "CASE WHEN " + ORDER + " < 34 THEN CAST(0 AS DECIMAL(14,2)) ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) % 9973 AS DECIMAL(14,2)) END",
+            "issue_date": moved("o_orderdate", "8036"),
+            "expiry_date": moved("o_orderdate", "8036") + " + INTERVAL 4 YEAR",
+            "contactless_enabled": "o_orderstatus <> 'P'",
+            "online_enabled": "NOT (o_orderpriority = '5-LOW')",
+            "international_enabled": "o_orderpriority IN ('1-URGENT', '2-HIGH')",
+            "is_business_card": "o_totalprice >= 400000",
+            "last_updated": LOADED,
+        },
+    ),
+    "loans": (
+        "part",
+        {
+            "loan_id": "p_partkey",
+            "loan_number": number("LOAN", "p_partkey", 8),
+            "customer_id": "CAST(floor(p_partkey / 3.0) AS BIGINT)",
+            "loan_type": label(BRAND, 'mortgage', 'personal', 'auto', 'home_equity'),
+            "original_amount": "CAST(CAST(p_retailprice AS DECIMAL(12,2)) * (1 + 5 * p_size) AS DECIMAL(14,2))",
+            "current_balance": "CASE WHEN p_partkey % 9 = 0 THEN CAST(0 AS DECIMAL(14,2)) ELSE CAST(CAST(CAST(p_retailprice AS DECIMAL(12,2)) * (1 + 5 * p_size) AS DECIMAL(14,2)) - (CAST(p_retailprice AS DECIMAL(12,2)) * (p_partkey % 6)) AS DECIMAL(14,2)) END",
+            "interest_rate": "CAST(CAST(350 + p_partkey % 120 * 10 AS DOUBLE) / 100 AS DECIMAL(6,2))",
+            "term_months": label(BRAND, 360, 60, 72, 180),
+            "loan_status": "CASE WHEN p_size <= 4 THEN 'charged_off' WHEN p_size <= 8 THEN 'default' WHEN p_size <= 12 THEN 'delinquent' WHEN p_size <= 18 THEN 'paid_off' ELSE 'current' END",
+            "origination_date": since("2013-01-01", "p_partkey * 37 % 3900"),
+            "maturity_date": "CASE WHEN p_size BETWEEN 13 AND 18 THEN " + since("2013-01-01", "p_partkey * 37 % 3900") + " + INTERVAL 9 YEAR END",
+            "days_past_due": "CASE WHEN p_size <= 14 THEN CAST(9 * (14 - p_size) AS INT) ELSE 0 END",
+            "has_collateral": "p_size > 40",
+            "is_secured": "p_size > 30",
+            "last_updated": LOADED,
+        },
+    ),
+    "investments": (
+        "lineitem",
+        {
+            "holding_id": "l_orderkey * 10 + l_linenumber",
+            "holding_number": number("INV", "l_orderkey * 10 + l_linenumber", 10),
+            "customer_id": "l_partkey",
+            "investment_type": label(LINE, 'stock', 'bond', 'mutual_fund', 'etf', 'cd', 'money_market'),
+            "symbol": label(LINE, 'aapl', 'us_treasury_10yr', 'fund_500', 'vti', 'bank_cd_5yr', 'cash'),
+            "quantity": "CAST(l_quantity AS DECIMAL(14,2))",
+            "purchase_price": "CAST(1 + CAST(floor(l_extendedprice / 5) AS BIGINT) * 0.01 AS DECIMAL(12,2))",
+            "current_price": "CAST(CAST(floor(l_quantity) AS BIGINT) % 31 - 10 + CAST(floor(l_extendedprice / 5) AS BIGINT) * 0.01 AS DECIMAL(12,2))",
+            "purchase_date": moved("l_shipdate", "8036"),
+            "account_type": label(COST, 'taxable', 'ira', 'roth_ira', '401k'),
+            "risk_rating": label(COST, 'medium', 'low', 'high'),
+            "last_updated": LOADED,
+        },
+    ),
+    "insurance_policies": (
+        "part",
+        {
+            "policy_id": "p_partkey",
+            "policy_number": number("POL", "p_partkey", 8),
+            "customer_id": "CAST(floor(p_partkey / 2.0) AS BIGINT)",
+            "policy_type": label(BRAND, 'LIFE', 'AUTO', 'HOME', 'HEALTH'),
+            "coverage_amount": "CAST(CAST(p_retailprice AS DECIMAL(12,2)) * p_size AS DECIMAL(14,2))",
+            "annual_premium": "CAST(p_retailprice AS DECIMAL(10,2))",
+            "policy_start_date": since("2018-01-01", "p_partkey * 29 % 2100"),
+            "policy_status": "CASE WHEN p_size > 47 THEN 'CANCELLED' WHEN p_size > 44 THEN 'LAPSED' WHEN p_size > 41 THEN 'SUSPENDED' ELSE 'ACTIVE' END",
+            "claims_count": "CAST(p_partkey % 7 AS INT)",
+            "last_updated": LOADED,
+        },
+    ),
+    "customer_addresses": (
+        "orders",
+        {
+            "address_id": "o_orderkey",
+            "customer_id": "o_custkey",
+            "address_type": label(ORDER, 'primary', 'business', 'previous', 'mailing'),
+            "street_address": "concat(CAST(100 + o_orderkey % 9900 AS STRING), " + label(ORDER, ' oak avenue', ' pine road', ' elm drive', ' maple lane', ' main street') + ")",
+            "unit_number": "CASE WHEN " + ORDER + " < 34 THEN concat('apt ', CAST(o_orderkey % 50 + 1 AS STRING)) END",
+            "city": label(ORDER, 'los angeles', 'CHICAGO', 'houston', 'phoenix', 'philadelphia', 'san antonio', 'winston-salem', 'seattle', 'denver', 'new york'),
+            "state_code": label(ORDER, 'ca', 'il', 'tx', 'az', 'pa', 'tx', 'nc', 'wa', 'co', 'ny'),
+            "postal_code": "CAST(10000 + o_orderkey % 89999 AS STRING)",
+            "address_status": "CASE WHEN o_totalprice < 20000 THEN 'INVALID' WHEN o_totalprice < 30000 THEN NULL WHEN o_orderstatus = 'P' THEN 'UNVERIFIED' ELSE 'VERIFIED' END",
+            "address_since": "CASE WHEN o_totalprice < 480000 THEN " + moved("o_orderdate", "8036") + " END",
+            "address_until": "CASE WHEN o_orderstatus = 'F' THEN " + moved("o_orderdate", "8936") + " END",
+            "is_deliverable": "NOT (o_orderpriority = '5-LOW')",
+            "last_updated": LOADED,
+        },
+    ),
+    "customer_phones": (
+        "orders",
+        {
+            "phone_id": "o_orderkey",
+            "customer_id": "o_custkey",
+            "phone_type": label(ORDER, 'mobile', 'home', 'work', 'fax'),
+            "area_code": label(ORDER, '444', '333', '000', '800', '555'),
+            "exchange": "lpad(CAST(o_orderkey % 1000 AS STRING), 3, '0')",
+            "line_number": "lpad(CAST(o_orderkey % 10000 AS STRING), 4, '0')",
+            "is_verified": "o_orderstatus <> 'P'",
+            "sms_enabled": "NOT (o_orderpriority = '5-LOW')",
+            "marketing_opt_in": "o_totalprice >= 150000",
+            "do_not_call": "o_totalprice < 25000",
+            "phone_status": "CASE WHEN o_totalprice < 30000 THEN 'inactive' WHEN o_totalprice < 60000 THEN 'unverified' ELSE 'active' END",
+            "is_primary": "o_orderpriority IN ('1-URGENT', '2-HIGH')",
+            "preferred_contact_start": label(ORDER, '09:30:00', '10:00:00', '08:00:00'),
+            "preferred_contact_end": label(ORDER, '18:00:00', '19:15:00', '20:00:00'),
+            "last_updated": LOADED,
+        },
+    ),
+    "customer_interactions": (
+        "events",
+        {
+            "interaction_id": "event_id",
+            "interaction_number": number("INT", "event_id", 10),
+            "customer_id": "user_id * 10 + event_id % 11",
+            "interaction_type": label(EVENT, 'phone_call', 'email', 'chat', 'branch_visit', 'social_media'),
+            "reason_code": label(EVENT, 'account_inquiry', 'transaction_dispute', 'card_issue', 'loan_question', 'fees_complaint', 'technical_support', 'product_information', 'general_inquiry'),
+            "status": "CASE WHEN event_type = 'error' THEN 'escalated' WHEN value < 5 THEN 'pending' WHEN value < 10 THEN 'reopened' ELSE 'resolved' END",
+            "priority": label(EVENT, 'urgent', 'high', 'medium', 'low'),
+            "interaction_datetime": moved("ts", "-(event_id % 120)"),
+            "duration_minutes": "CAST(event_id * 7 % 150 + 5 AS INT)",
+            "agent_id": number("AGENT", "event_id % 50", 3),
+            "agent_tier": label(EVENT, 'tier_1', 'tier_2', 'specialist', 'supervisor'),
+            "contact_count": "CAST(event_id % 5 + 1 AS INT)",
+            "satisfaction_score": "CASE WHEN event_id % 4 <> 0 THEN CAST(CAST(floor(value) AS BIGINT) % 5 + 1 AS INT) END",
+            "was_escalated": "event_type = 'error'",
+            "required_followup": "event_type = 'view'",
+            "resulted_in_retention": "event_type = 'signup'",
+            "last_updated": LOADED,
+        },
+    ),
+    "digital_activity": (
+        "events",
+        {
+            "activity_id": "event_id",
+            "customer_id": "user_id",
+            "activity_type": "CASE event_type WHEN 'signup' THEN 'LOGIN' WHEN 'view' THEN 'BALANCE_CHECK' WHEN 'click' THEN 'TRANSFER' WHEN 'purchase' THEN 'BILL_PAY' ELSE 'ACCOUNT_SETTINGS' END",
+            "platform": label(EVENT, 'MOBILE_APP', 'MOBILE_APP', 'WEB_PORTAL'),
+            "activity_timestamp": moved("ts", "-(event_id % 100)"),
+            "last_updated": LOADED,
+        },
+    ),
+    "transactions": (
+        "lineitem",
+        {
+            "transaction_id": "l_orderkey * 10 + l_linenumber",
+            "transaction_number": number("TXN", "l_orderkey * 10 + l_linenumber", 10),
+            "account_id": "l_orderkey",
+            "transaction_type": label(LINE, 'deposit', 'withdrawal', 'transfer_in', 'transfer_out', 'payment', 'purchase', 'fee', 'interest', 'dividend', 'refund'),
+            "transaction_amount": "CASE WHEN l_linenumber % 2 = 1 THEN CAST(l_extendedprice AS DECIMAL(12,2)) WHEN l_linenumber = 2 THEN CAST(l_quantity AS DECIMAL(12,2)) ELSE CAST(l_quantity * 50 AS DECIMAL(12,2)) END",
+            "transaction_status": "CASE WHEN l_quantity <= 2 THEN 'failed' WHEN l_quantity <= 4 THEN 'pending' WHEN l_quantity <= 6 THEN 'cancelled' ELSE 'completed' END",
+            "channel": label(UNITS, "atm", "online", "mobile", "branch", "phone", "card"),
+            "transaction_datetime": moved("l_shipdate", "8036", "l_partkey % 1440"),
+            "transaction_location": label(LINE, 'Chicago, IL', 'Online', 'New York, NY'),
+            "merchant_name": label(LINE, 'Grocer', None, 'Fuel', None),
+            "is_high_risk": "l_returnflag = 'R' AND l_discount >= 0.1",
+            "requires_approval": "l_returnflag = 'R'",
+            "last_updated": LOADED,
+        },
+    ),
+    "deposits": (
+        "lineitem",
+        {
+            "deposit_id": "l_orderkey * 10 + l_linenumber",
+            "deposit_number": number("DEP", "l_orderkey * 10 + l_linenumber", 10),
+            "account_id": "l_orderkey",
+            "deposit_type": label(LINE, 'PAYROLL', 'CASH', 'CHECK', 'WIRE_TRANSFER', 'ACH', 'MOBILE_DEPOSIT'),
+            "deposit_amount": "CASE WHEN l_linenumber % 2 = 1 THEN CAST(l_extendedprice AS DECIMAL(12,2)) WHEN l_linenumber = 2 THEN CAST(l_quantity AS DECIMAL(12,2)) ELSE CAST(l_quantity * 50 AS DECIMAL(12,2)) END",
+            "deposit_datetime": moved("l_shipdate", "8036", "l_partkey % 1440"),
+            "deposit_status": "CASE WHEN l_quantity <= 4 THEN 'PENDING' WHEN l_quantity <= 8 THEN 'HELD' ELSE 'CLEARED' END",
+            "last_updated": LOADED,
+        },
+    ),
+    "withdrawals": (
+        "lineitem",
+        {
+            "withdrawal_id": "l_orderkey * 10 + l_linenumber",
+            "withdrawal_number": number("WDL", "l_orderkey * 10 + l_linenumber", 10),
+            "account_id": "l_orderkey",
+            "withdrawal_type": label(LINE, 'ATM', 'TELLER', 'ONLINE', 'WIRE_TRANSFER', 'CHECK'),
+            "withdrawal_amount": "CAST(l_quantity * 137 AS DECIMAL(12,2))",
+            "withdrawal_datetime": moved("l_shipdate", "8036", "l_partkey % 1440"),
+            "withdrawal_status": "CASE WHEN l_quantity <= 4 THEN 'FAILED' WHEN l_quantity <= 8 THEN 'PENDING' ELSE 'COMPLETED' END",
+            "last_updated": LOADED,
+        },
+    ),
+    "transfers": (
+        "lineitem",
+        {
+            "transfer_id": "l_orderkey * 10 + l_linenumber",
+            "from_account_id": "l_orderkey",
+            "to_account_id": "l_partkey * 8",
+            "transfer_amount": "CAST(l_quantity * 11 AS DECIMAL(12,2))",
+            "transfer_date": moved("l_shipdate", "8036"),
+            "transfer_status": "CASE WHEN l_quantity <= 5 THEN 'FAILED' ELSE 'COMPLETED' END",
+            "last_updated": LOADED,
+        },
+    ),
+    "payments": (
+        "lineitem",
+        {
+            "payment_id": "l_orderkey * 10 + l_linenumber",
+            "payment_number": number("PAY", "l_orderkey * 10 + l_linenumber", 10),
+            "account_id": "l_orderkey",
+            "payment_type": label(LINE, 'BILL_PAY', 'PERSON_TO_PERSON', 'MERCHANT_PAYMENT', 'LOAN_PAYMENT', 'TAX_PAYMENT'),
+            "payment_amount": "CAST(l_quantity * 23 AS DECIMAL(12,2))",
+            "payment_date": moved("l_shipdate", "8036"),
+            "payment_status": "CASE WHEN l_quantity <= 3 THEN 'FAILED' WHEN l_quantity <= 7 THEN 'PENDING' ELSE 'COMPLETED' END",
+            "last_updated": LOADED,
+        },
+    ),
+    "fees": (
+        "lineitem",
+        {
+            "fee_id": "l_orderkey * 10 + l_linenumber",
+            "fee_number": number("FEE", "l_orderkey * 10 + l_linenumber", 8),
+            "account_id": "l_orderkey",
+            "fee_type": label(LINE, 'MONTHLY_MAINTENANCE', 'OVERDRAFT', 'ATM_FEE', 'WIRE_TRANSFER', 'FOREIGN_TRANSACTION', 'LATE_PAYMENT'),
+            "fee_amount": "CAST(l_tax * 500 AS DECIMAL(10,2))",
+            "fee_date": moved("l_shipdate", "8036"),
+            "fee_status": "CASE WHEN l_returnflag = 'R' THEN 'REFUNDED' WHEN l_discount = 0 THEN 'WAIVED' ELSE 'CHARGED' END",
+            "last_updated": LOADED,
+        },
+    ),
+    "account_balances": (
+        "lineitem",
+        {
+            "balance_id": "l_orderkey * 10 + l_linenumber",
+            "account_id": "l_orderkey",
+            "balance_amount": "CAST(l_extendedprice - 5000 AS DECIMAL(12,2))",
+            "available_balance": "CAST(l_extendedprice - 5100 AS DECIMAL(12,2))",
+            "balance_date": moved("l_shipdate", "8036"),
+            "last_updated": LOADED,
+        },
+    ),
+    "interest_accruals": (
+        "lineitem",
+        {
+            "accrual_id": "l_orderkey * 10 + l_linenumber",
+            "account_id": "l_orderkey",
+            "interest_amount": "CAST(l_discount * 100 AS DECIMAL(10,2))",
+            "interest_rate": "CAST(l_discount * 50 AS DECIMAL(6,2))",
+            "accrual_date": moved("l_shipdate", "8036"),
+            "last_updated": LOADED,
+        },
+    ),
+    "account_alerts": (
+        "lineitem",
+        {
+            "alert_id": "l_orderkey * 10 + l_linenumber",
+            "account_id": "l_orderkey",
+            "alert_type": label(LINE, 'LOW_BALANCE', 'LARGE_DEPOSIT', 'UNUSUAL_ACTIVITY', 'PAYMENT_DUE', 'RATE_CHANGE'),
+            "alert_timestamp": moved("l_shipdate", "8036", "l_partkey % 1440"),
+            "alert_status": "CASE WHEN l_quantity > 49 AND l_discount = 0 THEN 'PENDING' WHEN l_linestatus = 'F' THEN 'ACTIONED' ELSE 'DISMISSED' END",
+            "last_updated": LOADED,
         },
     ),
-    'channel_usage': (
-        'events',
+    "channel_usage": (
+        "events",
         {
-            'usage_id': "event_id",
-            'customer_id': "user_id * 10 + event_id % 11",
-            'channel_type': "CASE (event_id) % 6 WHEN 0 THEN 'PHONE' WHEN 1 THEN 'ONLINE' WHEN 2 THEN 'MOBILE' WHEN 3 THEN 'ATM' WHEN 4 THEN 'BRANCH' WHEN 5 THEN 'MOBILE' END",
-            'usage_count': "CAST(CAST(floor(value) AS BIGINT) % 20 + 1 AS INT)",
-            'usage_date': "CAST(CAST(CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 60) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) AS DATE) AS TIMESTAMP)",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "usage_id": "event_id",
+            "customer_id": "user_id * 10 + event_id % 11",
+            "channel_type": label(EVENT, 'ONLINE', 'MOBILE', 'ATM', 'BRANCH', 'MOBILE', 'PHONE'),
+            "usage_count": "CAST(CAST(floor(value) AS BIGINT) % 20 + 1 AS INT)",
+            "usage_date": "CAST(CAST(" + moved("ts", "-(event_id % 60)") + " AS DATE) AS TIMESTAMP)",
+            "last_updated": LOADED,
         },
     ),
-    'product_usage': (
-        'events',
+    "product_usage": (
+        "events",
         {
-            'usage_id': "event_id",
-            'customer_id': "user_id * 10 + event_id % 9",
-            'product_type': "CASE (event_id) % 8 WHEN 0 THEN 'MOBILE_BANKING' WHEN 1 THEN 'CHECKING' WHEN 2 THEN 'SAVINGS' WHEN 3 THEN 'CREDIT_CARD' WHEN 4 THEN 'MORTGAGE' WHEN 5 THEN 'INVESTMENTS' WHEN 6 THEN 'INSURANCE' WHEN 7 THEN 'LOANS' END",
-            'usage_frequency': "CAST(CAST(floor(value) AS BIGINT) % 10 + 1 AS INT)",
-            'usage_date': "CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 200) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT))",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "usage_id": "event_id",
+            "customer_id": "user_id * 10 + event_id % 9",
+            "product_type": label(EVENT, 'CHECKING', 'SAVINGS', 'CREDIT_CARD', 'MORTGAGE', 'INVESTMENTS', 'INSURANCE', 'LOANS', 'MOBILE_BANKING'),
+            "usage_frequency": "CAST(CAST(floor(value) AS BIGINT) % 10 + 1 AS INT)",
+            "usage_date": moved("ts", "-(event_id % 200)"),
+            "last_updated": LOADED,
         },
     ),
-    'customer_segments': (
-        'events',
+    "customer_segments": (
+        "events",
         {
-            'segment_id': "event_id",
-            'customer_id': "user_id * 10 + event_id % 10",
-            'segment_name': "CASE (event_id) % 7 WHEN 0 THEN 'STUDENT' WHEN 1 THEN 'PREMIUM' WHEN 2 THEN 'MASS_AFFLUENT' WHEN 3 THEN 'EMERGING_AFFLUENT' WHEN 4 THEN 'MASS_MARKET' WHEN 5 THEN 'YOUNG_PROFESSIONAL' WHEN 6 THEN 'PREMIUM' END",
-            'segment_date': "CAST(CAST(CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 60) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) AS DATE) AS TIMESTAMP)",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "segment_id": "event_id",
+            "customer_id": "user_id * 10 + event_id % 10",
+            "segment_name": label(EVENT, 'PREMIUM', 'MASS_AFFLUENT', 'EMERGING_AFFLUENT', 'MASS_MARKET', 'YOUNG_PROFESSIONAL', 'PREMIUM', 'STUDENT'),
+            "segment_date": "CAST(CAST(" + moved("ts", "-(event_id % 60)") + " AS DATE) AS TIMESTAMP)",
+            "last_updated": LOADED,
         },
     ),
-    'marketing_campaigns': (
-        'events',
+    "marketing_campaigns": (
+        "events",
         {
-            'campaign_response_id': "event_id",
-            'campaign_id': "concat('CAMP', lpad(CAST(event_id % 50 AS STRING), CAST(greatest(6, length(CAST(event_id % 50 AS STRING))) AS INT), '0'))",
-            'customer_id': "user_id * 10 + event_id % 8",
-            'campaign_type': "CASE (event_id) % 7 WHEN 0 THEN 'CREDIT_CARD_OFFER' WHEN 1 THEN 'SAVINGS_PROMOTION' WHEN 2 THEN 'LOAN_OFFER' WHEN 3 THEN 'INVESTMENT_SEMINAR' WHEN 4 THEN 'INSURANCE_QUOTE' WHEN 5 THEN 'DIGITAL_BANKING' WHEN 6 THEN 'REFERRAL' END",
-            'channel': "CASE (event_id * 3 + user_id) % 4 WHEN 0 THEN 'DIGITAL_AD' WHEN 1 THEN 'EMAIL' WHEN 2 THEN 'DIRECT_MAIL' WHEN 3 THEN 'PHONE' END",
-            'sent_date': "CAST(CAST(CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 60) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) AS DATE) AS TIMESTAMP)",
-            'response_type': "CASE event_type WHEN 'purchase' THEN 'CONVERTED' WHEN 'click' THEN 'CLICKED' WHEN 'view' THEN 'OPENED' ELSE 'NO_RESPONSE' END",
-            'resulted_in_sale': "event_type IN ('purchase', 'signup')",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "campaign_response_id": "event_id",
+            "campaign_id": number("CAMP", "event_id % 50", 6),
+            "customer_id": "user_id * 10 + event_id % 8",
+            "campaign_type": label(EVENT, 'SAVINGS_PROMOTION', 'LOAN_OFFER', 'INVESTMENT_SEMINAR', 'INSURANCE_QUOTE', 'DIGITAL_BANKING', 'REFERRAL', 'CREDIT_CARD_OFFER'),
+            "channel": label(VALUE, 'EMAIL', 'DIRECT_MAIL', 'PHONE', 'DIGITAL_AD'),
+            "sent_date": "CAST(CAST(" + moved("ts", "-(event_id % 60)") + " AS DATE) AS TIMESTAMP)",
+            "response_type": "CASE event_type WHEN 'purchase' THEN 'CONVERTED' WHEN 'click' THEN 'CLICKED' WHEN 'view' THEN 'OPENED' ELSE 'NO_RESPONSE' END",
+            "resulted_in_sale": "event_type IN ('purchase', 'signup')",
+            "last_updated": LOADED,
         },
     ),
-    'retention_events': (
-        'events',
+    "retention_events": (
+        "events",
         {
-            'event_id': "event_id",
-            'customer_id': "user_id * 10 + event_id % 7",
-            'event_type': "CASE event_type WHEN 'view' THEN 'RETENTION_OFFER_SENT' WHEN 'purchase' THEN 'CUSTOMER_SAVED' WHEN 'click' THEN 'WIN_BACK_CAMPAIGN' WHEN 'signup' THEN 'LOYALTY_PROGRAM_ENROLLED' ELSE CASE WHEN value > 100 THEN 'ACCOUNT_CLOSED' ELSE 'CHURN_RISK_IDENTIFIED' END END",
-            'event_date': "CAST(CAST(CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 60) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) AS DATE) AS TIMESTAMP)",
-            'event_outcome': "CASE (event_id) % 3 WHEN 0 THEN 'SUCCESSFUL' WHEN 1 THEN 'FAILED' WHEN 2 THEN 'PENDING' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "event_id": "event_id",
+            "customer_id": "user_id * 10 + event_id % 7",
+            "event_type": "CASE event_type WHEN 'view' THEN 'RETENTION_OFFER_SENT' WHEN 'purchase' THEN 'CUSTOMER_SAVED' WHEN 'click' THEN 'WIN_BACK_CAMPAIGN' WHEN 'signup' THEN 'LOYALTY_PROGRAM_ENROLLED' ELSE CASE WHEN value > 100 THEN 'ACCOUNT_CLOSED' ELSE 'CHURN_RISK_IDENTIFIED' END END",
+            "event_date": "CAST(CAST(" + moved("ts", "-(event_id % 60)") + " AS DATE) AS TIMESTAMP)",
+            "event_outcome": label(EVENT, 'FAILED', 'PENDING', 'SUCCESSFUL'),
+            "last_updated": LOADED,
         },
     ),
-    'risk_assessments': (
-        'events',
+    "risk_assessments": (
+        "events",
         {
-            'assessment_id': "event_id",
-            'assessment_number': "concat('RISK', lpad(CAST(event_id AS STRING), CAST(greatest(8, length(CAST(event_id AS STRING))) AS INT), '0'))",
-            'customer_id': "user_id * 10 + event_id % 11",
-            'risk_type': "CASE (event_id) % 4 WHEN 0 THEN 'MARKET_RISK' WHEN 1 THEN 'CREDIT_RISK' WHEN 2 THEN 'FRAUD_RISK' WHEN 3 THEN 'OPERATIONAL_RISK' END",
-            'risk_score': "CAST(400 + event_id * 37 % 450 AS INT)",
-            'risk_rating': "CASE WHEN CAST(400 + event_id * 37 % 450 AS INT) >= 750 THEN 'LOW' WHEN CAST(400 + event_id * 37 % 450 AS INT) >= 650 THEN 'MEDIUM' WHEN CAST(400 + event_id * 37 % 450 AS INT) >= 550 THEN 'HIGH' ELSE 'VERY_HIGH' END",
-            'assessment_date': "CAST(CAST(CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 60) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) AS DATE) AS TIMESTAMP)",
-            'requires_review': "event_id % 30 = 1",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "assessment_id": "event_id",
+            "assessment_number": number("RISK", "event_id", 8),
+            "customer_id": "user_id * 10 + event_id % 11",
+            "risk_type": label(EVENT, 'CREDIT_RISK', 'FRAUD_RISK', 'OPERATIONAL_RISK', 'MARKET_RISK'),
+            "risk_score": "CAST(400 + event_id * 37 % 450 AS INT)",
+            "risk_rating": "CASE WHEN CAST(400 + event_id * 37 % 450 AS INT) >= 750 THEN 'LOW' WHEN CAST(400 + event_id * 37 % 450 AS INT) >= 650 THEN 'MEDIUM' WHEN CAST(400 + event_id * 37 % 450 AS INT) >= 550 THEN 'HIGH' ELSE 'VERY_HIGH' END",
+            "assessment_date": "CAST(CAST(" + moved("ts", "-(event_id % 60)") + " AS DATE) AS TIMESTAMP)",
+            "requires_review": "event_id % 30 = 1",
+            "last_updated": LOADED,
         },
     ),
-    'fraud_alerts': (
-        'events',
+    "fraud_alerts": (
+        "events",
         {
-            'alert_id': "event_id",
-            'customer_id': "user_id * 10 + event_id % 9",
-            'alert_type': "CASE (event_id) % 5 WHEN 0 THEN 'BEHAVIORAL_PATTERN' WHEN 1 THEN 'UNUSUAL_TRANSACTION' WHEN 2 THEN 'LOCATION_ANOMALY' WHEN 3 THEN 'VELOCITY_CHECK' WHEN 4 THEN 'MERCHANT_RISK' END",
-            'risk_score': "CAST(event_id * 13 % 100 AS INT)",
-            'alert_timestamp': "CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 60) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT))",
-            'alert_status': "CASE WHEN value > 150 THEN 'CONFIRMED_FRAUD' WHEN value > 120 THEN 'UNDER_REVIEW' ELSE 'FALSE_POSITIVE' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "alert_id": "event_id",
+            "customer_id": "user_id * 10 + event_id % 9",
+            "alert_type": label(EVENT, 'UNUSUAL_TRANSACTION', 'LOCATION_ANOMALY', 'VELOCITY_CHECK', 'MERCHANT_RISK', 'BEHAVIORAL_PATTERN'),
+            "risk_score": "CAST(event_id * 13 % 100 AS INT)",
+            "alert_timestamp": moved("ts", "-(event_id % 60)"),
+            "alert_status": "CASE WHEN value > 150 THEN 'CONFIRMED_FRAUD' WHEN value > 120 THEN 'UNDER_REVIEW' ELSE 'FALSE_POSITIVE' END",
+            "last_updated": LOADED,
         },
     ),
-    'compliance_records': (
-        'events',
+    "compliance_records": (
+        "events",
         {
-            'compliance_id': "event_id",
-            'customer_id': "user_id * 10 + event_id % 8",
-            'compliance_type': "CASE (event_id) % 4 WHEN 0 THEN 'ADVERSE_MEDIA' WHEN 1 THEN 'AML_SCREENING' WHEN 2 THEN 'SANCTIONS_CHECK' WHEN 3 THEN 'PEP_SCREENING' END",
-            'check_date': "CAST(CAST(CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 60) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) AS DATE) AS TIMESTAMP)",
-            'compliance_status': "CASE WHEN value > 160 THEN 'FLAGGED' ELSE 'CLEAR' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "compliance_id": "event_id",
+            "customer_id": "user_id * 10 + event_id % 8",
+            "compliance_type": label(EVENT, 'AML_SCREENING', 'SANCTIONS_CHECK', 'PEP_SCREENING', 'ADVERSE_MEDIA'),
+            "check_date": "CAST(CAST(" + moved("ts", "-(event_id % 60)") + " AS DATE) AS TIMESTAMP)",
+            "compliance_status": "CASE WHEN value > 160 THEN 'FLAGGED' ELSE 'CLEAR' END",
+            "last_updated": LOADED,
         },
     ),
-    'credit_scores': (
-        'events',
+    "credit_scores": (
+        "events",
         {
-            'score_id': "event_id",
-            'customer_id': "user_id * 10 + event_id % 11",
-            'credit_score': "CAST(600 + event_id * 41 % 250 - 3 * (user_id % 40) AS INT)",
-            'score_date': "CAST(CAST(CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 60) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) AS DATE) AS TIMESTAMP)",
-            'bureau': "CASE (event_id) % 3 WHEN 0 THEN 'TRANSUNION' WHEN 1 THEN 'EXPERIAN' WHEN 2 THEN 'EQUIFAX' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "score_id": "event_id",
+            "customer_id": "user_id * 10 + event_id % 11",
+            "credit_score": "CAST(600 + event_id * 41 % 250 - 3 * (user_id % 40) AS INT)",
+            "score_date": "CAST(CAST(" + moved("ts", "-(event_id % 60)") + " AS DATE) AS TIMESTAMP)",
+            "bureau": label(EVENT, 'EXPERIAN', 'EQUIFAX', 'TRANSUNION'),
+            "last_updated": LOADED,
         },
     ),
-    'kyc_records': (
-        'events',
+    "kyc_records": (
+        "events",
         {
-            'kyc_id': "event_id",
-            'customer_id': "user_id * 10 + event_id % 10",
-            'kyc_type': "CASE (event_id) % 3 WHEN 0 THEN 'ENHANCED_DD' WHEN 1 THEN 'INITIAL' WHEN 2 THEN 'PERIODIC_REVIEW' END",
-            'review_date': "CAST(CAST(CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 60) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) AS DATE) AS TIMESTAMP)",
-            'status': "CASE WHEN value > 160 THEN 'FAILED' ELSE 'PASSED' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "kyc_id": "event_id",
+            "customer_id": "user_id * 10 + event_id % 10",
+            "kyc_type": label(EVENT, 'INITIAL', 'PERIODIC_REVIEW', 'ENHANCED_DD'),
+            "review_date": "CAST(CAST(" + moved("ts", "-(event_id % 60)") + " AS DATE) AS TIMESTAMP)",
+            "status": "CASE WHEN value > 160 THEN 'FAILED' ELSE 'PASSED' END",
+            "last_updated": LOADED,
         },
     ),
 }
 
 # Where the alternative profile differs.
 ALTERNATIVE: dict[str, tuple[str, dict[str, str]]] = BANK | {
-    'loans': (
-        'part',
+    "loans": (
+        "part",
         {
-            'loan_id': "p_partkey",
-            'customer_id': "CAST(floor(p_partkey / 3.0) AS BIGINT)",
-            'loan_type': "CASE (p_partkey) % 4 WHEN 0 THEN 'student' WHEN 1 THEN 'personal' WHEN 2 THEN 'auto' WHEN 3 THEN 'mortgage' END",
-            'loan_date': "CAST(DATE '2013-01-01' + CAST(p_partkey * 37 % 3900 AS INTEGER) AS TIMESTAMP)",
-            'loan_amount': "CAST(CAST(p_retailprice AS DECIMAL(12,2)) * (1 + 5 * p_size) AS DECIMAL(14,2))",
-            'loan_status': "CASE WHEN p_size <= 4 THEN 'defaulted' WHEN p_size <= 8 THEN 'paid_off' WHEN p_size <= 10 THEN 'INVALID' ELSE 'active' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "loan_id": "p_partkey",
+            "customer_id": "CAST(floor(p_partkey / 3.0) AS BIGINT)",
+            "loan_type": label(BRAND, 'personal', 'auto', 'mortgage', 'student'),
+            "loan_date": since("2013-01-01", "p_partkey * 37 % 3900"),
+            "loan_amount": "CAST(CAST(p_retailprice AS DECIMAL(12,2)) * (1 + 5 * p_size) AS DECIMAL(14,2))",
+            "loan_status": "CASE WHEN p_size <= 4 THEN 'defaulted' WHEN p_size <= 8 THEN 'paid_off' WHEN p_size <= 10 THEN 'INVALID' ELSE 'active' END",
+            "last_updated": LOADED,
         },
     ),
-    'investments': (
-        'lineitem',
+    "investments": (
+        "lineitem",
         {
-            'investment_id': "l_orderkey * 10 + l_linenumber",
-            'customer_id': "l_partkey",
-            'investment_type': "CASE (l_orderkey) % 5 WHEN 0 THEN 'REAL_ESTATE' WHEN 1 THEN 'STOCKS' WHEN 2 THEN 'BONDS' WHEN 3 THEN 'MUTUAL_FUNDS' WHEN 4 THEN 'ETF' END",
-            'investment_amount': "CAST(l_extendedprice AS DECIMAL(12,2))",
-            'current_price': "CAST(1 + CAST(floor(l_quantity) AS BIGINT) % 20 * 0.05 - 0.3 AS DECIMAL(8,2))",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "investment_id": "l_orderkey * 10 + l_linenumber",
+            "customer_id": "l_partkey",
+            "investment_type": label(LINE, 'STOCKS', 'BONDS', 'MUTUAL_FUNDS', 'ETF', 'REAL_ESTATE'),
+            "investment_amount": "CAST(l_extendedprice AS DECIMAL(12,2))",
+            "current_price": "CAST(1 + CAST(floor(l_quantity) AS BIGINT) % 20 * 0.05 - 0.3 AS DECIMAL(8,2))",
+            "last_updated": LOADED,
         },
     ),
-    'customer_phones': (
-        'orders',
+    "customer_phones": (
+        "orders",
         {
-            'phone_id': "o_orderkey",
-            'customer_id': "o_custkey",
-            'sms_enabled': "NOT (o_orderpriority = '5-LOW')",
-            'is_primary': "o_orderpriority IN ('1-URGENT', '2-HIGH')",
-            'phone_type': "CASE (o_orderkey) % 5 WHEN 0 THEN 'emergency' WHEN 1 THEN 'mobile' WHEN 2 THEN 'home' WHEN 3 THEN 'work' WHEN 4 THEN 'primary' END",
-            'phone_number': "concat(CASE (o_orderkey) % 3 WHEN 0 THEN '555-0' WHEN 1 THEN '555-1' WHEN 2 THEN '(212) 555-' END, lpad(CAST(o_orderkey % 9000 + 1000 AS STRING), 4, '0'))",
-            'phone_status': "CASE WHEN o_totalprice < 30000 THEN 'INVALID' WHEN o_orderstatus = 'P' THEN 'unverified' ELSE 'verified' END",
-            'marketing_consent': "o_totalprice >= 100000",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "phone_id": "o_orderkey",
+            "customer_id": "o_custkey",
+            "sms_enabled": "NOT (o_orderpriority = '5-LOW')",
+            "is_primary": "o_orderpriority IN ('1-URGENT', '2-HIGH')",
+            "phone_type": label(ORDER, 'mobile', 'home', 'work', 'primary', 'emergency'),
+            "phone_number": "concat(" + label(ORDER, '555-1', '(212) 555-', '555-0') + ", lpad(CAST(o_orderkey % 9000 + 1000 AS STRING), 4, '0'))",
+            "phone_status": "CASE WHEN o_totalprice < 30000 THEN 'INVALID' WHEN o_orderstatus = 'P' THEN 'unverified' ELSE 'verified' END",
+            "marketing_consent": "o_totalprice >= 100000",
+            "last_updated": LOADED,
         },
     ),
-    'product_usage': (
-        'events',
+    "product_usage": (
+        "events",
         {
-            'usage_id': "event_id",
-            'customer_id': "user_id * 10 + event_id % 9",
-            'product_id': "CASE (event_id) % 7 WHEN 0 THEN 'CHCK001' WHEN 1 THEN 'SAVE001' WHEN 2 THEN 'LOAN001' WHEN 3 THEN 'INVT001' WHEN 4 THEN 'CD001' WHEN 5 THEN 'CHCK001' WHEN 6 THEN 'SAVE001' END",
-            'usage_count': "CAST(CAST(floor(value) AS BIGINT) % 10 + 1 AS INT)",
-            'usage_date': "CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 200) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT))",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "usage_id": "event_id",
+            "customer_id": "user_id * 10 + event_id % 9",
+            "product_id": label(EVENT, 'SAVE001', 'LOAN001', 'INVT001', 'CD001', 'CHCK001', 'SAVE001', 'CHCK001'),
+            "usage_count": "CAST(CAST(floor(value) AS BIGINT) % 10 + 1 AS INT)",
+            "usage_date": moved("ts", "-(event_id % 200)"),
+            "last_updated": LOADED,
         },
     ),
-    'marketing_campaigns': (
-        'events',
+    "marketing_campaigns": (
+        "events",
         {
-            'campaign_id': "event_id",
-            'customer_id': "user_id * 10 + event_id % 8",
-            'campaign_type': "CASE (event_id) % 6 WHEN 0 THEN 'EMAIL_PROMOTION' WHEN 1 THEN 'DIRECT_MAIL' WHEN 2 THEN 'DIGITAL_ADS' WHEN 3 THEN 'SOCIAL_MEDIA' WHEN 4 THEN 'PHONE_CALL' WHEN 5 THEN 'EVENT' END",
-            'campaign_date': "CAST(CAST(CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 60) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) AS DATE) AS TIMESTAMP)",
-            'response_status': "CASE event_type WHEN 'purchase' THEN 'CONVERTED' WHEN 'click' THEN 'ENGAGED' ELSE 'NO_RESPONSE' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "campaign_id": "event_id",
+            "customer_id": "user_id * 10 + event_id % 8",
+            "campaign_type": label(EVENT, 'DIRECT_MAIL', 'DIGITAL_ADS', 'SOCIAL_MEDIA', 'PHONE_CALL', 'EVENT', 'EMAIL_PROMOTION'),
+            "campaign_date": "CAST(CAST(" + moved("ts", "-(event_id % 60)") + " AS DATE) AS TIMESTAMP)",
+            "response_status": "CASE event_type WHEN 'purchase' THEN 'CONVERTED' WHEN 'click' THEN 'ENGAGED' ELSE 'NO_RESPONSE' END",
+            "last_updated": LOADED,
         },
     ),
-    'risk_assessments': (
-        'events',
+    "risk_assessments": (
+        "events",
         {
-            'assessment_id': "event_id",
-            'customer_id': "user_id * 10 + event_id % 11",
-            'risk_score': "CAST(400 + event_id * 37 % 450 AS INT)",
-            'assessment_date': "CAST(CAST(CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 60) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) AS DATE) AS TIMESTAMP)",
-            'risk_type': "CASE (event_id) % 4 WHEN 0 THEN 'COMPLIANCE_RISK' WHEN 1 THEN 'CREDIT_RISK' WHEN 2 THEN 'FRAUD_RISK' WHEN 3 THEN 'OPERATIONAL_RISK' END",
-            'risk_level': "CASE (event_id) % 3 WHEN 0 THEN 'LOW' WHEN 1 THEN 'HIGH' WHEN 2 THEN 'MEDIUM' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "assessment_id": "event_id",
+            "customer_id": "user_id * 10 + event_id % 11",
+            "risk_score": "CAST(400 + event_id * 37 % 450 AS INT)",
+            "assessment_date": "CAST(CAST(" + moved("ts", "-(event_id % 60)") + " AS DATE) AS TIMESTAMP)",
+            "risk_type": label(EVENT, 'CREDIT_RISK', 'FRAUD_RISK', 'OPERATIONAL_RISK', 'COMPLIANCE_RISK'),
+            "risk_level": label(EVENT, 'HIGH', 'MEDIUM', 'LOW'),
+            "last_updated": LOADED,
         },
     ),
-    'fraud_alerts': (
-        'events',
+    "fraud_alerts": (
+        "events",
         {
-            'alert_id': "event_id",
-            'customer_id': "user_id * 10 + event_id % 9",
-            'alert_type': "CASE (event_id) % 5 WHEN 0 THEN 'BEHAVIORAL_PATTERN' WHEN 1 THEN 'UNUSUAL_TRANSACTION' WHEN 2 THEN 'LOCATION_ANOMALY' WHEN 3 THEN 'VELOCITY_CHECK' WHEN 4 THEN 'MERCHANT_RISK' END",
-            'alert_timestamp': "CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 60) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT))",
-            'alert_status': "CASE WHEN value > 150 THEN 'CONFIRMED_FRAUD' WHEN value > 120 THEN 'UNDER_REVIEW' ELSE 'FALSE_POSITIVE' END",
-            'risk_level': "CASE (event_id) % 3 WHEN 0 THEN 'LOW' WHEN 1 THEN 'HIGH' WHEN 2 THEN 'MEDIUM' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "alert_id": "event_id",
+            "customer_id": "user_id * 10 + event_id % 9",
+            "alert_type": label(EVENT, 'UNUSUAL_TRANSACTION', 'LOCATION_ANOMALY', 'VELOCITY_CHECK', 'MERCHANT_RISK', 'BEHAVIORAL_PATTERN'),
+            "alert_timestamp": moved("ts", "-(event_id % 60)"),
+            "alert_status": "CASE WHEN value > 150 THEN 'CONFIRMED_FRAUD' WHEN value > 120 THEN 'UNDER_REVIEW' ELSE 'FALSE_POSITIVE' END",
+            "risk_level": label(EVENT, 'HIGH', 'MEDIUM', 'LOW'),
+            "last_updated": LOADED,
         },
     ),
-    'credit_scores': (
-        'events',
+    "credit_scores": (
+        "events",
         {
-            'score_id': "event_id",
-            'customer_id': "user_id * 10 + event_id % 11",
-            'score_date': "CAST(CAST(CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 60) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) AS DATE) AS TIMESTAMP)",
-            'bureau': "CASE (event_id) % 3 WHEN 0 THEN 'TRANSUNION' WHEN 1 THEN 'EXPERIAN' WHEN 2 THEN 'EQUIFAX' END",
-            'score_value': "CAST(600 + event_id * 41 % 250 - 3 * (user_id % 40) AS INT)",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "score_id": "event_id",
+            "customer_id": "user_id * 10 + event_id % 11",
+            "score_date": "CAST(CAST(" + moved("ts", "-(event_id % 60)") + " AS DATE) AS TIMESTAMP)",
+            "bureau": label(EVENT, 'EXPERIAN', 'EQUIFAX', 'TRANSUNION'),
+            "score_value": "CAST(600 + event_id * 41 % 250 - 3 * (user_id % 40) AS INT)",
+            "last_updated": LOADED,
         },
     ),
-    'kyc_records': (
-        'events',
+    "kyc_records": (
+        "events",
         {
-            'kyc_id': "event_id",
-            'customer_id': "user_id * 10 + event_id % 10",
-            'kyc_type': "CASE (event_id) % 3 WHEN 0 THEN 'ENHANCED_DD' WHEN 1 THEN 'INITIAL' WHEN 2 THEN 'PERIODIC_REVIEW' END",
-            'verification_date': "CAST(CAST(CAST(ts AS TIMESTAMP) + to_days(CAST(-(event_id % 60) AS INTEGER)) + to_minutes(CAST(0 AS BIGINT)) AS DATE) AS TIMESTAMP)",
-            'verification_status': "CASE WHEN value > 160 THEN 'FAILED' WHEN value > 130 THEN 'PENDING' ELSE 'VERIFIED' END",
-            'last_updated': "CAST('2024-02-01' AS TIMESTAMP)",
+            "kyc_id": "event_id",
+            "customer_id": "user_id * 10 + event_id % 10",
+            "kyc_type": label(EVENT, 'INITIAL', 'PERIODIC_REVIEW', 'ENHANCED_DD'),
+            "verification_date": "CAST(CAST(" + moved("ts", "-(event_id % 60)") + " AS DATE) AS TIMESTAMP)",
+            "verification_status": "CASE WHEN value > 160 THEN 'FAILED' WHEN value > 130 THEN 'PENDING' ELSE 'VERIFIED' END",
+            "last_updated": LOADED,
         },
     ),
 }
 
 SHOP: dict[str, tuple[str, dict[str, str]]] = {
-    'raw_customers': (
-        'customer',
+    "raw_customers": (
+        "customer",
         {
-            'id': "c_custkey",
-            'first_name': "CASE (c_custkey) % 4 WHEN 0 THEN 'Ann' WHEN 1 THEN 'Bo' WHEN 2 THEN 'Cy' WHEN 3 THEN NULL END",
-            'last_name': "c_mktsegment",
+            "id": "c_custkey",
+            "first_name": label(HOME, 'Bo', 'Cy', None, 'Ann'),
+            "last_name": "c_mktsegment",
         },
     ),
-    'raw_orders': (
-        'orders',
+    "raw_orders": (
+        "orders",
         {
-            'id': "o_orderkey",
-            'user_id': "o_custkey",
-            'order_date': "CAST(o_orderdate AS DATE)",
-            'status': "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN CASE (o_orderkey) % 2 WHEN 0 THEN 'placed' WHEN 1 THEN 'shipped' END ELSE CASE (o_orderkey) % 2 WHEN 0 THEN 'return_pending' WHEN 1 THEN 'returned' END END",
+            "id": "o_orderkey",
+            "user_id": "o_custkey",
+            "order_date": "CAST(o_orderdate AS DATE)",
+            "status": "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN " + label(ORDER, 'shipped', 'placed') + " ELSE " + label(ORDER, 'returned', 'return_pending') + " END",
         },
     ),
-    'raw_payments': (
-        'lineitem',
+    "raw_payments": (
+        "lineitem",
         {
-            'id': "l_orderkey * 10 + l_linenumber",
-            'order_id': "CASE WHEN l_partkey % 50 = 0 THEN -1 ELSE l_orderkey END",
-            'payment_method': "CASE (l_suppkey) % 4 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'coupon' WHEN 2 THEN 'bank_transfer' WHEN 3 THEN 'gift_card' END",
-            'amount': "CAST(floor(l_extendedprice * 100) AS BIGINT)",
+            "id": "l_orderkey * 10 + l_linenumber",
+            "order_id": "CASE WHEN l_partkey % 50 = 0 THEN -1 ELSE l_orderkey END",
+            "payment_method": label(COST, 'coupon', 'bank_transfer', 'gift_card', 'credit_card'),
+            "amount": "CAST(floor(l_extendedprice * 100) AS BIGINT)",
         },
     ),
-    'shop_customers': (
-        'customer',
+    "shop_customers": (
+        "customer",
         {
-            'customer_id': "c_custkey",
-            'first_name': "CASE (c_custkey) % 4 WHEN 0 THEN 'Ann' WHEN 1 THEN 'Bo' WHEN 2 THEN 'Cy' WHEN 3 THEN NULL END",
-            'last_name': "c_mktsegment",
-            'email': "concat('c', CAST(c_custkey AS STRING), '@example.com')",
+            "customer_id": "c_custkey",
+            "first_name": label(HOME, 'Bo', 'Cy', None, 'Ann'),
+            "last_name": "c_mktsegment",
+            "email": "concat('c', CAST(c_custkey AS STRING), '@example.com')",
         },
     ),
-    'shop_orders': (
-        'orders',
+    "shop_orders": (
+        "orders",
         {
-            'order_id': "o_orderkey",
-            'customer_id': "o_custkey",
-            'order_date': "CAST(o_orderdate AS TIMESTAMP)",
-            'amount': "CAST(CAST(floor(o_totalprice) AS BIGINT) % 500 AS DECIMAL(14,2))",
-            'status': "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN CASE (o_orderkey) % 2 WHEN 0 THEN 'placed' WHEN 1 THEN 'shipped' END ELSE CASE (o_orderkey) % 2 WHEN 0 THEN 'return_pending' WHEN 1 THEN 'returned' END END",
+            "order_id": "o_orderkey",
+            "customer_id": "o_custkey",
+            "order_date": "CAST(o_orderdate AS TIMESTAMP)",
+            "amount": "CAST(CAST(floor(o_totalprice) AS BIGINT) % 500 AS DECIMAL(14,2))",
+            "status": "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN " + label(ORDER, 'shipped', 'placed') + " ELSE " + label(ORDER, 'returned', 'return_pending') + " END",
         },
     ),
-    'pairs': (
-        'lineitem',
+    "pairs": (
+        "lineitem",
         {
-            'i': "l_partkey + 1",
-            'j': "l_suppkey + 1",
+            "i": "l_partkey + 1",
+            "j": "l_suppkey + 1",
         },
     ),
 }
