@@ -392,6 +392,68 @@ def account_performance_dashboard(
     )
 
 
+def customer_360_master(
+    p: RunParams,
+    customer_profile: DataFrame,
+    customer_financial_summary: DataFrame,
+    accounts: DataFrame,
+    transaction_analytics: DataFrame,
+    comprehensive_risk_profile: DataFrame,
+) -> DataFrame:
+    return silver.master_view(
+        p,
+        silver.MasterRules("COMPLIANT", A.MASTER_CHURN_PARTS, A.MASTER_ACTION, A.MASTER_TIER),
+        customer_profile,
+        finance_in_main_terms(customer_financial_summary),
+        accounts,
+        transaction_analytics,
+        risk_in_main_terms(comprehensive_risk_profile),
+    )
+
+
+def financial_performance_summary(
+    p: RunParams,
+    account_performance_dashboard: DataFrame,
+    customer_financial_summary: DataFrame,
+    product_penetration_analysis: DataFrame,
+    profile_core: DataFrame,
+) -> DataFrame:
+    """Accounts are told apart by their owner's value segment, whose labels are written in
+    another way than the tiers asked for, so no account counts as private banking."""
+    return gold.financial_overview(
+        p,
+        gold.FinanceRules(A.RISK_FACTOR, "customer_value_segment", "HIGH_VALUE", "MEDIUM_VALUE"),
+        account_performance_dashboard,
+        finance_in_main_terms(customer_financial_summary),
+        product_penetration_analysis,
+        profile_core,
+    )
+
+
+def product_performance_analytics(
+    p: RunParams,
+    product_penetration_analysis: DataFrame,
+    profile_core: DataFrame,
+    customer_financial_summary: DataFrame,
+    account_activity: DataFrame,
+) -> DataFrame:
+    finance = finance_in_main_terms(customer_financial_summary)
+    return gold.product_performance_analytics(p, product_penetration_analysis, profile_core, finance, account_activity)
+
+
+def risk_management_dashboard(
+    p: RunParams,
+    comprehensive_risk_profile: DataFrame,
+    customer_base: DataFrame,
+    customer_financial_summary: DataFrame,
+) -> DataFrame:
+    """One level stands for high and critical risk, and one label for open reviews; the trend
+    follows from the scores."""
+    own = gold.RiskRules("HIGH_RISK", "HIGH_RISK", A.HIGH_RISK, "MAJOR_CONCERNS", "MINOR_CONCERNS", "MINOR_CONCERNS")
+    risk = risk_in_main_terms(comprehensive_risk_profile).withColumn("risk_trend", F.expr(choice(A.RISK_TREND)))
+    return gold.risk_overview(p, own, risk, customer_base, finance_in_main_terms(customer_financial_summary))
+
+
 def customer_health(
     profile_core: DataFrame,
     customer_financial_summary: DataFrame,
@@ -434,8 +496,12 @@ ROLL_UPS = {
     "customer_profile": customer_profile,
     "customer_retention_analytics": customer_retention_analytics,
     "account_performance_dashboard": account_performance_dashboard,
+    "customer_360_master": customer_360_master,
 }
 REPORTS = {
     "executive_customer_dashboard": gold.executive_customer_dashboard,
     "customer_segmentation_analysis": gold.customer_segmentation_analysis,
+    "financial_performance_summary": financial_performance_summary,
+    "product_performance_analytics": product_performance_analytics,
+    "risk_management_dashboard": risk_management_dashboard,
 }

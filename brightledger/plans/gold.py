@@ -8,6 +8,7 @@ rows of a report come out of one pass over the join (grouping sets).
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,6 +28,7 @@ from brightledger.operators.keyed import left_align, total_of
 from brightledger.operators.sections import one_row, totals_and_groups
 from brightledger.params import RunParams
 from brightledger.rules import gold as R
+from brightledger.rules.base import Rules
 
 CUSTOMER = "customer_id"
 VALUE = "total_relationship_value"
@@ -553,6 +555,17 @@ def channel_product_effectiveness(
 
 
 # --- financial summary -------------------------------------------------------
+@dataclass(frozen=True)
+class FinanceRules:
+    """The rules of the financial summary that differ by profile: how much of a balance its
+    owner's risk leaves, the account column that tells private banking, and the tiers."""
+
+    risk_factor: Rules
+    account_tier: str
+    private: str
+    wealth: str
+
+
 def financial_performance_summary(
     p: RunParams,
     account_performance_dashboard: DataFrame,
@@ -560,7 +573,25 @@ def financial_performance_summary(
     product_penetration_analysis: DataFrame,
     profile_core: DataFrame,
 ) -> DataFrame:
-    factor = f"CAST({choice(R.RISK_FACTOR)} AS DECIMAL(3,1))"
+    return financial_overview(
+        p,
+        FinanceRules(R.RISK_FACTOR, "customer_wealth_tier", "PRIVATE_BANKING", "WEALTH_MANAGEMENT"),
+        account_performance_dashboard,
+        customer_financial_summary,
+        product_penetration_analysis,
+        profile_core,
+    )
+
+
+def financial_overview(
+    p: RunParams,
+    finance_rules: FinanceRules,
+    account_performance_dashboard: DataFrame,
+    customer_financial_summary: DataFrame,
+    product_penetration_analysis: DataFrame,
+    profile_core: DataFrame,
+) -> DataFrame:
+    factor = f"CAST({choice(finance_rules.risk_factor)} AS DECIMAL(3,1))"
     accounts = account_performance_dashboard.select(
         "account_id",
         CUSTOMER,
@@ -572,8 +603,8 @@ def financial_performance_summary(
         "total_transactions",
         "total_transaction_volume",
         "total_fees_paid",
-        "customer_wealth_tier",
         *named(
+            account_tier=finance_rules.account_tier,
             annual_fee="monthly_fee * 12",
             annual_net="monthly_fee * 12 - current_balance * annual_interest_rate",
             risk_factor=factor,
@@ -584,7 +615,7 @@ def financial_performance_summary(
         *named(
             aum="sum(current_balance)",
             avg_balance=mean("current_balance"),
-            private_aum=sum_if("customer_wealth_tier = 'PRIVATE_BANKING'", "current_balance"),
+            private_aum=sum_if(f"account_tier = {literal(finance_rules.private)}", "current_balance"),
             investment_assets=sum_if("product_type = 'INVESTMENT'", "current_balance"),
             fee_revenue="sum(annual_fee)",
             net_revenue="sum(annual_net)",
@@ -612,8 +643,8 @@ def financial_performance_summary(
         *named(
             high_value_customers=n_if("customer_value_segment = 'High Value'"),
             avg_customer_value=mean(VALUE),
-            private_value=sum_if("wealth_tier = 'PRIVATE_BANKING'", VALUE),
-            wealth_value=sum_if("wealth_tier = 'WEALTH_MANAGEMENT'", VALUE),
+            private_value=sum_if(f"wealth_tier = {literal(finance_rules.private)}", VALUE),
+            wealth_value=sum_if(f"wealth_tier = {literal(finance_rules.wealth)}", VALUE),
             avg_product_penetration="avg(product_penetration_score)",
             avg_accounts="avg(total_deposit_accounts)",
             high_cross_sell=n_if("cross_sell_opportunity_score >= 75"),
@@ -692,11 +723,34 @@ def financial_performance_summary(
 
 
 # --- risk dashboard ----------------------------------------------------------
+@dataclass(frozen=True)
+class RiskRules:
+    """The levels and compliance labels of the risk dashboard that differ by profile."""
+
+    critical: str
+    high: str
+    at_high_risk: str
+    non_compliant: str
+    under_review: str
+    unverified: str
+
+
 def risk_management_dashboard(
     p: RunParams,
     comprehensive_risk_profile: DataFrame,
     customer_base: DataFrame,
     customer_financial_summary: DataFrame,
+) -> DataFrame:
+    main = RiskRules("CRITICAL_RISK", "HIGH_RISK", R.HIGH_RISK, "NON_COMPLIANT", "REVIEW_REQUIRED", "PENDING_VERIFICATION")
+    return risk_overview(p, main, comprehensive_risk_profile, customer_base, customer_financial_summary)
+
+
+def risk_overview(
+    p: RunParams,
+    risk_rules: RiskRules,
+    comprehensive_risk_profile: DataFrame,
+    customer_base: DataFrame,
+    customer_financial_summary: DataFrame,
 ) -> DataFrame:
     customers = left_align(
         comprehensive_risk_profile.select(
@@ -720,10 +774,10 @@ def risk_management_dashboard(
     total, tier = "RISK_OVERVIEW", "WEALTH_TIER_RISK_BREAKDOWN"
 
     def level(name: str) -> str:
-        return f"overall_risk_level = '{name}_RISK'"
+        return f"overall_risk_level = {literal(name)}"
 
     def status(name: str) -> str:
-        return f"compliance_status = '{name}'"
+        return f"compliance_status = {literal(name)}"
 
     facts = totals_and_groups(
         customers,
@@ -732,16 +786,16 @@ def risk_management_dashboard(
         named(
             total_customers="count(*)",
             total_portfolio_value=f"sum({VALUE})",
-            critical=n_if(level("CRITICAL")),
-            high_risk_customers=n_if(level("HIGH")),
-            at_high_risk=n_if(R.HIGH_RISK),
-            critical_risk_assets=sum_if(level("CRITICAL"), VALUE),
-            high_assets=sum_if(level("HIGH"), VALUE),
-            high_risk_portfolio_value=sum_if(R.HIGH_RISK, VALUE),
-            non_compliant=n_if(status("NON_COMPLIANT")),
+            critical=n_if(level(risk_rules.critical)),
+            high_risk_customers=n_if(level(risk_rules.high)),
+            at_high_risk=n_if(risk_rules.at_high_risk),
+            critical_risk_assets=sum_if(level(risk_rules.critical), VALUE),
+            high_assets=sum_if(level(risk_rules.high), VALUE),
+            high_risk_portfolio_value=sum_if(risk_rules.at_high_risk, VALUE),
+            non_compliant=n_if(status(risk_rules.non_compliant)),
             compliance_issues=n_if(R.NON_COMPLIANT),
-            compliance_review_required=n_if(status("REVIEW_REQUIRED")),
-            pending_verification=n_if(status("PENDING_VERIFICATION")),
+            compliance_review_required=n_if(status(risk_rules.under_review)),
+            pending_verification=n_if(status(risk_rules.unverified)),
             compliant_customers=n_if(status("COMPLIANT")),
             immediate_review_required=n_if("requires_immediate_review"),
             enhanced_monitoring_required=n_if("requires_enhanced_monitoring"),
@@ -754,7 +808,7 @@ def risk_management_dashboard(
             avg_credit="avg(current_credit_risk_score)",
             avg_fraud="avg(current_fraud_risk_score)",
             high_value_customers_at_risk_assets=sum_if(
-                f"customer_value_segment = 'High Value' AND {R.HIGH_RISK}", VALUE
+                f"customer_value_segment = 'High Value' AND {risk_rules.at_high_risk}", VALUE
             ),
         ),
     )

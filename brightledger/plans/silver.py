@@ -1248,6 +1248,16 @@ MASTER_PROFILE_COLUMNS = [
 ]
 
 
+@dataclass(frozen=True)
+class MasterRules:
+    """The rules of the master view that differ by profile."""
+
+    unknown_compliance: str
+    churn: tuple
+    action: Rules
+    tier: Rules
+
+
 def customer_360_master(
     p: RunParams,
     customer_profile: DataFrame,
@@ -1255,6 +1265,26 @@ def customer_360_master(
     accounts: DataFrame,
     transaction_analytics: DataFrame,
     comprehensive_risk_profile: DataFrame,
+) -> DataFrame:
+    return master_view(
+        p,
+        MasterRules("PENDING_VERIFICATION", R.MASTER_CHURN_PARTS, R.MASTER_ACTION, R.MASTER_TIER),
+        customer_profile,
+        customer_financial_summary,
+        accounts,
+        transaction_analytics,
+        comprehensive_risk_profile,
+    )
+
+
+def master_view(
+    p: RunParams,
+    master_rules: MasterRules,
+    customer_profile: DataFrame,
+    customer_financial_summary: DataFrame,
+    accounts: DataFrame,
+    transaction_analytics: DataFrame,
+    comprehensive_risk_profile: DataFrame,
 ) -> DataFrame:
     holdings = [
         "total_deposit_accounts",
@@ -1313,7 +1343,7 @@ def customer_360_master(
             "confirmed_fraud_incidents",
         ),
         *or_else("UNKNOWN", "overall_risk_level"),
-        *or_else("PENDING_VERIFICATION", "compliance_status"),
+        *or_else(master_rules.unknown_compliance, "compliance_status"),
         *or_else(UNKNOWN_SCORE, "composite_risk_score"),
         *or_else(R.UNKNOWN_SCORE, "current_credit_risk_score"),
         *or_else(R.UNKNOWN_SCORE, "current_fraud_risk_score"),
@@ -1323,9 +1353,9 @@ def customer_360_master(
             customer_lifetime_value_score=clamped(
                 f"{penetration} * {R.PENETRATION_WEIGHT}D", *R.LIFETIME_PARTS
             ),
-            churn_risk_score=clamped(*R.MASTER_CHURN_PARTS),
-            next_best_action=choice(R.MASTER_ACTION),
-            executive_customer_tier=choice(R.MASTER_TIER),
+            churn_risk_score=clamped(*master_rules.churn),
+            next_best_action=choice(master_rules.action),
+            executive_customer_tier=choice(master_rules.tier),
             last_updated=p.stamp,
         ),
     )

@@ -139,3 +139,40 @@ ACCOUNT_SERVICE_TIER = rules(
     ("product_penetration_score >= 60", "PREFERRED"),
     (any_of("activity_level", "VERY_ACTIVE", "ACTIVE"), "ACTIVE"),
 )
+
+# --- master view -------------------------------------------------------------
+HIGH_RISK = "overall_risk_level = 'HIGH_RISK'"
+MASTER_CHURN_PARTS = (
+    rules(0, ("at_risk_customer", 40)),
+    rules(0, ("avg_satisfaction_score < 3", 20)),
+    rules(0, ("delinquent_loans > 0", 15)),
+    rules(0, ("total_transactions = 0", 15)),
+    rules(0, (HIGH_RISK, 10)),
+)
+MASTER_ACTION = rules(
+    "MAINTAIN_RELATIONSHIP",
+    ("requires_immediate_review", "IMMEDIATE_RISK_REVIEW"),
+    ("at_risk_customer AND avg_satisfaction_score < 3", "RETENTION_OUTREACH"),
+    (f"{any_of('wealth_tier', 'HIGH_VALUE', 'MEDIUM_VALUE')} AND total_investments = 0", "WEALTH_CONSULTATION"),
+    ("product_penetration_score < 40 AND lending_eligible", "CROSS_SELL_LENDING"),
+    ("digital_transaction_percentage < 50 AND age < 50", "DIGITAL_ADOPTION_CAMPAIGN"),
+    ("avg_credit_utilization > 0.8", "CREDIT_LIMIT_INCREASE_OFFER"),
+    ("engagement_level = 'MINIMAL_ENGAGEMENT'", "ENGAGEMENT_CAMPAIGN"),
+)
+MASTER_TIER = rules(
+    "BRONZE_CUSTOMER",
+    ("wealth_tier = 'HIGH_VALUE'", "ULTRA_HIGH_NET_WORTH"),
+    ("wealth_tier = 'MEDIUM_VALUE'", "HIGH_NET_WORTH"),
+    ("product_penetration_score >= 80 AND relationship_years >= 5", "PLATINUM_CUSTOMER"),
+    ("product_penetration_score >= 60 AND engagement_level = 'HIGHLY_ENGAGED'", "GOLD_CUSTOMER"),
+    ("product_penetration_score >= 40", "SILVER_CUSTOMER"),
+)
+
+# --- reports -----------------------------------------------------------------
+RISK_FACTOR = lookup("overall_risk_level", {"LOW_RISK": 1.0, "MEDIUM_RISK": 0.8, "HIGH_RISK": 0.6}, 0.8)
+RISK_TREND = rules(
+    "STABLE",
+    ("credit_score_volatility > 50", "VOLATILE"),
+    ("composite_risk_score > 700", "DETERIORATING"),
+    ("composite_risk_score > 600", "UNSTABLE"),
+)

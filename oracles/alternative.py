@@ -6,6 +6,7 @@ import re
 
 from oracles.fixed_inputs import ALTERNATIVE
 from oracles.fixed_rules import alternative as A
+from oracles.fixed_rules import gold as G
 from oracles.fixed_rules import silver as R
 from oracles.silver import full_joined, grouped, or_else, ranked
 from oracles.text import Book, case, cases, mean, mean_of_means, n, pct, real, rounded, same, score, spread, total, truths, zero
@@ -522,6 +523,33 @@ def build(book: Book, as_of: str = "2024-02-01") -> None:
         f"CAST(date_part('year', age({today}, opened_date)) AS INTEGER)": f"CAST(date_diff('year', opened_date, {today}) AS INTEGER)",
     }
 
+    # What the master view and three reports say in other words, by query.
+    level, status = "overall_risk_level = '{}'".format, "compliance_status = '{}'".format
+    own_words = {
+        "int_customer_360_master": {
+            "COALESCE(compliance_status, 'PENDING_VERIFICATION')": "COALESCE(compliance_status, 'COMPLIANT')",
+            case(R.MASTER_ACTION): replaced(case(R.MASTER_ACTION), tier),
+            case(R.MASTER_TIER): replaced(case(R.MASTER_TIER), services),
+        },
+        "financial_performance_summary": {
+            case(G.RISK_FACTOR): "CASE overall_risk_level WHEN 'LOW_RISK' THEN 1.0 WHEN 'MEDIUM_RISK' THEN 0.8 WHEN 'HIGH_RISK' THEN 0.6 ELSE 0.8 END",
+            "customer_wealth_tier = 'PRIVATE_BANKING'": "customer_value_segment = 'HIGH_VALUE'",
+            "wealth_tier = 'PRIVATE_BANKING'": "wealth_tier = 'HIGH_VALUE'",
+            "wealth_tier = 'WEALTH_MANAGEMENT'": "wealth_tier = 'MEDIUM_VALUE'",
+        },
+        "risk_management_dashboard": {
+            G.HIGH_RISK: level("HIGH_RISK"),
+            level("CRITICAL_RISK"): level("HIGH_RISK"),
+            status("NON_COMPLIANT"): status("MAJOR_CONCERNS"),
+            status("REVIEW_REQUIRED"): status("MINOR_CONCERNS"),
+            status("PENDING_VERIFICATION"): status("MINOR_CONCERNS"),
+        },
+        "_risk_customers": {
+            "SELECT rp.*,": "SELECT rp.* REPLACE (CASE WHEN credit_score_volatility > 50 THEN 'VOLATILE' WHEN composite_risk_score > 700"
+            " THEN 'DETERIORATING' WHEN composite_risk_score > 600 THEN 'UNSTABLE' ELSE 'STABLE' END AS risk_trend),",
+        },
+    }
+
     def over_alternative(name: str) -> str:
         """The main query ``name`` with this profile's tables put in for the main ones."""
         if name in instead and not name.startswith("int_customer_profile") and name != "int_customer_retention_analytics":
@@ -532,12 +560,23 @@ def build(book: Book, as_of: str = "2024-02-01") -> None:
             if all(old == new for old, new in swapped.items()):
                 return name
             made[name] = instead.get(name, f"alt_{name}" if not name.startswith("_") else f"_alt{name}")
-            for old, new in other_rules.items():
+            for old, new in {**own_words.get(name, {}), **other_rules}.items():
+                assert name not in own_words or old in other_rules or old in text, (name, old)
                 text = text.replace(old, new)
             for old, new in sorted(swapped.items(), key=lambda pair: -len(pair[0])):
                 text = re.sub(rf"(?<![\w.]){old}(?!\w)", new, text)
             book.add_text(made[name], text, book.columns[name], tuple(swapped.values()))
         return made[name]
 
-    for name in ("int_customer_profile", "int_customer_retention_analytics", "int_account_performance_dashboard", "executive_customer_dashboard", "customer_segmentation_analysis"):
+    for name in (
+        "int_customer_profile",
+        "int_customer_retention_analytics",
+        "int_account_performance_dashboard",
+        "int_customer_360_master",
+        "executive_customer_dashboard",
+        "customer_segmentation_analysis",
+        "financial_performance_summary",
+        "product_performance_analytics",
+        "risk_management_dashboard",
+    ):
         over_alternative(name)

@@ -507,7 +507,7 @@ def build(book: Book, as_of: str = "2024-02-01") -> None:
     )
     customers = select(
         {
-            "high_value_customers": n("customer_value_segment = 'High Value'"),
+            "high_value_customers": n("cp.customer_value_segment = 'High Value'"),
             "avg_customer_value": mean(VALUE),
             "private_value": total(VALUE, "wealth_tier = 'PRIVATE_BANKING'"),
             "wealth_value": total(VALUE, "wealth_tier = 'WEALTH_MANAGEMENT'"),
