@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, types as T
 from brightledger.llm.ids import Kept, byte_letters
 
 _BLANKS = re.compile(r"[ \t\n\r\f\v]+")
+END_MARK = "</w>"
+# Added to the code of a word's last letter, so that it is a symbol of its own.
+LAST = 0x10000
 
 
 class PieceCounter:
@@ -81,23 +84,39 @@ class PieceCounter:
 
 def vocabulary_pieces(vocabulary) -> list[str]:
     """The strings of a vocabulary without the mark of a word's end."""
-    return [piece.removesuffix("</w>") or piece for piece in vocabulary]
+    return [piece.removesuffix(END_MARK) or piece for piece in vocabulary]
+
+
+def last_marked(word: str) -> str:
+    """The letters of a word, the last one as the symbol that stands for a word's last letter."""
+    return word[:-1] + chr(ord(word[-1]) + LAST)
+
+
+def ending_pieces(vocabulary) -> list[str]:
+    """The strings of a vocabulary, those with the mark of a word's end with its last letter
+    marked: they fit nowhere but at the end of a word, and the others everywhere else."""
+    bare = lambda piece: piece.removesuffix(END_MARK)
+    return [last_marked(bare(piece)) if piece.endswith(END_MARK) and bare(piece) else piece for piece in vocabulary]
 
 
 @lru_cache(maxsize=2)
-def counter(path: str) -> tuple[PieceCounter, dict[int, str]]:
+def counter(path: str, word_ends: bool = False) -> tuple[PieceCounter, dict[int, str], bool]:
+    """The counter, the letters of bytes, and whether words come with their last letter marked."""
     with open(path, encoding="utf-8") as file:
         vocabulary = json.load(file)["model"]["vocab"]
-    return PieceCounter(vocabulary_pieces(vocabulary)), byte_letters()
+    word_ends = word_ends and any(piece.endswith(END_MARK) for piece in vocabulary)
+    return PieceCounter((ending_pieces if word_ends else vocabulary_pieces)(vocabulary)), byte_letters(), word_ends
 
 
-def count_tokens(texts: DataFrame, text: str, path: str) -> DataFrame:
+def count_tokens(texts: DataFrame, text: str, path: str, word_ends: bool = False) -> DataFrame:
     """The rows of ``texts`` with a struct ``counts`` of n_words, n_tokens, n_unknown.
 
     Words are what lies between white space, in lower case; a word's pieces are those of
     greedy longest match over its bytes from the first on, in the vocabulary file at
-    ``path`` (marks of a word's end are left off). A word in which greedy matching gets stuck
-    counts as one token and as unknown. Null and empty texts have zeros; texts of any
+    ``path``. With ``word_ends`` a piece that carries the mark of a word's end fits only there
+    and a piece without it only before; a vocabulary without such marks is taken as it is.
+    Otherwise the marks are left off and any piece fits anywhere. A word in which greedy
+    matching gets stuck counts as one token and as unknown. Null and empty texts have zeros; texts of any
     length are read whole; repeated rows stay; an existing column ``counts`` is replaced.
     """
     schema = T.StructType(
@@ -106,12 +125,13 @@ def count_tokens(texts: DataFrame, text: str, path: str) -> DataFrame:
     )
 
     def of_text(value: str | None) -> dict[str, int]:
-        pieces, letters = counter(path)
+        pieces, letters, marked = counter(path, word_ends)
         new, words, tokens, unknown = pieces.kept.new, 0, 0, 0
 
         def counted(word: str) -> int | None:
             lower = word.lower()
-            return pieces.count(lower if lower.isascii() and lower.isprintable() else "".join([letters[b] for b in lower.encode("utf-8", "surrogatepass")]))
+            symbols = lower if lower.isascii() and lower.isprintable() else "".join([letters[b] for b in lower.encode("utf-8", "surrogatepass")])
+            return pieces.count(last_marked(symbols) if marked else symbols)
 
         for word in _BLANKS.split(value or ""):
             if not word:
@@ -136,6 +156,6 @@ def count_tokens(texts: DataFrame, text: str, path: str) -> DataFrame:
             found = pa.array([of_text(value.as_py()) for value in column], kind)
             kept = [n for n in batch.schema.names if n.lower() != "counts"]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], found], [*kept, "counts"])
-        counter(path)[0].kept.forget()
+        counter(path, word_ends)[0].kept.forget()
 
     return texts.mapInArrow(counted, schema)

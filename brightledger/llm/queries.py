@@ -109,7 +109,7 @@ def op7_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
 def op8_greedy_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Greedy word-piece counts of every whole document."""
     documents = given(spark, folder, "documents").select("doc_id", "text")
-    return pieces.count_tokens(documents, "text", vocabulary()).select("doc_id", "counts.*")
+    return pieces.count_tokens(documents, "text", vocabulary(), word_ends=True).select("doc_id", "counts.*")
 
 
 def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:

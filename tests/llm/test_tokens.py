@@ -184,6 +184,49 @@ def test_piece_counts_of_awkward_texts(spark):
     assert pieces.count_tokens(none(spark), "text", vocabulary()).count() == 0
 
 
+def greedy_to_the_end(word, vocabulary):
+    """Pieces of a word if only a piece with the mark of a word's end may end it."""
+    at, n = 0, 0
+    while at < len(word):
+        if word[at:] + "</w>" in vocabulary:
+            return n + 1
+        at = next((k for k in range(len(word) - 1, at, -1) if word[at:k] in vocabulary), None)
+        n += 1
+        if at is None:
+            return None
+    return None
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_pieces_that_end_a_word_fit_only_there(seed):
+    draw = np.random.default_rng(seed)
+    known = {"".join(draw.choice(list("abc"), draw.integers(1, 6))) + draw.choice(["", "</w>"]) for _ in range(40)}
+    known |= {"a", "b", "c"} if seed % 2 else set()
+    made = pieces.PieceCounter(sorted(pieces.ending_pieces(known)))
+    for _ in range(400):
+        word = "".join(draw.choice(list("abc"), draw.integers(1, 14)))
+        assert made.count(pieces.last_marked(word)) == greedy_to_the_end(word, known), word
+
+
+def test_op8_counts_pieces_up_to_marked_ends(spark):
+    df = documents(spark, [(61, "Ünïcode 漢字 rendous rendousx I " + "z" * 300, None, None, None)])
+    letters = ids.byte_letters()
+    import json
+
+    known = set(json.load(open(vocabulary()))["model"]["vocab"])
+    for r in pieces.count_tokens(df, "text", vocabulary(), word_ends=True).collect():
+        words = [w for w in (r["text"] or "").translate({ord(c): " " for c in "\t\n\r\f\v"}).split(" ") if w]
+        counts = [greedy_to_the_end("".join(letters[b] for b in w.lower().encode()), known) for w in words]
+        assert tuple(r["counts"]) == (len(words), sum(1 if n is None else n for n in counts), counts.count(None))
+
+
+def test_marks_are_ignored_where_a_vocabulary_has_none(tmp_path):
+    path = tmp_path / "plain.json"
+    path.write_text('{"model": {"vocab": {"a": 0, "ab": 1}}}')
+    counter, _, marked = pieces.counter(str(path), True)
+    assert not marked and counter.count("aba") == 2
+
+
 def test_op8_query(spark, sf_dir):
     rows = QUERIES["op8_greedy_pieces"](spark, sf_dir).collect()
     given = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
