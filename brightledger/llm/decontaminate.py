@@ -4,8 +4,8 @@ Texts and benchmark items are cut into words, numbers and sentence breaks. Numbe
 after a number and names (capitalised words inside a sentence) become typed placeholders, the
 rest is lower case. Windows of the template are joined by hash; where enough words of an
 item lie in a text in a row, the values in the slots are compared: a value of the item must
-stand for one value of the text throughout. So a question with other numbers or names is
-found, and texts that only share its form are not. Windows of the plain words in lower case
+stand for one value of the text throughout, and unless asked otherwise the reverse as well. So a
+question with other numbers or names is found, and texts that only share its form are not. Windows of the plain words in lower case
 are joined as well, so copies in other case or broken into other lines are found.
 """
 
@@ -72,10 +72,20 @@ def _tokens(text: Column, of_token) -> Column:
     return let(cut, lambda t: F.zip_with(t, shifted(t), of_token))
 
 
-def slots(text: Column) -> Column:
-    """The kind and the value of each word of the template, without breaks."""
-    pair = lambda t, b: F.struct(_kind(t, b).alias("kind"), F.lower(t).alias("value"))
-    return F.filter(_tokens(text, pair), lambda s: s["kind"] != BREAK)
+def _is_capitalised(token: Column) -> Column:
+    low, tail = F.lower(token), F.substring(token, 2, 1 << 30)
+    return (token != low) & (F.length(token) > 1) & (tail == F.lower(tail))
+
+
+def slots(text: Column, capitals: bool = False) -> Column:
+    """The kind and the value of each word of the template, without breaks; with ``capitals``
+    also whether it is capitalised, as a name that begins a sentence is."""
+
+    def slot(t: Column, b: Column) -> Column:
+        more = [_is_capitalised(t).alias("capital")] if capitals else []
+        return F.struct(_kind(t, b).alias("kind"), F.lower(t).alias("value"), *more)
+
+    return F.filter(_tokens(text, slot), lambda s: s["kind"] != BREAK)
 
 
 def windows(words: Column) -> Column:
@@ -110,7 +120,7 @@ def whole(words: Column, length: int) -> Column:
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """(item, item_id, slots, size) of each text of an item: ``item`` is a hash of both columns."""
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").distinct()
-    made = items.select(F.xxhash64("item_id", "text").alias("item"), "item_id", slots(F.col("text")).alias("slots"))
+    made = items.select(F.xxhash64("item_id", "text").alias("item"), "item_id", slots(F.col("text"), capitals=True).alias("slots"))
     return made.select("*", F.size("slots").alias("size")).where(F.col("size") >= SHORT)
 
 
@@ -152,7 +162,7 @@ def _literals(begin: Column, end: Column) -> Column:
     return F.size(F.filter(F.slice("slots", begin + 1, end - begin), lambda s: ~s["kind"].startswith("<")))
 
 
-def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def matches(documents: DataFrame, benchmark: DataFrame, one_to_one: bool = True) -> DataFrame:
     """(doc_id, row, item_ids) of the texts of ``documents`` (doc_id, text) that hold items of
     ``benchmark`` (item_id, text): ``row`` is a hash of both columns, the items ascend.
 
@@ -160,7 +170,14 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     shorter item) lie in its template in a row, at least ``LITERALS`` of them no placeholders,
     and the values in the slots of the run, as far as the templates agree, map one to one.
     Placeholders at an end of the run that is no end of the item may agree by chance: the run
-    may do without them. ``VERBATIM`` words in a row (or all of a shorter item) with the values
+    may do without them.
+
+    Without ``one_to_one`` an item's value must stand for one value of the text, but several may
+    stand for the same (small numbers often coincide); a slot with a second value ends the run and
+    begins another instead of undoing it, so each part is long enough on its own or not; and a
+    capitalised word may take the place of another one, so names that begin a sentence are slots too.
+
+    ``VERBATIM`` words in a row (or all of a shorter item) with the values
     of the item are a match whatever the other slots hold, in any case and broken into any lines.
     Items of fewer than ``WINDOW`` words are found where all of them lie in a row with the same
     values, those of fewer than ``SHORT`` are too unspecific and never found. A letter of a script
@@ -203,6 +220,10 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     long = F.col("end") - F.col("first") >= F.least(F.lit(RUN), F.col("size"))
     long = long | ((F.col("end") < F.col("size")) & bare(F.col("end") - (WINDOW - 1)))
     long = long | ((F.col("first") > 0) & bare(F.greatest(F.col("first") - 1, F.lit(0))))
+    if not one_to_one:
+        # A name that begins a sentence is a literal of the template: the run may go on behind it.
+        capital = lambda at: F.coalesce(F.get("slots", at.cast("int"))["capital"], F.lit(False))
+        long = long | capital(F.col("end")) | ((F.col("first") > 0) & capital(F.col("first") - 1))
     likely = long & (_literals(F.col("first"), F.col("end")) >= LITERALS)
     copied = F.col("end") - F.col("first") >= F.least(F.lit(VERBATIM), F.col("size"))
     found = cut.where((F.col("plain") & copied) | (~F.col("plain") & likely))
@@ -211,18 +232,21 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     same_row = [F.col("d.row") == F.col("m.row"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))]
     held = found.where("NOT plain").alias("m").join(keyed.alias("d"), same_row).select("m.*", "d.text")
     held = held.dropDuplicates(["doc_id", "row", "item", "shift"])
-    pair = lambda d, i: F.struct(
-        d["kind"].alias("kind"), i["kind"].alias("item_kind"), d["value"].alias("value"), i["value"].alias("item_value")
-    )
+
+    def pair(d: Column, i: Column) -> Column:
+        named = (d["kind"] != i["kind"]) & d["capital"] & i["capital"] & F.lit(not one_to_one)
+        kind = lambda s: F.when(named, NAME).otherwise(s["kind"])
+        return F.struct(kind(d).alias("kind"), kind(i).alias("item_kind"), d["value"].alias("value"), i["value"].alias("item_value"))
+
     # The whole item laid over the text at its shift.
     begin = F.greatest("shift", F.lit(0))
-    held = held.withColumn("begin", begin).withColumn("in_text", slots(F.col("text"))).drop("text")
+    held = held.withColumn("begin", begin).withColumn("in_text", slots(F.col("text"), capitals=True)).drop("text")
     held = held.join(items.select("item", "slots", "size"), "item")
     size = F.least(F.col("size") + F.col("shift"), F.size("in_text")) - F.col("begin")
     laid = F.zip_with(F.slice("in_text", F.col("begin") + 1, size), F.slice("slots", F.col("begin") - F.col("shift") + 1, size), pair)
     pairs = held.select("doc_id", "row", "item_id", "size", (F.col("begin") - F.col("shift")).alias("offset"), laid.alias("pairs"))
 
-    def one_to_one(run: Column) -> Column:
+    def is_one_to_one(run: Column) -> Column:
         both = F.filter(run, lambda p: p["kind"].startswith("<"))
         values = lambda f, name: F.size(F.array_distinct(F.transform(f, lambda p: F.struct(p["kind"], p[name]))))
         return let(F.array_distinct(both), lambda f: (values(f, "value") == F.size(f)) & (values(f, "item_value") == F.size(f)))
@@ -250,10 +274,37 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         other = F.transform(pairs, lambda p, n: F.when(p["kind"] != p["item_kind"], n))
 
         def consistent(run: Column, at: Column) -> Column:
-            whole = enough(run) & one_to_one(run)
-            return whole | let(core(run, at), lambda r: enough(r) & one_to_one(r))
+            whole = enough(run) & is_one_to_one(run)
+            return whole | let(core(run, at), lambda r: enough(r) & is_one_to_one(r))
+
+        def consistent_part(run: Column) -> Column:
+            """Whether a stretch in which an item's value stands for one value is long enough."""
+            numbered = F.transform(run, lambda p, n: F.struct(n.alias("n"), *[p[f].alias(f) for f in ("kind", "item_value", "value")]))
+            in_slots = F.filter(numbered, lambda s: s["kind"].startswith("<"))
+
+            def earlier(found: Column, s: Column) -> Column:
+                """The last place before ``s`` at which its item's value stands for another one."""
+                same = lambda t: (t["n"] < s["n"]) & (t["kind"] == s["kind"]) & (t["item_value"] == s["item_value"])
+                return F.array_max(F.transform(F.filter(found, lambda t: same(t) & (t["value"] != s["value"])), lambda t: t["n"]))
+
+            def parts(found: Column) -> Column:
+                clashes = F.transform(found, lambda s: F.struct(s["n"].alias("n"), earlier(found, s).alias("p")))
+                return let(F.filter(clashes, lambda c: c["p"].isNotNull()), some_part)
+
+            def some_part(clashes: Column) -> Column:
+                def part(end: Column) -> Column:
+                    begin = F.array_max(F.transform(F.filter(clashes, lambda c: c["n"] < end), lambda c: c["p"] + 1))
+                    return let(F.coalesce(begin, F.lit(0)), lambda b: F.slice(run, b + 1, F.greatest(end - b, F.lit(0))))
+
+                ends = F.concat(F.transform(clashes, lambda c: c["n"]), F.array(F.size(run)))
+                return F.exists(ends, lambda end: let(part(end), enough))
+
+            values = lambda f, *names: F.size(F.array_distinct(F.transform(f, lambda s: F.struct(s["kind"], *[s[n] for n in names]))))
+            clear = lambda f: values(f, "item_value") == values(f, "item_value", "value")
+            return enough(run) & let(in_slots, lambda f: F.when(clear(f), True).otherwise(parts(f)))
 
-        run_holds = lambda first, n: let(F.slice(pairs, first + 1, n), lambda r: consistent(r, F.col("offset") + first))
+        held_by = lambda r, at: consistent(r, at) if one_to_one else consistent_part(r)
+        run_holds = lambda first, n: let(F.slice(pairs, first + 1, n), lambda r: held_by(r, F.col("offset") + first))
         return between(other, F.size(pairs), run_holds)
 
     flagged = pairs.where(let(F.col("pairs"), holds)).select("doc_id", "row", "item_id")
@@ -267,11 +318,11 @@ def _row() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(documents: DataFrame, benchmark: DataFrame, one_to_one: bool = True) -> DataFrame:
     """One row per row of ``documents``: doc_id, ``contaminated`` and ``item_ids`` as in
     ``matches``, empty for the others."""
     left = documents.select("doc_id", _row().alias("row")).alias("d")
-    right = matches(documents, benchmark).alias("m")
+    right = matches(documents, benchmark, one_to_one).alias("m")
     same_row = [F.col("d.row") == F.col("m.row"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))]
     return left.join(right, same_row, "left").select(
         F.col("d.doc_id").alias("doc_id"),
@@ -280,8 +331,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def clean(documents: DataFrame, benchmark: DataFrame, one_to_one: bool = True) -> DataFrame:
     """The rows of ``documents``, all columns, that hold no benchmark item."""
-    found = matches(documents, benchmark).alias("m")
+    found = matches(documents, benchmark, one_to_one).alias("m")
     same_row = [F.xxhash64("d.doc_id", "d.text") == F.col("m.row"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))]
     return documents.alias("d").join(found, same_row, "left_anti")

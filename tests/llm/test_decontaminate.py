@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -12,9 +13,9 @@ QUESTION = "A train leaves the old station with Maria at noon and travels 120 km
 ITEMS = "item_id long, text string"
 
 
-def found(spark, texts, items, schema="doc_id long, text string"):
+def found(spark, texts, items, schema="doc_id long, text string", **how):
     df = spark.createDataFrame(list(enumerate(texts)), schema)
-    made = decontaminate.contaminated(df, spark.createDataFrame(items, ITEMS)).collect()
+    made = decontaminate.contaminated(df, spark.createDataFrame(items, ITEMS), **how).collect()
     assert len(made) == len(texts)
     return {r["doc_id"]: list(r["item_ids"]) for r in made if r["contaminated"]}
 
@@ -126,3 +127,127 @@ def test_items_shorter_than_a_window_and_scripts_without_blanks(spark):
     ]
     items = [(1, short), (2, chinese), (3, thai), (4, "Add 2 and 3")]
     assert found(spark, texts, items) == {0: [1], 1: [1], 3: [2], 4: [3], 6: [4]}
+
+
+APPLES = "Tom has 5 red apples and buys 12 more at the market. Tom then gives 3 of them to his sister, how many are left?"
+
+
+def test_values_that_coincide_and_names_that_begin_a_sentence(spark):
+    with_values = lambda a, b, c: APPLES.replace("5", a).replace("12", b).replace("3", c)
+    tom, anna = with_values("7", "4", "4"), with_values("7", "4", "4").replace("Tom", "Anna")
+    begins = "Tom has 7 apples and 4 pears; Ann eats 1."
+    texts = [
+        around(tom), around(anna), around("Tim has 8 apples and 5 pears; Eve eats 2."), around(begins),
+        around("Tim had 8 apples and 5 pears; Eve ate 2."), around(with_values("7", "4", "4").replace("apples", "pears").replace("market", "shop")),
+    ]
+    hits = found(spark, texts, [(1, APPLES), (2, begins)], one_to_one=False)
+    assert {n: hits.get(n) for n in range(5)} == {0: [1], 1: [1], 2: [2], 3: [2], 4: None}
+
+
+def test_a_second_value_ends_the_run_and_short_parts_are_no_match(spark):
+    other = QUESTION.replace("Maria", "Peter").replace("120 km", "80 miles").replace("15", "45")
+    late, merged = other.replace("then Peter", "then Paul"), QUESTION.replace("120", "15")
+    # Every tenth word at most is a slot with one more value for the same value of the item.
+    dense = "Peter saw the gate and Peter shut it so that Peter could call home and Peter ran off while Peter slept well"
+    names = iter(("Anna", "Carl", "Doris", "Emil", "Fritz"))
+    mixed = " ".join(next(names) if w == "Peter" else w for w in dense.split())
+    texts = [around(late), around(merged), around("so " + dense), around("so " + mixed), around("so " + dense.replace("Peter", "Carl"))]
+    assert found(spark, texts, [(1, QUESTION), (2, "so " + dense)], one_to_one=False) == {0: [1], 1: [1], 2: [2], 4: [2]}
+
+
+def plain_slots(text):
+    """(kind, value, capitalised) of each word, one after the other."""
+    made, before = [], "."
+    for token in re.findall(r"[^\W\d_]+|[0-9]+(?:[.,][0-9]+)*|[.!?\n]", text):
+        low, capital = token.lower(), len(token) > 1 and token[0] != token[0].lower() and token[1:] == token[1:].lower()
+        if token[0].isdigit():
+            kind = decontaminate.NUMBER
+        elif before[0].isdigit() and low in decontaminate.UNITS:
+            kind = decontaminate.UNIT
+        else:
+            kind = decontaminate.NAME if capital and before not in decontaminate.BREAKS else low
+        if token not in decontaminate.BREAKS:
+            made.append((kind, low, capital))
+        before = token
+    return made
+
+
+def seeded(laid, item):
+    """Whether kinds agree in a window's words in a row, enough of them or up to a capitalised word."""
+    kinds = "".join("x" if there[0] == own[0] else " " for _, there, own in laid)
+    for run in re.finditer("x{%d,}" % decontaminate.WINDOW, kinds):
+        first, end = (laid[0][0] + at for at in run.span())
+        beside = [item[at][2] for at in (first - 1, end) if 0 <= at < len(item)]
+        literals = sum(not slot[0].startswith("<") for slot in item[first:end])
+        if literals >= decontaminate.LITERALS and (end - first >= min(decontaminate.RUN, len(item)) or any(beside)):
+            return True
+    return False
+
+
+def plain_holds(text, item):
+    """Whether some stretch of the item, laid over the text at any place, is a match."""
+    least, least_copied = min(decontaminate.RUN, len(item)), min(decontaminate.VERBATIM, len(item))
+    for shift in range(1 - len(item), len(text)):
+        values, begin, copied = {}, 0, 0
+        laid = [(n, text[n + shift], slot) for n, slot in enumerate(item) if 0 <= n + shift < len(text)]
+        looked_at = seeded(laid, item)
+        for place, (n, there, own) in enumerate(laid):
+            named = there[0] != own[0] and there[2] and own[2]
+            copied = copied + 1 if there[1] == own[1] else 0
+            if copied >= least_copied:
+                return True
+            if not looked_at or (there[0] != own[0] and not named):
+                values, begin = {}, place + 1
+                continue
+            kind = decontaminate.NAME if named else own[0]
+            if kind.startswith("<"):
+                clashes = [at for (k, v, w), at in values.items() if (k, v) == (kind, own[1]) and w != there[1]]
+                begin = max([begin, *[at + 1 for at in clashes]])
+                values[kind, own[1], there[1]] = place
+            literals = sum(not (t[0].startswith("<") or (t[0] != o[0])) for _, t, o in laid[begin : place + 1])
+            if place + 1 - begin >= least and literals >= decontaminate.LITERALS:
+                return True
+    return False
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_slots_against_a_plain_version(spark, seed):
+    draw = random.Random(seed)
+    people, units = ["Anna", "Bruno", "Carla", "Dora", "Emil"], ["km", "miles", "kg", "hours"]
+
+    def question(n):
+        words = prose(100 * seed + n, 60).lower().split()
+        sentences = []
+        for at in (0, 15):
+            own = words[at : at + 11]
+            for place in draw.sample(range(1, 10), draw.randrange(1, 4)):
+                own[place] = draw.choice([draw.choice(people), str(draw.randrange(1, 60)), f"{draw.randrange(2, 9)} {draw.choice(units)}"])
+            sentences.append(" ".join([draw.choice(people), *own]))
+        return ". ".join(sentences) + "."
+
+    def changed(text):
+        """Values replaced one by one or each everywhere, and now and then a word."""
+        values = {}
+        everywhere, part = draw.random() < 0.5, draw.choice([0.2, 0.6, 1.0])
+
+        def other(match):
+            word = match.group()
+            pool = people if word in people else units if word in units else [str(n) for n in range(1, 30)]
+            if draw.random() > part:
+                return word
+            return values.setdefault(word, draw.choice(pool)) if everywhere else draw.choice(pool)
+
+        words = re.sub("|".join([*people, r"\b\d+\b", *(rf"\b{u}\b" for u in units)]), other, text).split()
+        for _ in range(draw.choice([0, 1, 2, 3, 6])):
+            words[draw.randrange(len(words))] = "replaced"
+        return " ".join(words)
+
+    items = [(n, question(n)) for n in range(12)]
+    texts = [around(changed(text)) for _, text in items for _ in range(10)] + [prose(n, 90) for n in range(10)]
+    wanted = {}
+    for n, text in enumerate(texts):
+        held = [i for i, item in items if plain_holds(plain_slots(text), plain_slots(item))]
+        if held:
+            wanted[n] = held
+    assert 30 < len(wanted) < len(texts) - 30
+    assert found(spark, texts, items, one_to_one=False) == wanted
