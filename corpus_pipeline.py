@@ -45,7 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
-    return decontaminate.clean(docs, given(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return decontaminate.clean(docs, given(spark, sf_dir, "benchmark").select("item_id", "text"), one_to_one=False)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
